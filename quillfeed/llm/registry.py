@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillfeed.llm import packing, sharding
+from quillfeed.llm import language, licenses, packing, sharding, toxicity, urls
 from quillfeed.session import read_table
 
 
@@ -12,12 +13,54 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language.train(docs.filter(language.train_rows(F.col("doc_id"), 3, 1)))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (~language.train_rows(F.col("doc_id"), 3, 1)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents")).drop("notices")
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Fitted on labelled rows that are not held out."""
+    learn = language.train_rows(F.col("doc_id"), 5, 0)
+    labels = read_table(spark, sf_dir, "labels").filter(learn).select("doc_id", "toxic")
+    return toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        (~language.train_rows(F.col("doc_id"), 5, 0)).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stated rules label the pages: block where one blocks, else allow. Mined rules judge all others."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    labelled = urls.split_urls(pages).withColumn("verdict", F.coalesce("verdict", F.lit("allow")))
+    rules = urls.mine(labelled)
+    return urls.judge(pages, rules).drop("mined_rule", "confidence")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
+    "op7_license_scan": op7_license_scan,
+    "op9_toxicity": op9_toxicity,
+    "op10_url_filter": op10_url_filter,
 }
 ORACLES: dict[str, str] = {}
