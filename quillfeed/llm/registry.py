@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillfeed.llm import language, licenses, packing, sharding, toxicity, urls
+from quillfeed.llm import decontaminate, language, licenses, neardup, packing, quality, sharding, toxicity, urls
 from quillfeed.session import read_table
 
 
@@ -13,6 +13,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = language.train(docs.filter(language.train_rows(F.col("doc_id"), 3, 1)))
@@ -29,6 +37,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents")).drop("notices")
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), words=4)
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     """Fitted on labelled rows that are not held out."""
     learn = language.train_rows(F.col("doc_id"), 5, 0)
@@ -57,9 +69,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_quality": op2_quality,
+    "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
     "op7_license_scan": op7_license_scan,
+    "op8_neardup": op8_neardup,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
 }
