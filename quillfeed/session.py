@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -61,3 +63,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: survives the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Writes `df` as Parquet under the shared checkpoint folder and reads it back: lineage is cut, columns stay prunable.
+
+    The files go when the process ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quillfeed-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _written:
+        atexit.register(_remove_written)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove_written() -> None:
+    for spark, path in _written:
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session has ended before the process
+            return
