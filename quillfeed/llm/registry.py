@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillfeed.llm import decontaminate, language, licenses, neardup, packing, quality, sharding, toxicity, urls
+from quillfeed.llm import decontaminate, language, licenses, neardup, neighbours, packing, quality, sharding, toxicity, urls
 from quillfeed.session import read_table
 
 
@@ -33,6 +33,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents")).drop("notices")
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
+    "op6_nearest": op6_nearest,
     "op7_license_scan": op7_license_scan,
     "op8_neardup": op8_neardup,
     "op9_toxicity": op9_toxicity,
