@@ -1,12 +1,81 @@
-"""The corpus pipeline: documents in, packed sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+STAGES are applied in order. Each stage takes what its predecessor kept, written as Parquet and read again, and all
+but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillfeed.llm import decontaminate as decontamination
+from quillfeed.llm import language, neardup, packing
+from quillfeed.llm import toxicity as toxic
+from quillfeed.session import materialise, read_table
+
+#: Documents stay where their toxicity score is below this.
+MAX_TOXICITY = 0.5
+#: Documents stay where some language is at least this likely; texts without a letter have none.
+MIN_LANGUAGE_SCORE = 0.5
+#: Rejected ids up to which their list is broadcast; beyond it, the join shuffles.
+BROADCAST_IDS = 1_000_000
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the pattern grammar does not find toxic."""
+    labels = read_table(spark, sf_dir, "labels").filter(language.train_rows(F.col("doc_id"), 5, 0)).select("doc_id", "toxic")
+    scored = toxic.score(docs, toxic.train(docs, labels))
+    return scored.filter(F.col("toxic_score") < MAX_TOXICITY).select(*docs.columns)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in some learned language."""
+    model = language.train(docs.filter(language.train_rows(F.col("doc_id"), 3, 1)))
+    found = language.identify(docs, model)
+    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates; of rows that repeat an id, one stays."""
+    judged = materialise(neardup.near_duplicates(docs, words=5, percent=80).select("doc_id", "kept"))
+    rejected = materialise(judged.filter(~F.col("kept")).select("doc_id").distinct())
+    repeated = materialise(judged.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"))
+    small = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    kept = docs.join(small(rejected), "doc_id", "left_anti")
+    if repeated.limit(1).count():
+        once = kept.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(small(repeated), "doc_id", "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontamination.remove(docs, read_table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: Learned models, MinHash and the packing order have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over `documents`."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = materialise(docs)
+    return docs
