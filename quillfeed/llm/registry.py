@@ -49,7 +49,7 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
     """Fitted on labelled rows that are not held out."""
     learn = language.train_rows(F.col("doc_id"), 5, 0)
     labels = read_table(spark, sf_dir, "labels").filter(learn).select("doc_id", "toxic")
-    return toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.train(docs, labels)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

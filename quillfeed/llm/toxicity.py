@@ -215,17 +215,22 @@ def hash_text(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass"))
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id") -> Model:
-    """Learns stems and the logistic weights from rows whose label is 0 or 1, a bounded sample of each."""
-    spark = labelled.sparkSession
-    ship_package(spark)
-    rows = labelled.filter(F.col(label_col).isin(0, 1))
-    per = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}
+def train(
+    docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id"
+) -> Model:
+    """Learns stems and the logistic weights from documents whose label is 0 or 1, a bounded sample of each.
+
+    The sample is drawn among the labels alone, so only its few thousand ids meet the documents, by broadcast.
+    """
+    ship_package(docs.sparkSession)
+    rows = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(id_col, F.col(label_col).cast("int").alias("y"))
+    per = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
     if len(per) < 2:
         return Model()
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("toxicity")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.when(F.col(label_col) == 1, min(1.0, ROWS_OF_A_CLASS / per[1])).otherwise(min(1.0, ROWS_OF_A_CLASS / per[0]))
-    sample = rows.filter(draw < share).select(text_col, F.col(label_col).cast("int").alias("y")).persist()
+    share = F.when(F.col("y") == 1, min(1.0, ROWS_OF_A_CLASS / per[1])).otherwise(min(1.0, ROWS_OF_A_CLASS / per[0]))
+    picked = F.broadcast(rows.filter(draw < share))  # two classes of about ROWS_OF_A_CLASS rows
+    sample = docs.select(id_col, text_col).join(picked, id_col).select(text_col, "y").persist()
     try:
         model = _fit(sample, text_col)
     finally:
