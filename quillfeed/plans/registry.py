@@ -1,17 +1,675 @@
-"""Registered queries over the driver's tables and their SQL twins."""
+"""Registered queries over the driver's tables and their SQL twins.
+
+The tables stand in for feed data (an order is a post, its line items are comments, and so on): a query tests an
+operator, not the reference's data. Every query runs over its whole tables.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillfeed.functions.text import clean_html
+from quillfeed.functions import ids, payload, times
+from quillfeed.functions.text import clean_html, utf8_trimmed_length
+from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, select
 from quillfeed.session import read_table
+from quillfeed.sources.sinks import markdown_block
+from quillfeed.streaming import merge_stream
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+DOMAIN = "example.com"
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL twin."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
 
+def millis(column: str):
+    """Epoch milliseconds of a zoneless timestamp, read as UTC."""
+    return F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(column))
 
+
+@query(r"""
+SELECT page_id, trim(regexp_replace(
+  replace(replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(regexp_replace(html, '(?i)<br\s*/?>', chr(10), 'g'), '(?i)</p>', chr(10), 'g'), '<[^>]+>', '', 'g'),
+  '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
+  '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cleaned
+FROM pages""")
 def q_clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read_table(spark, sf_dir, "pages")
-    return pages.select("page_id", clean_html("html").alias("cleaned"))
+    return read_table(spark, sf_dir, "pages").select("page_id", clean_html("html").alias("cleaned"))
 
 
-QUERIES = {"q_clean_html": q_clean_html}
-ORACLES: dict[str, str] = {}
+@query("SELECT doc_id, CAST(strlen(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS INTEGER) AS n_bytes FROM documents")
+def q_ascii_trim_len(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents").select("doc_id", utf8_trimmed_length("text").alias("n_bytes"))
+
+
+@query(r"""
+SELECT page_id, split_part(url, '://', 1) AS scheme, regexp_extract(url, '://([^/?#]*)', 1) AS host,
+  regexp_extract(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1) AS last_segment,
+  regexp_extract(url, '://([^/?#]*)', 1) LIKE '%.example.com' AS allowed
+FROM pages""")
+def q_url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = ids.url_parts(F.col("url"))
+    return read_table(spark, sf_dir, "pages").select(
+        "page_id", p["scheme"].alias("scheme"), p["host"].alias("host"), p["last_segment"].alias("last_segment"),
+        ids.on_domain(p["host"], DOMAIN).alias("allowed"),
+    )
+
+
+@query(r"""
+SELECT page_id, CASE WHEN regexp_extract(url, '://([^/?#]*)', 1) LIKE '%.example.com'
+  THEN 'https' || substr(url, instr(url, '://')) END AS canonical
+FROM pages""")
+def q_url_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "pages").select("page_id", ids.canonical_url(F.col("url"), DOMAIN).alias("canonical"))
+
+
+@query(r"""
+SELECT item AS page_id, user_id, post_id FROM (
+  SELECT page_id AS item, CASE WHEN url LIKE 'https://%' AND regexp_extract(url, '://([^/?#]*)', 1) LIKE '%.example.com'
+      AND page_id % 2 = 0 THEN '42' WHEN page_id % 2 = 1 THEN '7' END AS user_id,
+    CASE WHEN page_id % 2 = 1 THEN CAST(page_id AS VARCHAR)
+      WHEN url LIKE 'https://%' AND regexp_extract(url, '://([^/?#]*)', 1) LIKE '%.example.com' THEN CAST(page_id AS VARCHAR) END AS post_id
+  FROM pages)""")
+def q_post_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "pages")
+    link = F.concat(F.regexp_extract("url", "^(https?://[^/?#]*)", 1), F.lit("/42/"), F.col("page_id").cast("string"))
+    ref = F.when(F.col("page_id") % 2 == 1, F.concat(F.lit(" "), F.col("page_id").cast("string"))).otherwise(link)
+    user, post = ids.post_reference(ref, DOMAIN, "7")
+    return rows.select("page_id", user.alias("user_id"), post.alias("post_id"))
+
+
+@query(r"""
+SELECT event_id, (epoch_us(ts) // 1000) AS epoch_ms, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%dT%H:%M:%S') || '+08:00' AS local_time,
+  (epoch_us(ts) // 1000000) * 1000 AS parsed_ms
+FROM events""")
+def q_epoch_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").select("event_id", millis("ts").alias("epoch_ms"))
+    rows = rows.withColumn("local_time", times.format_epoch_ms(F.col("epoch_ms")))
+    return rows.withColumn("parsed_ms", times.epoch_ms_from_text(F.col("local_time")))
+
+
+@query("""
+SELECT event_id, props LIKE '%"k"%' AS has_k, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+  (props LIKE '%"absent"%') AS has_absent FROM events""")
+def q_json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = payload.Payload(F.col("props"))
+    return read_table(spark, sf_dir, "events").select(
+        "event_id", p.has("k").alias("has_k"), ids.count_from_literal(p.literal("k")).alias("k"), p.has("absent").alias("has_absent")
+    )
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS VARCHAR) ELSE json_extract_string(props, '$.k') END AS found FROM events""")
+def q_alias_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = F.when(F.col("event_id") % 3 == 0, F.col("event_id").cast("string")).otherwise("null")
+    body = F.concat(F.lit('{"first":'), extra, F.lit(',"second":'), F.get_json_object("props", "$.k"), F.lit("}"))
+    return read_table(spark, sf_dir, "events").select("event_id", payload.Payload(body).first_present("missing", "first", "second").alias("found"))
+
+
+@query("SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' - INTERVAL 8 HOUR")
+def q_since_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").withColumn("epoch_ms", millis("ts"))
+    return pages.since_filter(rows, "epoch_ms", times.since_cutoff_ms("2024-01-15")).select("event_id", "user_id")
+
+
+@query("SELECT event_id, event_type FROM events WHERE user_id = 7")
+def q_author_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").withColumn("item", F.to_json(F.struct(F.struct(F.col("user_id").alias("id")).alias("user"))))
+    return normalize.by_author(rows, "7").select("event_id", "event_type")
+
+
+@query("SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant'")
+def q_role_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant").select("conv_id", "turn", "text")
+
+
+@query("""
+WITH x AS (SELECT event_id, event_id // 12 AS stream, 1 + (event_id // 12) % 2 AS page, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS mark FROM events),
+s AS (SELECT stream, page, count(*) AS n, count(*) FILTER (WHERE mark = 1) AS pins FROM x GROUP BY 1, 2)
+SELECT event_id, CASE WHEN n > 10 AND (x.page <> 1 OR pins <> n - 10) THEN 'unexplained_overflow' END AS violation,
+  CASE WHEN n > 10 AND (x.page <> 1 OR pins <> n - 10) THEN NULL ELSE n <= 10 OR mark <> 1 END AS pageable
+FROM x JOIN s USING (stream, page)""")
+def q_pins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = F.floor(F.col("event_id") / 12)
+    rows = read_table(spark, sf_dir, "events").select(
+        "event_id", stream.alias("stream"), (1 + stream % 2).alias("page"), F.lit(10).alias("count"), F.when(F.col("event_type") == "click", 1).otherwise(0).alias("mark")
+    )
+    return pages.pinned_rows(rows, ["stream"], "page", "count").select("event_id", "violation", "pageable")
+
+
+def record_body():
+    """Records from documents, some of which break a rule that follows from their id."""
+    i = F.col("doc_id")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    number = i.cast("string")
+    quoted = F.when(i % 7 == 0, number).otherwise(F.concat(F.lit('"'), number, F.lit('"')))
+    literal = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)\A\{"v":(.*)\}\z', 1)
+    clean = F.when(i % 3 == 0, F.concat(clean_html(text), F.lit("!"))).otherwise(clean_html(text))
+    likes = F.when(i % 5 == 0, F.lit("-1")).otherwise(F.lit("4.0"))
+    host = F.when(i % 11 == 0, "http").otherwise("https")
+    extra = F.when(i % 13 == 0, ',"surprise":1').otherwise("")
+    return F.concat(
+        F.lit('{"schema_version":1,"record_contract":"normalized_v1","id":'), quoted, F.lit(',"created_at_raw":1752381296000,"created_at":"2025-07-13T12:34:56+08:00","text":'),
+        literal(text), F.lit(',"clean_text":'), literal(clean), F.lit(',"target":"'), host, F.lit("://example.com/7/"), number,
+        F.lit('","reply_count":3,"like_count":'), likes, F.lit(',"retweet_count":0,"view_count":9'), extra, F.lit("}"),
+    )
+
+
+@query("""
+SELECT code, count(*) AS n_records FROM (
+  SELECT 'id' AS code FROM documents WHERE doc_id % 7 = 0
+  UNION ALL SELECT 'clean_text_differs' FROM documents WHERE doc_id % 3 = 0
+  UNION ALL SELECT 'like_count' FROM documents WHERE doc_id % 5 = 0
+  UNION ALL SELECT 'target' FROM documents WHERE doc_id % 11 = 0
+  UNION ALL SELECT 'unsupported_field' FROM documents WHERE doc_id % 13 = 0) GROUP BY code""")
+def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read_table(spark, sf_dir, "documents").select(F.explode(contracts.violations(record_body(), DOMAIN)).alias("code"))
+    return found.groupBy("code").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+@query("""
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'normalized_v1/post' WHEN 1 THEN 'normalized_v1/reply' WHEN 2 THEN 'legacy_normalized_v1/post' END AS shape FROM events""")
+def q_shape_discriminator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = '{"schema_version":1,"id":"1","created_at":"unknown","created_at_raw":null,"reply_count":1,"like_count":1,'
+    bodies = (
+        base + '"record_contract":"normalized_v1","target":"t","text":"a","clean_text":"a","retweet_count":1,"view_count":1}',
+        base + '"record_contract":"normalized_v1","post_id":"2","post_target":"t","text":"a","clean_text":"a"}',
+        base + '"record_contract":"legacy_normalized_v1","target":"t","text":"a","retweet_count":1,"view_count":1}',
+        base + '"record_contract":"normalized_v1","target":"t","text":"a","retweet_count":1,"view_count":1}',
+    )
+    body = F.lit(bodies[3])
+    for k in (2, 1, 0):
+        body = F.when(F.col("event_id") % 4 == k, bodies[k]).otherwise(body)
+    return read_table(spark, sf_dir, "events").select("event_id", contracts.shape(body).alias("shape"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '["clean_text","created_at"]' END AS migrated, true AS valid FROM documents""")
+def q_upgrade_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legacy documents (even ids) and stamped ones become strict records, which then hold."""
+    i = F.col("doc_id").cast("string")
+    legacy = F.concat(F.lit('{"id":'), i, F.lit(',"created_at_raw":" 1752381296 ","text":"a<br>b","target":"/7/'), i, F.lit('","reply_count":"3","like_count":4,"retweet_count":0,"view_count":9}'))
+    stamped = F.concat(
+        F.lit('{"schema_version":1,"id":"'), i, F.lit('","created_at_raw":"0","created_at":"unknown","text":"a","clean_text":"a","target":"https://example.com/7/'), i,
+        F.lit('","reply_count":3,"like_count":4,"retweet_count":0,"view_count":9}'),
+    )
+    stamped = F.replace(stamped, F.lit('"created_at_raw":"0"'), F.lit('"created_at_raw":0'))
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", contracts.upgrade(F.when(F.col("doc_id") % 2 == 0, legacy).otherwise(stamped), DOMAIN).alias("body"))
+    return rows.select("doc_id", payload.Payload(F.col("body")).literal("legacy_migrated_fields").alias("migrated"), (F.size(contracts.violations(F.col("body"), DOMAIN)) == 0).alias("valid"))
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def q_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.duplicate_keys(read_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+@query("""
+WITH v AS (
+  SELECT doc_id, -1 AS seq, text, text AS clean_text, source AS title, n_chars AS like_count, CASE WHEN doc_id % 2 = 0 THEN 'unknown' ELSE lang END AS created_at, 'a' AS created_at_raw FROM documents
+  UNION ALL SELECT doc_id, 0, text || '+', text, lang, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE n_chars - 1 END, lang, 'b' FROM documents WHERE doc_id % 3 <> 0
+  UNION ALL SELECT doc_id, 1, left(text, 5), left(text, 5), source, n_chars + 1, 'unknown', 'c' FROM documents WHERE doc_id % 5 = 0)
+SELECT doc_id, arg_max(text, (strlen(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) + strlen(trim(clean_text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) * 10 + seq) AS text,
+  arg_max(title, strlen(title) * 10 + seq) AS title,
+  arg_max(like_count, seq) FILTER (WHERE like_count IS NOT NULL) AS like_count,
+  coalesce(min(created_at) FILTER (WHERE created_at <> 'unknown'), 'unknown') AS created_at,
+  coalesce(arg_max(created_at_raw, seq) FILTER (WHERE created_at <> 'unknown'), arg_max(created_at_raw, seq)) AS created_at_raw
+FROM v GROUP BY doc_id""")
+def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    i = F.col("doc_id")
+    row = lambda seq, text, clean, title, likes, made, raw: (
+        i.alias("doc_id"), F.lit(seq).cast("long").alias("seq"), text.alias("text"), clean.alias("clean_text"), title.alias("title"),
+        likes.cast("long").alias("like_count"), made.alias("created_at"), F.lit(raw).alias("created_at_raw"),
+    )
+    t, lang, source, n = F.col("text"), F.col("lang"), F.col("source"), F.col("n_chars")
+    stored = docs.select(*row(-1, t, t, source, n, F.when(i % 2 == 0, "unknown").otherwise(lang), "a"))
+    first = docs.filter(i % 3 != 0).select(*row(0, F.concat(t, F.lit("+")), t, lang, F.when(i % 4 != 0, n - 1), lang, "b"))
+    second = docs.filter(i % 5 == 0).select(*row(1, F.left(t, F.lit(5)), F.left(t, F.lit(5)), source, n + 1, F.lit("unknown"), "c"))
+    merged = merge.upsert(stored, first.unionByName(second), "doc_id", "seq", merge.RECORD_RULES)
+    return merged.select("doc_id", "text", "title", "like_count", "created_at", "created_at_raw")
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN ['post_id'] ELSE []::VARCHAR[] END AS conflicts FROM orders
+WHERE o_orderkey % 10 = 0 OR o_orderkey % 10 = 1""")
+def q_merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 10 <= 1)
+    base = orders.select("o_orderkey", F.lit(0).cast("long").alias("seq"), F.lit("post").alias("kind"), F.col("o_custkey").cast("string").alias("post_id"), F.lit(None).cast("string").alias("reply_to"))
+    again = base.select(
+        "o_orderkey", F.lit(1).cast("long").alias("seq"), "kind",
+        F.when(F.col("o_orderkey") % 10 == 0, F.concat("post_id", F.lit("x"))).otherwise(F.col("post_id")).alias("post_id"), F.lit("9").alias("reply_to"),
+    )
+    return merge.merge_versions(base.unionByName(again), "o_orderkey", "seq", merge.RECORD_RULES).select("o_orderkey", "conflicts")
+
+
+@query("""
+SELECT event_id, user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN event_id % 9 = 0 THEN 0 ELSE (epoch_us(ts) // 1000) END DESC,
+  length(CAST(event_id AS VARCHAR)) DESC, CAST(event_id AS VARCHAR) DESC) AS INTEGER) AS position FROM events""")
+def q_total_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").select("event_id", "user_id", F.when(F.col("event_id") % 9 != 0, millis("ts")).alias("epoch_ms"), F.col("event_id").cast("string").alias("id"))
+    return merge.numbered(rows, ["user_id"], merge.total_order()).select("event_id", "user_id", "position")
+
+
+@query("""
+SELECT user_id, arg_max(value, event_id) AS reply_count, arg_max(event_type, strlen(event_type) * 1000000000 + event_id) AS title
+FROM events WHERE event_type IN ('click', 'purchase') GROUP BY user_id""")
+def q_union_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillfeed.sources.landed import union_streams
+
+    rows = read_table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), F.col("value").alias("reply_count"), F.col("event_type").alias("title"))
+    both = union_streams(rows.filter("title = 'click'"), rows.filter("title = 'purchase'"))
+    return merge.merge_versions(both, "user_id", "seq", merge.RECORD_RULES).select("user_id", "reply_count", "title")
+
+
+@query("SELECT user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
+def q_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").select("user_id", "event_id", "value", F.col("event_id").alias("seq"))
+    return merge.last_wins(rows, "user_id", "seq").select("user_id", "event_id", "value")
+
+
+@query("SELECT doc_id, 'stored' AS origin FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'fetched' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0)")
+def q_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = read_table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select("doc_id", F.lit("stored").alias("origin"))
+    return merge.first_wins(stored, read_table(spark, sf_dir, "labels").select("doc_id", F.lit("fetched").alias("origin")), "doc_id")
+
+
+@query("""
+WITH d AS (SELECT o_orderkey, o_orderkey % 5 AS kind, 1 + o_orderkey % 3 AS page, CASE WHEN o_orderkey % 2 = 0 THEN 10 ELSE 6 END AS n FROM orders)
+SELECT o_orderkey,
+  CASE kind WHEN 0 THEN n < 10 WHEN 1 THEN false WHEN 2 THEN page >= 2 AND (page <= 2 OR n = 0) WHEN 3 THEN NULL ELSE false END AS complete,
+  CASE kind WHEN 0 THEN false WHEN 1 THEN false WHEN 2 THEN page >= 2 WHEN 3 THEN NULL ELSE false END AS explicit,
+  CASE WHEN kind = 3 THEN 'conflicting_has_more' WHEN kind = 2 AND page > 2 THEN 'page_count_contradiction' END AS violation
+FROM d WHERE NOT (kind = 2 AND page > 2)
+UNION ALL SELECT o_orderkey, NULL, NULL, 'page_count_contradiction' FROM d WHERE kind = 2 AND page > 2""")
+def q_pagination_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("o_orderkey")
+    body = (
+        F.when(i % 5 == 0, "{}").when(i % 5 == 1, '{"meta":{"hasMore":"true"}}').when(i % 5 == 2, '{"maxPage":"2","meta":{"page_count":2}}')
+        .when(i % 5 == 3, '{"has_more":true,"meta":{"hasMore":0}}').otherwise('{"has_more":false,"next_cursor":"c9"}')
+    )
+    n, page = F.when(i % 2 == 0, 10).otherwise(6), 1 + i % 3
+    decision = pages.pagination_decision(body, page, F.lit(10), n, (page - 1) * 10 + n)
+    return read_table(spark, sf_dir, "orders").select("o_orderkey", decision.alias("d")).select("o_orderkey", "d.complete", "d.explicit", "d.violation")
+
+
+@query("""
+WITH d AS (SELECT o_orderkey, o_orderkey % 4 AS kind FROM orders)
+SELECT o_orderkey, CASE kind WHEN 0 THEN true WHEN 1 THEN false END AS complete,
+  CASE kind WHEN 2 THEN 'mixed_evidence' WHEN 3 THEN 'page_count_conflicts_with_total' END AS violation FROM d""")
+def q_pagination_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("o_orderkey")
+    body = (
+        F.when(i % 4 == 0, '{"has_more":false,"max_page":1,"total":5,"next":"ignored"}').when(i % 4 == 1, '{"has_more":true,"max_page":2}')
+        .when(i % 4 == 2, '{"has_more":true,"max_page":1}').otherwise('{"max_page":2,"total":5}')
+    )
+    decision = pages.pagination_decision(body, F.lit(1), F.lit(10), F.lit(5), F.lit(5), strict=True)
+    return read_table(spark, sf_dir, "orders").select("o_orderkey", decision.alias("d")).select("o_orderkey", "d.complete", "d.violation")
+
+
+@query("""
+WITH f AS (SELECT l_suppkey, l_partkey, min(l_linenumber) AS l_linenumber FROM lineitem GROUP BY 1, 2),
+n AS (SELECT l_suppkey, l_linenumber, count(*) AS fresh FROM f GROUP BY 1, 2), p AS (SELECT DISTINCT l_suppkey, l_linenumber FROM lineitem)
+SELECT l_suppkey, l_linenumber, CAST(sum(coalesce(fresh, 0)) OVER (PARTITION BY l_suppkey ORDER BY l_linenumber) AS BIGINT) AS observed FROM p LEFT JOIN n USING (l_suppkey, l_linenumber)""")
+def q_observed_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.running_observed(read_table(spark, sf_dir, "lineitem"), "l_suppkey", "l_linenumber", "l_partkey")
+
+
+@query("""
+WITH x AS (SELECT user_id, event_id // 100 AS page, value FROM events)
+SELECT user_id, min(page) FILTER (WHERE value > 90) AS stop_page, min(page) FILTER (WHERE value > 90) IS NULL AS truncated FROM x GROUP BY user_id""")
+def q_stop_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").select("user_id", F.floor(F.col("event_id") / 100).alias("page"), "value")
+    return pages.stop_pages(rows, "user_id", "page", F.col("value") > 90)
+
+
+@query("""
+WITH x AS (SELECT user_id, event_id // 500 AS page, event_id AS pos, CASE WHEN event_id % 301 = 0 THEN NULL ELSE 1800000000000 - event_id * 1000 + CASE WHEN event_id % 97 = 0 THEN 9000000 ELSE 0 END END AS epoch FROM events),
+l AS (SELECT *, last_value(epoch IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY page, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM x),
+p AS (SELECT user_id, page, count(*) FILTER (WHERE epoch IS NULL OR epoch > prior) AS broken, count(*) FILTER (WHERE epoch < 1799999000000) AS older, count(*) AS n FROM l GROUP BY 1, 2),
+o AS (SELECT *, sum(broken) OVER (PARTITION BY user_id ORDER BY page) = 0 AS ordered FROM p),
+c AS (SELECT *, ordered AND older > 0 AS candidate FROM o)
+SELECT user_id, page, candidate, coalesce(lag(candidate) OVER (PARTITION BY user_id ORDER BY page), false) AND ordered AND n = older AS confirmed FROM c""")
+def q_since_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("event_id")
+    epoch = F.when(i % 301 != 0, F.lit(1_800_000_000_000) - i * 1000 + F.when(i % 97 == 0, 9_000_000).otherwise(0))
+    rows = read_table(spark, sf_dir, "events").select("user_id", F.floor(i / 500).alias("page"), i.alias("pos"), epoch.alias("epoch"))
+    return pages.since_boundary(rows, "user_id", "page", "pos", "epoch", 1_799_999_000_000)
+
+
+@query("SELECT o_orderkey, greatest(1, CAST(ceil((o_orderkey % 50) / 20.0) AS BIGINT) + 2) AS budget FROM orders")
+def q_page_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "orders").select("o_orderkey", pages.page_budget(F.col("o_orderkey") % 50, 20).cast("long").alias("budget"))
+
+
+@query("""
+SELECT event_id, user_id FROM events e WHERE event_id < coalesce((SELECT min(event_id) FROM events f WHERE f.user_id = e.user_id AND f.event_type = 'purchase'), 9223372036854775807)""")
+def q_before_first_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return pages.before_first_error(rows, "user_id", "event_id", "event_type", ("purchase",)).select("event_id", "user_id")
+
+
+@query("""
+SELECT o_custkey, o_orderkey, o_orderpriority AS code FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders WHERE o_orderpriority <> '5-LOW') WHERE r = 1""")
+def q_first_valid_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_orderpriority").alias("code"))
+    return classify.first_valid_attempt(rows, "o_custkey", "o_orderkey", missing=("5-LOW",))
+
+
+def posts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as posts: position in time order is the key itself."""
+    lines = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("reply_count"))
+    return lines.select(F.col("l_orderkey").alias("post_id"), F.col("l_orderkey").alias("position"), "reply_count")
+
+
+def baselines_of(posts: DataFrame) -> DataFrame:
+    changed = F.when(F.col("post_id") % 4 == 0, F.col("reply_count") + 1).when(F.col("post_id") % 4 == 1, F.col("reply_count") - 1).otherwise(F.col("reply_count"))
+    return posts.filter("post_id % 3 <> 0").select("post_id", changed.alias("reply_count"))
+
+
+@query("""
+WITH p AS (SELECT l_orderkey AS post_id, count(*) AS reply_count FROM lineitem GROUP BY 1)
+SELECT post_id, reply_count FROM p WHERE post_id < 5000 AND (post_id % 3 = 0 OR post_id % 4 <= 1)""")
+def q_changed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = posts_of(spark, sf_dir)
+    return select.changed_posts(posts, baselines_of(posts), "position", "reply_count", 5000).select("post_id", "reply_count")
+
+
+@query("""
+WITH p AS (SELECT l_orderkey AS post_id, count(*) AS reply_count FROM lineitem GROUP BY 1),
+b AS (SELECT post_id, reply_count + CASE post_id % 4 WHEN 0 THEN 1 WHEN 1 THEN -1 ELSE 0 END AS reply_count FROM p WHERE post_id % 3 <> 0),
+f AS (SELECT post_id, reply_count FROM p WHERE post_id < 5000 AND post_id % 5 <> 0 AND post_id % 7 <> 0)
+SELECT post_id, coalesce(f.reply_count, b.reply_count) AS reply_count FROM b FULL JOIN f USING (post_id)""")
+def q_checkpoint_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = posts_of(spark, sf_dir)
+    confirmed = select.confirmed_ids(posts, posts.filter("post_id % 5 = 0"), posts.filter("post_id % 7 = 0"))
+    return select.advance_checkpoint(baselines_of(posts), posts, confirmed, "position", "reply_count", 5000)
+
+
+@query("""
+WITH t AS (SELECT o_orderkey, (epoch_us(o_orderdate) // 1000) AS e FROM orders ORDER BY e DESC, length(CAST(o_orderkey AS VARCHAR)) DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 80),
+c AS (SELECT *, e >= (SELECT max((epoch_us(o_orderdate) // 1000)) FROM orders) - 21 * 86400000 AS recent FROM t)
+SELECT o_orderkey FROM c WHERE recent OR NOT EXISTS (SELECT 1 FROM c WHERE recent)""")
+def q_recent_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "orders").select("o_orderkey", millis("o_orderdate").alias("epoch_ms"), F.col("o_orderkey").cast("string").alias("post_id"))
+    as_of = rows.agg(F.max("epoch_ms")).first()[0] or 0
+    return select.recent_posts(rows, as_of, 21, 80).select("o_orderkey")
+
+
+@query("SELECT conv_id, turn, role FROM conversations WHERE turn >= CASE WHEN conv_id % 3 = 0 THEN 0 ELSE 2 END")
+def q_resume_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    then = F.when(F.col("conv_id") % 3 == 0, "old").otherwise("same")
+    start, _ = select.resume_start(F.lit(2), F.lit("same"), then, F.lit("r"), F.lit("r"))
+    return read_table(spark, sf_dir, "conversations").filter(F.col("turn") >= start).select("conv_id", "turn", "role")
+
+
+@query()
+def q_ordered_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select.ordered_digest(read_table(spark, sf_dir, "conversations"), "conv_id", ["turn", "role", "text"], "turn", "role", "text")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def q_skip_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select.skip_existing(read_table(spark, sf_dir, "documents").select("doc_id"), read_table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("""
+SELECT d.doc_id, CASE WHEN d.doc_id % 2 = 0 THEN CAST(d.n_chars AS BIGINT) WHEN l.doc_id IS NULL THEN CAST(d.n_chars AS BIGINT) ELSE CAST(l.quality AS BIGINT) END AS reply_count,
+  CASE WHEN d.doc_id % 2 = 0 OR l.doc_id IS NOT NULL THEN 5 END AS view_count,
+  CASE WHEN d.doc_id % 2 = 1 AND l.doc_id IS NULL THEN 'detail_missing' END AS violation
+FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def q_hydrate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    full = F.concat(F.lit('{"id":'), i.cast("string"), F.lit(',"reply_count":'), F.col("n_chars").cast("string"), F.lit(',"likeCount":1,"retweet_count":2,"viewCount":5}'))
+    sparse = F.concat(F.lit('{"id":'), i.cast("string"), F.lit(',"reply_count":'), F.col("n_chars").cast("string"), F.lit("}"))
+    rows = read_table(spark, sf_dir, "documents").select(i.alias("id"), F.when(i % 2 == 0, full).otherwise(sparse).alias("item"))
+    detail = F.concat(F.lit('{"id":"'), i.cast("string"), F.lit('","reply_count":'), F.col("quality").cast("string"), F.lit(',"like_count":1,"retweet_count":2,"view_count":5}'))
+    found = normalize.hydrate(rows, read_table(spark, sf_dir, "labels").select(i.alias("id"), detail.alias("detail")))
+    p = payload.Payload(F.col("item"))
+    number = lambda *names: ids.count_from_literal(normalize.hydrated_value(p, *names))
+    return found.select(F.col("id").alias("doc_id"), number("reply_count", "replyCount").alias("reply_count"), number("view_count", "viewCount").cast("int").alias("view_count"), "violation")
+
+
+@query("""
+SELECT user_id || ':' || event_id AS item, event_id, 'https://example.com/7/' || CAST(event_id AS VARCHAR) AS target,
+  strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%dT%H:%M:%S') || '+08:00' AS created_at, CAST(floor(value) AS BIGINT) AS reply_count,
+  CASE WHEN event_id % 6 = 0 THEN ['view_count'] ELSE []::VARCHAR[] END AS violations FROM events""")
+def q_normalize_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = lambda c: c.cast("string")
+    views = F.when(F.col("event_id") % 6 == 0, ',"view_count":true').otherwise(',"viewCount":" 12 "')
+    item = F.concat(
+        F.lit('{"id":'), number(F.col("event_id")), F.lit(',"created_at":'), number(millis("ts")), F.lit(',"text":"<p>x</p>","reply_count":'), number(F.floor("value")),
+        F.lit(',"like_count":1,"retweetCount":"2"'), views, F.lit("}"),
+    )
+    rows = read_table(spark, sf_dir, "events").select(F.concat_ws(":", "user_id", "event_id").alias("name"), "event_id", item.alias("item"))
+    found = normalize.normalize_posts(rows, "7", DOMAIN)
+    return found.select(F.col("name").alias("item"), "event_id", "target", "created_at", "reply_count", "violations")
+
+
+@query("""
+SELECT conv_id, turn, CASE WHEN turn % 5 = 4 THEN ['post_reference'] ELSE []::VARCHAR[] END AS violations,
+  CAST(conv_id AS VARCHAR) AS post_id, 'https://example.com/7/' || CAST(conv_id AS VARCHAR) AS post_target, 'post ' || CAST(conv_id AS VARCHAR) AS post_title FROM conversations""")
+def q_normalize_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "conversations")
+    conv = F.col("conv_id").cast("string")
+    other = F.when(F.col("turn") % 5 == 4, F.lit("999999999")).otherwise(conv)
+    item = F.concat(
+        F.lit('{"id":'), F.col("turn").cast("string"), F.lit(',"status_id":'), conv, F.lit(',"target_id":"'), other,
+        F.lit('","created_at":0,"description":"d","user":{"id":5},"like_count":1,"replyCount":0}'),
+    )
+    posts = table.select(conv.alias("post_id")).distinct().select(
+        "post_id", F.lit("null").alias("created_at_raw"), F.concat(F.lit("post "), "post_id").alias("title"), F.lit("t").alias("clean_text"),
+        F.concat(F.lit("https://example.com/7/"), "post_id").alias("target"),
+    )
+    return normalize.normalize_replies(table.select("conv_id", "turn", item.alias("item")), posts, "7", DOMAIN, "post_comments").select("conv_id", "turn", "violations", "post_id", "post_target", "post_title")
+
+
+@query("SELECT a.conv_id, a.turn, a.text, b.role AS parent_role FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1")
+def q_thread_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    parents = rows.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("parent_role"))
+    return rows.join(parents, ["conv_id", "turn"], "left").select("conv_id", "turn", "text", "parent_role")
+
+
+@query("SELECT c_custkey, n_name AS parent, r_name AS root FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def q_nested_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer, nation, region = (read_table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "c_custkey", F.col("n_name").alias("parent"), F.col("r_name").alias("root")
+    )
+
+
+def covered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as comments of their order; the declared count is the order's key modulo 7."""
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("post_id"), F.col("l_linenumber").alias("page"), F.col("l_linenumber").alias("comment_id"),
+        (F.col("l_orderkey") % 6 != 0).alias("complete"), (F.col("l_orderkey") % 2 == 0).alias("explicit"),
+        F.when(F.col("l_orderkey") % 3 == 0, F.col("l_orderkey") % 5).alias("endpoint_count"),
+    )
+    posts = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("post_id"), (F.col("o_orderkey") % 7).alias("reply_count"))
+    return coverage.coverage(lines, posts)
+
+
+_COVERED = """
+WITH s AS (SELECT l_orderkey AS post_id, count(DISTINCT l_linenumber) AS observed, l_orderkey % 6 <> 0 AS complete, l_orderkey % 6 <> 0 AND l_orderkey % 2 = 0 AS explicit,
+  CASE WHEN l_orderkey % 6 <> 0 AND l_orderkey % 3 = 0 THEN l_orderkey % 5 END AS endpoint FROM lineitem GROUP BY l_orderkey),
+d AS (SELECT s.*, coalesce(endpoint, CASE WHEN o_orderkey IS NOT NULL THEN o_orderkey % 7 END) AS declared FROM s LEFT JOIN orders ON post_id = o_orderkey),
+c AS (SELECT *, coalesce(observed > declared OR (observed < declared AND NOT explicit), false) AS unverified FROM d)"""
+
+
+@query(_COVERED + """
+SELECT post_id, declared, observed, NOT complete AS truncated, unverified,
+  CASE WHEN observed < declared AND NOT unverified THEN declared - observed END AS unavailable_count FROM c""")
+def q_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covered(spark, sf_dir).select("post_id", "declared", "observed", "truncated", "unverified", F.col("gap.unavailable_count").alias("unavailable_count"))
+
+
+@query(_COVERED + """
+SELECT count(*) AS scanned, count(*) FILTER (WHERE NOT complete) AS truncated, count(*) FILTER (WHERE unverified) AS unverified,
+  count(*) FILTER (WHERE observed < declared AND NOT unverified) AS gaps,
+  CASE WHEN count(*) FILTER (WHERE NOT complete) > 0 THEN 'partial_page_limit' WHEN count(*) FILTER (WHERE unverified) > 0 THEN 'partial_incomplete_response'
+    WHEN count(*) FILTER (WHERE observed < declared AND NOT unverified) > 0 THEN 'accessible_main_stream_complete_with_known_gaps' ELSE 'changed_posts_main_stream_complete' END AS coverage,
+  CASE WHEN count(*) FILTER (WHERE NOT complete) > 0 OR count(*) FILTER (WHERE unverified) > 0 THEN 'needs_verification' ELSE 'complete' END AS status,
+  CASE WHEN count(*) FILTER (WHERE NOT complete) > 0 OR count(*) FILTER (WHERE unverified) > 0 THEN 2 ELSE 0 END AS exit_code FROM c""")
+def q_coverage_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.summary(covered(spark, sf_dir), F.col("scanned"))
+
+
+@query("""
+WITH u AS (SELECT user_id, count(*) AS attempted, count(*) FILTER (WHERE event_type = 'view') AS valid, count(*) FILTER (WHERE event_type = 'purchase') AS failures FROM events GROUP BY user_id)
+SELECT user_id, CASE WHEN valid = 0 AND failures > 0 AND user_id % 2 = 0 THEN 'failed' WHEN failures > 0 THEN 'needs_verification' ELSE 'complete' END AS status,
+  CASE WHEN valid = 0 AND failures > 0 AND user_id % 2 = 0 THEN 1 WHEN failures > 0 THEN 2 ELSE 0 END AS exit_code FROM u""")
+def q_status_exit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = read_table(spark, sf_dir, "events").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("attempted"), F.count_if(F.col("event_type") == "view").alias("valid"), F.count_if(F.col("event_type") == "purchase").alias("failures")
+    )
+    status = coverage.attempt_status(F.col("attempted"), F.col("valid"), F.col("failures"), F.col("user_id") % 2)
+    return counted.select("user_id", status.alias("status")).withColumn("exit_code", coverage.exit_code(F.col("status")))
+
+
+@query("""
+SELECT DISTINCT event_type AS source, CASE event_id % 4 WHEN 0 THEN 'endpoint_missing' WHEN 1 THEN 'response_encoding' WHEN 2 THEN 'response_contract' END AS category,
+  CASE event_id % 4 WHEN 0 THEN 'HTTP_404' WHEN 1 THEN 'INVALID_JSON' WHEN 2 THEN 'INVALID_RESPONSE_SHAPE' END AS code,
+  CASE event_id % 4 WHEN 0 THEN 'HTTP_404' ELSE 'm' END AS message FROM events WHERE event_id % 4 < 3""")
+def q_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("event_id") % 4
+    code = F.when(i == 0, "HTTP_404").when(i == 1, "INVALID_JSON").when(i == 2, "INVALID_RESPONSE_SHAPE").otherwise("WAF")
+    rows = read_table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), code.alias("code"), F.when(i == 0, "").otherwise("m").alias("message"))
+    return classify.drift_signals(rows)
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("event_id") % 10
+    body = (
+        F.when(i == 0, '{"captcha":1}').when(i == 1, '{"error_code":"20101"}').when(i == 2, "oops 10020").when(i == 3, "not json").when(i == 4, "<i>renderData</i>")
+        .when(i == 5, '{"a":1,"a":2}').when(i == 6, '{"error_code":0}').otherwise(F.col("props"))
+    )
+    status = F.when(i == 2, 400).when(i == 7, 503).otherwise(200)
+    kind = F.when(i == 8, "text/html; charset=utf-8").when(i == 3, "application/json").when(i == 4, "").otherwise("application/json")
+    return read_table(spark, sf_dir, "events").select("event_id", classify.json_code(status, kind, body).alias("code"))
+
+
+_CODES = """CASE event_id % 10 WHEN 0 THEN 'WAF' WHEN 1 THEN 'API_20101' WHEN 2 THEN 'API_10020' WHEN 3 THEN 'INVALID_JSON' WHEN 4 THEN 'WAF'
+  WHEN 5 THEN 'DUPLICATE_KEYS' WHEN 7 THEN 'HTTP_503' WHEN 8 THEN 'WAF' ELSE 'OK' END"""
+
+
+@query(f"SELECT event_id, {_CODES} AS code FROM events")
+def q_response_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses(spark, sf_dir)
+
+
+@query(f"SELECT count(*) AS requests, count(*) FILTER (WHERE c <> 'OK') AS errors, count(*) FILTER (WHERE c = 'WAF') AS waf FROM (SELECT {_CODES} AS c FROM events)")
+def q_request_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.request_metrics(responses(spark, sf_dir))
+
+
+@query("""
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'OK' WHEN 1 THEN 'HTTP_500' WHEN 2 THEN 'INVALID_CONTENT_TYPE' ELSE 'INVALID_HTML' END AS code FROM pages""")
+def q_html_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("page_id") % 4
+    code = classify.html_code(F.when(i == 1, 500).otherwise(200), F.when(i == 2, "image/png").otherwise("text/html"), F.when(i == 3, " \n").otherwise(F.col("html")))
+    return read_table(spark, sf_dir, "pages").select("page_id", code.alias("code"))
+
+
+@query("""
+SELECT 'documents' AS segment, count(*) AS n_rows, count(DISTINCT doc_id) AS unique_ids, CAST(min(n_chars) AS VARCHAR) AS min_time, CAST(max(n_chars) AS VARCHAR) AS max_time FROM documents
+UNION ALL SELECT 'events', count(*), count(DISTINCT event_id), CAST(min((epoch_us(ts) // 1000)) AS VARCHAR), CAST(max((epoch_us(ts) // 1000)) AS VARCHAR) FROM events
+UNION ALL SELECT 'orders', count(*), count(DISTINCT o_orderkey), CAST(min((epoch_us(o_orderdate) // 1000)) AS VARCHAR), CAST(max((epoch_us(o_orderdate) // 1000)) AS VARCHAR) FROM orders""")
+def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, events, orders = (read_table(spark, sf_dir, t) for t in ("documents", "events", "orders"))
+    parts = [
+        manifest.segments(docs.select("doc_id", "n_chars"), F.lit("documents"), "doc_id", "n_chars"),
+        manifest.segments(events.select("event_id", millis("ts").alias("t")), F.lit("events"), "event_id", "t"),
+        manifest.segments(orders.select("o_orderkey", millis("o_orderdate").alias("t")), F.lit("orders"), "o_orderkey", "t"),
+    ]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select("segment", "n_rows", "unique_ids", F.col("min_time").cast("string").alias("min_time"), F.col("max_time").cast("string").alias("max_time"))
+
+
+@query()
+def q_manifest_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return manifest.segments(docs, F.col("source"), "doc_id", "n_chars")
+
+
+@query("""
+SELECT doc_id, 'missing' AS difference FROM labels WHERE doc_id % 2 = 0 AND doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 3 = 0)
+UNION ALL SELECT doc_id, 'undeclared' FROM documents WHERE doc_id % 3 = 0 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id % 2 = 0)""")
+def q_inventory_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    declared = read_table(spark, sf_dir, "labels").filter("doc_id % 2 = 0")
+    return manifest.inventory_difference(declared, read_table(spark, sf_dir, "documents").filter("doc_id % 3 = 0"), "doc_id")
+
+
+@query("SELECT count(*) AS n_uncovered FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def q_overlap_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents").select("doc_id"), read_table(spark, sf_dir, "labels")
+    return manifest.not_covered(docs, labels, "doc_id").agg(F.count(F.lit(1)).alias("n_uncovered"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ['auth_token'] ELSE []::VARCHAR[] END AS forbidden FROM events")
+def q_forbidden_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.when(F.col("event_id") % 3 == 0, '{"id":1,"auth_token":"x"}').otherwise(F.col("props"))
+    return read_table(spark, sf_dir, "events").select("event_id", manifest.forbidden_fields(body).alias("forbidden"))
+
+
+@query("SELECT page_id FROM pages WHERE regexp_matches(url, '(^|[^0-9])7913([^0-9]|$)') OR regexp_matches(url, '(^|[^0-9])46([^0-9]|$)')")
+def q_exact_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.col("url")
+    return read_table(spark, sf_dir, "pages").filter(manifest.has_exact_number(url, "7913") | manifest.has_exact_number(url, "46")).select("page_id")
+
+
+@query("""
+SELECT o_orderkey AS post_id, o_orderkey % 9 AS declared_count FROM orders WHERE o_orderkey % 4 = 0
+UNION ALL SELECT o_orderkey, 100 + o_orderkey % 9 FROM orders WHERE o_orderkey % 6 = 0 AND o_orderkey % 4 <> 0 AND o_orderkey % 5 <> 0""")
+def q_gap_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("post_id"))
+    key = F.col("post_id")
+    current = posts.filter(key % 4 == 0).select("post_id", (key % 9).alias("declared_count"))
+    previous = posts.filter(key % 6 == 0).select("post_id", (100 + key % 9).alias("declared_count"))
+    return merge.reconcile_gaps(previous, current, posts.filter(key % 4 == 0), posts.filter(key % 5 != 0))
+
+
+@query("""
+SELECT conv_id, turn, '## Reply ' || CAST(turn + 1 AS VARCHAR) || chr(10) || chr(10) || 'ID: ' || CAST(turn AS VARCHAR) || chr(10) || 'Time: unknown' || chr(10) || 'Origin: ' || role || chr(10)
+  || 'Post ID: ' || CAST(conv_id AS VARCHAR) || chr(10) || 'Post Link: ' || chr(10) || chr(10) || coalesce(text, '') || chr(10) || chr(10) || '---' || chr(10) AS block FROM conversations""")
+def q_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.col("turn").alias("id"), F.lit("unknown").alias("created_at"), F.col("role").alias("origin"), F.col("conv_id").alias("post_id"),
+        F.lit(None).cast("string").alias("post_target"), F.col("text").alias("clean_text"),
+    )
+    return rows.select("conv_id", "turn", markdown_block("replies", F.col("turn") + 1).alias("block"))
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n_events FROM events GROUP BY 1, 2")
+def q_windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_stream.windowed_counts(read_table(spark, sf_dir, "events"), "ts", "event_type")
+
+
+@query("""
+SELECT user_id, arg_max(value, event_id) AS reply_count, arg_max(event_type, strlen(event_type) * 1000000000 + event_id) AS title FROM events GROUP BY user_id""")
+def q_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as a stream of files, merged batch by batch into a corpus, which is the result."""
+    import uuid
+
+    from quillfeed.session import ensure_checkpoint_dir
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*").select(
+        "user_id", F.col("event_id").alias("seq"), F.col("value").alias("reply_count"), F.col("event_type").alias("title")
+    )
+    merge_stream.merge_stream(stream, f"{base}/corpus", f"{base}/state", "user_id", "seq", merge.RECORD_RULES).awaitTermination()
+    return spark.read.parquet(f"{base}/corpus").select("user_id", "reply_count", "title")

@@ -22,6 +22,7 @@ def build_session(app: str = "quillfeed", cpus: int | str = "*", shuffle_partiti
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
