@@ -6,9 +6,11 @@ into a 256-bit parity map - the odd sketch - estimate a pair's similarity from t
 which is precise where similarity is high. What passes is confirmed on full sets.
 
 A band's bucket is never expanded into all pairs. First each member is held against the bucket's best connected
-member, then against the best connected one outside that component; what is still apart is compared member by member
-with the rest of its bucket, so that no link between different components is lost. A large group of copies falls into
-one component in the first step.
+member: a large group of copies falls into one component there. A class may still have a link to another component
+only if that share of its shingles stands in classes of other components, so all others leave (an exact condition,
+checked by grouped counts, and again while classes leave). The few that stay are held against the best connected
+member outside the hub's component, and what is then still apart is compared member by member, so that no link
+between different components is lost.
 
 Cases: a null or empty text or one without words has an empty set, is linked with nothing and kept; shorter texts
 than a shingle are one shingle; very long texts are whole; ties go to the smallest id; rows that repeat an id with
@@ -35,6 +37,10 @@ SKETCH_BITS = 256
 #: Differing sketch bits up to which a pair goes on to the full sets. At similarity 0.8 the count is 42 with a
 #: standard deviation of 8, so 80 keeps all but about one link in a million and drops pairs below 0.5.
 MAX_SKETCH_BITS = 80
+#: Classes of a bucket that one task compares with as many others.
+BLOCK = 512
+#: Times that the condition on shared shingles is checked again; more would only save pairs.
+SIFTS = 3
 #: Classes up to which the list of wanted ids is broadcast (16 bytes each); beyond it, the join shuffles.
 BROADCAST_CLASSES = 1_000_000
 
@@ -59,6 +65,49 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.uint64)
 
 
+def set_sketch(shingles: np.ndarray) -> bytes:
+    """The parity map of a whole set, of about 4 bits a shingle.
+
+    The XOR of two such maps never has more ones than the sets differ in shingles, so a bound on it loses no link.
+    """
+    bits = 1 << min(16, max(8, int(4 * len(shingles) - 1).bit_length()))
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _near_in_block(group: pa.Table, low: int, high: int, allowed: float) -> pa.Table:
+    """Pairs of different components, one from each block, that differ in few enough bits of their set sketches."""
+    cid, comp, n, own = (np.asarray(group.column(c).to_numpy()) for c in ("cid", "comp", "n", "own"))
+    maps = [np.frombuffer(w, np.uint64) for w in group.column("whole").to_pylist()]
+    size = np.array([len(m) for m in maps])
+    found: list[tuple] = []
+    for width in np.unique(size):
+        # Sizes of linked sets differ by a quarter at most, so one map is as wide as the other or twice or half as wide.
+        at = np.flatnonzero((size == width) | (size == 2 * width))
+        table = np.stack([maps[i] if size[i] == width else maps[i][:width] ^ maps[i][width:] for i in at])
+        left = np.flatnonzero((size[at] == width) & (own[at] == low))
+        for x in left:
+            i = at[x]
+            pick = (own[at] == high) & (comp[at] != comp[i]) & ((size[at] > width) | (own[at] != low) | (cid[at] > cid[i]))
+            _compare(found, table, x, np.flatnonzero(pick), at, cid, n, allowed)
+        if low != high:  # wider maps of the first block against narrower ones of the second
+            for x in np.flatnonzero((size[at] == width) & (own[at] == high)):
+                pick = (own[at] == low) & (comp[at] != comp[at[x]]) & (size[at] > width)
+                _compare(found, table, x, np.flatnonzero(pick), at, cid, n, allowed)
+    columns = list(zip(*found, strict=True)) or [[]] * 4
+    return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "n_a", "n_b"])
+
+
+def _compare(found: list, table: np.ndarray, x: int, others: np.ndarray, at: np.ndarray, cid: np.ndarray, n: np.ndarray, allowed: float) -> None:
+    i = at[x]
+    for start in range(0, len(others), 256):
+        part = others[start : start + 256]
+        ones = np.bitwise_count(table[part] ^ table[x]).sum(axis=1, dtype=np.int64)
+        for j in at[part[ones <= (n[i] + n[at[part]]) * allowed + 1e-9]]:
+            a, b = (i, j) if cid[i] < cid[j] else (j, i)
+            found.append((int(cid[a]), int(cid[b]), int(n[a]), int(n[b])))
+
+
 def band_hashes(samples: np.ndarray) -> np.ndarray:
     rows = samples.reshape(BANDS, SAMPLES // BANDS)
     return mix64((rows * _ODDS[: rows.shape[1]]).sum(axis=1))
@@ -157,7 +206,10 @@ class Linker:
 
     def labelled(self) -> DataFrame:
         """(key, cid, degree, comp) of buckets that still hold two components or more."""
-        now = self.buckets.join(self.moved, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        return self._apart(self.buckets.join(self.moved, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
+
+    @staticmethod
+    def _apart(now: DataFrame) -> DataFrame:
         apart = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("key")
         return now.join(apart, "key").select("key", "cid", "degree", "comp")
 
@@ -169,12 +221,30 @@ class Linker:
         joined = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
         return joined.filter(_close(F.col("n_a"), F.col("n_b"), self.percent) & (apart <= MAX_SKETCH_BITS)).select("a", "b", "n_a", "n_b")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
+    def full_sets(self, cids: DataFrame) -> DataFrame:
+        """(cid, shingles) of some classes."""
+        wanted = materialise(cids.distinct().join(self.classes.select("cid", "rep"), "cid").select("rep", "cid"))
+        return materialise(_full_sets(self.df, wanted, self.words, self.id_col, self.text_col))
+
+    def sifted(self, now: DataFrame, sets: DataFrame) -> DataFrame:
+        """Rows of classes with enough shingles that classes of other components hold too, in buckets that stay apart."""
+        members = materialise(now.select("cid", "comp").distinct().join(self.brief.select("cid", "n"), "cid"))
+        left = members.count()
+        for _ in range(SIFTS):
+            spread = sets.join(members.select("cid", "comp"), "cid").select("cid", "comp", F.explode("shingles").alias("shingle"))
+            foreign = spread.groupBy("shingle").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("shingle")
+            shared = spread.join(foreign, "shingle", "left_semi").groupBy("cid").agg(F.count(F.lit(1)).alias("shared"))
+            members = materialise(members.join(shared, "cid").filter(F.col("shared") * 100 >= F.col("n") * self.percent).drop("shared"))
+            before, left = left, members.count()
+            if left == before:
+                break
+        return self._apart(now.join(members.select("cid"), "cid", "left_semi"))
+
+    def confirmed(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         """Links among sketched pairs, on full sets. The member's set joins first, so that a hub's join is split by size."""
         pairs = materialise(pairs)
-        wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        wanted = materialise(wanted.join(self.classes.select("cid", "rep"), "cid").select("rep", "cid"))
-        sets = materialise(_full_sets(self.df, wanted, self.words, self.id_col, self.text_col))
+        if sets is None:
+            sets = self.full_sets(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))))
         left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("x"))
         right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("y"))
         common = F.size(F.array_intersect("x", "y"))
@@ -206,23 +276,54 @@ class Linker:
         second = outside.groupBy("key").agg(F.max(F.struct("degree", "cid", "comp")).alias("second"))
         return now.join(second, "key").filter("comp <> second.comp").select(F.col("cid").alias("a"), F.col("second.cid").alias("b"))
 
-    def last_pairs(self, now: DataFrame) -> DataFrame:
-        """All that is left: members outside a bucket's largest component, with every member of another component."""
-        sizes = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"))
-        minor = now.join(largest, "key").filter("comp <> top.comp").select("key", F.col("cid").alias("b"), F.col("comp").alias("comp_b"))
-        found = minor.join(now.select("key", F.col("cid").alias("a"), "comp"), "key").filter("comp <> comp_b")
-        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    def last_pairs(self, now: DataFrame, sets: DataFrame) -> DataFrame:
+        """All pairs (a, b, n_a, n_b) of different components in a bucket that their whole sets' odd sketches let through.
+
+        A bucket is dealt into blocks of about BLOCK classes, and each pair of blocks is one group: sketches are
+        compared in it, and only pairs that pass become rows.
+        """
+        allowed = (100 - self.percent) / (100 + self.percent)
+
+        def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                column = batch.column(1)
+                ends, flat = np.asarray(column.offsets), np.asarray(column.values).view(np.uint64)
+                made = [set_sketch(flat[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends), pa.int64()), pa.array(made, pa.binary())], names=["cid", "n", "whole"])
+
+        sketches = sets.mapInArrow(sketch, "cid long, n long, whole binary")
+        blocks = now.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        rows = now.select("key", "cid", "comp").join(sketches, "cid").join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+
+        def compare(keys: tuple, group: pa.Table) -> pa.Table:
+            return _near_in_block(group.combine_chunks(), keys[1].as_py(), keys[2].as_py(), allowed)
+
+        found = rows.select("key", "cid", "comp", "n", "whole", "own", "low", "high").groupBy("key", "low", "high").applyInArrow(compare, "a long, b long, n_a long, n_b long")
+        return found.distinct()
 
     def run(self) -> DataFrame:
         """(cid, comp) of the classes that are not their component's root."""
-        for pairs in (self.hub_pairs, self.second_pairs, self.last_pairs):
-            now = materialise(self.labelled())
-            if now.limit(1).count() == 0:
-                break
-            self.absorb(self.confirmed(self.sketched(pairs(now))))
+        now = materialise(self.labelled())
+        if now.limit(1).count():
+            self.absorb(self.confirmed(self.sketched(self.hub_pairs(now))))
+        now = materialise(self.labelled())
+        if now.limit(1).count():
+            sets = self.full_sets(now.select("cid"))
+            for pairs in (lambda x: self.sketched(self.second_pairs(x)), lambda x: self.last_pairs(x, sets)):
+                now = materialise(self.sifted(now, sets))
+                if now.limit(1).count() == 0:
+                    break
+                self.absorb(self.confirmed(pairs(now), sets))
+                now = materialise(self._relabelled(now))
         return self.moved
 
+    def _relabelled(self, now: DataFrame) -> DataFrame:
+        """The same rows under the components of now."""
+        fresh = now.drop("comp").join(self.moved, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        return self._apart(fresh)
+
 
 def near_duplicates(
     df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
