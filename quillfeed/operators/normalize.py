@@ -13,7 +13,8 @@ from quillfeed.operators.contracts import SCHEMA_VERSION, STRICT, acquisition_ma
 
 #: The four interaction counts and their second names.
 COUNTS = (("reply_count", "replyCount"), ("like_count", "likeCount"), ("retweet_count", "retweetCount"), ("view_count", "viewCount"))
-#: Fields in which a comment may name its post.
+#: Where a comment may carry its post, and fields in which it may name it.
+EMBEDDED_POSTS = ("status", "target_status", "original_status")
 POST_REFERENCES = ("status_id", "target_id", "status.id", "target_status.id", "original_status.id")
 
 
@@ -72,7 +73,8 @@ def normalize_posts(raw: DataFrame, user_id: str, domain: str, item: str = "item
 def normalize_replies(comments: DataFrame, posts: DataFrame, user_id: str, domain: str, origin: str, item: str = "item") -> DataFrame:
     """Comments as strict replies with the fields of their post, which is found by id with a left join.
 
-    `posts` needs post_id, created_at_raw, title, clean_text and target. `violations` holds codes of broken rules.
+    `posts` needs post_id, created_at_raw, title, clean_text and target. A post that is not among them is taken from
+    the comment's embedded copy, if it has one. `violations` holds codes of broken rules.
     """
     p = Payload(F.col(item))
     pick = lambda *names: loose_id(_bare(p.first_present(*names)))
@@ -82,7 +84,15 @@ def normalize_replies(comments: DataFrame, posts: DataFrame, user_id: str, domai
         F.col("post_id").alias("__post_id"), F.col("created_at_raw").alias("__raw"), F.col("title").alias("__title"),
         F.col("clean_text").alias("__text"), F.col("target").alias("__target"),
     )
-    joined = rows.join(parent, "__post_id", "left")
+    inside = lambda *names: p.first_present(*(f"{e}.{n}" for e in EMBEDDED_POSTS for n in names))
+    here = F.col("__target").isNull()
+    joined = rows.join(parent, "__post_id", "left").select(
+        *rows.columns,
+        F.when(here, F.coalesce("__raw", inside("created_at"))).otherwise(F.col("__raw")).alias("__raw"),
+        F.when(here, clean_html(F.coalesce(_string(inside("title", "rawTitle")), F.lit("")))).otherwise(F.col("__title")).alias("__title"),
+        F.when(here, clean_html(_string(inside("text", "description")))).otherwise(F.col("__text")).alias("__text"),
+        F.coalesce(F.col("__target"), _string(inside("target")), F.lit("")).alias("__target"),
+    )
     text = _string(p.first_present("text", "description"))
     made, post_raw = p.literal("created_at"), F.coalesce(F.col("__raw"), F.lit("null"))
     epoch = epoch_ms_from_literal(made)

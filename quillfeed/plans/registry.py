@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quillfeed.functions import ids, payload, times
 from quillfeed.functions.text import clean_html, utf8_trimmed_length
-from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, select
+from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, select
 from quillfeed.session import read_table
 from quillfeed.sources.sinks import markdown_block
 from quillfeed.streaming import merge_stream
@@ -212,6 +212,21 @@ def q_upgrade_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", payload.Payload(F.col("body")).literal("legacy_migrated_fields").alias("migrated"), (F.size(contracts.violations(F.col("body"), DOMAIN)) == 0).alias("valid"))
 
 
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'legacy' ELSE 'declared' END AS route,
+  CASE WHEN doc_id % 3 = 0 THEN ['like_count'] ELSE []::VARCHAR[] END AS violations FROM documents""")
+def q_recover_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id").cast("string")
+    likes = F.when(F.col("doc_id") % 3 == 0, "-1").otherwise("4")
+    tail = F.concat(F.lit(',"target":"https://example.com/7/'), i, F.lit('","reply_count":3,"retweet_count":0,"view_count":9,"like_count":'), likes, F.lit("}"))
+    legacy = F.concat(F.lit('{"id":'), i, F.lit(',"created_at":"2026-07-14 09:00:00","text":"a<br>b"'), tail)
+    declared = F.concat(
+        F.lit('{"schema_version":1,"record_contract":"legacy_normalized_v1","id":"'), i, F.lit('","created_at_raw":null,"created_at":"unknown","clean_text":"a"'), tail
+    )
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, legacy).otherwise(declared).alias("body"))
+    return recovery.recovered(rows, "7", DOMAIN).select("doc_id", "route", "violations")
+
+
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def q_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.duplicate_keys(read_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")

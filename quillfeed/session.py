@@ -24,6 +24,7 @@ def build_session(app: str = "quillfeed", cpus: int | str = "*", shuffle_partiti
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # large expressions build faster without call sites
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
     )

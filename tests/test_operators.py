@@ -324,3 +324,60 @@ def test_manifest(spark):
     assert digests[0] == digests[1] != digests[2]
     text = bodies(spark, ["in 2840 ways", "in 12840", "2840.5"])
     assert [r[0] for r in text.select(manifest.has_exact_number(F.col("body"), "2840")).collect()] == [True, False, True]
+
+
+def test_replies_take_an_embedded_post(spark):
+    posts = spark.createDataFrame([("1", "null", "T", "body", "https://example.com/7/1")], "post_id string, created_at_raw string, title string, clean_text string, target string")
+    base = {"id": 9, "created_at": 0, "text": "r", "like_count": 0, "reply_count": 0, "user_id": 7}
+    rows = bodies(spark, [base | {"status_id": 1}, base | {"status": {"id": 2, "title": "<b>In</b>", "text": "side<br>", "created_at": 1752381296}}, base]).withColumnRenamed("body", "item")
+    got = normalize.normalize_replies(rows, posts, "7", "example.com", "user_comments").orderBy("i").collect()
+    assert (got[0]["post_title"], got[0]["post_text"], got[0]["violations"]) == ("T", "body", [])
+    assert (got[1]["post_id"], got[1]["post_title"], got[1]["post_text"], got[1]["post_target"]) == ("2", "In", "side", "https://example.com/7/2")
+    assert got[1]["post_created_at"] == "2025-07-13T12:34:56+08:00" and got[1]["violations"] == []
+    assert "post_id" in got[2]["violations"]
+
+
+LEGACY_POST = {"id": 5, "created_at": "2026-07-14 09:00:00", "text": "a<br>b", "target": "/7/5", "reply_count": " 3 ", "like_count": 1, "retweet_count": 0, "view_count": 2}
+LEGACY_REPLY = {"id": "6", "created_at": None, "clean_text": "c", "post_id": 5, "post_link": "https://www.example.com/7/5", "like_count": "2", "status_id": None}
+
+
+def recover(spark, records):
+    from quillfeed.operators import recovery
+
+    rows = bodies(spark, records).select("i", recovery.recover(F.col("body"), "7", "example.com").alias("r")).orderBy("i").collect()
+    return [(r["r"]["route"], json.loads(r["r"]["record"]) if r["r"]["record"] else None, r["r"]["violations"]) for r in rows]
+
+
+def test_recovery(spark):
+    got = recover(spark, [LEGACY_POST, LEGACY_REPLY, POST])
+    assert [g[0] for g in got] == ["legacy", "legacy", "strict"] and all(g[2] == [] for g in got), got
+    assert got[0][1]["id"] == "5" and got[0][1]["reply_count"] == 3 and got[0][1]["created_at"] == "2026-07-14T09:00:00+08:00" and got[0][1]["created_at_raw"] == "2026-07-14 09:00:00"
+    assert got[1][1]["post_target"] == "https://www.example.com/7/5" and got[1][1]["created_at"] == "unknown" and "post_link" not in got[1][1]
+    again = recover(spark, [got[0][1], got[1][1]])
+    assert [(g[0], g[1]) for g in again] == [("declared", got[0][1]), ("declared", got[1][1])]
+
+
+def test_recovery_violations(spark):
+    declared = recover(spark, [LEGACY_POST])[0][1]
+    cases = [
+        (LEGACY_POST | {"extra": 1}, "unsupported_field"), (LEGACY_POST | {"created_at": "later"}, "created_at"), (LEGACY_POST | {"target": "/7/6"}, "target"),
+        (LEGACY_POST | {"clean_text": "other"}, "clean_text"), ({k: v for k, v in LEGACY_POST.items() if k != "view_count"}, "view_count"),
+        (LEGACY_REPLY | {"post_target": "/7/5"}, "post_target"), (LEGACY_REPLY | {"status_id": "9"}, "status_id_differs"), (LEGACY_REPLY | {"fetched_from_page": 0}, "fetched_from_page"),
+        (declared | {"id": 5}, "id"), (declared | {"like_count": "1"}, "like_count"), (declared | {"target": "/7/5"}, "target"), (POST | {"record_contract": "other"}, "record_contract"), ("[]", "not_an_object"),
+    ]
+    for (record, code), (_, out, found) in zip(cases, recover(spark, [c[0] for c in cases]), strict=True):
+        assert code in found and out is None, (record, found)
+
+
+def test_options():
+    from quillfeed.functions import options
+
+    assert options.integer(" 5 ", "n") == 5 and options.integer(None, "n", 3) == 3 and options.number("0.5", "x") == 0.5 and options.user(None, "7") == "7"
+    for wrong in (lambda: options.integer("5.0", "n"), lambda: options.integer(True, "n"), lambda: options.integer(-1, "n"), lambda: options.number("nan", "x"), lambda: options.date("2024-02-30"), lambda: options.user("x7"), lambda: options.integer(None, "n")):
+        with pytest.raises(ValueError):
+            wrong()
+    assert options.parse(["--a", "1", "--b", "--c=x=y"], ["a", "b", "c"], ["b"]) == {"a": "1", "b": True, "c": "x=y"}
+    assert options.parse(["--b", "false"], ["b"], ["b"]) == {"b": False}
+    for wrong in (["--z", "1"], ["--a", "1", "--a", "2"], ["stray"], ["--a"], ["--b=maybe"]):
+        with pytest.raises(ValueError):
+            options.parse(wrong, ["a", "b"], ["b"])
