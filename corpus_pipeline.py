@@ -25,15 +25,13 @@ BROADCAST_IDS = 1_000_000
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pattern grammar does not find toxic."""
     labels = read_table(spark, sf_dir, "labels").filter(language.train_rows(F.col("doc_id"), 5, 0)).select("doc_id", "toxic")
-    scored = toxic.score(docs, toxic.train(docs, labels))
-    return scored.filter(F.col("toxic_score") < MAX_TOXICITY).select(*docs.columns)
+    return toxic.keep(docs, toxic.train(docs, labels), MAX_TOXICITY)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in some learned language."""
     model = language.train(docs.filter(language.train_rows(F.col("doc_id"), 3, 1)))
-    found = language.identify(docs, model)
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    return language.keep(docs, model, MIN_LANGUAGE_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: Bytes of text that a vectorised step takes at once; one longer text is still taken whole.
 SLICE_BYTES = 2 << 20
@@ -45,3 +47,38 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def annotate(
+    df: DataFrame, text_col: str, outputs: str, work: Callable[[list[str | None]], list[pa.Array]], limit: int = SLICE_BYTES
+) -> tuple[DataFrame, list[str]]:
+    """Adds columns that `work` makes from the texts of each slice.
+
+    All columns are renamed by place (c0, c1, ...; the new ones o0, o1, ...), so no name of the input can clash with a
+    new one. Returns the frame and the input's names.
+    """
+    at = df.columns.index(text_col)
+    inner = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    kinds = [k.strip() for k in outputs.split(",")]
+    names = [*inner.columns, *(f"o{i}" for i in range(len(kinds)))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, at, limit):
+                yield pa.RecordBatch.from_arrays([*batch.columns, *work(batch.column(at).to_pylist())], names=names)
+
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema), *(f"o{i} {k}" for i, k in enumerate(kinds))])
+    return inner.mapInArrow(run, schema), df.columns
+
+
+def with_outputs(annotated: tuple[DataFrame, list[str]], *outputs: str) -> DataFrame:
+    """The input's columns and the named outputs; an input column of an output's name gives way."""
+    df, names = annotated
+    kept = [F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n not in outputs]
+    return df.select(*kept, *(F.col(f"o{i}").alias(n) for i, n in enumerate(outputs)))
+
+
+def rows_where(annotated: tuple[DataFrame, list[str]], condition: Column) -> DataFrame:
+    """The input's rows and columns as they were, where a condition on o0, o1, ... holds."""
+    df, names = annotated
+    return df.filter(condition).select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))

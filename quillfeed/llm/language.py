@@ -15,11 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillfeed.llm.arrow import slices
+from quillfeed.llm.arrow import annotate, rows_where, slices, with_outputs
 from quillfeed.session import ship_package
 
 BUCKETS = 1 << 15
@@ -28,6 +27,9 @@ SIZES = (1, 2, 3)
 ROWS_PER_LANGUAGE = 5_000
 UNKNOWN = "und"
 
+#: Bytes of text that are scored at once; arrays take some 60 times as much.
+SLICE = 512 << 10
+
 _letter_table: list[np.ndarray] = []
 
 
@@ -38,17 +40,17 @@ def letters() -> np.ndarray:
     return _letter_table[0]
 
 
-def ngram_buckets(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket of every n-gram that holds a letter, its document, whether each document holds a letter)."""
-    joined = "  ".join([*texts, ""])
+def ngram_buckets(texts: list[str], buckets: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length of n-grams: (bucket of every n-gram that holds a letter, its document).
+
+    Two spaces part documents, so an n-gram with a letter touches one document only.
+    """
+    joined = "  ".join(["", *texts, ""])
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     is_letter = letters()[codes]
     codes = np.where(is_letter, codes, np.uint32(32))
     lengths = np.fromiter((len(t) + 2 for t in texts), np.int64, len(texts))
-    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
-    has = np.zeros(len(texts), bool)
-    has[owner[is_letter]] = True
-    found, whose = [], []
+    owner = np.concatenate([np.zeros(2, np.int32), np.repeat(np.arange(len(texts), dtype=np.int32), lengths)])
     for n in SIZES:
         if len(codes) < n:
             continue
@@ -56,14 +58,14 @@ def ngram_buckets(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray,
         h = np.full(end, n, dtype=np.uint32)
         keep = np.zeros(end, bool)
         for k in range(n):
-            h = (h ^ codes[k : k + end]) * np.uint32(0x9E3779B1)
+            h ^= codes[k : k + end]
+            h *= np.uint32(0x9E3779B1)
             h ^= h >> np.uint32(15)
             keep |= is_letter[k : k + end]
-        # Two spaces part documents, so an n-gram with a letter spans no two of them in a way that depends on order:
-        # of 3 characters at most one end is a letter where it crosses.
-        found.append((h[keep] & np.uint32(buckets - 1)).astype(np.int32))
-        whose.append(owner[:end][keep] if n == 1 else owner[n - 1 :][keep] if n == 2 else np.where(is_letter[:end], owner[:end], owner[n - 1 :])[keep])
-    return np.concatenate(found or [np.zeros(0, np.int32)]), np.concatenate(whose or [np.zeros(0, np.int32)]), has
+        keep = np.flatnonzero(keep)
+        # Across the two spaces, the letter of a run is at its start or at its end.
+        whose = owner[keep + np.where(is_letter[keep], 0, n - 1)]
+        yield (h[keep] & np.uint32(buckets - 1)).astype(np.int32), whose
 
 
 def train_rows(id_col: Column, modulus: int, held_out: int) -> Column:
@@ -78,17 +80,18 @@ class Model:
         self.languages, self.log_probability, self.log_prior = languages, log_probability, log_prior
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        plain = [(t or "").lower() for t in texts]
-        bucket, owner, has = ngram_buckets(plain, BUCKETS)
         if not self.languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        counts = np.bincount(owner, minlength=len(texts))
-        scores = np.stack([np.bincount(owner, weights=row[bucket], minlength=len(texts)) for row in self.log_probability])
+        counts, scores = np.zeros(len(texts)), np.zeros((len(self.languages), len(texts)))
+        for bucket, owner in ngram_buckets([(t or "").lower() for t in texts]):
+            counts += np.bincount(owner, minlength=len(texts))
+            for total, row in zip(scores, self.log_probability, strict=True):
+                total += np.bincount(owner, weights=row[bucket], minlength=len(texts))
+        has = counts > 0
         # Tempered: evidence counts as 64 n-grams at most, as neighbouring n-grams repeat one another.
         scores = scores * (64 / np.maximum(counts, 64))[None, :] + self.log_prior[:, None]
         best = scores.argmax(axis=0)
-        share = np.exp(scores - scores.max(axis=0))
-        top = 1 / share.sum(axis=0)
+        top = 1 / np.exp(scores - scores.max(axis=0)).sum(axis=0)
         return (
             [self.languages[b] if h else UNKNOWN for b, h in zip(best, has, strict=True)],
             [float(s) if h else 0.0 for s, h in zip(top, has, strict=True)],
@@ -109,12 +112,12 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for whole in batches:
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, SLICE):
                 langs = np.array(batch.column(0).to_pylist(), dtype=object)
-                bucket, owner, _ = ngram_buckets(pc.utf8_lower(batch.column(1).fill_null("")).to_pylist())
-                for lang in set(langs):
-                    part = np.bincount(bucket[(langs == lang)[owner]], minlength=BUCKETS)
-                    totals[lang] = totals.get(lang, 0) + part
+                for bucket, owner in ngram_buckets([(t or "").lower() for t in batch.column(1).to_pylist()]):
+                    for lang in set(langs):
+                        part = np.bincount(bucket[(langs == lang)[owner]], minlength=BUCKETS)
+                        totals[lang] = totals.get(lang, 0) + part
         for lang, total in totals.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
@@ -133,21 +136,22 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     return Model(languages, np.log(smooth / smooth.sum(axis=1, keepdims=True)), np.log(prior / prior.sum()))
 
 
-def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of `df`, and lang_pred and score of every whole text."""
-    spark = df.sparkSession
-    ship_package(spark)
-    shared = spark.sparkContext.broadcast(model)
-    at = df.columns.index(text_col)
+def _scored(df: DataFrame, model: Model, text_col: str) -> tuple[DataFrame, list[str]]:
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, at):
-                langs, scores = shared.value.predict(batch.column(at).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                    names=[*batch.schema.names, "lang_pred", "score"],
-                )
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    def work(texts: list[str | None]) -> list[pa.Array]:
+        langs, scores = shared.value.predict(texts)
+        return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+
+    return annotate(df, text_col, "string, double", work, SLICE)
+
+
+def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The columns of `df`, with lang_pred and score of every whole text; input columns of these names give way."""
+    return with_outputs(_scored(df, model, text_col), "lang_pred", "score")
+
+
+def keep(df: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """Rows of `df`, as they are, whose language is known with a score of at least `least`."""
+    return rows_where(_scored(df, model, text_col), (F.col("o0") != UNKNOWN) & (F.col("o1") >= least))

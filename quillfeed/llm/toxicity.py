@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillfeed.llm.arrow import slices
+from quillfeed.llm.arrow import annotate, rows_where, with_outputs
 from quillfeed.session import ship_package
 
 #: Word lists of the grammar's classes.
@@ -50,6 +51,8 @@ _CLAUSES = re.compile(r"[.!?;:\n\r…]+")
 
 #: Labelled rows of a class that learning takes at most: a uniform sample by hash of the id, the fit's stated bound.
 ROWS_OF_A_CLASS = 4_000
+#: Words whose class a worker remembers at most.
+KNOWN_WORDS = 50_000
 STEM_LENGTHS = (3, 4, 5, 6)
 #: Toxic documents and different surroundings that a learned stem has at least, and its ratio of shares.
 MIN_DOCUMENTS, MIN_SURROUNDINGS, MIN_RATIO = 5, 5, 20.0
@@ -131,7 +134,7 @@ class Lexicon:
     def kind(self, word: str) -> str:
         got = self.known.get(word)
         if got is None:
-            if len(self.known) > 300_000:
+            if len(self.known) > KNOWN_WORDS:
                 self.known.clear()
             got = self.fixed.get(word)
             if got is None:
@@ -194,7 +197,8 @@ def _stem_rows(batches: Iterator[pa.RecordBatch], wanted: set[str] | None) -> It
             for i, w in enumerate(words):
                 found = [w[:n] for n in STEM_LENGTHS if len(w) >= n] + ([w] if len(w) not in STEM_LENGTHS else [])
                 if wanted is None:
-                    place = 1 << (hash_text(words[i - 1] if i else "") ^ hash_text(words[i + 1] if i + 1 < len(words) else "")) % 63
+                    beside = f"{words[i - 1] if i else ''} {words[i + 1] if i + 1 < len(words) else ''}"
+                    place = 1 << zlib.crc32(beside.encode("utf-8", "surrogatepass")) % 63
                     for s in found:
                         around[s] = around.get(s, 0) | place
                     seen.update(found)
@@ -209,12 +213,6 @@ def _stem_rows(batches: Iterator[pa.RecordBatch], wanted: set[str] | None) -> It
     )
 
 
-def hash_text(text: str) -> int:
-    import zlib
-
-    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
-
-
 def train(
     docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id"
 ) -> Model:
@@ -297,25 +295,23 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
     return w
 
 
+def _scored(df: DataFrame, model: Model, text_col: str) -> tuple[DataFrame, list[str]]:
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def work(texts: list[str | None]) -> list[pa.Array]:
+        clauses = [shared.value.clauses(t) for t in texts]
+        return [pa.array([shared.value.score(c) for c in clauses], pa.float64()), pa.array([len(c) for c in clauses], pa.int32())]
+
+    return annotate(df, text_col, "double, int", work)
+
+
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns of `df`, and toxic_score and n_clauses (matched clauses) of every whole text."""
-    spark = df.sparkSession
-    ship_package(spark)
-    shared = spark.sparkContext.broadcast(model)
-    at = df.columns.index(text_col)
+    """The columns of `df`, with toxic_score and n_clauses (matched clauses) of every whole text; input columns of
+    these names give way."""
+    return with_outputs(_scored(df, model, text_col), "toxic_score", "n_clauses")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, at):
-                clauses = [shared.value.clauses(t) for t in batch.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *batch.columns,
-                        pa.array([shared.value.score(c) for c in clauses], pa.float64()),
-                        pa.array([len(c) for c in clauses], pa.int32()),
-                    ],
-                    names=[*batch.schema.names, "toxic_score", "n_clauses"],
-                )
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, f"{schema}, toxic_score double, n_clauses int")
+
+def keep(df: DataFrame, model: Model, below: float, text_col: str = "text") -> DataFrame:
+    """Rows of `df`, as they are, whose score is below `below`."""
+    return rows_where(_scored(df, model, text_col), F.col("o0") < below)

@@ -1,0 +1,94 @@
+"""Decontamination: template windows against a plain form, re-parameterised items, slot consistency, edges."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from quillfeed.llm import decontaminate as d
+
+
+def filler(rng, n):
+    return " ".join(rng.choice("and or but then now here there soon late far near high low old new".split()) + rng.choice("abcdefghijklmnop") for _ in range(n))
+
+
+ITEM = "A train leaves the station at 40 km per hour and then, after 40 minutes, Alice sees it pass the bridge near the river with 7 wagons."
+
+
+def report(spark, docs, items):
+    a = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(docs)], "doc_id long, text string, item_id string")
+    b = spark.createDataFrame([(i, t, 1) for i, t in enumerate(items)], "item_id long, text string, coverage int")
+    return {r["doc_id"]: r for r in d.report(a, b).collect()}
+
+
+def test_template_and_values_have_the_same_places(spark):
+    texts = [ITEM, "1,000.5kg of x2y; Bob, Carl met Dora. 3 km", "", None, "a.b.c 1.2.3 é", "5 % and 5 percent 12:30"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in df.select(d.template_tokens(F.col("t")).alias("a"), d.template_tokens(F.col("t"), values=True).alias("b")).collect():
+        assert len(r["a"]) == len(r["b"])
+        for a, b in zip(r["a"], r["b"], strict=True):
+            assert b.startswith(a) if a in (d.NUMBER, d.NAME, d.UNIT) else a == b
+
+
+def test_finds_what_is_planted(spark):
+    rng = random.Random(11)
+    again = ITEM.replace("40", "55").replace("Alice", "Bob").replace("7", "12").replace("minutes", "hours")
+    mixed = ITEM.replace("at 40", "at 55").replace("after 40", "after 66").replace("Alice", "Bob").replace("7", "12")
+    docs = [f"{filler(rng, 60)} {x} {filler(rng, 60)}" for x in ("", ITEM, again, ITEM.upper(), " ".join(ITEM.split()[:16]), " ".join(ITEM.split()[:6]))] + [mixed, None, "", ITEM * 50]
+    got = report(spark, docs, [ITEM, filler(rng, 40), None, "", "too short"])
+    flagged = {i for i, r in got.items() if r["contaminated"]}
+    assert {1, 2, 4, 9} <= flagged and not flagged & {0, 5, 7, 8}
+    assert got[2]["item_id"] == 0 and got[2]["coverage"] > 0.9 and got[9]["coverage"] == 1.0
+
+
+def test_slots_must_agree(spark):
+    item = "take 11 and add 11 and take 11 from it to get 11 then"
+    same, mixed = item.replace("11", "90"), "take 90 and add 31 and take 45 from it to get 77 then"
+    got = report(spark, [same, mixed, item], [item])
+    assert [got[i]["contaminated"] for i in range(3)] == [True, False, True]
+
+
+def test_short_items_match_as_a_whole(spark):
+    got = report(spark, ["yes, name the red planet now please", "name the red planet", "name the red one planet now"], ["Name the red planet now"])
+    assert [got[i]["contaminated"] for i in range(3)] == [True, False, False]
+
+
+def test_against_plain_windows(spark):
+    """Without slots, windows are runs of words: the same documents as a plain search for runs of 8 finds."""
+    rng = random.Random(12)
+    items = [filler(rng, rng.randint(8, 40)) for _ in range(10)]
+    docs = []
+    for _ in range(60):
+        words = filler(rng, 80).split()
+        if rng.random() < 0.6:
+            part = rng.choice(items).split()
+            a = rng.randint(0, len(part) - 1)
+            words[20:20] = part[a : a + rng.randint(1, len(part))]
+        docs.append(" ".join(words))
+    got = report(spark, docs, items)
+    for i, t in enumerate(docs):
+        want = False
+        w = re.findall(r"\w+", t)
+        for item in items:
+            x = re.findall(r"\w+", item)
+            runs = {tuple(w[k : k + 8]) for k in range(len(w) - 7)}
+            hit = [tuple(x[k : k + 8]) in runs for k in range(len(x) - 7)]
+            longest = max((len(h) for h in "".join("1" if h else "0" for h in hit).split("0")), default=0)
+            want |= sum(hit) / len(hit) >= 0.5 or (longest > 0 and longest + 7 >= 13)
+        assert got[i]["contaminated"] == want, (i, t)
+
+
+def test_edges(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert d.report(empty, bench).collect() == []
+    docs = spark.createDataFrame([(1, ITEM), (1, ITEM), (None, ITEM), (2, "fine")], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["contaminated"]) for r in d.report(docs, bench).collect()) == [(0, False), (1, True), (1, True), (2, False)]
+    assert sorted(r["doc_id"] or 0 for r in d.remove(docs, bench).collect()) == [0, 2]
+    assert {r["contaminated"] for r in d.report(docs, bench.limit(0)).collect()} == {False}
+
+
+def test_the_main_path_is_native(spark):
+    docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
+    plan = d.report(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

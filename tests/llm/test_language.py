@@ -17,9 +17,9 @@ def test_held_out_accuracy(spark):
 
 
 def test_ngrams_do_not_depend_on_neighbours():
-    alone = language.ngram_buckets(["abc"])[0]
-    bucket, owner, has = language.ngram_buckets(["xyz", "", "abc", "12"])
-    assert sorted(bucket[owner == 2]) == sorted(alone) and has.tolist() == [True, False, True, False]
+    of = lambda texts, i: [sorted(b[o == i].tolist()) for b, o in language.ngram_buckets(texts)]
+    many = ["xyz", "", "abc d", "12", "abc d"]
+    assert of(many, 2) == of(many, 4) == of(["abc d"], 0) and of(many, 3) == of(many, 1) == [[], [], []]
 
 
 def test_edges(spark):

@@ -25,7 +25,8 @@ def test_composition_multiplies_weights():
 
 
 def test_learned_stems(spark):
-    filler = [f"mot{i} lieu{i} soir{i}" for i in range(400)]
+    spell = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    filler = [f"mot{spell(i)} lieu soir{spell(i)}" for i in range(400)]
     rows = [(i, f"{filler[i]} zorbi{chr(97 + i % 26)} {filler[-i - 1]}", 1) for i in range(100)] + [(1000 + i, f"{filler[i]} rien", 0) for i in range(300)]
     rows += [(2000 + i, "always the very same copied passage blurgh here", 1) for i in range(40)]
     docs = spark.createDataFrame([(i, t, "clash") for i, t, _ in rows], "doc_id long, text string, toxic_score string")
