@@ -188,18 +188,25 @@ def since_boundary(records: DataFrame, stream: str, page: str, pos: str, epoch:
     A page is a candidate if times have never risen or been unknown so far and one of its own lies before the date;
     it confirms the boundary if the page before was a candidate and all of its own, one at least, lie before it.
     """
-    order = Window.partitionBy(stream).orderBy(page, pos)
-    earlier = F.last(epoch, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    broken = F.col(epoch).isNull() | (F.col(epoch) > earlier)
-    flagged = records.select(stream, page, epoch, F.coalesce(broken, F.lit(False)).alias("__broken"))
-    before = F.coalesce(F.col(epoch) < since_ms, F.lit(False))
+    # Times are compared inside pages, which are small, and then from page to page: no window holds a stream's records.
+    inside = Window.partitionBy(stream, page).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+    value, known = F.col(epoch), F.col(epoch).isNotNull()
+    broken = value.isNull() | (value > F.last(epoch, ignorenulls=True).over(inside))
+    flagged = records.select(stream, page, pos, epoch, F.coalesce(broken, F.lit(False)).alias("__broken"))
     per_page = flagged.groupBy(stream, page).agg(
-        F.count_if("__broken").alias("__broken"), F.count_if(before).alias("__before"), F.count(F.lit(1)).alias("__n")
+        F.count_if("__broken").alias("__broken"),
+        F.count_if(F.coalesce(value < since_ms, F.lit(False))).alias("__before"),
+        F.count(F.lit(1)).alias("__n"),
+        F.min_by(F.when(known, value), F.when(known, F.col(pos))).alias("__first"),
+        F.max_by(F.when(known, value), F.when(known, F.col(pos))).alias("__last"),
     )
     pages = spine.select(stream, page).distinct().join(per_page, [stream, page], "left") if spine is not None else per_page
     by_page = Window.partitionBy(stream).orderBy(page)
-    ordered = F.sum(F.coalesce("__broken", F.lit(0))).over(by_page) == 0
-    rows = pages.withColumn("__ordered", ordered).withColumn("candidate", F.col("__ordered") & (F.coalesce("__before", F.lit(0)) > 0))
+    earlier = F.last("__last", ignorenulls=True).over(by_page.rowsBetween(Window.unboundedPreceding, -1))
+    risen = F.coalesce(F.col("__first") > earlier, F.lit(False)).cast("int")
+    rows = pages.withColumn("__bad", F.coalesce("__broken", F.lit(0)) + risen)
+    rows = rows.withColumn("__ordered", F.sum("__bad").over(by_page) == 0)
+    rows = rows.withColumn("candidate", F.col("__ordered") & (F.coalesce("__before", F.lit(0)) > 0))
     all_before = (F.coalesce("__n", F.lit(0)) > 0) & (F.col("__n") == F.col("__before"))
     confirmed = F.coalesce(F.lag("candidate").over(by_page), F.lit(False)) & F.col("__ordered") & F.coalesce(all_before, F.lit(False))
     return rows.select(stream, page, "candidate", confirmed.alias("confirmed"))
