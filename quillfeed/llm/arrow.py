@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that a vectorised step takes at once; one longer text is still taken whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batch: pa.RecordBatch, text_at: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillfeed.llm import decontaminate, language, licenses, neardup, neighbours, packing, quality, sharding, toxicity, urls
+from quillfeed.llm import decontaminate, language, licenses, neardup, neighbours, oracles, packing, quality, sharding, toxicity, urls
 from quillfeed.session import read_table
 
 
@@ -21,11 +21,16 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def held_out(modulus: int, remainder: int):
+    """Whether a row is held out of learning; a null id never is, but is not learned from either."""
+    return F.coalesce(~language.train_rows(F.col("doc_id"), modulus, remainder), F.lit(False)).alias("held_out")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = language.train(docs.filter(language.train_rows(F.col("doc_id"), 3, 1)))
     return language.identify(docs.select("doc_id", "text"), model).select(
-        "doc_id", (~language.train_rows(F.col("doc_id"), 3, 1)).alias("held_out"), "lang_pred", "score"
+        "doc_id", held_out(3, 1), "lang_pred", "score"
     )
 
 
@@ -57,7 +62,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
     return scored.select(
         "doc_id",
-        (~language.train_rows(F.col("doc_id"), 5, 0)).alias("held_out"),
+        held_out(5, 0),
         F.col("toxic_score").alias("score"),
         (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
     )
@@ -83,4 +88,4 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_neardup": oracles.NEARDUP}
