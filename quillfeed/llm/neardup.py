@@ -37,6 +37,8 @@ SKETCH_BITS = 256
 #: Differing sketch bits up to which a pair goes on to the full sets. At similarity 0.8 the count is 42 with a
 #: standard deviation of 8, so 80 keeps all but about one link in a million and drops pairs below 0.5.
 MAX_SKETCH_BITS = 80
+#: Parts into which a bucket's members are dealt where they meet one of their own.
+SALTS = 16
 #: Classes of a bucket that one task compares with as many others.
 BLOCK = 512
 #: Times that the condition on shared shingles is checked again; more would only save pairs.
@@ -264,17 +266,23 @@ class Linker:
         fresh = roots.join(comp, roots["node"] == comp["cid"], "left_anti").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
         self.moved = cut_lineage(old.unionByName(fresh))
 
+    @staticmethod
+    def _with(now: DataFrame, one: DataFrame) -> DataFrame:
+        """Joins one row of each key to the key's members, which are dealt by salt too, so that a hot bucket spreads."""
+        salted = now.withColumn("__salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int"))
+        return salted.join(one.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["key", "__salt"]).drop("__salt")
+
     def hub_pairs(self, now: DataFrame) -> DataFrame:
         """Each member with its bucket's best connected member."""
         hub = now.groupBy("key").agg(F.max(F.struct("degree", "cid", "comp")).alias("hub"))
-        return now.join(hub, "key").filter("comp <> hub.comp").select(F.col("cid").alias("a"), F.col("hub.cid").alias("b"))
+        return self._with(now, hub).filter("comp <> hub.comp").select(F.col("cid").alias("a"), F.col("hub.cid").alias("b"))
 
     def second_pairs(self, now: DataFrame) -> DataFrame:
         """Each member with the best connected one outside the component of the bucket's hub."""
         hub = now.groupBy("key").agg(F.max(F.struct("degree", "cid", "comp")).alias("hub"))
-        outside = now.join(hub, "key").filter("comp <> hub.comp")
+        outside = self._with(now, hub).filter("comp <> hub.comp")
         second = outside.groupBy("key").agg(F.max(F.struct("degree", "cid", "comp")).alias("second"))
-        return now.join(second, "key").filter("comp <> second.comp").select(F.col("cid").alias("a"), F.col("second.cid").alias("b"))
+        return self._with(now, second).filter("comp <> second.comp").select(F.col("cid").alias("a"), F.col("second.cid").alias("b"))
 
     def last_pairs(self, now: DataFrame, sets: DataFrame) -> DataFrame:
         """All pairs (a, b, n_a, n_b) of different components in a bucket that their whole sets' odd sketches let through.
