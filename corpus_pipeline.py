@@ -29,8 +29,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some learned language."""
+    """Documents in some learned language; with no labelled row to learn from, nothing is rejected."""
     model = language.train(docs.filter(language.train_rows(F.col("doc_id"), 3, 1)))
+    if not model.languages:
+        return docs
     return language.keep(docs, model, MIN_LANGUAGE_SCORE)
 
 

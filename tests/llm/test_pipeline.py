@@ -39,7 +39,9 @@ def test_stages_keep_odd_rows_and_columns(spark):
     for _, stage in pipeline.STAGES[:4]:
         assert stage(spark, odd, SF).columns == odd.columns
         assert stage(spark, odd.limit(0), SF).count() == 0
-    assert sorted(r["doc_id"] or 0 for r in pipeline.language_id(spark, odd, SF).collect()) == [0, 3]
+    more = odd.unionByName(spark.createDataFrame([(i, "the and of it is", "en", "s", 5, "c") for i in range(4, 9)], odd.schema))
+    assert sorted(r["doc_id"] or 0 for r in pipeline.language_id(spark, more, SF).collect()) == [0, *range(3, 9)]
+    assert pipeline.language_id(spark, odd.filter("lang is null"), SF).count() == 1
     assert sorted(r["doc_id"] or 0 for r in pipeline.near_dedup(spark, odd, SF).collect()) == [0, 1, 2, 3]
     assert pipeline.pack(spark, odd, SF).count() == 4
 
