@@ -210,10 +210,9 @@ class Linker:
         """(key, cid, degree, comp) of buckets that still hold two components or more."""
         return self._apart(self.buckets.join(self.moved, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
 
-    @staticmethod
-    def _apart(now: DataFrame) -> DataFrame:
+    def _apart(self, now: DataFrame) -> DataFrame:
         apart = now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("key")
-        return now.join(apart, "key").select("key", "cid", "degree", "comp")
+        return self._with(now, apart).select("key", "cid", "degree", "comp")
 
     def sketched(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that the odd sketches and the set sizes let through."""
