@@ -70,10 +70,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 _written: list[tuple[SparkSession, str]] = []
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, scratch: list[str] | None = None) -> DataFrame:
     """Writes `df` as Parquet under the shared checkpoint folder and reads it back: lineage is cut, columns stay prunable.
 
-    The files go when the process ends.
+    The files go when the process ends, or earlier by `discard` of the paths that `scratch` gathers.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quillfeed-{uuid.uuid4().hex}"
@@ -81,9 +81,19 @@ def materialise(df: DataFrame) -> DataFrame:
     if not _written:
         atexit.register(_remove_written)
     _written.append((spark, path))
+    if scratch is not None:
+        scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, scratch: list[str]) -> None:
+    """Deletes materialised tables that nothing will read again."""
+    for path in scratch:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    scratch.clear()
+
+
 def _remove_written() -> None:
     for spark, path in _written:
         try:
