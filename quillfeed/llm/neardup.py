@@ -304,10 +304,13 @@ class Linker:
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
 
+        # Rows come dealt by bucket; dealt again by pair of blocks, a hot bucket's blocks spread over all tasks.
+        rows = rows.select("key", "cid", "comp", "n", "whole", "own", "low", "high").repartition("key", "low", "high")
+
         def compare(keys: tuple, group: pa.Table) -> pa.Table:
             return _near_in_block(group.combine_chunks(), keys[1].as_py(), keys[2].as_py(), allowed)
 
-        found = rows.select("key", "cid", "comp", "n", "whole", "own", "low", "high").groupBy("key", "low", "high").applyInArrow(compare, "a long, b long, n_a long, n_b long")
+        found = rows.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long, n_a long, n_b long")
         return found.distinct()
 
     def run(self) -> DataFrame:
