@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quillfeed.llm.arrow import mix64, slices, utf8_view
 from quillfeed.llm.components import connected_components
 from quillfeed.llm.shingles import shingle_sets
-from quillfeed.session import cut_lineage, materialise, ship_package
+from quillfeed.session import cut_lineage, discard, materialise, ship_package
 
 SAMPLES, BANDS = 128, 32
 SKETCH_BITS = 256
@@ -185,6 +185,7 @@ class Linker:
     """The classes of one table, their buckets and their components so far."""
 
     def __init__(self, df: DataFrame, words: int, percent: int, id_col: str, text_col: str):
+        self.scratch: list[str] = []
         self.df, self.words, self.percent, self.id_col, self.text_col = df, words, percent, id_col, text_col
         self.signed = materialise(signatures(df, words, id_col, text_col))
         known = self.signed.filter("cid is not null and doc_id is not null")
@@ -198,13 +199,17 @@ class Linker:
         # (cid, comp) of classes that have moved from being their own component
         self.moved = df.sparkSession.createDataFrame([], "cid long, comp long")
 
+    def _kept(self, df: DataFrame) -> DataFrame:
+        """Materialised until the components are known."""
+        return materialise(df, self.scratch)
+
     def _buckets(self) -> DataFrame:
         """(key, cid, degree) of buckets with two or more classes; degree counts a class's bucket fellows."""
         rows = self.classes.select("cid", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("key"), "cid")
         shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-        found = materialise(rows.join(shared, "key"))
+        found = self._kept(rows.join(shared, "key"))
         degree = found.groupBy("cid").agg(F.sum("members").alias("degree"))
-        return materialise(found.select("key", "cid").join(degree, "cid").select("key", "cid", "degree"))
+        return self._kept(found.select("key", "cid").join(degree, "cid").select("key", "cid", "degree"))
 
     def labelled(self) -> DataFrame:
         """(key, cid, degree, comp) of buckets that still hold two components or more."""
@@ -224,18 +229,18 @@ class Linker:
 
     def full_sets(self, cids: DataFrame) -> DataFrame:
         """(cid, shingles) of some classes."""
-        wanted = materialise(cids.distinct().join(self.classes.select("cid", "rep"), "cid").select("rep", "cid"))
-        return materialise(_full_sets(self.df, wanted, self.words, self.id_col, self.text_col))
+        wanted = self._kept(cids.distinct().join(self.classes.select("cid", "rep"), "cid").select("rep", "cid"))
+        return self._kept(_full_sets(self.df, wanted, self.words, self.id_col, self.text_col))
 
     def sifted(self, now: DataFrame, sets: DataFrame) -> DataFrame:
         """Rows of classes with enough shingles that classes of other components hold too, in buckets that stay apart."""
-        members = materialise(now.select("cid", "comp").distinct().join(self.brief.select("cid", "n"), "cid"))
+        members = self._kept(now.select("cid", "comp").distinct().join(self.brief.select("cid", "n"), "cid"))
         left = members.count()
         for _ in range(SIFTS):
             spread = sets.join(members.select("cid", "comp"), "cid").select("cid", "comp", F.explode("shingles").alias("shingle"))
             foreign = spread.groupBy("shingle").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("shingle")
             shared = spread.join(foreign, "shingle", "left_semi").groupBy("cid").agg(F.count(F.lit(1)).alias("shared"))
-            members = materialise(members.join(shared, "cid").filter(F.col("shared") * 100 >= F.col("n") * self.percent).drop("shared"))
+            members = self._kept(members.join(shared, "cid").filter(F.col("shared") * 100 >= F.col("n") * self.percent).drop("shared"))
             before, left = left, members.count()
             if left == before:
                 break
@@ -243,7 +248,7 @@ class Linker:
 
     def confirmed(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         """Links among sketched pairs, on full sets. The member's set joins first, so that a hub's join is split by size."""
-        pairs = materialise(pairs)
+        pairs = self._kept(pairs)
         if sets is None:
             sets = self.full_sets(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))))
         left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("x"))
@@ -315,18 +320,18 @@ class Linker:
 
     def run(self) -> DataFrame:
         """(cid, comp) of the classes that are not their component's root."""
-        now = materialise(self.labelled())
+        now = self._kept(self.labelled())
         if now.limit(1).count():
             self.absorb(self.confirmed(self.sketched(self.hub_pairs(now))))
-        now = materialise(self.labelled())
+        now = self._kept(self.labelled())
         if now.limit(1).count():
             sets = self.full_sets(now.select("cid"))
             for pairs in (lambda x: self.sketched(self.second_pairs(x)), lambda x: self.last_pairs(x, sets)):
-                now = materialise(self.sifted(now, sets))
+                now = self._kept(self.sifted(now, sets))
                 if now.limit(1).count() == 0:
                     break
                 self.absorb(self.confirmed(pairs(now), sets))
-                now = materialise(self._relabelled(now))
+                now = self._kept(self._relabelled(now))
         return self.moved
 
     def _relabelled(self, now: DataFrame) -> DataFrame:
@@ -340,7 +345,8 @@ def near_duplicates(
 ) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id (its smallest id) and kept."""
     linker = Linker(df, words, percent, id_col, text_col)
-    moved = linker.run()
+    moved = linker.run()  # a checkpoint: the tables on the way to it are not read again
+    discard(df.sparkSession, linker.scratch)
     labelled = linker.classes.select("cid", "rep").join(moved, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     first = labelled.groupBy("comp").agg(F.min("rep").alias("component"))
     component = labelled.join(first, "comp").select("cid", "component")
