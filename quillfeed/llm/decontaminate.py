@@ -3,7 +3,8 @@
 Numbers, names and units become typed placeholders, so that a question keeps its template when its parameters change.
 Hashes of template windows are joined with those of the benchmark. Windows at one distance between document and item
 are an alignment; its slots must be consistent: a value of the item stands for one value in the document wherever it
-comes. Consistent alignments that cover half of an item, or run over 13 words, mark the document.
+comes. Consistent alignments that cover half of an item mark the document, and so does a run of 13 words without a gap
+in an alignment, whose own slots are consistent, whatever else of the item was edited.
 
 Cases: null and empty texts and items have no windows; items of fewer than 5 words are too short to search; items
 shorter than a window are matched as a whole; very long texts are whole; a document with several items is reported
@@ -95,47 +96,59 @@ def matches(
         exploded = hashed.select("doc_id", F.posexplode(_windows("h", width)).alias("pos", "w"))
         hit = exploded.join(_broadcast_if(own, counts.get(width, 0), BROADCAST_WINDOWS), "w")
         found = hit if found is None else found.unionByName(hit)
-    # The same window of an item is at one place of an alignment, so distinct places are counted, whatever repeats.
-    aligned = materialise(
+    # The same window of an item is at one place of an alignment, so a set of places is gathered, whatever repeats.
+    aligned = (
         found.withColumn("shift", F.col("pos") - F.col("ipos"))
         .groupBy("doc_id", "item_id", "shift")
-        .agg(
-            F.count_distinct("ipos").alias("n"), F.min("ipos").alias("low"), F.max("ipos").alias("high"),
-            F.first("n_windows").alias("n_windows"), F.first("width").alias("width"),
-        )
+        .agg(F.array_sort(F.collect_set("ipos")).alias("places"), F.first("n_windows").alias("n_windows"), F.first("width").alias("width"))
     )
+    aligned = materialise(_pieces(aligned))
     return _covered(_consistent(aligned, source, benchmark, item_col, item_text_col))
 
 
+def _pieces(aligned: DataFrame) -> DataFrame:
+    """Each alignment as a whole, and each gapless part of it that is long enough to mark a document by itself."""
+    p = F.col("places")
+    first = F.filter(p, lambda x, i: F.coalesce(F.get(p, i - F.lit(1)) != x - F.lit(1), F.lit(True)))
+    last = F.filter(p, lambda x, i: F.coalesce(F.get(p, i + F.lit(1)) != x + F.lit(1), F.lit(True)))
+    parts = F.filter(F.arrays_zip(first.alias("low"), last.alias("high")), lambda x: x["high"] - x["low"] + F.col("width") >= MIN_RUN)
+    pieces = F.array_distinct(F.concat(F.array(p), F.transform(parts, lambda x: F.sequence(x["low"], x["high"]))))
+    out = aligned.select("doc_id", "item_id", "shift", "n_windows", "width", F.posexplode(pieces).alias("piece", "places"))
+    return out.select("*", F.array_min("places").alias("low"), F.array_max("places").alias("high"), F.size("places").alias("n"))
+
+
 def _slots(tokens: DataFrame, key: str, pos: str, value: str) -> DataFrame:
     return tokens.select(key, F.posexplode("tokens").alias(pos, value)).filter(F.substring(value, 1, 1).isin(NUMBER, NAME, UNIT))
 
 
 def _consistent(aligned: DataFrame, source: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
-    """Alignments without slots, and those whose slots are consistent."""
+    """Pieces without slots, and those whose slots are consistent."""
+    piece = ["doc_id", "item_id", "shift", "low", "high"]
     items = benchmark.select(F.col(item_col).alias("item_id"), template_tokens(F.col(item_text_col), values=True).alias("tokens"))
     item_slots = materialise(_slots(items, "item_id", "slot_at", "item_value").distinct())
     inside = (F.col("slot_at") >= F.col("low")) & (F.col("slot_at") < F.col("high") + F.col("width"))
     slotted = materialise(
-        aligned.join(item_slots, "item_id").filter(inside).select("doc_id", "item_id", "shift", "item_value", (F.col("slot_at") + F.col("shift")).alias("pos"))
+        aligned.join(item_slots, "item_id").filter(inside).select(*piece, "item_value", (F.col("slot_at") + F.col("shift")).alias("pos"))
     )
     ids = slotted.select("doc_id").distinct()
     wanted = source.join(_broadcast_if(ids, ids.count(), BROADCAST_IDS), "doc_id", "left_semi")
     doc_slots = _slots(wanted.select("doc_id", template_tokens(F.col("__text"), values=True).alias("tokens")), "doc_id", "pos", "doc_value").distinct()
-    values = slotted.join(doc_slots, ["doc_id", "pos"], "left").groupBy("doc_id", "item_id", "shift", "item_value").agg(
+    values = slotted.join(doc_slots, ["doc_id", "pos"], "left").groupBy(*piece, "item_value").agg(
         F.min("doc_value").alias("a"), F.max("doc_value").alias("b")
     )
     same_kind = F.substring("a", 1, 1) == F.substring("item_value", 1, 1)
-    verdict = values.groupBy("doc_id", "item_id", "shift").agg(
+    verdict = values.groupBy(*piece).agg(
         F.avg(F.coalesce((F.col("a") == F.col("b")) & same_kind, F.lit(False)).cast("double")).alias("consistent")
     )
-    return aligned.join(verdict, ["doc_id", "item_id", "shift"], "left").filter(F.coalesce("consistent", F.lit(1.0)) >= MIN_CONSISTENT)
+    return aligned.join(verdict, piece, "left").filter(F.coalesce("consistent", F.lit(1.0)) >= MIN_CONSISTENT)
 
 
 def _covered(aligned: DataFrame) -> DataFrame:
-    """Coverage of each item by its alignments, and the longest of them in words."""
+    """Coverage of each item by its alignments, and the longest gapless piece of them in words."""
+    gapless = F.col("n") == F.col("high") - F.col("low") + 1
     whole = aligned.groupBy("doc_id", "item_id").agg(
-        F.sum("n").alias("n"), F.max(F.when(F.col("n") == F.col("high") - F.col("low") + 1, F.col("n") + F.col("width") - 1).otherwise(0)).alias("run_words"),
+        F.sum(F.when(F.col("piece") == 0, F.col("n")).otherwise(0)).alias("n"),
+        F.max(F.when(gapless, F.col("n") + F.col("width") - 1).otherwise(0)).alias("run_words"),
         F.first("n_windows").alias("n_windows"),
     )
     coverage = F.least(F.lit(1.0), F.col("n") / F.col("n_windows"))

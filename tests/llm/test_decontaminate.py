@@ -78,6 +78,35 @@ def test_against_plain_windows(spark):
         assert got[i]["contaminated"] == want, (i, t)
 
 
+def test_edited_copies_against_plain_windows(spark):
+    """Single words of a copied item are replaced in place: any run of 13 words that stands marks the document."""
+    rng = random.Random(13)
+    items = [filler(rng, rng.randint(30, 60)) for _ in range(10)]
+    docs, wants = [], []
+    for i in range(100):
+        item = rng.choice(items).split()
+        copy = list(item)
+        for at in rng.sample(range(len(copy)), rng.randint(1, 6)):
+            copy[at] = f"edited{'abcdefghij'[i % 10]}"
+        docs.append(f"{filler(rng, 20)} {' '.join(copy)} {filler(rng, 20)}")
+        same = "".join("1" if a == b else "0" for a, b in zip(item, copy, strict=True))
+        runs = [len(r) for r in same.split("0")]
+        hits = sum(max(0, r - 7) for r in runs)
+        wants.append(hits / (len(item) - 7) >= 0.5 or max(runs) >= 13)
+    got = report(spark, docs, items)
+    assert True in wants and False in wants
+    assert [got[i]["contaminated"] for i in range(len(docs))] == wants
+
+
+def test_a_run_is_judged_by_its_own_slots(spark):
+    """Edits in the rest of an alignment, slots among them, do not excuse a run of 13 words."""
+    run = "then we walk on by the old stone wall near here with 5 of them"
+    rest = "now 11 and so on until late when 12 go far from low high old new soon and 13 stay out here there but or"
+    edited = "now some and so on until late when many go far from low high old new soon and few stay out here there but or"
+    got = report(spark, [f"{run} {edited}", run.replace("5", "6") + " " + edited, edited], [f"{run} {rest} {rest} {rest} {rest}"])
+    assert [got[i]["contaminated"] for i in range(3)] == [True, True, False]
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
