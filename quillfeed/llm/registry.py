@@ -69,10 +69,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stated rules label the pages: block where one blocks, else allow. Mined rules judge all others."""
+    """The pages that a stated rule blocks or allows are the labels. Mined rules judge all others, which are no labels."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
-    labelled = urls.split_urls(pages).withColumn("verdict", F.coalesce("verdict", F.lit("allow")))
-    rules = urls.mine(labelled)
+    rules = urls.mine(urls.split_urls(pages))
     return urls.judge(pages, rules).drop("mined_rule", "confidence")
 
 
