@@ -113,7 +113,7 @@ def _pieces(aligned: DataFrame) -> DataFrame:
     last = F.filter(p, lambda x, i: F.coalesce(F.get(p, i + F.lit(1)) != x + F.lit(1), F.lit(True)))
     parts = F.filter(F.arrays_zip(first.alias("low"), last.alias("high")), lambda x: x["high"] - x["low"] + F.col("width") >= MIN_RUN)
     pieces = F.array_distinct(F.concat(F.array(p), F.transform(parts, lambda x: F.sequence(x["low"], x["high"]))))
-    out = aligned.select("doc_id", "item_id", "shift", "n_windows", "width", F.posexplode(pieces).alias("piece", "places"))
+    out = aligned.select("doc_id", "item_id", "shift", "n_windows", "width", F.explode(pieces).alias("places"))
     return out.select("*", F.array_min("places").alias("low"), F.array_max("places").alias("high"), F.size("places").alias("n"))
 
 
@@ -145,11 +145,10 @@ def _consistent(aligned: DataFrame, source: DataFrame, benchmark: DataFrame, ite
 
 def _covered(aligned: DataFrame) -> DataFrame:
     """Coverage of each item by its alignments, and the longest gapless piece of them in words."""
-    gapless = F.col("n") == F.col("high") - F.col("low") + 1
-    whole = aligned.groupBy("doc_id", "item_id").agg(
-        F.sum(F.when(F.col("piece") == 0, F.col("n")).otherwise(0)).alias("n"),
-        F.max(F.when(gapless, F.col("n") + F.col("width") - 1).otherwise(0)).alias("run_words"),
-        F.first("n_windows").alias("n_windows"),
+    run = F.when(F.col("n") == F.col("high") - F.col("low") + 1, F.col("n") + F.col("width") - 1).otherwise(0)
+    # A place of the item counts once, in however many alignments it comes.
+    whole = aligned.select("doc_id", "item_id", "n_windows", run.alias("run"), F.explode("places").alias("ipos")).groupBy("doc_id", "item_id").agg(
+        F.count_distinct("ipos").alias("n"), F.max("run").alias("run_words"), F.first("n_windows").alias("n_windows")
     )
     coverage = F.least(F.lit(1.0), F.col("n") / F.col("n_windows"))
     return whole.select("doc_id", "item_id", coverage.alias("coverage"), F.col("run_words").cast("long").alias("run_words")).filter(

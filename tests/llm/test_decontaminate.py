@@ -98,6 +98,16 @@ def test_edited_copies_against_plain_windows(spark):
     assert [got[i]["contaminated"] for i in range(len(docs))] == wants
 
 
+def test_a_repeated_window_counts_once(spark):
+    """A line of 8 words of an item, however often repeated, covers one window of 13."""
+    rng = random.Random(14)
+    item = filler(rng, 20)
+    line = " ".join(item.split()[:8])
+    docs = [" ".join(f"{line} {filler(rng, 9)}" for _ in range(10)), f"{' '.join(item.split()[:12])} {filler(rng, 9)} {' '.join(item.split()[8:])}"]
+    got = report(spark, docs, [item])
+    assert [got[i]["contaminated"] for i in range(2)] == [False, True] and got[1]["coverage"] == 10 / 13
+
+
 def test_a_run_is_judged_by_its_own_slots(spark):
     """Edits in the rest of an alignment, slots among them, do not excuse a run of 13 words."""
     run = "then we walk on by the old stone wall near here with 5 of them"
