@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -50,21 +51,35 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a local one is set only where the cluster names none."""
+    """The shared checkpoint folder of the session; a temporary one where driver and executors are one process.
+
+    A cluster that names none is an error: a folder of one machine would lose what the others write.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or ""
     if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {sc.master}")
         current = tempfile.mkdtemp(prefix="quillfeed-checkpoint-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint: survives the loss of any executor."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, scratch: list[str] | None = None) -> DataFrame:
+    """A reliable checkpoint: survives the loss of any executor.
+
+    Its files go when the process ends, or earlier by `discard` of the paths that `scratch` gathers.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    done = df.checkpoint(eager=True)
+    file = done._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        _remember(spark, file.get(), scratch)
+    return done
 
 
 _written: list[tuple[SparkSession, str]] = []
@@ -78,16 +93,20 @@ def materialise(df: DataFrame, scratch: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quillfeed-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _remember(spark, path, scratch)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remember(spark: SparkSession, path: str, scratch: list[str] | None) -> None:
     if not _written:
         atexit.register(_remove_written)
     _written.append((spark, path))
     if scratch is not None:
         scratch.append(path)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(spark: SparkSession, scratch: list[str]) -> None:
-    """Deletes materialised tables that nothing will read again."""
+    """Deletes materialised and checkpointed tables that nothing will read again."""
     for path in scratch:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
