@@ -11,6 +11,7 @@ one by one; a null id is kept; an empty table gives an empty result; further col
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ OPEN_BINS = 1024
 PIECES_PER_TASK = 262_144
 
 _encoders: dict[str, object] = {}
+_proofs: dict[str, bool] = {}
 
 
 def default_tokenizer() -> str:
@@ -38,49 +40,71 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Fixed value: the pattern of words that the byte-level pre-tokenizer of the `tokenizers` library cuts at.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class Encoder:
-    """Token ids of a byte-level BPE file of the `tokenizers` library.
+    """Token ids of a byte-level BPE file of the `tokenizers` library, special tokens of a text included.
 
-    Where the file's own vocabulary and merges can be given to tiktoken, texts are encoded there, which is several
-    times faster; ids are the same. A text that tiktoken refuses is encoded by `tokenizers` itself.
+    Where the file's vocabulary and merges prove that tiktoken makes the same ids, texts are encoded there, which is
+    several times faster. A text that tiktoken refuses is encoded by `tokenizers` itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, proved: bool | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tokenizers
 
         self.slow = tokenizers.Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
-        self.fast = self._fast()
+        self.fast = self._fast() if (same_by_rank(self.slow) if proved is None else proved) else None
 
     def _fast(self):
-        import json
-
-        import public_tokenizers
         import tiktoken
 
         spec = json.loads(self.slow.to_str())
-        if spec["model"]["type"] != "BPE" or spec.get("normalizer"):
-            return None
         byte_of = _byte_alphabet()
-        special = {t["content"] for t in spec.get("added_tokens", [])}
-        ranks = {
-            bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special
-        }
-        fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        probe = "It's 12,345 naïve  cafés\n\n\tend… 漢字 <|endoftext|> x"
-        same = fast.encode_ordinary(probe) == self.slow.encode(probe, add_special_tokens=False).ids
-        return fast if same else None
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+        return tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
 
     def ids(self, text: str) -> np.ndarray:
         if self.fast is not None:
             try:
-                return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype=np.uint32)
-            except Exception:  # its pattern matcher refuses some very long runs
+                return np.asarray(self.fast.encode_to_numpy(text, allowed_special="all"), dtype=np.uint32)
+            except ValueError:  # its pattern matcher refuses some very long runs
                 pass
         return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
+def same_by_rank(tokenizer) -> bool:
+    """Whether merging by the rank of the result, as tiktoken does, makes the ids of this `tokenizers` BPE.
+
+    Ranks and merges must have one order, and every token must be what its own bytes encode to. Then the two last
+    parts of a token are always those of its merge: what stands side by side and makes the token has been merged
+    inside its bytes alone, in the same order. Words and special tokens must be cut alike too.
+    """
+    import tokenizers
+
+    spec = json.loads(tokenizer.to_str())
+    model, before, added = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("added_tokens", [])
+    plain = model["type"] == "BPE" and not any(
+        model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    )
+    byte_level = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    alone = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added)
+    if not (plain and byte_level and alone) or spec.get("normalizer") or spec.get("truncation") or spec.get("padding"):
+        return False
+    vocab, special = model["vocab"], {t["content"] for t in added}
+    tokens = [t for t in vocab if t not in special]
+    merged = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", ""), -1) for m in model["merges"]]
+    singles = [vocab.get(c, -1) for c in _byte_alphabet()]
+    ordered = all(a < b for a, b in zip([max(singles), *merged], merged, strict=False)) and min(singles) >= 0
+    if not ordered or len(tokens) != len(singles) + len(merged):
+        return False
+    bare = tokenizers.Tokenizer(tokenizers.models.BPE(vocab=vocab, merges=[tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]))
+    return all(bare.encode(t).ids == [vocab[t]] for t in tokens)
+
+
 def _byte_alphabet() -> dict[str, int]:
     """The byte that each character of a byte-level BPE vocabulary stands for: printable bytes are themselves, the others follow from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -88,9 +112,18 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def encoder(path: str) -> Encoder:
+def proof(path: str) -> bool:
+    """The result of `same_by_rank` for a file, made once."""
+    if path not in _proofs:
+        import tokenizers
+
+        _proofs[path] = same_by_rank(tokenizers.Tokenizer.from_file(path))
+    return _proofs[path]
+
+
+def encoder(path: str, proved: bool | None = None) -> Encoder:
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, proved)
     return _encoders[path]
 
 
@@ -146,9 +179,10 @@ def tokenised_pieces(
     """One row for each piece: doc_id, piece, start, length, ids_crc32."""
     ship_package(df.sparkSession)
     id_type = df.schema[id_col].dataType
+    proved = proof(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).ids
+        encode = encoder(tokenizer, proved).ids
         for whole in batches:
             for batch in slices(whole, 1):
                 at, rows = [], []

@@ -2,7 +2,8 @@
 
 Every source partition draws, without replacement, how many of its rows go to each shard (one row of the
 communication matrix), permutes its rows locally, sends them, and each shard permutes what it receives. The result
-is a uniform shuffle whose shard sizes are fixed before any row moves: they differ by one row at most.
+is a uniform shuffle whose shard sizes are fixed before any row moves: they differ by one row at most. No one holds the
+whole matrix: a task draws its row from the row counts of the partitions, one number each.
 
 Cases: null text counts no bytes (size 8, CRC of the empty string); empty and very long texts are whole; repeated
 rows are sharded one by one; a null id is kept; an empty table gives an empty result; further columns are ignored.
@@ -10,6 +11,7 @@ rows are sharded one by one; a null id is kept; an empty table gives an empty re
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,8 @@ from quillfeed.session import cut_lineage, ship_package
 ROWS_PER_CELL = 262_144
 #: Cells of a shard at least, so that ordering runs on many tasks even for small shards.
 MIN_CELLS = 8
+#: Cells up to which the rows before each are broadcast (24 bytes each); beyond it, the join shuffles.
+BROADCAST_CELLS = 1_000_000
 
 
 def shard_sizes(rows: int, shards: int) -> np.ndarray:
@@ -30,32 +34,91 @@ def shard_sizes(rows: int, shards: int) -> np.ndarray:
     return np.full(shards, rows // shards, dtype=np.int64) + (np.arange(shards) < rows % shards)
 
 
-def communication_matrix(partition_rows: list[int], sizes: np.ndarray, seed: int) -> np.ndarray:
-    """Counts of rows from each partition to each shard; its row and column sums are exact.
+def _log_factorials(x: int, d: int) -> float:
+    """log((x + d)!) - log(x!), precise where both are huge and d is not."""
+    if min(x, x + d) < 100:
+        return math.lgamma(x + d + 1) - math.lgamma(x + 1)
+    series = lambda v: 1 / (12 * v) - 1 / (360 * v**3)
+    return math.fsum([d * math.log(x), (x + d + 0.5) * math.log1p(d / x), -d, series(x + d), -series(x)])
+
 
-    Row by row, a multivariate hypergeometric draw from the room that is left in each shard, which is the law of
-    a uniform shuffle. It holds partitions x shards numbers on the driver, whatever the number of rows is.
+def _large_hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """An exact hypergeometric draw for any population, in time that does not depend on it.
+
+    Ratio of uniforms with Stadlober's hat (1989) around the mode; log-ratios of probabilities keep their precision.
     """
-    left, out = sizes.astype(np.int64).copy(), np.zeros((len(partition_rows), len(sizes)), dtype=np.int64)
-    for p, rows in enumerate(partition_rows):
-        rng = np.random.Generator(np.random.PCG64([seed, p]))
-        out[p] = _multivariate(rng, left, int(rows))
-        left -= out[p]
-    return out
+    total, m = good + bad, min(draws, good + bad - draws)
+    small, large = min(good, bad), max(good, bad)
+    few, most = min(small, m), max(small, m)  # the law is the same when draws and good items change places
+    if few <= 16:
+        found = 0
+        for i in range(few):
+            found += int(rng.integers(0, total - i)) < most - found
+    else:
+        middle = m * (small / total) + 0.5
+        spread = math.sqrt((total - m) * (m / (total - 1)) * (small / total) * (large / total) + 0.5)
+        width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+        end = min(few + 1, math.floor(middle + 16 * spread))
+        mode = (m + 1) * (small + 1) // (total + 2)
+        while True:
+            u, v = rng.random(), rng.random()
+            if u == 0:
+                continue
+            x = middle + width * (v - 0.5) / u
+            if x < 0 or x >= end:
+                continue
+            found = math.floor(x)
+            d = found - mode
+            ratio = -math.fsum(
+                [_log_factorials(mode, d), _log_factorials(small - mode, -d), _log_factorials(m - mode, -d), _log_factorials(large - m + mode, d)]
+            )
+            if 2 * math.log(u) <= ratio:
+                break
+    if good > bad:
+        found = m - found
+    return found if m == draws else good - found
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """How many of `draws` items, taken without replacement, are good."""
+    if draws == 0 or good == 0:
+        return 0
+    if bad == 0 or draws == good + bad:
+        return min(draws, good)
+    return int(rng.hypergeometric(good, bad, draws)) if good + bad < 1_000_000_000 else _large_hypergeometric(rng, good, bad, draws)
 
 
 def _multivariate(rng: np.random.Generator, left: np.ndarray, need: int) -> np.ndarray:
-    """How many of `need` rows, drawn without replacement from all open places, fall in each shard."""
-    pool = int(left.sum())
-    if need == pool:
-        return left.copy()
-    if pool < 1_000_000_000:
-        return rng.multivariate_hypergeometric(left, need, method="marginals")
-    # Beyond the range of numpy's draw: the places themselves, drawn one after another, repeats drawn again.
-    places = np.unique(rng.integers(0, pool, size=need))
-    while len(places) < need:
-        places = np.union1d(places, rng.integers(0, pool, size=need - len(places)))
-    return np.bincount(np.searchsorted(np.cumsum(left), places, side="right"), minlength=len(left))
+    """How many of `need` rows, drawn without replacement from all open places, fall in each shard: halves of the shards, and halves of these."""
+    if len(left) == 1:
+        return np.array([need], dtype=np.int64)
+    half = len(left) // 2
+    first = hypergeometric(rng, int(left[:half].sum()), int(left[half:].sum()), need)
+    return np.concatenate([_multivariate(rng, left[:half], first), _multivariate(rng, left[half:], need - first)])
+
+
+def matrix_row(before: np.ndarray, sizes: np.ndarray, place: int, seed: int) -> np.ndarray:
+    """A partition's row of the communication matrix. before[i] counts the rows of the partitions in front of place i.
+
+    The partitions are halved again and again; each half draws its counts from those of the whole. Every task that
+    walks through a node of this tree draws the same there, so each makes its own row, and all rows and columns add up.
+    """
+    low, high, left = 0, len(before) - 1, sizes.astype(np.int64)
+    while high - low > 1:
+        middle = (low + high) // 2
+        rng = np.random.Generator(np.random.PCG64([seed, low, high]))
+        first = _multivariate(rng, left, int(before[middle] - before[low]))
+        if place < middle:
+            high, left = middle, first
+        else:
+            low, left = middle, left - first
+    return left
+
+
+def communication_matrix(partition_rows: list[int], sizes: np.ndarray, seed: int) -> np.ndarray:
+    """Counts of rows from each partition to each shard; its row and column sums are exact."""
+    before = np.cumsum([0, *partition_rows])
+    return np.stack([matrix_row(before, sizes, p, seed) for p in range(len(partition_rows))])
 
 
 def shard(
@@ -78,19 +141,20 @@ def shard(
     )
     counted = narrow.groupBy(F.spark_partition_id().alias("p")).count().collect()  # one number a partition
     rows_of = {r["p"]: r["count"] for r in counted}
-    partitions = sorted(rows_of)
     total = sum(rows_of.values())
     sizes = shard_sizes(total, shards)
-    matrix = communication_matrix([rows_of[p] for p in partitions], sizes, seed)
-    drawn = spark.sparkContext.broadcast({p: matrix[i] for i, p in enumerate(partitions)})
+    # 16 bytes a partition that has rows, whatever the number of rows is.
+    held = spark.sparkContext.broadcast((sorted(rows_of), np.cumsum([0, *(rows_of[p] for p in sorted(rows_of))])))
 
     def permute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         p = TaskContext.get().partitionId()
-        counts = drawn.value.get(p)
-        if counts is None:
+        partitions, before = held.value
+        place = int(np.searchsorted(partitions, p))
+        if place == len(partitions) or partitions[place] != p:
             return
+        counts = matrix_row(before, sizes, place, seed)
         rng = np.random.Generator(np.random.PCG64([seed, p, 1]))
         targets = rng.permutation(np.repeat(np.arange(shards, dtype=np.int32), counts))
         at = 0
@@ -109,15 +173,16 @@ def shard(
     dealt = dealt.withColumn("cell", F.floor(F.col("draw") / F.lit((1 << 62) / cells)).cast("int"))
     # Slots: rows of earlier cells of the shard, then the rank inside the cell. Both are exact, and no task holds a shard.
     in_cell = dealt.groupBy("shard", "cell").agg(F.count(F.lit(1)).alias("n"))
-    before = in_cell.select(
+    ahead = in_cell.select(
         "shard",
         "cell",
         (F.sum("n").over(Window.partitionBy("shard").orderBy("cell")) - F.col("n")).alias("before"),
     )
     rank = F.row_number().over(Window.partitionBy("shard", "cell").orderBy("draw", "doc_id", "text_crc32"))
+    ahead = F.broadcast(ahead) if shards * cells <= BROADCAST_CELLS else ahead  # one for 262,144 rows of input
     return (
         dealt.withColumn("rank", rank)
-        .join(F.broadcast(before), ["shard", "cell"])  # shards x cells rows, one for 262,144 rows of input
+        .join(ahead, ["shard", "cell"])
         .select(
             "doc_id",
             "size",

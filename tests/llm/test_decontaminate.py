@@ -53,6 +53,43 @@ def test_short_items_match_as_a_whole(spark):
     assert [got[i]["contaminated"] for i in range(3)] == [True, False, False]
 
 
+def test_items_under_five_words_match_whole_sentences(spark):
+    docs = ["Name the capital?", "Well. Name the capital? Sure.", "intro\nname the capital\nend", "Now name the capital of it.", "What is 7 plus 7?", "What is 7 plus 8?", "3.5 km. Yes.", None, ""]
+    got = report(spark, docs, ["Name the capital?", "What is 2 plus 2", "Yes"])
+    assert [got[i]["contaminated"] for i in range(len(docs))] == [True, True, True, False, True, False, True, False, False]
+
+
+def test_text_ids_and_ties(spark):
+    a = spark.createDataFrame([("d1", ITEM), ("d2", "nothing of it")], "doc_id string, text string")
+    b = spark.createDataFrame([("q2", ITEM), ("q1", ITEM)], "item_id string, text string")
+    got = {r["doc_id"]: r for r in d.report(a, b).collect()}
+    assert (got["d1"]["contaminated"], got["d1"]["item_id"], got["d1"]["n_items"]) == (True, "q1", 2) and not got["d2"]["contaminated"]
+
+
+def test_texts_that_share_an_item_id(spark):
+    rng = random.Random(15)
+    long, brief = filler(rng, 60), filler(rng, 12)
+    got = {}
+    for order in ([(1, long), (1, brief)], [(1, brief), (1, long)]):
+        a = spark.createDataFrame([(1, brief), (2, long), (3, " ".join(long.split()[:10]))], "doc_id long, text string")
+        got = {r["doc_id"]: (r["contaminated"], r["coverage"]) for r in d.report(a, spark.createDataFrame(order, "item_id long, text string")).collect()}
+        assert got == {1: (True, 1.0), 2: (True, 1.0), 3: (False, None)}
+
+
+def test_names_at_the_start_of_sentences_are_slots(spark):
+    item = "Alice buys ten red pens. Alice sells six of them. Alice keeps the rest of them."
+    swapped = item.replace("Alice", "Carol")
+    mixed = "Alice buys ten red pens. Carol sells six of them. Dora keeps the rest of them."
+    got = report(spark, [swapped, mixed, "so " + item], [item])
+    assert [got[i]["contaminated"] for i in range(3)] == [True, False, True]
+
+
+def test_two_values_of_an_item_stand_for_two_of_the_document(spark):
+    item = "take 11 red and 12 blue then add 13 green to 14 white ones and stop here"
+    got = report(spark, [item.replace("11", "21").replace("12", "22"), "take 5 red and 5 blue then add 5 green to 5 white ones and stop here"], [item])
+    assert [got[i]["contaminated"] for i in range(2)] == [True, False]
+
+
 def test_against_plain_windows(spark):
     """Without slots, windows are runs of words: the same documents as a plain search for runs of 8 finds."""
     rng = random.Random(12)

@@ -15,9 +15,7 @@ SCHEMA = "doc_id long, text string, length string"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(packing.default_tokenizer())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(packing.default_tokenizer())
 
 
 def test_encoder_equals_the_library(tokenizer):
@@ -27,10 +25,37 @@ def test_encoder_equals_the_library(tokenizer):
     for _ in range(300):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 80)))
         assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-    for text in ("x" * 5000, " " * 5000 + "y", "\n" * 3000, "<|endoftext|>"):
+    for text in ("x" * 5000, " " * 5000 + "y", "\n" * 3000, "<|endoftext|>", "a <|endoftext|> b<|endoftext|><|endoftext", " <|endoftext|>\n"):
         assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_the_fast_path_is_proved(tokenizer):
+    import json
+
+    assert packing.proof(packing.default_tokenizer()) and packing.encoder(packing.default_tokenizer()).fast is not None
+    spec = json.loads(tokenizer.to_str())
+    merges = spec["model"]["merges"]
+    merges[900], merges[30_000] = merges[30_000], merges[900]  # the order of merges is no longer that of the ids
+    assert not packing.same_by_rank(Tokenizer.from_str(json.dumps(spec)))
+    spec = json.loads(tokenizer.to_str())
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    assert not packing.same_by_rank(Tokenizer.from_str(json.dumps(spec)))
+
+
+def test_every_character_is_cut_alike(tokenizer):
+    """Both libraries agree on what each code point is: letter, number, space or other."""
+    encode = packing.encoder(packing.default_tokenizer()).ids
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for a in range(0, len(points), 20_000):
+        text = "".join(f"a{chr(c)}1 {chr(c)}!" for c in points[a : a + 20_000])
+        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, hex(points[a])
+
+
+def test_a_refused_text_goes_to_the_library(tokenizer):
+    text = " " * 1_200_000 + "a"
+    assert packing.encoder(packing.default_tokenizer()).ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_cut():
     assert packing.cut(5, 10) == [(0, 5)] and packing.cut(10, 10) == [(0, 10)]
     assert packing.cut(25, 10) == [(0, 5), (5, 10), (15, 10)] and packing.cut(20, 10) == [(0, 10), (10, 10)]
