@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillfeed.session import cut_lineage
+from quillfeed.session import cut_lineage, discard
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -30,10 +30,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node that is not its component's smallest; edges has long columns u and v."""
-    now = cut_lineage(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    past: list[str] = []
+    now = cut_lineage(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), past)
     mark = _fingerprint(now)
     while mark[0]:
-        now = cut_lineage(_small_star(_large_star(now)))
+        own: list[str] = []
+        now = cut_lineage(_small_star(_large_star(now)), own)
+        discard(edges.sparkSession, past)  # the round before has been read for the last time
+        past = own
         after = _fingerprint(now)
         if after == mark:
             break

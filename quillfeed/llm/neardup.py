@@ -1,6 +1,6 @@
 """Near-duplicates: MinHash bands, odd sketches, exact confirmation, connected components.
 
-Each text becomes a set of word shingles. Equal sets are one class from the start. A class has 128 MinHash samples:
+Each text becomes a set of word shingles. Equal sets, by 128 bits of digest, are one class from the start. A class has 128 MinHash samples:
 32 bands of 4 find candidates (a pair of similarity 0.8 is missed with probability 5e-8), and the samples, folded
 into a 256-bit parity map - the odd sketch - estimate a pair's similarity from the population count of the XOR,
 which is precise where similarity is high. What passes is confirmed on full sets.
@@ -39,8 +39,9 @@ SKETCH_BITS = 256
 MAX_SKETCH_BITS = 80
 #: Parts into which a bucket's members are dealt where they meet one of their own.
 SALTS = 16
-#: Classes of a bucket that one task compares with as many others.
-BLOCK = 512
+#: A bucket of n classes is dealt into sqrt(n / LEAST_BLOCK) blocks, so that copies sent to pairs of blocks grow as n ** 1.5;
+#: a block holds MAX_BLOCK classes at most, on average, which bounds what one task compares.
+LEAST_BLOCK, MAX_BLOCK = 64, 16_384
 #: Times that the condition on shared shingles is checked again; more would only save pairs.
 SIFTS = 3
 #: Classes up to which the list of wanted ids is broadcast (16 bytes each); beyond it, the join shuffles.
@@ -115,27 +116,45 @@ def band_hashes(samples: np.ndarray) -> np.ndarray:
     return mix64((rows * _ODDS[: rows.shape[1]]).sum(axis=1))
 
 
-def set_digest(shingles: np.ndarray) -> int:
+def set_digest(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits of digest as two signed numbers."""
     import xxhash
 
-    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), "<i8").tolist())
+
+
+def unique_classes(signed: DataFrame) -> DataFrame:
+    """The same rows with a cid for each digest of 128 bits: of sets that share the first 64, all but one get another cid."""
+    known = signed.filter("cid is not null")
+    shared = materialise(
+        known.groupBy("cid").agg(F.min("more").alias("low"), F.max("more").alias("high")).filter("low <> high").select("cid", F.col("low").alias("first"))
+    )
+    clashes = shared.count()
+    if clashes == 0:
+        return signed
+    again = F.when(F.col("first").isNull() | (F.col("first") == F.col("more")), F.col("cid")).otherwise(F.xxhash64("cid", "more"))
+    shared = F.broadcast(shared) if clashes <= BROADCAST_CLASSES else shared
+    return signed.join(shared, "cid", "left").select(*(again.alias("cid") if c == "cid" else c for c in signed.columns))
 
 
 def signatures(df: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, cid (digest of the set, null for empty ones), bands and sketch."""
+    """doc_id, n_shingles, cid and more (the set's digest, null for empty ones), bands and sketch."""
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1):
-                sizes, cids, bands, sketches = [], [], [], []
+                sizes, cids, more, bands, sketches = [], [], [], [], []
                 for s in shingle_sets(*utf8_view(batch.column(1)), words):
                     sizes.append(len(s))
                     if len(s) == 0:
                         cids.append(None)
+                        more.append(None)
                         continue
                     samples = minhash(s)
-                    cids.append(set_digest(s))
+                    one, two = set_digest(s)
+                    cids.append(one)
+                    more.append(two)
                     bands.append(band_hashes(samples))
                     sketches.append(odd_sketch(samples))
                 filled = np.cumsum([0, *(c is not None for c in cids)]).astype(np.int32)
@@ -145,18 +164,19 @@ def signatures(df: DataFrame, words: int, id_col: str = "doc_id", text_col: str
                         batch.column(0),
                         pa.array(sizes, pa.int64()),
                         pa.array(cids, pa.int64()),
+                        pa.array(more, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(filled * BANDS), flat(bands)),
                         pa.ListArray.from_arrays(pa.array(filled * (SKETCH_BITS // 64)), flat(sketches)),
                     ],
-                    names=["doc_id", "n_shingles", "cid", "bands", "sketch"],
+                    names=["doc_id", "n_shingles", "cid", "more", "bands", "sketch"],
                 )
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(run, f"doc_id {id_type}, n_shingles long, cid long, bands array<long>, sketch array<long>")
+    return df.select(id_col, text_col).mapInArrow(run, f"doc_id {id_type}, n_shingles long, cid long, more long, bands array<long>, sketch array<long>")
 
 
 def _full_sets(df: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(cid, shingles) of the wanted classes, made again from one text of each. wanted: rep, cid."""
+    """(cid, shingles) of the wanted classes, made again from one text of each. wanted: rep, cid, more."""
     small = wanted.count() <= BROADCAST_CLASSES
     wanted = F.broadcast(wanted) if small else wanted
     texts = df.select(F.col(id_col).alias("rep"), F.col(text_col).alias("__text")).join(wanted, "rep")
@@ -165,15 +185,16 @@ def _full_sets(df: DataFrame, wanted: DataFrame, words: int, id_col: str, text_c
         for whole in batches:
             for batch in slices(whole, 0):
                 cids, sets = [], []
-                for want, s in zip(batch.column(1).to_pylist(), shingle_sets(*utf8_view(batch.column(0)), words), strict=True):
-                    if len(s) and set_digest(s) == want:
-                        cids.append(want)
+                asked = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+                for (cid, more), s in zip(asked, shingle_sets(*utf8_view(batch.column(0)), words), strict=True):
+                    if len(s) and set_digest(s)[1] == more:  # of texts that share an id, that of the class
+                        cids.append(cid)
                         sets.append(s)
                 ends = np.cumsum([0, *(len(s) for s in sets)]).astype(np.int32)
                 flat = pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["cid", "shingles"])
 
-    return texts.select("__text", "cid").mapInArrow(run, "cid long, shingles array<long>").dropDuplicates(["cid"])
+    return texts.select("__text", "cid", "more").mapInArrow(run, "cid long, shingles array<long>").dropDuplicates(["cid"])
 
 
 def _close(n: Column, m: Column, percent: int) -> Column:
@@ -187,11 +208,11 @@ class Linker:
     def __init__(self, df: DataFrame, words: int, percent: int, id_col: str, text_col: str):
         self.scratch: list[str] = []
         self.df, self.words, self.percent, self.id_col, self.text_col = df, words, percent, id_col, text_col
-        self.signed = materialise(signatures(df, words, id_col, text_col))
+        self.signed = unique_classes(materialise(signatures(df, words, id_col, text_col)))
         known = self.signed.filter("cid is not null and doc_id is not null")
         self.classes = materialise(
             known.groupBy("cid").agg(
-                F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+                F.min("doc_id").alias("rep"), F.first("more").alias("more"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
             )
         )
         self.brief = self.classes.select("cid", "n", "sketch")
@@ -229,7 +250,7 @@ class Linker:
 
     def full_sets(self, cids: DataFrame) -> DataFrame:
         """(cid, shingles) of some classes."""
-        wanted = self._kept(cids.distinct().join(self.classes.select("cid", "rep"), "cid").select("rep", "cid"))
+        wanted = self._kept(cids.distinct().join(self.classes.select("cid", "rep", "more"), "cid").select("rep", "cid", "more"))
         return self._kept(_full_sets(self.df, wanted, self.words, self.id_col, self.text_col))
 
     def sifted(self, now: DataFrame, sets: DataFrame) -> DataFrame:
@@ -291,7 +312,7 @@ class Linker:
     def last_pairs(self, now: DataFrame, sets: DataFrame) -> DataFrame:
         """All pairs (a, b, n_a, n_b) of different components in a bucket that their whole sets' odd sketches let through.
 
-        A bucket is dealt into blocks of about BLOCK classes, and each pair of blocks is one group: sketches are
+        A bucket is dealt into blocks, and each pair of blocks is one group: sketches are
         compared in it, and only pairs that pass become rows.
         """
         allowed = (100 - self.percent) / (100 + self.percent)
@@ -304,8 +325,10 @@ class Linker:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends), pa.int64()), pa.array(made, pa.binary())], names=["cid", "n", "whole"])
 
         sketches = sets.mapInArrow(sketch, "cid long, n long, whole binary")
-        blocks = now.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-        rows = now.select("key", "cid", "comp").join(sketches, "cid").join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+        blocks = now.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select(
+            "key", F.greatest(F.ceil(F.sqrt(F.col("n") / LEAST_BLOCK)), F.ceil(F.col("n") / MAX_BLOCK)).cast("int").alias("blocks")
+        )
+        rows = self._with(now.select("key", "cid", "comp"), blocks).join(sketches, "cid").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
 

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillfeed.llm import components, neardup
 from quillfeed.llm.arrow import utf8_view
@@ -138,3 +139,11 @@ def test_edges(spark):
     got = sorted((r["doc_id"] or -1, r["component_id"], r["kept"]) for r in neardup.near_duplicates(df, 4).collect())
     assert got == [(-1, None, True), (2, 2, True), (5, 2, False), (5, 2, False), (9, 9, True)]
     assert neardup.near_duplicates(df.limit(0), 4).collect() == []
+
+
+def test_sets_that_share_64_bits_of_digest(spark):
+    signed = spark.createDataFrame(
+        [(1, 7, 1), (2, 7, 2), (3, 7, 2), (4, 7, None), (5, 8, 1), (6, None, None)], "doc_id long, cid long, more long"
+    ).withColumn("more", F.coalesce("more", F.when(F.col("cid").isNotNull(), 1)))
+    got = {r["doc_id"]: r["cid"] for r in neardup.unique_classes(signed).collect()}
+    assert got[1] == got[4] == 7 and got[2] == got[3] != 7 and (got[5], got[6]) == (8, None)
