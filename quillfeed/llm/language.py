@@ -4,6 +4,8 @@ Letters are lower-cased, everything else is a space; runs of 1 to 3 characters a
 buckets. Training counts buckets per language; scoring gathers rows of the broadcast log-probability matrix for the
 n-grams that a batch holds and sums them per document, all in numpy over whole texts.
 
+A very long text is cut into parts that share their edges, so memory is bounded by the text itself and no n-gram is lost.
+
 Cases: a null text or one without a letter is `und` with score 0; empty training data makes every text `und`; very
 long texts are whole; equal posteriors go to the first language in order; repeated rows are scored one by one; an
 empty table gives an empty result; further columns are ignored.
@@ -29,6 +31,8 @@ UNKNOWN = "und"
 
 #: Bytes of text that are scored at once; arrays take some 60 times as much.
 SLICE = 512 << 10
+#: Characters of one long text that are hashed at once.
+PART = 256 << 10
 
 _letter_table: list[np.ndarray] = []
 
@@ -40,21 +44,34 @@ def letters() -> np.ndarray:
     return _letter_table[0]
 
 
-def ngram_buckets(texts: list[str], buckets: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each length of n-grams: (bucket of every n-gram that holds a letter, its document).
+def ngram_buckets(texts: list[str], buckets: int = BUCKETS, part: int = PART) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket of every n-gram that holds a letter, its document), for each length of n-grams and part of the texts.
 
     Two spaces part documents, so an n-gram with a letter touches one document only.
     """
-    joined = "  ".join(["", *texts, ""])
+    if len(texts) > 1 or len(texts[0]) <= part:
+        joined = "  ".join(["", *texts, ""])
+        lengths = np.fromiter((len(t) + 2 for t in texts), np.int64, len(texts))
+        owner = np.concatenate([np.zeros(2, np.int32), np.repeat(np.arange(len(texts), dtype=np.int32), lengths)])
+        yield from _hashed(joined, owner, buckets, len(joined))
+        return
+    # One long text: parts hold the characters that an n-gram which starts in them reaches, and no more n-grams start.
+    reach = max(SIZES) - 1
+    for at in range(-2, len(texts[0]) + 2, part):
+        end = at + part + reach
+        piece = " " * max(0, -at) + texts[0][max(0, at) : end] + " " * max(0, min(end, len(texts[0]) + 2) - len(texts[0]))
+        yield from _hashed(piece, np.zeros(len(piece), np.int32), buckets, part)
+
+
+def _hashed(joined: str, owner: np.ndarray, buckets: int, starts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets and documents of the n-grams that start within the first `starts` characters."""
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     is_letter = letters()[codes]
     codes = np.where(is_letter, codes, np.uint32(32))
-    lengths = np.fromiter((len(t) + 2 for t in texts), np.int64, len(texts))
-    owner = np.concatenate([np.zeros(2, np.int32), np.repeat(np.arange(len(texts), dtype=np.int32), lengths)])
     for n in SIZES:
-        if len(codes) < n:
+        end = min(len(codes) - n + 1, starts)
+        if end <= 0:
             continue
-        end = len(codes) - n + 1
         h = np.full(end, n, dtype=np.uint32)
         keep = np.zeros(end, bool)
         for k in range(n):

@@ -11,6 +11,7 @@ kept; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -77,28 +78,41 @@ class NoticeSearch:
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(notice, start, end, edits) of the fuzzy occurrences in a normalised text, in order of place."""
-        windows: dict[int, list[list[int]]] = {}
+        windows: dict[int, list[tuple[int, int]]] = {}
         for last, (length, places) in self.automaton.iter(text):
             for i, at in places:
                 notice, _, edits, _ = self.notices[i]
                 start = last - length + 1 - at
-                a, b = max(0, start - edits), min(len(text), start + len(notice) + edits)
-                own = windows.setdefault(i, [])
-                if own and a <= own[-1][1] and a >= own[-1][0]:
-                    own[-1][1] = max(own[-1][1], b)  # seeds of one place share a window
-                else:
-                    own.append([a, b])
+                windows.setdefault(i, []).append((max(0, start - edits), min(len(text), start + len(notice) + edits)))
         found = []
         for i, own in windows.items():
-            pattern, done = self.notices[i][3], -1
-            for a, b in own:
-                a = max(a, done)
-                for m in pattern.finditer(text, a, b):
-                    found.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
-                    done = m.end()
+            for a, b in _merged(own):
+                every = [(sum(m.fuzzy_counts), m.start(), m.end()) for m in self.notices[i][3].finditer(text, a, b, overlapped=True)]
+                found += [(i, start, end, edits) for edits, start, end in _apart(every)]
         return sorted(found, key=lambda f: (f[1], f[0]))
 
 
+def _merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Windows that overlap, joined, in order: the seeds of one place share a window."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(windows):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _apart(finds: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of (edits, start, end) those that overlap none with fewer edits, or as many and an earlier start."""
+    taken: list[tuple[int, int, int]] = []  # in order of place
+    for edits, start, end in sorted(set(finds)):
+        at = bisect.bisect(taken, start, key=lambda t: t[1])
+        if (at == 0 or taken[at - 1][2] <= start) and (at == len(taken) or end <= taken[at][1]):
+            taken.insert(at, (edits, start, end))
+    return taken
+
+
 _search: list[NoticeSearch] = []
 
 

@@ -1,9 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words are mapped to classes (insult, threat, target, negation, reported speech). Four small weighted transducers -
-insults and threats, targets, negation, reported speech - are composed into one machine, which reads the classes of
-a clause and gives a weight to each clause that it matches: an aimed insult weighs more than a bare one, a negated
-or merely quoted one less. A logistic fit on labelled rows turns the weights of a document's clauses into a score.
+Words are mapped to classes (insult, threat, target, first person, negation, reported speech). Small transducers are
+composed into one machine, which reads the classes of a clause: reported speech, negation, targets and first persons
+mark the insults and threats that come within their reach, and the last machine, which is weighted, sums the marked
+ones. An aimed insult weighs more than a bare one, a negated or merely quoted one less; a threat counts where a target
+or an insult stands before or after it in the clause, or a first person means it. A logistic fit on labelled rows turns
+the weights of a document's clauses into a score.
 
 The insult class holds stated words and stems learned from labelled rows: beginnings of words that stand in toxic
 documents, in many different surroundings, far more often than in others.
@@ -37,16 +39,23 @@ THREATS = """kill killing murder shoot stab hang burn strangle beat crush destro
 matar mataré tuer tuerai töten umbringen""".split()
 TARGETS = """you your yours yourself u ur he she they them him her his their those these people everyone all tu vous
 toi tú usted ustedes du dich euch sie ihr""".split()
+FIRST_PERSONS = "i we i'll we'll i'm we're i'd we'd ich wir je nous yo nosotros".split()
 NEGATIONS = "not no never isn't aren't wasn't don't doesn't didn't nobody nor without nicht kein keine pas jamais nunca".split()
 REPORTS = """said says say wrote writes called quoted quote quotes reported according stated tweeted posted replied
 alleged sagte schrieb dit écrit dijo escribió""".split()
 
 #: Classes of words, the alphabet of the transducers; OTHER is any other word.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "oithnr"
-#: Words within which a negation or a target reaches a match.
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, FIRST = "oithnrf"
+#: Marks that follow an insult or a threat: aimed at a target, meant by a first person, negated, reported.
+AIMED, MEANT, NEGATED, REPORTED = "!@-~"
+#: Words within which a negation, a target or a first person reaches a match.
 REACH = 4
+#: Weights: of a bare and an aimed insult; of a threat that has a target, of one that is only meant, of one that is both.
+BARE, AIMED_INSULT, TARGETED_THREAT, MEANT_THREAT, FULL_THREAT = 1.0, 1.5, 0.8, 0.5, 1.2
+#: Factors of marks.
+FACTORS = {NEGATED: 0.4, REPORTED: 0.5}
 
-_WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
 _CLAUSES = re.compile(r"[.!?;:\n\r…]+")
 
 #: Labelled rows of a class that learning takes at most: a uniform sample by hash of the id, the fit's stated bound.
@@ -84,45 +93,64 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return Transducer((first.start, second.start), arcs, arc)
 
 
-def within(symbol: str, marked: str, factor: float, reach: int | None) -> Transducer:
-    """Multiplies the weight of a match that follows `symbol` within `reach` words (None: to the clause's end)."""
+def marker(symbol: str, mark: str, reach: int | None) -> Transducer:
+    """Marks the insults and threats that follow `symbol` within `reach` words (None: to the clause's end)."""
 
     def arc(state, s):
-        if s == symbol:
+        if s[0] == symbol:
             return (reach if reach is not None else -1, s, 1.0)
-        w = factor if s in marked and state != 0 else 1.0
-        return (state if state <= 0 else state - 1, s, w)
+        out = s + mark if s[0] in (INSULT, THREAT) and state != 0 else s
+        return (state if state <= 0 else state - 1, out, 1.0)
 
     return Transducer(0, {}, arc)
 
 
 def matcher() -> Transducer:
-    """Insults and threats carry weight; a threat only where a target or insult has come up in the clause."""
+    """The weights of marked insults and threats; what still waits for a target is kept in the state.
 
-    def arc(state, s):
-        if s == INSULT:
-            return (1, s, 1.0)
-        if s == THREAT:
-            return (state, s, 0.6 if state else 0.0)
-        return (1 if s == TARGET else state, s, 0.0)
+    State: whether a target or an insult has come up, the weight that a threat still gets from the next one, and the
+    weight that a bare insult still gets from a target within so many words.
+    """
 
-    return Transducer(0, {}, arc)
+    def arc(state, s):
+        came, threat, insult, left = state
+        factor = math.prod(f for m, f in FACTORS.items() if m in s)
+        if s[0] == INSULT:
+            if AIMED in s:
+                return ((True, 0.0, 0.0, 0), s, AIMED_INSULT * factor + threat)
+            return ((True, 0.0, (AIMED_INSULT - BARE) * factor, REACH), s, BARE * factor + threat)
+        left = max(0, left - (s[0] != TARGET))
+        insult = insult if left else 0.0
+        if s[0] == TARGET:
+            return ((True, 0.0, 0.0, 0), s, threat + insult)
+        if s[0] == THREAT:
+            whole = FULL_THREAT if MEANT in s else TARGETED_THREAT
+            now = whole if came else MEANT_THREAT if MEANT in s else 0.0
+            return ((came, max(threat, (whole - now) * factor), insult, left), s, now * factor)
+        return ((came, threat, insult, left), s, 0.0)
+
+    return Transducer((False, 0.0, 0.0, 0), {}, arc)
 
 
 def grammar() -> Transducer:
-    """Reported speech, negation and target, composed over the matcher."""
-    marked = INSULT + THREAT
-    machine = compose(within(REPORT, marked, 0.5, None), within(NEGATION, marked, 0.4, REACH))
-    machine = compose(machine, within(TARGET, marked, 1.5, REACH))
+    """Reported speech, negation, targets and first persons, composed over the matcher."""
+    machine = compose(marker(REPORT, REPORTED, None), marker(NEGATION, NEGATED, REACH))
+    machine = compose(machine, marker(TARGET, AIMED, REACH))
+    machine = compose(machine, marker(FIRST, MEANT, REACH))
     return compose(machine, matcher())
 
 
+def words_of(text: str) -> list[str]:
+    """Lower-cased words; typographic apostrophes are plain ones."""
+    return _WORDS.findall(text.lower().replace("’", "'"))
+
+
 class Lexicon:
     """Classes of words; learned stems are insults too. Answers are kept for words met before, up to a bound."""
 
     def __init__(self, stems: dict[str, float] | None = None):
         self.fixed = {}
-        for words, kind in ((REPORTS, REPORT), (NEGATIONS, NEGATION), (TARGETS, TARGET), (THREATS, THREAT), (INSULTS, INSULT)):
+        for words, kind in ((REPORTS, REPORT), (NEGATIONS, NEGATION), (FIRST_PERSONS, FIRST), (TARGETS, TARGET), (THREATS, THREAT), (INSULTS, INSULT)):
             self.fixed |= {w: kind for w in words}
         self.stems = stems or {}
         self.lengths = sorted({len(s) for s in self.stems})
@@ -145,7 +173,7 @@ class Lexicon:
 
 def clause_weights(text: str, lexicon: Lexicon, machine: Transducer) -> list[float]:
     """Weights of the clauses that match, in order."""
-    lowered = text.lower()
+    lowered = text.lower().replace("’", "'")
     kind = lexicon.kind
     hot = {w for w in set(_WORDS.findall(lowered)) if kind(w) in (INSULT, THREAT)}
     if not hot:
@@ -165,7 +193,7 @@ def clause_weights(text: str, lexicon: Lexicon, machine: Transducer) -> list[flo
 
 
 def features(weights: list[float]) -> tuple[float, float, float]:
-    return (min(len(weights), 20) / 4, math.log1p(sum(weights)), max(weights, default=0.0))
+    return (math.log1p(len(weights)), math.log1p(sum(weights)), max(weights, default=0.0))
 
 
 class Model:
@@ -192,7 +220,7 @@ def _stem_rows(batches: Iterator[pa.RecordBatch], wanted: set[str] | None) -> It
     around: dict[str, int] = {}
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            words = _WORDS.findall((text or "").lower())
+            words = words_of(text or "")
             seen: set[str] = set()
             for i, w in enumerate(words):
                 found = [w[:n] for n in STEM_LENGTHS if len(w) >= n] + ([w] if len(w) not in STEM_LENGTHS else [])
@@ -214,10 +242,12 @@ def _stem_rows(batches: Iterator[pa.RecordBatch], wanted: set[str] | None) -> It
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id"
+    docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", learn_stems: bool = True
 ) -> Model:
     """Learns stems and the logistic weights from documents whose label is 0 or 1, a bounded sample of each.
 
+    Without `learn_stems` the insults are the stated words alone.
+
     The sample is drawn among the labels alone, so only its few thousand ids meet the documents, by broadcast.
     """
     ship_package(docs.sparkSession)
@@ -230,16 +260,35 @@ def train(
     picked = F.broadcast(rows.filter(draw < share))  # two classes of about ROWS_OF_A_CLASS rows
     sample = docs.select(id_col, text_col).join(picked, id_col).select(text_col, "y").persist()
     try:
-        model = _fit(sample, text_col)
+        model = _fit(sample, text_col, learn_stems)
     finally:
         sample.unpersist()
     return model
 
 
-def _fit(sample: DataFrame, text_col: str) -> Model:
+def _fit(sample: DataFrame, text_col: str, learn_stems: bool) -> Model:
     size = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
     if len(size) < 2:
         return Model()
+    stems = _stems(sample, text_col, size) if learn_stems else {}
+    model = Model(stems)
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            f = [features(shared.value.clauses(t)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([x[k] for x in f], pa.float64()) for k in range(3)), batch.column(1)], names=["a", "b", "c", "y"]
+            )
+
+    found = sample.mapInArrow(run, "a double, b double, c double, y int").collect()  # two classes of ROWS_OF_A_CLASS rows
+    x = np.array([[1.0, r["a"], r["b"], r["c"]] for r in found])
+    y = np.array([r["y"] for r in found], dtype=float)
+    w = logistic(x, y)
+    return Model(stems, float(w[0]), [float(v) for v in w[1:]])
+
+
+def _stems(sample: DataFrame, text_col: str, size: dict[int, int]) -> dict[str, float]:
     schema = "stem string, n long, around long"
     surroundings = F.bit_count(F.bit_or("around"))
     toxic = (
@@ -262,21 +311,7 @@ def _fit(sample: DataFrame, text_col: str) -> Model:
         # Copies of one passage repeat its few surroundings; a real insult meets new ones, up to what 63 bits can tell.
         if ratio >= MIN_RATIO and around >= min(20, 0.5 * n) and not any(stem[:k] in stems for k in range(3, len(stem))):
             stems[stem] = math.log(ratio)
-    model = Model(stems)
-    shared = sample.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            f = [features(shared.value.clauses(t)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array([x[k] for x in f], pa.float64()) for k in range(3)), batch.column(1)], names=["a", "b", "c", "y"]
-            )
-
-    found = sample.mapInArrow(run, "a double, b double, c double, y int").collect()  # two classes of ROWS_OF_A_CLASS rows
-    x = np.array([[1.0, r["a"], r["b"], r["c"]] for r in found])
-    y = np.array([r["y"] for r in found], dtype=float)
-    w = logistic(x, y)
-    return Model(stems, float(w[0]), [float(v) for v in w[1:]])
+    return stems
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:

@@ -54,6 +54,45 @@ def test_fuzzy_finds_planted_edits():
             assert all(n[3] <= edits for n in hit) or label in ("mit-notice", "gpl-notice", "cc-notice")
 
 
+def test_overlapping_finds_keep_the_fewest_edits():
+    assert licenses._apart([(2, 0, 10), (1, 8, 18), (1, 17, 27), (0, 30, 40), (0, 30, 40), (3, 39, 50)]) == [(1, 8, 18), (0, 30, 40)]
+    search = licenses.NoticeSearch({"all rights reserved": "x"})
+    found = search.find("all rights reserved all rightz reserved al rights reserved")
+    assert [(f[1], f[3]) for f in found] == [(0, 0), (20, 1), (40, 1)]
+
+
+def test_fuzzy_search_against_edit_distances():
+    """Each find is within its bound, and a place within the bound that no find covers does not exist."""
+    rng = random.Random(6)
+    notice, edits = "all rights reserved", 1
+    search = licenses.NoticeSearch({notice: "x"})
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    for _ in range(120):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            chars = list(notice)
+            for _ in range(rng.randint(0, 2)):
+                at = rng.randrange(len(chars))
+                chars[at : at + 1] = rng.choice([[], [rng.choice("abz")], [chars[at], "q"]])
+            parts.append("".join(chars))
+        text = rng.choice([" ", " so ", ""]).join(parts)
+        found = search.find(text)
+        for _, a, b, n in found:
+            assert distance(text[a:b], notice) <= n <= edits
+        for a in range(len(text)):
+            for b in range(a + len(notice) - edits, min(len(text), a + len(notice) + edits) + 1):
+                if distance(text[a:b], notice) <= edits:
+                    assert any(x < b and a < y for _, x, y, _ in found), (text, a, b)
+
+
 def test_clean_text_has_no_notice():
     out = licenses.scan_text(b"the quick brown fox jumps over the lazy dog " * 500)
     assert out["notices"] == [] and out["n_words"] == 4500

@@ -1,5 +1,7 @@
 """Toxicity: held-out labels, the grammar's clauses, learned stems, and edges."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from quillfeed.llm import language, toxicity
@@ -15,7 +17,9 @@ def test_grammar():
     assert len(bare) == 1 and aimed[0] > bare[0]
     assert clauses("you are not an idiot")[0] < aimed[0]
     assert clauses("he said you are an idiot")[0] < aimed[0]
-    assert clauses("I will kill you")[0:] == [] and len(clauses("you, I will kill you")) == 1
+    assert clauses("I will kill you") == [1.2] and clauses("kill them") == [0.8] and clauses("we shall murder the neighbours") == [0.5]
+    assert clauses("I won't, no, not kill you") == [1.2 * 0.4] and clauses("kill, idiot") == [1.8]
+    assert clauses("idiots like you") == [1.5] and clauses("an idiot went a long way to you") == [1.0]
     assert clauses("kill the process") == [] and clauses("") == [] and clauses("fine words. more of them") == []
     assert len(clauses("idiot. scum!")) == 2
 
@@ -24,6 +28,46 @@ def test_composition_multiplies_weights():
     assert abs(clauses("he said you are not an idiot")[0] - 0.5 * 0.4 * 1.5) < 1e-9
 
 
+def test_typographic_apostrophes():
+    assert clauses("you aren’t an idiot") == clauses("you aren't an idiot") == [1.5 * 0.4]
+    assert clauses("we’ll kill you") == [1.2]
+
+
+def plain_weight(classes):
+    """What a clause weighs, restated as a search around each insult and threat instead of a machine."""
+    total, waiting = 0.0, []
+    back = lambda i, c: c in classes[max(0, i - 4) : i]
+    factor = lambda i: (0.4 if back(i, "n") else 1.0) * (0.5 if "r" in classes[:i] else 1.0)
+    for i, c in enumerate(classes):
+        if c == "i":
+            after = next((k for k in range(i + 1, len(classes)) if classes[k] in "ih"), None)
+            aimed = back(i, "h") or (after is not None and classes[after] == "h" and after - i <= 4)
+            total += (1.5 if aimed else 1.0) * factor(i)
+        if c == "t":
+            whole = 1.2 if back(i, "f") else 0.8
+            if any(x in "ih" for x in classes[:i]):
+                total += whole * factor(i)
+                continue
+            now = 0.5 if back(i, "f") else 0.0
+            total += now * factor(i)
+            waiting.append((i, (whole - now) * factor(i)))
+    first = next((k for k, c in enumerate(classes) if c in "ih"), None)
+    before = [w for i, w in waiting if first is not None and i < first]
+    return total + max(before, default=0.0)
+
+
+def test_machine_against_a_plain_search():
+    rng, machine = random.Random(9), toxicity.grammar()
+    for _ in range(4000):
+        classes = [rng.choice("ooooithnrf") for _ in range(rng.randint(0, 14))]
+        state, total = machine.start, 0.0
+        for c in classes:
+            state, _, weight = machine.step(state, c)
+            total += weight
+        assert abs(total - plain_weight(classes)) < 1e-9, classes
+    assert len(machine.arcs) < 20_000
+
+
 def test_learned_stems(spark):
     spell = lambda i: "".join(chr(97 + int(c)) for c in str(i))
     filler = [f"mot{spell(i)} lieu soir{spell(i)}" for i in range(400)]
