@@ -18,7 +18,7 @@ from quillfeed.session import materialise, read_table
 MAX_TOXICITY = 0.5
 #: Documents stay where some language is at least this likely; texts without a letter have none.
 MIN_LANGUAGE_SCORE = 0.5
-#: Rejected ids up to which their list is broadcast; beyond it, the join shuffles.
+#: Rejected rows up to which their list is broadcast; beyond it, the join shuffles.
 BROADCAST_IDS = 1_000_000
 
 
@@ -36,22 +36,35 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep(docs, model, MIN_LANGUAGE_SCORE)
 
 
+def by_row(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a number for each row, written so that it stays the same, and the number's column.
+
+    Stages that drop rows decide by it: an id may be null, or stand for several texts.
+    """
+    name = "__row"
+    while name in docs.columns:
+        name += "_"
+    return materialise(docs.withColumn(name, F.monotonically_increasing_id())), name
+
+
+def without(rows: DataFrame, name: str, rejected: DataFrame) -> DataFrame:
+    """The rows whose number is not rejected, as they were."""
+    rejected = F.broadcast(rejected) if rejected.count() <= BROADCAST_IDS else rejected
+    return rows.join(rejected, name, "left_anti").drop(name)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; of rows that repeat an id, one stays."""
-    judged = materialise(neardup.near_duplicates(docs, words=5, percent=80).select("doc_id", "kept"))
-    rejected = materialise(judged.filter(~F.col("kept")).select("doc_id").distinct())
-    repeated = materialise(judged.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"))
-    small = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    kept = docs.join(small(rejected), "doc_id", "left_anti")
-    if repeated.limit(1).count():
-        once = kept.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(small(repeated), "doc_id", "left_anti").unionByName(once)
-    return kept.select(*docs.columns)
+    """One document of each group of near-duplicates: its first row."""
+    rows, name = by_row(docs)
+    judged = neardup.near_duplicates(rows, words=5, percent=80, id_col=name)
+    return without(rows, name, materialise(judged.filter(~F.col("kept")).select(F.col("doc_id").alias(name))))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
-    return decontamination.remove(docs, read_table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    rows, name = by_row(docs)
+    found = decontamination.matches(rows, read_table(spark, sf_dir, "benchmark"), id_col=name)
+    return without(rows, name, materialise(found.select(F.col("doc_id").alias(name)).distinct()))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
