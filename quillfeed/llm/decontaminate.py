@@ -48,27 +48,29 @@ STARTERS = (
     "Der|Die|Das|Ein|Eine|Es|Er|Sie|Wir|Und|Oder|Aber|Wenn|Was|Wer|Wie|Wo|Im|Am|Zu|"
     "Le|La|Les|Un|Une|Des|Il|Elle|Nous|Vous|Et|Ou|Mais|Si|Que|Qui|Dans|El|Los|Las|Una|Y|O|Pero|En|De|Se"
 )
-#: A name: a capitalised word after a lower-case word or a comma.
-_NAMES = r"(?<=[\p{Ll},] )\p{Lu}[\p{L}\p{M}]*"
+#: A name: a capitalised word after a lower-case word or a comma. Words in capitals throughout are none.
+_CAPITALISED = r"\p{Lu}[\p{Ll}\p{M}][\p{L}\p{M}]*"
+_NAMES = rf"(?<=[\p{{Ll}},] ){_CAPITALISED}"
 #: The same, and a capitalised word at the start of a sentence that is no starter.
 _STARTING_NAMES = (
     r"(?=\p{Lu})(?:(?<=[\p{Ll},] )|(?:(?<=^|[\n.!?…])|(?<=[\n.!?…][\s\"'”»)(])|(?<=[\n.!?…]\s[\s\"'“«(]))"
-    rf"(?!(?:{STARTERS})(?![\p{{L}}\p{{M}}])))\p{{Lu}}[\p{{L}}\p{{M}}]*"
+    rf"(?!(?:{STARTERS})(?![\p{{L}}\p{{M}}]))){_CAPITALISED}"
 )
+#: What is taken for a name: nothing, words inside sentences, or first words too.
+NO_NAMES, INNER_NAMES, ALL_NAMES = None, _NAMES, _STARTING_NAMES
 #: Ends of sentences and lines.
 _ENDS = r"[.!?…]+(?=[\s\"'”»)]|$)|\n+"
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
 
 
-def template_tokens(text: Column, values: bool = False, starts: bool = True) -> Column:
+def template_tokens(text: Column, values: bool = False, names: str | None = ALL_NAMES) -> Column:
     """Words of the canonical template in lower case; with `values`, a placeholder carries what it stands for.
 
-    With `starts`, names that start a sentence are names too. All forms have the same number of tokens at the same
-    positions.
+    `names` says what is taken for a name. All forms have the same number of tokens at the same positions.
     """
     kept = "$0" if values else ""
     t = F.coalesce(text, F.lit(""))
-    t = F.regexp_replace(t, _STARTING_NAMES if starts else _NAMES, f" {NAME}{kept} ")
+    t = F.regexp_replace(t, names, f" {NAME}{kept} ") if names else t
     t = F.regexp_replace(t, r"\p{N}+(?:[.,:/]\p{N}+)*", f" {NUMBER}{kept} ")
     unit = rf"(?i)({NUMBER}[\p{{N}}.,:/]*\s+)({UNITS})(?![\p{{L}}\p{{M}}\p{{N}}])"
     t = F.regexp_replace(t, unit, f"$1 {UNIT}{'$2' if values else ''} ")
@@ -95,9 +97,9 @@ def benchmark_items(benchmark: DataFrame, item_col: str, text_col: str) -> DataF
 def item_windows(items: DataFrame) -> DataFrame:
     """(item, ipos, w, width, n_windows) of the items that are long enough to be found anywhere.
 
-    A capitalised first word may be a name or not, and the document may have it in lower case: items have both forms.
+    A capitalised first word may be a name or not, and the document may be in lower case or capitals: items have all forms.
     """
-    forms = F.array_distinct(F.array(template_tokens(F.col("item_text")), template_tokens(F.col("item_text"), starts=False)))
+    forms = F.array_distinct(F.array(*(template_tokens(F.col("item_text"), names=n) for n in (ALL_NAMES, INNER_NAMES, NO_NAMES))))
     tokens = items.select("item", F.explode(forms).alias("tokens"))
     hashed = tokens.select("item", F.transform("tokens", lambda x: F.xxhash64(x)).alias("h")).filter(F.size("h") >= MIN_WORDS)
     parts = []
@@ -149,17 +151,17 @@ def matches(
 def _sentences(source: DataFrame, items: DataFrame) -> DataFrame | None:
     """(doc_id, item, coverage, run_words) of items under MIN_WORDS words that are a whole sentence, line or text; None if there is no such item."""
     few = F.size("item_tokens").between(1, MIN_WORDS - 1)
-    short = items.select("item", template_tokens(F.col("item_text"), starts=False).alias("item_tokens"), template_tokens(F.col("item_text"), True, False).alias("item_values"))
+    short = items.select("item", template_tokens(F.col("item_text"), names=INNER_NAMES).alias("item_tokens"), template_tokens(F.col("item_text"), True, INNER_NAMES).alias("item_values"))
     short = materialise(short.filter(few).withColumn("w", F.xxhash64("item_tokens")))
     n = short.count()
     if n == 0:
         return None
     text = F.coalesce(F.col("__text"), F.lit(""))
     parts = F.array_distinct(F.concat(F.array(text), F.split(text, "\n"), F.split(text, _ENDS)))
-    said = source.select("doc_id", F.explode(parts).alias("said")).withColumn("tokens", template_tokens(F.col("said"), starts=False))
+    said = source.select("doc_id", F.explode(parts).alias("said")).withColumn("tokens", template_tokens(F.col("said"), names=INNER_NAMES))
     said = said.filter(F.size("tokens").between(1, MIN_WORDS - 1)).withColumn("w", F.xxhash64("tokens"))
     hit = said.join(_broadcast_if(short, n, BROADCAST_WINDOWS), "w").filter(F.col("tokens") == F.col("item_tokens"))
-    pairs = F.arrays_zip(F.col("item_values").alias("i"), template_tokens(F.col("said"), True, False).alias("d"))
+    pairs = F.arrays_zip(F.col("item_values").alias("i"), template_tokens(F.col("said"), True, INNER_NAMES).alias("d"))
     alike = F.forall(
         pairs, lambda x: F.forall(pairs, lambda y: (x["i"] == y["i"]).eqNullSafe(x["d"] == y["d"]))
     )
@@ -188,10 +190,10 @@ def _slots(tokens: DataFrame, key: str, pos: str, value: str) -> DataFrame:
 def _consistent(aligned: DataFrame, source: DataFrame, items: DataFrame) -> DataFrame:
     """Pieces without slots, and those whose slots are consistent."""
     piece = ["doc_id", "item", "shift", "low", "high"]
-    # The first word of a sentence is a slot only where the document has a name there too.
+    # A name is a slot only where the document has one there too, or else the windows have met in the very word.
     item_tokens = items.select(
         "item",
-        F.arrays_zip(template_tokens(F.col("item_text"), values=True).alias("value"), template_tokens(F.col("item_text"), starts=False).alias("plain")).alias("tokens"),
+        F.arrays_zip(template_tokens(F.col("item_text"), values=True).alias("value"), template_tokens(F.col("item_text"), names=NO_NAMES).alias("plain")).alias("tokens"),
     )
     item_slots = item_tokens.select("item", F.posexplode("tokens").alias("slot_at", "t")).filter(_is_slot(F.col("t.value")))
     item_slots = materialise(item_slots.select("item", "slot_at", F.col("t.value").alias("item_value"), (~_is_slot(F.col("t.plain"))).alias("maybe")))

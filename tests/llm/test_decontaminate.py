@@ -37,7 +37,7 @@ def test_finds_what_is_planted(spark):
     docs = [f"{filler(rng, 60)} {x} {filler(rng, 60)}" for x in ("", ITEM, again, ITEM.upper(), " ".join(ITEM.split()[:16]), " ".join(ITEM.split()[:6]))] + [mixed, None, "", ITEM * 50]
     got = report(spark, docs, [ITEM, filler(rng, 40), None, "", "too short"])
     flagged = {i for i, r in got.items() if r["contaminated"]}
-    assert {1, 2, 4, 9} <= flagged and not flagged & {0, 5, 7, 8}
+    assert {1, 2, 3, 4, 9} <= flagged and not flagged & {0, 5, 7, 8}
     assert got[2]["item_id"] == 0 and got[2]["coverage"] > 0.9 and got[9]["coverage"] == 1.0
 
 
