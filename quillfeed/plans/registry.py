@@ -687,4 +687,4 @@ def q_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", F.col("event_id").alias("seq"), F.col("value").alias("reply_count"), F.col("event_type").alias("title")
     )
     merge_stream.merge_stream(stream, f"{base}/corpus", f"{base}/state", "user_id", "seq", merge.RECORD_RULES).awaitTermination()
-    return spark.read.parquet(f"{base}/corpus").select("user_id", "reply_count", "title")
+    return merge_stream.read_corpus(spark, f"{base}/corpus").select("user_id", "reply_count", "title")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillfeed.session import materialise
+from quillfeed.sources import versions
 from quillfeed.sources.landed import exists
 
 
@@ -18,26 +19,64 @@ def _fs(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Ends what a stopped replacement of `path` has begun: forward if the new data are whole, else back.
+
+    While the target exists, what lies beside it is of no use. Where it is gone, its old data wait beside it, and the
+    staged data, which were whole before the target was touched, take its place.
+    """
+    fs, target = _fs(spark, path)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(target.getParent()):
+        return
+    beside = [s.getPath() for s in fs.listStatus(target.getParent())]
+    named = lambda kind: {p.getName().rpartition("-")[2]: p for p in beside if p.getName().startswith(f"{target.getName()}.{kind}-")}
+    stages, olds = named("stage"), named("old")
+    if not fs.exists(target):
+        for run, old in olds.items():
+            if run in stages and fs.exists(at(stages[run], "_SUCCESS")):
+                fs.rename(stages[run], target)
+            else:
+                fs.rename(old, target)
+            break
+    if fs.exists(target):
+        for left in (*stages.values(), *olds.values()):
+            fs.delete(left, True)
+
+
 def replace_atomically(df: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
-    """Writes beside the target, then renames: readers see the old data or the new, never a part.
+    """Writes beside the target, then renames twice: the old data go aside, the new take their place.
 
-    On failure the staged files go and the old data stay.
+    On failure the staged files go and the old data stay. A run that stops between any two steps loses nothing:
+    `recover`, with which every replacement and `read_stored` begin, finishes it. Streams that must change together,
+    or be readable at every moment, are kept in a store of versions.
     """
     spark = df.sparkSession
-    stage, old = f"{path}.stage-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    recover(spark, path)
+    run = uuid.uuid4().hex
+    stage, old = f"{path}.stage-{run}", f"{path}.old-{run}"
     fs, target = _fs(spark, path)
     at = spark._jvm.org.apache.hadoop.fs.Path
     try:
         df.write.format(fmt).options(**options).save(stage)
-        if fs.exists(target):
-            fs.rename(target, at(old))
-        if not fs.rename(at(stage), target):
-            fs.rename(at(old), target)
-            raise OSError(f"cannot rename to {path}")
+    except Exception:
+        fs.delete(at(stage), True)
+        raise
+    had = fs.exists(target)
+    if had and not fs.rename(target, at(old)):
+        fs.delete(at(stage), True)
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(at(stage), target):
+        recover(spark, path)
+        raise OSError(f"cannot rename to {path}")
+    if had:
         fs.delete(at(old), True)
-    finally:
-        if fs.exists(at(stage)):
-            fs.delete(at(stage), True)
+
+
+def read_stored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """What `replace_atomically` has stored, or None."""
+    recover(spark, path)
+    return spark.read.format(fmt).load(path) if exists(spark, path) else None
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -104,23 +143,27 @@ def run_with_report(spark: SparkSession, path: str, work: Callable[[dict], None]
     return report
 
 
-def promote(streams: dict[str, tuple[DataFrame, str]], failures: DataFrame, all_or_nothing: bool = True) -> dict[str, str | None]:
-    """Writes streams to their paths. All or nothing: only if there is no failure; else each stream for itself.
+def promote(spark: SparkSession, base: str, streams: dict[str, DataFrame], failures: DataFrame, all_or_nothing: bool = True) -> dict[str, str | None]:
+    """Promotes streams into the store at `base`. All or nothing: only without any failure, and then in one commit.
 
-    Returns the error of each stream, None where it was written.
+    Else each stream for itself. Returns the error of each stream, None where it was promoted.
     """
-    if all_or_nothing and failures.limit(1).count():
-        return dict.fromkeys(streams, "not promoted: there were failures")
+    if all_or_nothing:
+        if failures.limit(1).count():
+            return dict.fromkeys(streams, "not promoted: there were failures")
+        try:
+            versions.publish(spark, base, streams)
+        except Exception as error:
+            return dict.fromkeys(streams, f"not promoted: {str(error)[:500]}")
+        return dict.fromkeys(streams)
     out: dict[str, str | None] = {}
-    for name, (df, path) in streams.items():
+    for name, df in streams.items():
         try:
-            replace_atomically(df, path)
+            versions.publish(spark, base, {name: df})
             out[name] = None
         except Exception as error:
-            if all_or_nothing:
-                raise
             out[name] = str(error)[:500]
     return out
 
 
-__all__ = ["exists", "markdown_block", "promote", "render_markdown", "replace_atomically", "run_with_report", "write_json", "write_markdown", "write_report"]
+__all__ = ["exists", "markdown_block", "promote", "read_stored", "recover", "render_markdown", "replace_atomically", "run_with_report", "write_json", "write_markdown", "write_report"]

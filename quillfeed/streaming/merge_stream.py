@@ -2,33 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from quillfeed.operators.merge import MergeRules, merge_versions, upsert
 from quillfeed.session import materialise
-from quillfeed.sources.landed import exists
-from quillfeed.sources.sinks import replace_atomically
+from quillfeed.sources import versions
 
+#: Buckets of keys that a corpus is kept in; a batch rewrites those that it meets.
+BUCKETS = 64
 
-def merge_batch(batch: DataFrame, path: str, key: str, seq: str, rules: MergeRules) -> None:
-    """Merges one micro-batch into the Parquet corpus at `path`; the old corpus stays until the new one is whole.
 
-    Merging a batch again gives the same corpus, so a retried micro-batch does no harm.
+def read_corpus(spark: SparkSession, path: str) -> DataFrame | None:
+    """The corpus at `path` by its last commit, or None before the first."""
+    folders = versions.current(spark, path)
+    return _read(spark, path, folders.values()) if folders else None
+
+
+def _read(spark: SparkSession, path: str, folders: Iterable[str]) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*(f"{path}/{f}" for f in folders)).drop("conflicts")
+
+
+def merge_batch(batch: DataFrame, path: str, key: str, seq: str, rules: MergeRules, buckets: int = BUCKETS) -> None:
+    """Merges one micro-batch into the corpus at `path`, a store of versions with a stream for each bucket of keys.
+
+    Only the buckets that the batch meets are read and written again, and one commit names them all: the corpus is
+    whole at every moment. Merging a batch again gives the same corpus, so a retried micro-batch does no harm.
     """
     spark = batch.sparkSession
-    if exists(spark, path):
-        merged = upsert(spark.read.parquet(path), batch, key, seq, rules)
-    else:
-        merged = merge_versions(batch, key, seq, rules)
-    broken = merged.filter(F.size("conflicts") > 0).limit(1).count()
-    if broken:
-        raise ValueError("a record changed what may not change")
-    out = materialise(merged.drop("conflicts").withColumn(seq, F.lit(-1).cast("long")))
-    replace_atomically(out, path)
+    before = versions.current(spark, path)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    batch = materialise(batch)
+    met = [str(r[0]) for r in batch.select(bucket).distinct().collect()]  # `buckets` numbers at most
+    if not met:
+        return
+    stored = [before[b] for b in met if b in before]
+    merged = upsert(_read(spark, path, stored), batch, key, seq, rules) if stored else merge_versions(batch, key, seq, rules)
+    merged = merged.withColumn(seq, F.lit(-1).cast("long")).withColumn("__bucket", bucket)
+    name = versions.write_version(merged.repartition("__bucket"), path, partition="__bucket")
+    folders = {b: f"{name}/__bucket={b}" for b in met}
+    fresh = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/{name}")
+    if fresh.filter(F.size("conflicts") > 0).limit(1).count():
+        raise ValueError("a record changed what may not change")  # no commit names the folder; the next one deletes it
+    versions.commit(spark, path, folders)
 
 
 def merge_stream(stream: DataFrame, path: str, checkpoint: str, key: str, seq: str, rules: MergeRules, **trigger) -> StreamingQuery:

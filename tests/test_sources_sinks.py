@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillfeed.operators import manifest, merge
-from quillfeed.sources import landed, sinks
+from quillfeed.sources import landed, sinks, versions
 from quillfeed.streaming import merge_stream
 
 
@@ -64,12 +64,110 @@ def test_report_is_always_written(spark, tmp_path):
     assert sinks.run_with_report(spark, path, lambda r: None)["status"] == "complete"
 
 
+class Stop(Exception):
+    """The run ends here, as if its process had died."""
+
+
+def stopping(monkeypatch, module, name, after):
+    """Lets `after` calls of a function pass and stops at the next."""
+    real, calls = getattr(module, name), []
+
+    def call(*args, **kwargs):
+        calls.append(1)
+        if len(calls) > after:
+            raise Stop
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(module, name, call)
+
+
+@pytest.mark.parametrize("step", ["staged", "half staged", "moved aside", "moved aside and half staged", "renamed"])
+def test_a_replacement_that_stops_loses_nothing(spark, tmp_path, step):
+    path = tmp_path / "out"
+    sinks.replace_atomically(spark.range(3), str(path))
+    stage, old = tmp_path / "out.stage-1a", tmp_path / "out.old-1a"
+    spark.range(5).write.parquet(str(stage))
+    if "half" in step:
+        (stage / "_SUCCESS").unlink()
+    if step.startswith("moved"):
+        path.rename(old)
+    if step == "renamed":
+        path.rename(old)
+        stage.rename(path)
+    got = sinks.read_stored(spark, str(path)).count()
+    assert got == (5 if step in ("moved aside", "renamed") else 3)
+    sinks.replace_atomically(spark.range(7), str(path))
+    assert sinks.read_stored(spark, str(path)).count() == 7 and [p.name for p in tmp_path.iterdir()] == ["out"]
+    assert sinks.read_stored(spark, str(tmp_path / "none")) is None
+
+
+def test_json_corpus(spark, tmp_path):
+    path = str(tmp_path / "corpus")
+    sinks.write_json(spark.createDataFrame([("1", None), ("2", "é")], "id string, title string"), path)
+    lines = sorted(r[0] for r in spark.read.text(path).collect())
+    assert [json.loads(x) for x in lines] == [{"id": "1", "title": None}, {"id": "2", "title": "é"}]
+
+
 def test_promotion(spark, tmp_path):
     none, some = spark.createDataFrame([], "x string"), spark.createDataFrame([("bad",)], "x string")
-    streams = {"posts": (spark.range(2), str(tmp_path / "posts")), "articles": (spark.range(2).select(F.raise_error(F.lit("no")).alias("x")), str(tmp_path / "articles"))}
-    assert all(v for v in sinks.promote(streams, some).values())
-    out = sinks.promote(streams, none, all_or_nothing=False)
+    base, bad = str(tmp_path / "store"), spark.range(2).select(F.raise_error(F.lit("no")).alias("x"))
+    assert all(sinks.promote(spark, base, {"posts": spark.range(2)}, some).values()) and versions.read(spark, base, "posts") is None
+    assert sinks.promote(spark, base, {"posts": spark.range(2), "articles": spark.range(3)}, none) == {"posts": None, "articles": None}
+    out = sinks.promote(spark, base, {"posts": spark.range(9), "articles": bad}, none)
+    assert "no" in out["articles"] and out["posts"] and versions.read(spark, base, "posts").count() == 2
+    out = sinks.promote(spark, base, {"posts": spark.range(9), "articles": bad}, some, all_or_nothing=False)
     assert out["posts"] is None and "no" in out["articles"]
+    assert versions.read(spark, base, "posts").count() == 9 and versions.read(spark, base, "articles").count() == 3
+
+
+@pytest.mark.parametrize(("name", "after"), [("write_version", 0), ("write_version", 1), ("commit", 0), ("_clean", 0)])
+def test_a_promotion_that_stops_changes_all_or_nothing(spark, tmp_path, monkeypatch, name, after):
+    base = str(tmp_path / "store")
+    versions.publish(spark, base, {"posts": spark.range(2), "articles": spark.range(3)})
+    with monkeypatch.context() as m:
+        stopping(m, versions, name, after)
+        with pytest.raises(Stop):
+            versions.publish(spark, base, {"posts": spark.range(20), "articles": spark.range(30)})
+    counts = {n: versions.read(spark, base, n).count() for n in ("posts", "articles")}
+    assert counts == ({"posts": 20, "articles": 30} if name == "_clean" else {"posts": 2, "articles": 3})
+    for n in (4, 5, 6):
+        versions.publish(spark, base, {"posts": spark.range(n)})
+    assert versions.read(spark, base, "posts").count() == 6 and versions.read(spark, base, "articles").count() == counts["articles"]
+    folders = [p.name for p in (tmp_path / "store").iterdir() if p.name != "_commits"]
+    assert len(folders) == 3 and len([p for p in (tmp_path / "store" / "_commits").iterdir() if p.suffix == ".json"]) == 2
+
+
+def test_a_commit_half_written_is_none(spark, tmp_path):
+    base = str(tmp_path / "store")
+    versions.publish(spark, base, {"posts": spark.range(2)})
+    (tmp_path / "store" / "_commits" / ".draft-1").write_text('{"posts"')
+    assert versions.read(spark, base, "posts").count() == 2
+
+
+@pytest.mark.parametrize(("name", "after"), [("write_version", 0), ("commit", 0), ("_clean", 0)])
+def test_a_merge_that_stops_loses_nothing(spark, tmp_path, monkeypatch, name, after):
+    rules, path = merge.MergeRules(latest=("n",)), str(tmp_path / "c")
+    batch = lambda a, b, seq: spark.createDataFrame([(k, seq, k + seq) for k in range(a, b)], "k int, seq long, n long")
+    merge_stream.merge_batch(batch(0, 100, 0), path, "k", "seq", rules)
+    with monkeypatch.context() as m:
+        stopping(m, versions, name, after)
+        with pytest.raises(Stop):
+            merge_stream.merge_batch(batch(95, 100, 1000), path, "k", "seq", rules)
+    merge_stream.merge_batch(batch(95, 100, 1000), path, "k", "seq", rules)  # the micro-batch comes again
+    merge_stream.merge_batch(batch(100, 101, 7), path, "k", "seq", rules)
+    got = {r["k"]: r["n"] for r in merge_stream.read_corpus(spark, path).collect()}
+    assert got == {k: k + (7 if k == 100 else 1000 if k >= 95 else 0) for k in range(101)}
+
+
+def test_a_batch_rewrites_its_buckets_alone(spark, tmp_path):
+    rules, path = merge.MergeRules(latest=("n",)), str(tmp_path / "c")
+    merge_stream.merge_batch(spark.range(500).select(F.col("id").alias("k"), F.lit(0).cast("long").alias("seq"), F.lit(1).alias("n")), path, "k", "seq", rules, buckets=16)
+    before = versions.current(spark, path)
+    merge_stream.merge_batch(spark.createDataFrame([(3, 0, 9)], "k long, seq long, n int"), path, "k", "seq", rules, buckets=16)
+    after = versions.current(spark, path)
+    assert len(before) == 16 and sum(before[b] != after[b] for b in before) == 1
+    merge_stream.merge_batch(spark.createDataFrame([], "k long, seq long, n int"), path, "k", "seq", rules, buckets=16)
+    assert merge_stream.read_corpus(spark, path).count() == 500 and merge_stream.read_corpus(spark, str(tmp_path / "none")) is None
 
 
 def test_snapshot_digest(spark, tmp_path):
@@ -93,7 +191,7 @@ def test_stream_equals_batch(spark, tmp_path):
         spark.createDataFrame(rows[part::4], schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"p{part}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
     merge_stream.merge_stream(stream.orderBy("seq") if False else stream, str(tmp_path / "corpus"), str(tmp_path / "state"), "k", "seq", rules).awaitTermination()
-    got = {r["k"]: len(r["title"]) for r in spark.read.parquet(str(tmp_path / "corpus")).collect()}
+    got = {r["k"]: len(r["title"]) for r in merge_stream.read_corpus(spark, str(tmp_path / "corpus")).collect()}
     want = {r["k"]: len(r["title"]) for r in merge.merge_versions(spark.createDataFrame(rows, schema), "k", "seq", rules).collect()}
     assert got == want
 
@@ -104,4 +202,14 @@ def test_stream_conflict_keeps_the_corpus(spark, tmp_path):
     merge_stream.merge_batch(batch("a"), str(tmp_path / "c"), "k", "seq", rules)
     with pytest.raises(ValueError):
         merge_stream.merge_batch(batch("b"), str(tmp_path / "c"), "k", "seq", rules)
-    assert spark.read.parquet(str(tmp_path / "c")).first()["url"] == "a"
+    assert merge_stream.read_corpus(spark, str(tmp_path / "c")).first()["url"] == "a"
+
+
+def test_deduplicated(spark, tmp_path):
+    rows = [(1, "2024-01-01 00:00:00"), (1, "2024-01-01 00:05:00"), (2, "2024-01-01 00:06:00")]
+    df = spark.createDataFrame(rows, "k int, t string").withColumn("t", F.to_timestamp("t"))
+    assert sorted(r["k"] for r in merge_stream.deduplicated(df, "k", "t").collect()) == [1, 2]
+    df.write.parquet(str(tmp_path / "in"))
+    stream = merge_stream.deduplicated(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), "k", "t")
+    stream.writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r["k"] for r in spark.table("once").collect()) == [1, 2]
