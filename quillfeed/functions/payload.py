@@ -12,41 +12,69 @@ from quillfeed.functions.text import ascii_trim
 
 
 class Payload:
-    """Accessors of one JSON text column. Paths are dotted names from the root."""
+    """Accessors of one JSON text column. Paths are dotted names from the root.
 
-    def __init__(self, body: Column, variant: Column | None = None, keys: Column | None = None):
-        self.body = body
-        self.variant = F.try_parse_json(body) if variant is None else variant
-        self.keys = F.coalesce(F.json_object_keys(body), F.array().cast("array<string>")) if keys is None else keys
+    A payload from `parsed` holds the literals and the strings of its root fields, each made once.
+    """
+
+    def __init__(self, body: Column, bound: Column | None = None):
+        self.body = body if bound is None else bound["body"]
+        self.variant = F.try_parse_json(body) if bound is None else bound["variant"]
+        self.keys = F.coalesce(F.json_object_keys(body), F.array().cast("array<string>")) if bound is None else bound["keys"]
+        self.literals = None if bound is None else bound["literals"]
+        self.strings = None if bound is None else bound["strings"]
 
     @staticmethod
     def parsed(body: Column, use: Callable[[Payload], Column]) -> Column:
         """`use` of a payload that is parsed once."""
-        p = Payload(body)
-        bound = F.struct(body.alias("body"), p.variant.alias("variant"), p.keys.alias("keys"))
-        return let(bound, lambda s: use(Payload(s["body"], s["variant"], s["keys"])))
+
+        def read(b: Column) -> Column:
+            p = Payload(b)
+            return let(p.variant, lambda v: let(F.struct(b.alias("body"), v.alias("variant"), p.keys.alias("keys"), root_fields(v).alias("root")), with_fields))
+
+        def with_fields(s: Column) -> Column:
+            string = lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+            more = F.struct(
+                s["body"].alias("body"), s["variant"].alias("variant"), s["keys"].alias("keys"),
+                F.transform_values(s["root"], lambda _, v: F.to_json(v)).alias("literals"),
+                F.transform_values(s["root"], lambda _, v: string(v)).alias("strings"),
+            )
+            return let(more, lambda bound: use(Payload(body, bound)))
+
+        return let(body, read)
 
     @staticmethod
     def _path(name: str) -> str:
         return "$." + name
 
+    def _held(self, name: str) -> bool:
+        return self.literals is not None and "." not in name
+
     def has(self, name: str) -> Column:
         """Whether the field is present, with null or not."""
+        if self._held(name):
+            return self.literals[name].isNotNull()
         return F.try_variant_get(self.variant, self._path(name), "variant").isNotNull()
 
     def literal(self, name: str) -> Column:
         """The field's JSON literal; SQL null if absent, the text `null` if null."""
-        return F.to_json(F.try_variant_get(self.variant, self._path(name), "variant"))
+        return self.literals[name] if self._held(name) else F.to_json(F.try_variant_get(self.variant, self._path(name), "variant"))
 
     def kind(self, name: str) -> Column:
         """string, number, boolean, null, array, object, or SQL null if absent."""
+        if self._held(name):
+            return literal_kind(self.literals[name])
         return _kind(F.schema_of_variant(F.try_variant_get(self.variant, self._path(name), "variant")))
 
     def text(self, name: str) -> Column:
         """The field's value if it is a string; else SQL null."""
+        if self._held(name):
+            return self.strings[name]
         return F.when(self.kind(name) == "string", F.try_variant_get(self.variant, self._path(name), "string"))
 
     def is_object(self) -> Column:
+        if self.literals is not None:
+            return self.literals.isNotNull()
         return F.coalesce(_kind(F.schema_of_variant(self.variant)) == "object", F.lit(False))
 
     def first_present(self, *names: str, allow_null: bool = False) -> Column:
@@ -59,6 +87,20 @@ class Payload:
         return F.when(self.has(primary), self.literal(primary)).otherwise(self.literal(alias))
 
 
+def root_fields(variant: Column) -> Column:
+    """The fields of an object by name; SQL null for anything else."""
+    return F.try_variant_get(variant, "$", "map<string,variant>")
+
+
+def literal_kind(literal: Column) -> Column:
+    """The kind of a JSON literal, told from its first character."""
+    first = F.substring(literal, 1, 1)
+    return (
+        F.when(first == '"', "string").when(first == "{", "object").when(first == "[", "array")
+        .when(first.isin("t", "f"), "boolean").when(first == "n", "null").when(literal.isNotNull(), "number")
+    )
+
+
 def _kind(schema: Column) -> Column:
     return (
         F.when(schema == "STRING", "string")

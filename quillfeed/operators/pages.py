@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillfeed.functions.binding import let
 from quillfeed.functions.ids import count_from_literal
-from quillfeed.functions.payload import Payload, array_field
+from quillfeed.functions.payload import array_field, root_fields
 from quillfeed.functions.text import ascii_trim
 
 #: Where page metadata may stand, and the names of its fields.
@@ -59,17 +59,26 @@ def cursor_value(literal: Column) -> Column:
     )
 
 
-def _values(p: Payload, aliases: tuple[str, ...], rule: Callable[[Column], Column]) -> Column:
+def metadata(variant: Column) -> Column:
+    """struct(fields, broken, is_object): name and literal of each metadata field, from the root and all containers."""
+    names = [*HAS_MORE, *PAGE_COUNT, *TOTAL, *CURSOR, *CURRENT_PAGE]
+
+    def of(root: Column) -> Column:
+        fields = lambda entries: F.transform(F.filter(entries, lambda e: e["key"].isin(*names)), lambda e: F.struct(e["key"].alias("name"), F.to_json(e["value"]).alias("literal")))
+        # At the root, `page` may be a container instead of a number.
+        own = F.filter(fields(F.map_entries(root)), lambda f: (f["name"] != "page") | ~f["literal"].startswith("{"))
+        inner = [F.when(root[c].isNotNull(), fields(F.map_entries(root_fields(root[c])))) for c in CONTAINERS]
+        broken = F.lit(False)
+        for c in CONTAINERS[1:]:
+            broken = broken | F.coalesce(root[c].isNotNull() & root_fields(root[c]).isNull(), F.lit(False))
+        return F.struct(F.flatten(F.array_compact(F.array(own, *inner))).alias("fields"), broken.alias("broken"), root.isNotNull().alias("is_object"))
+
+    return let(root_fields(variant), of)
+
+
+def _values(fields: Column, aliases: tuple[str, ...], rule: Callable[[Column], Column]) -> Column:
     """Distinct values of a field over all containers and aliases."""
-    found = []
-    for where in ("", *CONTAINERS):
-        for name in aliases:
-            full = f"{where}.{name}" if where else name
-            literal = p.literal(full)
-            if full == "page":  # at the root it may be a container instead of a number
-                literal = F.when(p.kind("page") != "object", literal)
-            found.append(let(literal, lambda x: F.when(x.isNotNull(), rule(x))))
-    return F.array_distinct(F.array_compact(F.array(*found)))
+    return F.array_distinct(F.transform(F.filter(fields, lambda f: f["name"].isin(*aliases)), lambda f: rule(f["literal"])))
 
 
 def pagination_decision(body: Column, page: Column, count: Column, item_count: Column, observed: Column, strict: bool = False) -> Column:
@@ -82,19 +91,15 @@ def pagination_decision(body: Column, page: Column, count: Column, item_count: C
     numbers = (lambda x: F.when(x.startswith('"'), F.lit(INVALID)).otherwise(integer_value(x))) if strict else integer_value
     more_rule = (lambda x: F.when(x.isin("true", "false"), x).otherwise(INVALID)) if strict else has_more_value
 
-    def of(p: Payload) -> Column:
-        sets = {
-            "has_more": _values(p, HAS_MORE, more_rule),
-            "page_count": _values(p, PAGE_COUNT, numbers),
-            "total": _values(p, TOTAL, numbers),
-        }
+    def of(m: Column) -> Column:
+        values = lambda aliases, rule: _values(m["fields"], aliases, rule)
+        sets = {"has_more": values(HAS_MORE, more_rule), "page_count": values(PAGE_COUNT, numbers), "total": values(TOTAL, numbers)}
         if not strict:
-            sets |= {"cursor": _values(p, CURSOR, cursor_value), "current_page": _values(p, CURRENT_PAGE, integer_value)}
-        broken = F.array_compact(F.array(*(F.when(~p.kind(c).isin("object"), F.lit(c)) for c in CONTAINERS[1:])))
-        found = F.struct(*(v.alias(k) for k, v in sets.items()), (F.size(broken) > 0).alias("broken"), p.is_object().alias("is_object"))
+            sets |= {"cursor": values(CURSOR, cursor_value), "current_page": values(CURRENT_PAGE, integer_value)}
+        found = F.struct(*(v.alias(k) for k, v in sets.items()), m["broken"].alias("broken"), m["is_object"].alias("is_object"))
         return let(found, lambda s: _decide(s, [*sets], page, count, item_count, observed, strict))
 
-    return Payload.parsed(body, of)
+    return let(metadata(F.try_parse_json(body)), of)
 
 
 def _decide(s: Column, names: list[str], page: Column, count: Column, item_count: Column, observed: Column, strict: bool) -> Column:
