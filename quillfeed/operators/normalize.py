@@ -18,14 +18,14 @@ EMBEDDED_POSTS = ("status", "target_status", "original_status")
 POST_REFERENCES = ("status_id", "target_id", "status.id", "target_status.id", "original_status.id")
 
 
-def _bare(literal: Column) -> Column:
+def bare(literal: Column) -> Column:
     """The text of a JSON string, or the literal of anything else."""
     inner = F.get_json_object(F.concat(F.lit('{"x":'), literal, F.lit("}")), "$.x")
     return F.when(literal.startswith('"'), inner).otherwise(literal)
 
 
-def _string(literal: Column) -> Column:
-    return F.when(literal.startswith('"'), _bare(literal))
+def string(literal: Column) -> Column:
+    return F.when(literal.startswith('"'), bare(literal))
 
 
 def _codes(conditions: dict[str, Column]) -> Column:
@@ -35,13 +35,13 @@ def _codes(conditions: dict[str, Column]) -> Column:
 def normalize_posts(raw: DataFrame, user_id: str, domain: str, item: str = "item") -> DataFrame:
     """All columns of `raw`, the fields of a strict post, and `violations`."""
     p = Payload(F.col(item))
-    identity = loose_id(_bare(p.literal("id")))
-    text = _string(p.first_present("text", "description"))
+    identity = loose_id(bare(p.literal("id")))
+    text = string(p.first_present("text", "description"))
     made = p.literal("created_at")
     epoch = epoch_ms_from_literal(made)
     given = F.when(p.kind("target") == "string", p.text("target"))
     target = canonical_url(given, domain, F.lit(user_id), identity)
-    title = F.coalesce(F.nullif(_string(p.literal("title")), F.lit("")), _string(p.literal("rawTitle")), F.lit(""))
+    title = F.coalesce(F.nullif(string(p.literal("title")), F.lit("")), string(p.literal("rawTitle")), F.lit(""))
     counts = {name: count_from_literal(p.first_present(name, other)) for name, other in COUNTS}
     broken = {
         "not_an_object": ~p.is_object(),
@@ -77,7 +77,7 @@ def normalize_replies(comments: DataFrame, posts: DataFrame, user_id: str, domai
     the comment's embedded copy, if it has one. `violations` holds codes of broken rules.
     """
     p = Payload(F.col(item))
-    pick = lambda *names: loose_id(_bare(p.first_present(*names)))
+    pick = lambda *names: loose_id(bare(p.first_present(*names)))
     post_id = pick("status_id", "status.id", "target_status.id", "original_status.id", "target_id")
     rows = comments.withColumn("__post_id", post_id)
     parent = posts.select(
@@ -89,11 +89,11 @@ def normalize_replies(comments: DataFrame, posts: DataFrame, user_id: str, domai
     joined = rows.join(parent, "__post_id", "left").select(
         *rows.columns,
         F.when(here, F.coalesce("__raw", inside("created_at"))).otherwise(F.col("__raw")).alias("__raw"),
-        F.when(here, clean_html(F.coalesce(_string(inside("title", "rawTitle")), F.lit("")))).otherwise(F.col("__title")).alias("__title"),
-        F.when(here, clean_html(_string(inside("text", "description")))).otherwise(F.col("__text")).alias("__text"),
-        F.coalesce(F.col("__target"), _string(inside("target")), F.lit("")).alias("__target"),
+        F.when(here, clean_html(F.coalesce(string(inside("title", "rawTitle")), F.lit("")))).otherwise(F.col("__title")).alias("__title"),
+        F.when(here, clean_html(string(inside("text", "description")))).otherwise(F.col("__text")).alias("__text"),
+        F.coalesce(F.col("__target"), string(inside("target")), F.lit("")).alias("__target"),
     )
-    text = _string(p.first_present("text", "description"))
+    text = string(p.first_present("text", "description"))
     made, post_raw = p.literal("created_at"), F.coalesce(F.col("__raw"), F.lit("null"))
     epoch = epoch_ms_from_literal(made)
     target = canonical_url(F.col("__target"), domain, F.lit(user_id), F.col("__post_id"))
@@ -171,7 +171,7 @@ def hydrate(rows: DataFrame, details: DataFrame, key: str = "id", item: str = "i
         F.lit("{"), head, F.when(head.rlike(r"\S"), ",").otherwise(""), F.lit('"__list":'), F.col(item),
         F.when(views.isNotNull(), F.concat(F.lit(',"__views":'), views)).otherwise(""), F.lit("}"),
     )
-    differs = ~loose_id(_bare(d.literal("id"))).eqNullSafe(loose_id(_bare(p.literal("id"))))
+    differs = ~loose_id(bare(d.literal("id"))).eqNullSafe(loose_id(bare(p.literal("id"))))
     filled = sparse.withColumn("violation", F.when(F.col(detail).isNull(), "detail_missing").when(differs, "detail_id")).withColumn(
         item, F.when(F.col("violation").isNull(), merged).otherwise(F.col(item))
     )

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillfeed.functions import ids, payload, times
 from quillfeed.functions.text import clean_html, utf8_trimmed_length
-from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, select
+from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, scans, select
 from quillfeed.session import read_table
 from quillfeed.sources.sinks import markdown_block
 from quillfeed.streaming import merge_stream
@@ -21,6 +21,8 @@ from quillfeed.streaming import merge_stream
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 DOMAIN = "example.com"
+#: A limit of posts above any table: the queries judge all of them.
+NO_LIMIT = 1 << 62
 
 
 def query(sql: str | None = None):
@@ -132,9 +134,20 @@ def q_author_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.by_author(rows, "7").select("event_id", "event_type")
 
 
-@query("SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant'")
-def q_role_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant").select("conv_id", "turn", "text")
+@query("""
+SELECT conv_id, turn, text AS clean_text, CAST(CASE WHEN turn % 2 = 0 THEN conv_id ELSE turn END AS VARCHAR) AS post_id,
+  CASE WHEN turn % 3 = 0 THEN ['like_count'] ELSE []::VARCHAR[] END AS violations FROM conversations WHERE role = 'assistant'""")
+def q_self_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as comments: the assistant's are the user's own; even turns name no post and belong to their conversation."""
+    likes = F.when(F.col("turn") % 3 == 0, F.lit(-1)).otherwise(F.lit(1))
+    item = F.to_json(
+        F.struct(
+            F.col("turn").alias("id"), F.struct(F.when(F.col("role") == "assistant", 7).otherwise(8).alias("id")).alias("user"), F.col("text"),
+            F.when(F.col("turn") % 2 == 1, F.col("turn")).alias("status_id"), F.lit(0).alias("created_at"), likes.alias("like_count"), F.lit(1).alias("reply_count"),
+        )
+    )
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", F.col("turn"), F.col("conv_id").alias("post_id"), F.lit("").alias("post_target"), item.alias("item"))
+    return scans.self_replies(rows, "7", DOMAIN).select("conv_id", "turn", "clean_text", "post_id", "violations")
 
 
 @query("""
@@ -259,10 +272,9 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN ['post_id'] ELSE []::VARCHAR[] END AS conflicts FROM orders
-WHERE o_orderkey % 10 = 0 OR o_orderkey % 10 = 1""")
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN ['post_id'] ELSE []::VARCHAR[] END AS conflicts FROM orders""")
 def q_merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 10 <= 1)
+    orders = read_table(spark, sf_dir, "orders")
     base = orders.select("o_orderkey", F.lit(0).cast("long").alias("seq"), F.lit("post").alias("kind"), F.col("o_custkey").cast("string").alias("post_id"), F.lit(None).cast("string").alias("reply_to"))
     again = base.select(
         "o_orderkey", F.lit(1).cast("long").alias("seq"), "kind",
@@ -281,12 +293,12 @@ def q_total_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT user_id, arg_max(value, event_id) AS reply_count, arg_max(event_type, strlen(event_type) * 1000000000 + event_id) AS title
-FROM events WHERE event_type IN ('click', 'purchase') GROUP BY user_id""")
+FROM events GROUP BY user_id""")
 def q_union_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillfeed.sources.landed import union_streams
 
     rows = read_table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), F.col("value").alias("reply_count"), F.col("event_type").alias("title"))
-    both = union_streams(rows.filter("title = 'click'"), rows.filter("title = 'purchase'"))
+    both = union_streams(rows.filter("title = 'click'"), rows.filter("title <> 'click' or title is null"))
     return merge.merge_versions(both, "user_id", "seq", merge.RECORD_RULES).select("user_id", "reply_count", "title")
 
 
@@ -296,10 +308,16 @@ def q_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.last_wins(rows, "user_id", "seq").select("user_id", "event_id", "value")
 
 
-@query("SELECT doc_id, 'stored' AS origin FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'fetched' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0)")
+@query("SELECT doc_id, 'stored' AS origin FROM labels UNION ALL SELECT doc_id, 'fetched' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def q_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = read_table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select("doc_id", F.lit("stored").alias("origin"))
-    return merge.first_wins(stored, read_table(spark, sf_dir, "labels").select("doc_id", F.lit("fetched").alias("origin")), "doc_id")
+    stored = read_table(spark, sf_dir, "labels").select("doc_id", F.lit("stored").alias("origin"))
+    return merge.first_wins(stored, read_table(spark, sf_dir, "documents").select("doc_id", F.lit("fetched").alias("origin")), "doc_id")
+
+
+@query("SELECT event_id FROM (SELECT event_id, (epoch_us(ts) // 1000) AS e FROM events) ORDER BY e DESC, length(CAST(event_id AS VARCHAR)) DESC, CAST(event_id AS VARCHAR) DESC LIMIT 1")
+def q_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").select("event_id", millis("ts").alias("epoch_ms"), F.col("event_id").cast("string").alias("id"))
+    return merge.latest(rows).select("event_id")
 
 
 @query("""
@@ -397,21 +415,21 @@ def baselines_of(posts: DataFrame) -> DataFrame:
 
 @query("""
 WITH p AS (SELECT l_orderkey AS post_id, count(*) AS reply_count FROM lineitem GROUP BY 1)
-SELECT post_id, reply_count FROM p WHERE post_id < 5000 AND (post_id % 3 = 0 OR post_id % 4 <= 1)""")
+SELECT post_id, reply_count FROM p WHERE post_id % 3 = 0 OR post_id % 4 <= 1""")
 def q_changed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = posts_of(spark, sf_dir)
-    return select.changed_posts(posts, baselines_of(posts), "position", "reply_count", 5000).select("post_id", "reply_count")
+    return select.changed_posts(posts, baselines_of(posts), "position", "reply_count", NO_LIMIT).select("post_id", "reply_count")
 
 
 @query("""
 WITH p AS (SELECT l_orderkey AS post_id, count(*) AS reply_count FROM lineitem GROUP BY 1),
 b AS (SELECT post_id, reply_count + CASE post_id % 4 WHEN 0 THEN 1 WHEN 1 THEN -1 ELSE 0 END AS reply_count FROM p WHERE post_id % 3 <> 0),
-f AS (SELECT post_id, reply_count FROM p WHERE post_id < 5000 AND post_id % 5 <> 0 AND post_id % 7 <> 0)
+f AS (SELECT post_id, reply_count FROM p WHERE post_id % 5 <> 0 AND post_id % 7 <> 0)
 SELECT post_id, coalesce(f.reply_count, b.reply_count) AS reply_count FROM b FULL JOIN f USING (post_id)""")
 def q_checkpoint_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = posts_of(spark, sf_dir)
     confirmed = select.confirmed_ids(posts, posts.filter("post_id % 5 = 0"), posts.filter("post_id % 7 = 0"))
-    return select.advance_checkpoint(baselines_of(posts), posts, confirmed, "position", "reply_count", 5000)
+    return select.advance_checkpoint(baselines_of(posts), posts, confirmed, "position", "reply_count", NO_LIMIT)
 
 
 @query("""
@@ -431,7 +449,10 @@ def q_resume_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "conversations").filter(F.col("turn") >= start).select("conv_id", "turn", "role")
 
 
-@query()
+@query("""
+WITH r AS (SELECT conv_id, sha256(to_json({turn: turn, role: role, text: text})) AS d, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS place FROM conversations),
+b AS (SELECT conv_id, place // 65536 AS block, sha256(string_agg(d, '' ORDER BY place)) AS b FROM r GROUP BY 1, 2)
+SELECT conv_id, sha256(string_agg(b, '' ORDER BY block)) AS digest FROM b GROUP BY 1""")
 def q_ordered_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.ordered_digest(read_table(spark, sf_dir, "conversations"), "conv_id", ["turn", "role", "text"], "turn", "role", "text")
 
@@ -492,19 +513,21 @@ def q_normalize_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize_replies(table.select("conv_id", "turn", item.alias("item")), posts, "7", DOMAIN, "post_comments").select("conv_id", "turn", "violations", "post_id", "post_target", "post_title")
 
 
-@query("SELECT a.conv_id, a.turn, a.text, b.role AS parent_role FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1")
+@query("SELECT a.conv_id, a.turn, a.text, b.conv_id % 97 AS root_post_id FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = 0 WHERE a.turn > 0")
 def q_thread_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First turns are comments, all later ones their second-level comments."""
     rows = read_table(spark, sf_dir, "conversations")
-    parents = rows.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("parent_role"))
-    return rows.join(parents, ["conv_id", "turn"], "left").select("conv_id", "turn", "text", "parent_role")
+    roots = rows.filter("turn = 0").select(F.col("conv_id").alias("id"), (F.col("conv_id") % 97).alias("post_id"))
+    nested = rows.filter("turn > 0").select("conv_id", "turn", "text", F.col("conv_id").alias("root_comment_id"))
+    return normalize.threads(roots, nested).select("conv_id", "turn", "text", "root_post_id")
 
 
-@query("SELECT c_custkey, n_name AS parent, r_name AS root FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT c_custkey, n_regionkey AS root_post_id FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 def q_nested_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, nation, region = (read_table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
-    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "c_custkey", F.col("n_name").alias("parent"), F.col("r_name").alias("root")
-    )
+    """Customers as second-level comments of nations, which are comments of regions."""
+    nation = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_regionkey").alias("post_id"))
+    nested = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("root_comment_id"))
+    return normalize.threads(nation, nested).select("c_custkey", "root_post_id")
 
 
 def covered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -614,18 +637,22 @@ def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("segment", "n_rows", "unique_ids", F.col("min_time").cast("string").alias("min_time"), F.col("max_time").cast("string").alias("max_time"))
 
 
-@query()
+@query("""
+WITH h AS (SELECT *, sha256(to_json({doc_id: doc_id, text: text, lang: lang, source: source, n_chars: n_chars})) AS d FROM documents)
+SELECT source AS segment, count(*) AS n_rows, count(DISTINCT doc_id) AS unique_ids, min(n_chars) AS min_time, max(n_chars) AS max_time,
+  sha256(CAST(sum(CAST(('0x' || substr(d, 1, 15)) AS HUGEINT)) AS VARCHAR) || ':' || CAST(sum(CAST(('0x' || substr(d, 17, 15)) AS HUGEINT)) AS VARCHAR) || ':' || CAST(count(*) AS VARCHAR)) AS digest
+FROM h GROUP BY source""")
 def q_manifest_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return manifest.segments(docs, F.col("source"), "doc_id", "n_chars")
 
 
 @query("""
-SELECT doc_id, 'missing' AS difference FROM labels WHERE doc_id % 2 = 0 AND doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 3 = 0)
-UNION ALL SELECT doc_id, 'undeclared' FROM documents WHERE doc_id % 3 = 0 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id % 2 = 0)""")
+SELECT 2 * doc_id AS doc_id, 'missing' AS difference FROM labels WHERE 2 * doc_id NOT IN (SELECT doc_id FROM documents)
+UNION ALL SELECT doc_id, 'undeclared' FROM documents WHERE doc_id NOT IN (SELECT 2 * doc_id FROM labels)""")
 def q_inventory_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    declared = read_table(spark, sf_dir, "labels").filter("doc_id % 2 = 0")
-    return manifest.inventory_difference(declared, read_table(spark, sf_dir, "documents").filter("doc_id % 3 = 0"), "doc_id")
+    declared = read_table(spark, sf_dir, "labels").select((2 * F.col("doc_id")).alias("doc_id"))
+    return manifest.inventory_difference(declared, read_table(spark, sf_dir, "documents"), "doc_id")
 
 
 @query("SELECT count(*) AS n_uncovered FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -640,10 +667,10 @@ def q_forbidden_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").select("event_id", manifest.forbidden_fields(body).alias("forbidden"))
 
 
-@query("SELECT page_id FROM pages WHERE regexp_matches(url, '(^|[^0-9])7913([^0-9]|$)') OR regexp_matches(url, '(^|[^0-9])46([^0-9]|$)')")
+@query("SELECT page_id FROM pages WHERE regexp_matches(url, '(^|[^0-9])2([^0-9]|$)') OR regexp_matches(html, '(^|[^0-9])7([^0-9]|$)')")
 def q_exact_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    url = F.col("url")
-    return read_table(spark, sf_dir, "pages").filter(manifest.has_exact_number(url, "7913") | manifest.has_exact_number(url, "46")).select("page_id")
+    found = manifest.has_exact_number(F.col("url"), "2") | manifest.has_exact_number(F.col("html"), "7")
+    return read_table(spark, sf_dir, "pages").filter(found).select("page_id")
 
 
 @query("""
@@ -688,3 +715,202 @@ def q_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     merge_stream.merge_stream(stream, f"{base}/corpus", f"{base}/state", "user_id", "seq", merge.RECORD_RULES).awaitTermination()
     return merge_stream.read_corpus(spark, f"{base}/corpus").select("user_id", "reply_count", "title")
+
+
+@query("""
+SELECT event_id, pos, CASE WHEN event_id % 4 = 3 THEN NULL ELSE CAST(event_id + pos AS VARCHAR) END AS item,
+  CASE event_id % 4 WHEN 2 THEN 'not_an_array' WHEN 3 THEN 'missing_array' END AS violation
+FROM (SELECT event_id, unnest(CASE WHEN event_id % 4 <= 1 THEN [0, 1] ELSE [NULL] END) AS pos FROM events)""")
+def q_array_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of each body, from the first alias that is present; a body without an array keeps its row."""
+    i = F.col("event_id")
+    pair = F.concat(F.lit("["), i.cast("string"), F.lit(","), (i + 1).cast("string"), F.lit("]"))
+    body = (
+        F.when(i % 4 == 0, F.concat(F.lit('{"list":'), pair, F.lit("}"))).when(i % 4 == 1, F.concat(F.lit('{"items":[9],"statuses":'), pair, F.lit("}")))
+        .when(i % 4 == 2, F.concat(F.lit('{"statuses":{},"list":'), pair, F.lit("}"))).otherwise("{}")
+    )
+    return pages.explode_items(read_table(spark, sf_dir, "events").select("event_id", body.alias("body")), pages.TIMELINE_ITEMS).select("event_id", "pos", "item", "violation")
+
+
+@query("""
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'null' WHEN 1 THEN CAST(event_id AS VARCHAR) ELSE '"old"' END AS preferred FROM events""")
+def q_primary_else_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new name wins where it is present, even with null; else the old name."""
+    i = F.col("event_id")
+    new = F.when(i % 3 == 0, '"new":null,').when(i % 3 == 1, F.concat(F.lit('"new":'), i.cast("string"), F.lit(","))).otherwise("")
+    body = F.concat(F.lit("{"), new, F.lit('"old":"old"}'))
+    return read_table(spark, sf_dir, "events").select("event_id", payload.Payload(body).preferred("new", "old").alias("preferred"))
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 4 = 0 THEN CAST(event_id AS VARCHAR) END AS raw, CASE WHEN event_id % 4 = 0 THEN '["post_created_at_raw"]' END AS migrated FROM events""")
+def q_predecessor_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies of version 1 without a contract get the raw time of their post; all others stay."""
+    i = F.col("event_id")
+    kind = F.when(i % 4 == 1, '"schema_version":1,"record_contract":"normalized_v1",').when(i % 4 == 2, "").otherwise('"schema_version":1,')
+    time = F.when(i % 4 == 3, "").otherwise(F.concat(F.lit(',"post_created_at":'), i.cast("string")))
+    body = contracts.upgrade_predecessor_reply(F.concat(F.lit("{"), kind, F.lit('"id":"1"'), time, F.lit("} ")))
+    p = payload.Payload(F.col("body"))
+    rows = read_table(spark, sf_dir, "events").select("event_id", body.alias("body"))
+    return rows.select("event_id", p.literal("post_created_at_raw").alias("raw"), p.literal("legacy_migrated_fields").alias("migrated"))
+
+
+@query("SELECT event_id, event_id % 5 <= 1 AS fine FROM events")
+def q_acquisition_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows carry both markers with their current values or none."""
+    i = F.col("event_id") % 5
+    body = (
+        F.when(i == 0, '{"id":1}').when(i == 1, '{"schema_version":1,"record_contract":"normalized_v1"}').when(i == 2, '{"schema_version":1}')
+        .when(i == 3, '{"schema_version":2,"record_contract":"normalized_v1"}').otherwise('{"record_contract":"normalized_v1"}')
+    )
+    return read_table(spark, sf_dir, "events").select("event_id", contracts.acquisition_markers_ok(body).alias("fine"))
+
+
+@query("""
+SELECT event_id, CASE event_id % 5 WHEN 1 THEN ['running_and_finished'] WHEN 2 THEN ['failed_without_error'] WHEN 3 THEN ['drift_without_signals'] ELSE []::VARCHAR[] END AS violations FROM events""")
+def q_report_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("event_id") % 5
+    body = (
+        F.when(i == 0, '{"status":"complete","finished_at":"t"}').when(i == 1, '{"status":"running","finished_at":"t"}').when(i == 2, '{"status":"failed","finished_at":"t"}')
+        .when(i == 3, '{"status":"complete","finished_at":"t","interface_drift":{"detected":true,"signals":[]}}').otherwise('{"status":"failed","finished_at":"t","error":{"code":"x"}}')
+    )
+    return read_table(spark, sf_dir, "events").select("event_id", contracts.report_violations(body).alias("violations"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ['a', 'z'] ELSE []::VARCHAR[] END AS unknown FROM events")
+def q_closed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.when(F.col("event_id") % 3 == 0, '{"z":1,"id":2,"a":null}').otherwise('{"id":1}')
+    return read_table(spark, sf_dir, "events").select("event_id", contracts.closed_fields(body, ["id", "text"]).alias("unknown"))
+
+
+@query("SELECT event_type || ' of ' || user_id AS message, min(event_id) AS event_id FROM events GROUP BY 1")
+def q_failure_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "events").select(F.concat("event_type", F.lit(" of "), F.col("user_id").cast("string")).alias("message"), "event_id")
+    return coverage.first_failures(rows, "message", "event_id")
+
+
+@query("SELECT (SELECT count(*) FROM documents) AS total, (SELECT count(*) FROM documents) - (SELECT count(*) FROM labels) AS added")
+def q_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.added(read_table(spark, sf_dir, "labels"), read_table(spark, sf_dir, "documents"), "doc_id")
+
+
+@query("SELECT user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) = 1")
+def q_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each kind and user, whichever; the smallest event names it."""
+    rows = read_table(spark, sf_dir, "events").withColumn("key", F.concat_ws("/", "event_type", F.col("user_id")))
+    first = rows.groupBy("key").agg(F.min("event_id").alias("event_id"))
+    return merge_stream.deduplicated(rows, "key", "ts").select("key", "user_id").join(first, "key").select("user_id", "event_id")
+
+
+SINCE = 1_705_248_000_000  # 2024-01-15 in the feed's zone
+
+
+@query(f"""
+WITH x AS (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS e, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) - 1 AS rn FROM events),
+p AS (SELECT *, rn // 8 + 1 AS page FROM x),
+s AS (SELECT user_id, page, count(*) AS n, count(*) FILTER (WHERE e < {SINCE}) AS older FROM p GROUP BY 1, 2),
+b AS (SELECT *, page % 40 = 0 AS done, coalesce(lag(older > 0) OVER (PARTITION BY user_id ORDER BY page), false) AND n = older AS confirmed FROM s),
+t AS (SELECT user_id, min(page) FILTER (WHERE done OR confirmed) AS stop_page FROM b GROUP BY 1)
+SELECT event_id, user_id, event_type AS clean_text, 'https://example.com/7/' || event_id AS target, stop_page, stop_page IS NULL AS truncated
+FROM p JOIN t USING (user_id) WHERE (stop_page IS NULL OR page <= stop_page) AND e >= {SINCE}""")
+def q_timeline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's events, latest first, in pages of 8: a page ends the walk by its metadata or by the date."""
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("event_id").desc())) - 1
+    rows = read_table(spark, sf_dir, "events").withColumn("rn", place).withColumn("page", (F.floor(F.col("rn") / 8) + 1).cast("int"))
+    item = F.struct(
+        F.col("event_id").alias("id"), millis("ts").alias("created_at"), F.concat(F.lit("<p>"), "event_type", F.lit("</p>")).alias("text"),
+        *(F.lit(1).alias(c) for c in ("reply_count", "like_count", "retweet_count", "view_count")), F.lit(0).alias("mark"),
+    )
+    bodies = rows.groupBy("user_id", "page").agg(F.array_sort(F.collect_list(F.struct("rn", item.alias("item")))).alias("all"))
+    body = F.to_json(F.struct((F.col("page") % 40 != 0).alias("has_more"), F.transform("all", lambda x: x["item"]).alias("statuses")))
+    scan = scans.timeline_scan(bodies.select(F.col("user_id").alias("stream"), "page", F.lit(8).alias("count"), body.alias("body")), "7", DOMAIN, SINCE)
+    return scan.records.join(scan.streams, "stream").select(
+        F.col("id").cast("long").alias("event_id"), F.col("stream").alias("user_id"), "clean_text", F.concat(F.lit("https://example.com/7/"), "id").alias("target"), "stop_page", "truncated"
+    )
+
+
+def comment_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(posts, pages): orders with their line items as comments, three to a page; one order in eleven never says that it ends."""
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")) - 1
+    lines = read_table(spark, sf_dir, "lineitem").withColumn("rn", place)
+    key = F.col("l_orderkey")
+    item = F.struct(
+        (key * 100 + F.col("rn")).alias("id"), key.alias("status_id"), F.struct((F.col("l_suppkey") % 5).alias("id")).alias("user"), F.lit("t").alias("text"),
+        F.lit(0).alias("created_at"), F.lit(1).alias("like_count"), F.lit(0).alias("reply_count"),
+    )
+    page = (F.floor(F.col("rn") / 3) + 1).cast("int")
+    bodies = lines.groupBy(key.alias("post_id"), page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("rn", item.alias("item")))).alias("all"))
+    sizes = lines.groupBy(key.alias("post_id")).agg(F.count(F.lit(1)).alias("n"))
+    more = (F.col("page") < F.ceil(F.col("n") / 3)) | (F.col("post_id") % 11 == 0)
+    body = F.to_json(F.struct(more.alias("has_more"), F.transform("all", lambda x: x["item"]).alias("comments")))
+    found = bodies.join(sizes, "post_id").select("post_id", "page", F.lit(3).alias("count"), F.lit("OK").alias("code"), body.alias("body"))
+    posts = sizes.select(
+        "post_id", F.col("post_id").alias("position"), (F.col("n") + F.when(F.col("post_id") % 7 == 0, 1).otherwise(0)).alias("reply_count"),
+        F.lit("0").alias("created_at_raw"), F.lit("").alias("title"), F.lit("p").alias("clean_text"), F.concat(F.lit("https://example.com/3/"), F.col("post_id")).alias("target"),
+    )
+    return posts, found
+
+
+def changed_scan(spark: SparkSession, sf_dir: str) -> scans.Scan:
+    posts, found = comment_pages(spark, sf_dir)
+    return scans.changed_comment_scan(posts, posts.filter("post_id % 3 = 0").select("post_id", "reply_count"), found, "3", DOMAIN, NO_LIMIT)
+
+
+_COMMENTS = """
+WITH l AS (SELECT l_orderkey AS post_id, l_suppkey % 5 AS author, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS rn FROM lineitem),
+n AS (SELECT post_id, count(*) AS n, count(*) + CASE WHEN post_id % 7 = 0 THEN 1 ELSE 0 END AS declared, post_id % 11 = 0 AS open FROM l GROUP BY post_id)"""
+
+
+@query(_COMMENTS + """
+SELECT post_id, declared, n AS observed, open AS truncated, open AND n < declared AS unverified,
+  CASE WHEN n < declared AND NOT open THEN declared - n END AS unavailable_count, NOT open AS confirmed FROM n WHERE post_id % 3 <> 0""")
+def q_changed_comment_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = changed_scan(spark, sf_dir).streams
+    return rows.select("post_id", "declared", "observed", "truncated", "unverified", F.col("gap.unavailable_count").alias("unavailable_count"), "confirmed")
+
+
+@query(_COMMENTS + """
+SELECT CAST(post_id * 100 + rn AS VARCHAR) AS id, CAST(post_id AS VARCHAR) AS post_id FROM l WHERE author = 3 AND post_id % 3 <> 0""")
+def q_changed_comment_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changed_scan(spark, sf_dir).records.select("id", "post_id")
+
+
+@query(_COMMENTS + """
+SELECT post_id, CASE WHEN open OR n > 6 THEN NULL ELSE CAST(ceil(n / 3.0) AS INTEGER) END AS stop_page, least(n, 6) AS observed,
+  declared > 6 OR open OR n > 6 OR n < declared AS request_failed FROM n""")
+def q_post_reply_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts, found = comment_pages(spark, sf_dir)
+    return scans.post_reply_scan(posts, found, "3", DOMAIN, 2, 3).streams.select("post_id", "stop_page", "observed", "request_failed")
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS id, 1 AS endpoint, false AS advances FROM events WHERE user_id = 7")
+def q_user_comment_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as one stream of comments, which the first of two endpoints does not have."""
+    rows = read_table(spark, sf_dir, "events")
+    item = F.struct(
+        F.col("event_id").alias("id"), (F.col("event_id") % 9).alias("status_id"), F.col("user_id"), F.lit("t").alias("text"), F.lit(0).alias("created_at"),
+        F.lit(1).alias("like_count"), F.lit(0).alias("reply_count"),
+    )
+    page = (F.floor(F.col("event_id") / 100) + 1).cast("int")
+    bodies = rows.groupBy(page.alias("page")).agg(F.collect_list(item).alias("comments"))
+    body = F.to_json(F.struct(F.lit(True).alias("has_more"), "comments"))
+    found = bodies.select(F.lit(1).alias("endpoint"), "page", F.lit(100).alias("count"), F.lit("OK").alias("code"), body.alias("body"))
+    gone = spark.createDataFrame([(0, 1, 100, "HTTP_404", "")], "endpoint int, page int, count int, code string, body string")
+    posts = spark.range(9).select(F.col("id").cast("string").alias("post_id"), F.lit("0").alias("created_at_raw"), F.lit("").alias("title"), F.lit("p").alias("clean_text"), F.lit("").alias("target"))
+    scan = scans.user_comment_scan(found.unionByName(gone), posts, "7", DOMAIN)
+    return scan.records.select("id").crossJoin(F.broadcast(scan.streams.select("endpoint", "advances")))  # one row
+
+
+@query("""
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'api' WHEN 1 THEN 'page' WHEN 2 THEN 'api' END AS origin,
+  CASE page_id % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'e' END AS clean_text, page_id % 4 <= 1 AS valid FROM pages""")
+def q_single_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The API's answer, else what the page embeds; an answer that is no post is not asked for again."""
+    i = F.col("page_id")
+    post = lambda text: F.concat(F.lit('{"id":'), i.cast("string"), F.lit(f',"created_at":0,"text":"{text}","reply_count":1,"like_count":1,"retweet_count":1,"view_count":1}}'))
+    rows = read_table(spark, sf_dir, "pages").select(
+        "page_id", F.when(i % 2 == 0, "OK").otherwise("HTTP_500").alias("api_code"), F.when(i % 4 == 0, post("a")).when(i % 4 == 2, "[]").alias("api_body"),
+        F.concat("html", F.when(i % 4 != 3, F.concat(F.lit("<script>window.STATUS = "), post("e"), F.lit(";\n</script>"))).otherwise("")).alias("html"),
+    )
+    found = scans.single_records(rows, "7", DOMAIN, r"window\.STATUS")
+    return found.select("page_id", "origin", "clean_text", (F.size("violations") == 0).alias("valid"))
