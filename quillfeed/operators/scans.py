@@ -2,7 +2,8 @@
 
 A scan reads pages as they were landed, decides for each where its walk ends, and takes what came up to there. Pages
 have a stream (or post), page, count, code (of the response) and body. Every step is grouped by stream and page, so a
-long stream spreads over all tasks.
+long stream spreads over all tasks. Items are parsed once and written to the checkpoint folder for the steps that
+read them.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from quillfeed.operators.coverage import coverage
 from quillfeed.operators.merge import RECORD_RULES, last_wins, merge_versions
 from quillfeed.operators.normalize import COUNTS, bare, by_author, normalize_posts, normalize_replies, string
 from quillfeed.operators.select import changed_posts
+from quillfeed.session import materialise
 
 #: Codes of responses after which another endpoint is asked, and after which a scan of posts ends.
 ENDPOINT_MISSING = ("HTTP_404", "API_10020")
@@ -67,7 +69,7 @@ def timeline_scan(pages: DataFrame, user_id: str, domain: str, since_ms: int | N
     by = [stream, "page"]
     posts = normalize_posts(items_of(pages, paging.TIMELINE_ITEMS, stream), user_id, domain)
     mark = count_from_literal(Payload(F.col("item")).literal("mark"))
-    posts = paging.pinned_rows(posts.withColumn("mark", mark), [stream], "page", "count")
+    posts = materialise(paging.pinned_rows(posts.withColumn("mark", mark), [stream], "page", "count"))  # parsed once, read by each step
     pageable = posts.filter("pageable")
     decided = judged(pages, pageable, stream)
     ends = F.coalesce("complete", F.lit(False))
@@ -75,7 +77,8 @@ def timeline_scan(pages: DataFrame, user_id: str, domain: str, since_ms: int | N
         boundary = paging.since_boundary(pageable, stream, "page", "pos", "epoch_ms", since_ms, pages)
         decided = decided.join(boundary.select(*by, "confirmed"), by)
         ends = ends | F.col("confirmed")
-    stops = paging.stop_pages(decided, stream, "page", ends)
+    decided = materialise(decided.withColumn("__ends", ends))  # a row for each page
+    stops = paging.stop_pages(decided, stream, "page", F.col("__ends"))
     walked = paging.walked(posts, stops, stream, "page")
     versions = walked.withColumn("__key", F.struct(stream, "id")).withColumn("seq", _sequence())
     merged = merge_versions(versions, "__key", "seq", RECORD_RULES).select("__key.*", "*").drop("__key")
@@ -106,8 +109,8 @@ def changed_comment_scan(
     changed = changed_posts(posts, baselines, "position", "reply_count", limit)
     asked = pages.join(changed.select(key, "position"), key)
     good = asked.filter(F.col("code") == OK)
-    comments = _comments(good, key)
-    decided = judged(good, comments, key)
+    comments = materialise(_comments(good, key))
+    decided = materialise(judged(good, comments, key))
     stops = paging.stop_pages(decided, key, "page", F.coalesce("complete", F.lit(False)))
     met = asked.filter(F.col("code").isin(*ends)).join(stops, key, "left").filter(F.col("stop_page").isNull() | (F.col("page") <= F.col("stop_page")))
     end = met.agg(F.min("position").alias("__end"))  # one row
@@ -163,8 +166,8 @@ def post_reply_scan(posts: DataFrame, pages: DataFrame, user_id: str, domain: st
     asked = pages.filter(F.col("page") <= reply_pages).join(posts.select(key, "position"), key)
     broken = asked.withColumn("__at", place).groupBy(key).agg(F.min(F.when((F.col("code") != OK) | (F.col("page") != F.col("__at")), F.col("page"))).alias("__broken"))
     good = asked.join(broken, key).filter(F.col("__broken").isNull() | (F.col("page") < F.col("__broken"))).drop("__broken")
-    comments = _comments(good, key)
-    decided = judged(good, comments, key)
+    comments = materialise(_comments(good, key))
+    decided = materialise(judged(good, comments, key))
     stops = paging.stop_pages(decided, key, "page", F.coalesce("complete", F.lit(False)))
     walked = paging.walked(comments, stops, key, "page")
     observed = walked.groupBy(key).agg(F.count_distinct("id").alias("observed"))
@@ -192,8 +195,8 @@ def user_comment_scan(pages: DataFrame, posts: DataFrame, user_id: str, domain:
     )
     asked = pages.join(F.broadcast(chosen), endpoint)
     good = asked.filter(F.col("code") == OK)
-    comments = _comments(good, endpoint)
-    decided = judged(good, comments, endpoint)
+    comments = materialise(_comments(good, endpoint))
+    decided = materialise(judged(good, comments, endpoint))
     stops = paging.stop_pages(decided, endpoint, "page", F.coalesce("complete", F.lit(False)))
     own = paging.walked(comments, stops, endpoint, "page").filter(F.col("author") == user_id)
     replies = normalize_replies(own.drop("id"), posts, user_id, domain, "user_comments")
