@@ -212,6 +212,54 @@ def _upgraded(p: Payload, domain: str) -> Column:
     return F.when(p.is_object() & ~foreign, F.concat(F.lit("{"), F.array_join(F.concat(parts, extra), ","), F.lit("}")))
 
 
+def corpus_record(body: Column, domain: str, contract: str = STRICT) -> Column:
+    """struct(record, violations): a record of a corpus in the normal form of `contract`, as JSON text; null where something is violated.
+
+    Fields that are there are made normal: ids are texts of digits, counts numbers, links absolute, times have their raw
+    value beside them. A date without a time of day is no time. A record in its normal form stays as it is.
+    """
+
+    def of(p: Payload) -> Column:
+        value: dict[str, Column] = {"schema_version": F.lit(str(SCHEMA_VERSION)), "record_contract": F.lit(f'"{contract}"')}
+        broken: dict[str, Column] = {
+            "schema_version": p.has("schema_version") & ~p.literal("schema_version").eqNullSafe(str(SCHEMA_VERSION)),
+            "record_contract": p.has("record_contract") & ~p.text("record_contract").eqNullSafe(contract),
+            "unsupported_field": F.size(F.array_except(p.keys, F.array(*map(F.lit, FIELDS)))) > 0,
+        }
+        quote = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+
+        def put(name: str, normal: Column, nullable: bool = False, needed: bool = False) -> None:
+            literal = p.literal(name)
+            value[name] = F.when(literal == "null", literal).otherwise(normal) if nullable else normal
+            broken[name] = F.coalesce(literal.isNotNull(), F.lit(False)) & value[name].isNull() if not needed else value[name].isNull()
+
+        for name in ("id", "post_id", "user_id"):
+            put(name, quote(loose_id(_bare(p.literal(name)))), needed=name == "id")
+        for name in ("reply_to", "in_reply_to_comment_id", "status_id"):
+            put(name, quote(loose_id(_bare(p.literal(name)))), nullable=True)
+        for name in (*POST_COUNTS, "post_reply_count", "created_ms", "fetched_from_page"):
+            put(name, count_from_literal(p.literal(name)).cast("string"))
+        for name in ("target", "post_target"):
+            put(name, quote(canonical_url(p.text(name), domain)))
+        for name in (*STRINGS, "text", "clean_text"):
+            put(name, F.when(p.kind(name) == "string", p.literal(name)))
+        for name in ("post_link", "legacy_migrated_fields"):
+            value[name] = p.literal(name)
+        for name in ("created_at", "post_created_at"):
+            raw = F.coalesce(p.literal(f"{name}_raw"), p.literal(name))
+            normal = format_epoch_ms(epoch_ms_from_literal(raw))
+            value[f"{name}_raw"], value[name] = raw, F.when(raw.isNotNull(), quote(normal))
+            unknown = F.coalesce((normal == "unknown") & ~is_unknown_literal(raw), F.lit(False))
+            broken[name] = unknown | raw.isNull() if name == "created_at" else unknown
+        parts = F.array_compact(F.array(*(F.when(value[n].isNotNull(), F.concat(F.lit(f'"{n}":'), value[n])) for n in FIELDS)))
+        codes = F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(True)), F.lit(n)) for n, c in broken.items())))
+        found = F.when(~p.is_object(), F.array(F.lit("not_an_object"))).otherwise(codes)
+        made = F.struct(F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("record"), found.alias("violations"))
+        return let(made, lambda m: F.struct(F.when(F.size(m["violations"]) == 0, m["record"]).alias("record"), m["violations"].alias("violations")))
+
+    return Payload.parsed(body, of)
+
+
 def upgrade_predecessor_reply(body: Column) -> Column:
     """Gives a version-1 reply without a contract and without the post's raw time that raw time, and lists it; others stay."""
     p = Payload(body)

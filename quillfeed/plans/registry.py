@@ -755,6 +755,24 @@ def q_predecessor_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", p.literal("post_created_at_raw").alias("raw"), p.literal("legacy_migrated_fields").alias("migrated"))
 
 
+@query("""
+SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN ['created_at'] WHEN 2 THEN ['reply_count'] WHEN 3 THEN ['record_contract'] ELSE []::VARCHAR[] END AS violations,
+  CASE WHEN doc_id % 5 IN (0, 4) THEN '2026-07-14T09:08:07+08:00' END AS created_at, doc_id % 5 IN (0, 4) AS same FROM documents""")
+def q_corpus_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored records in their normal form, which a second pass leaves as it is."""
+    i = F.col("doc_id")
+    made = F.when(i % 5 == 1, "2026-07-14").otherwise("2026-07-14 09:08:07")
+    count = F.when(i % 5 == 2, "true").otherwise('"4"')
+    stamp = F.when(i % 5 == 3, ',"record_contract":"legacy_normalized_v1"').otherwise("")
+    body = F.concat(
+        F.lit('{"id":'), i.cast("string"), F.lit(',"created_at":"'), made, F.lit('","target":"/7/'), i.cast("string"), F.lit('","reply_count":'), count,
+        F.lit(',"post_id":456,"in_reply_to_comment_id":null'), stamp, F.lit("}"),
+    )
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", contracts.corpus_record(body, DOMAIN).alias("r")).select("doc_id", "r.record", "r.violations")
+    again = contracts.corpus_record(F.col("record"), DOMAIN)["record"]
+    return rows.select("doc_id", "violations", F.get_json_object("record", "$.created_at").alias("created_at"), F.coalesce(again == F.col("record"), F.lit(False)).alias("same"))
+
+
 @query("SELECT event_id, event_id % 5 <= 1 AS fine FROM events")
 def q_acquisition_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows carry both markers with their current values or none."""

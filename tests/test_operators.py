@@ -381,3 +381,29 @@ def test_options():
     for wrong in (["--z", "1"], ["--a", "1", "--a", "2"], ["stray"], ["--a"], ["--b=maybe"]):
         with pytest.raises(ValueError):
             options.parse(wrong, ["a", "b"], ["b"])
+
+
+def test_corpus_record(spark):
+    import json
+
+    raw = {
+        "id": 123, "created_at": "2026-07-14 09:08:07", "target": "/7/123", "reply_count": "4", "post_id": 456,
+        "post_created_at": "2026-07-14 08:00:00", "in_reply_to_comment_id": None,
+    }
+    bodies = [
+        raw, {"id": "124", "created_at": "unknown", "target": "/7/124"}, raw | {"record_contract": "legacy_normalized_v1"}, raw | {"reply_count": True},
+        raw | {"reply_count": ""}, raw | {"created_at": "2026-07-14"}, {"created_at": 0}, [1], raw | {"surprise": 1},
+    ]
+    df = spark.createDataFrame([(json.dumps(b),) for b in bodies], "body string")
+    got = [r["r"] for r in df.select(contracts.corpus_record(F.col("body"), "example.com").alias("r")).collect()]
+    assert json.loads(got[0]["record"]) == {
+        "schema_version": 1, "record_contract": "normalized_v1", "id": "123", "created_at_raw": "2026-07-14 09:08:07", "created_at": "2026-07-14T09:08:07+08:00",
+        "target": "https://example.com/7/123", "reply_count": 4, "post_id": "456", "post_created_at_raw": "2026-07-14 08:00:00",
+        "post_created_at": "2026-07-14T08:00:00+08:00", "in_reply_to_comment_id": None,
+    }
+    assert (json.loads(got[1]["record"])["created_at"], json.loads(got[1]["record"])["created_at_raw"]) == ("unknown", "unknown")
+    assert [r["violations"] for r in got[2:]] == [["record_contract"], ["reply_count"], ["reply_count"], ["created_at"], ["id"], ["not_an_object"], ["unsupported_field"]]
+    legacy = df.limit(3).select(contracts.corpus_record(F.col("body"), "example.com", "legacy_normalized_v1").alias("r")).collect()
+    assert [json.loads(r["r"]["record"])["record_contract"] for r in legacy] == ["legacy_normalized_v1"] * 3
+    again = spark.createDataFrame([(r["record"],) for r in got[:2]], "body string").select(contracts.corpus_record(F.col("body"), "example.com").alias("r"))
+    assert [r["r"]["record"] for r in again.collect()] == [r["record"] for r in got[:2]]
