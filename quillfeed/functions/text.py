@@ -12,6 +12,10 @@ ASCII_SPACE = " \t\n\u000b\f\r"
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
+#: Patterns of the HTML that becomes text, with what each becomes, in this order around the entities.
+BREAK, PARAGRAPH_END, TAG, BLANK_LINES = r"(?i)<br\s*/?>", r"(?i)</p>", r"<[^>]+>", r"\n{3,}"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -28,9 +32,9 @@ def utf8_trimmed_length(c: Column | str) -> Column:
 
 def clean_html(c: Column | str) -> Column:
     """HTML to text: line breaks from br and closing p, tags dropped, entities decoded, blank lines capped at one."""
-    text = F.regexp_replace(_col(c), r"(?i)<br\s*/?>", "\n")
-    text = F.regexp_replace(text, r"(?i)</p>", "\n")
-    text = F.regexp_replace(text, r"<[^>]+>", "")
+    text = F.regexp_replace(_col(c), BREAK, "\n")
+    text = F.regexp_replace(text, PARAGRAPH_END, "\n")
+    text = F.regexp_replace(text, TAG, "")
     for entity, plain in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(plain))
-    return ascii_trim(F.regexp_replace(text, r"\n{3,}", "\n\n"))
+    return ascii_trim(F.regexp_replace(text, BLANK_LINES, "\n\n"))

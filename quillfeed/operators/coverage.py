@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: The names of coverages, the best last, and where a declared count comes from.
+PARTIAL_REFUSED, PARTIAL_PAGES, PARTIAL_RESPONSE = "partial_waf", "partial_page_limit", "partial_incomplete_response"
+COMPLETE_WITH_GAPS, COMPLETE = "accessible_main_stream_complete_with_known_gaps", "changed_posts_main_stream_complete"
+FROM_TIMELINE, FROM_ENDPOINT = "timeline", "comment_endpoint_final_page"
+
+
 def coverage(observations: DataFrame, posts: DataFrame, key: str = "post_id", item_id: str = "comment_id", page: str = "page") -> DataFrame:
     """One row for each scanned post: declared, observed, truncated, unverified and the visibility gap.
 
@@ -29,7 +35,7 @@ def coverage(observations: DataFrame, posts: DataFrame, key: str = "post_id", it
         short & ~unverified,
         F.struct(
             declared.alias("declared_count"), F.col("observed").alias("visible_count"), (declared - F.col("observed")).alias("unavailable_count"),
-            F.when(endpoint.isNull(), "timeline").otherwise("comment_endpoint_final_page").alias("count_source"),
+            F.when(endpoint.isNull(), FROM_TIMELINE).otherwise(FROM_ENDPOINT).alias("count_source"),
         ),
     )
     return rows.select(key, declared.alias("declared"), "observed", (~complete).alias("truncated"), unverified.alias("unverified"), gap.alias("gap"))
@@ -38,11 +44,11 @@ def coverage(observations: DataFrame, posts: DataFrame, key: str = "post_id", it
 def coverage_class(scanned: Column, candidates: Column, truncated: Column, unverified: Column, gaps: Column) -> Column:
     """The name of the coverage that these counts of posts amount to."""
     return (
-        F.when(scanned != candidates, "partial_waf")
-        .when(truncated > 0, "partial_page_limit")
-        .when(unverified > 0, "partial_incomplete_response")
-        .when(gaps > 0, "accessible_main_stream_complete_with_known_gaps")
-        .otherwise("changed_posts_main_stream_complete")
+        F.when(scanned != candidates, PARTIAL_REFUSED)
+        .when(truncated > 0, PARTIAL_PAGES)
+        .when(unverified > 0, PARTIAL_RESPONSE)
+        .when(gaps > 0, COMPLETE_WITH_GAPS)
+        .otherwise(COMPLETE)
     )
 
 
