@@ -706,9 +706,10 @@ def q_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as a stream of files, merged batch by batch into a corpus, which is the result."""
     import uuid
 
-    from quillfeed.session import ensure_checkpoint_dir
+    from quillfeed.session import ensure_checkpoint_dir, remember
 
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    remember(spark, base)
     schema = read_table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*").select(
         "user_id", F.col("event_id").alias("seq"), F.col("value").alias("reply_count"), F.col("event_type").alias("title")

@@ -78,7 +78,7 @@ def cut_lineage(df: DataFrame, scratch: list[str] | None = None) -> DataFrame:
     done = df.checkpoint(eager=True)
     file = done._jdf.queryExecution().logical().rdd().getCheckpointFile()
     if file.isDefined():
-        _remember(spark, file.get(), scratch)
+        remember(spark, file.get(), scratch)
     return done
 
 
@@ -93,11 +93,12 @@ def materialise(df: DataFrame, scratch: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quillfeed-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _remember(spark, path, scratch)
+    remember(spark, path, scratch)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remember(spark: SparkSession, path: str, scratch: list[str] | None) -> None:
+def remember(spark: SparkSession, path: str, scratch: list[str] | None = None) -> None:
+    """Marks a path for deletion when the process ends, or earlier by `discard`."""
     if not _written:
         atexit.register(_remove_written)
     _written.append((spark, path))
