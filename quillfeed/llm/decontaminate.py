@@ -128,8 +128,7 @@ def matches(
     found = None
     for width in sorted(counts) or [WINDOW]:
         own = windows.filter(F.col("width") == width).select("w", "item", "ipos", "n_windows", "width")
-        # Not the outer form, posexplode would make Spark test beforehand whether there are windows, which makes them twice.
-        exploded = hashed.select("doc_id", F.posexplode_outer(_windows("h", width)).alias("pos", "w"))
+        exploded = hashed.select("doc_id", F.posexplode(_windows("h", width)).alias("pos", "w"))
         hit = exploded.join(_broadcast_if(own, counts.get(width, 0), BROADCAST_WINDOWS), "w")
         found = hit if found is None else found.unionByName(hit)
     # The same window of an item is at one place of an alignment, so a set of places is gathered, whatever repeats.
@@ -185,7 +184,8 @@ def _is_slot(token: Column) -> Column:
 
 
 def _slots(tokens: DataFrame, key: str, pos: str, value: str) -> DataFrame:
-    return tokens.select(key, F.posexplode_outer("tokens").alias(pos, value)).filter(_is_slot(F.col(value)))  # see matches()
+    # The outer form: below the plain one Spark infers a test for tokens, and makes them of rows that a join drops.
+    return tokens.select(key, F.posexplode_outer("tokens").alias(pos, value)).filter(_is_slot(F.col(value)))
 
 
 def _consistent(aligned: DataFrame, source: DataFrame, items: DataFrame) -> DataFrame:
