@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillfeed.llm import decontaminate, language, licenses, neardup, neighbours, oracles, packing, quality, sharding, toxicity, urls
+from quillfeed.functions.binding import let
+from quillfeed.llm import decontaminate, importance, language, licenses, neardup, neighbours, oracles, packing, quality, repeats, sharding, tokencount, toxicity, urls
 from quillfeed.session import read_table
 
 
@@ -75,6 +76,48 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, rules).drop("mined_rule", "confidence")
 
 
+def with_repeats(df: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by a checksum of their id, end in a repeated stretch of their own words.
+
+    With g from the checksum, the words from place g % n on repeat their first 1 + floor((n - a) / (3 + g % 8)).
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+        tail = F.transform(F.sequence(F.lit(0), n - a - 1), lambda k: F.get(words, a + k % p))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, 1, a), tail), " ")).otherwise("")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return df.select("doc_id", F.when(h % 10 == 0, let(words, repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.periodic_runs(with_repeats(read_table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    best = repeats.greatest(F.col("runs"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(best[k].alias(k) for k in ("start", "length", "period")),
+        F.floor(F.lit(1000) * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return drawn.documents.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
@@ -86,5 +129,8 @@ QUERIES = {
     "op8_neardup": op8_neardup,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_importance": op12_importance,
+    "op13_token_counts": op13_token_counts,
 }
 ORACLES: dict[str, str] = {"op8_neardup": oracles.NEARDUP}

@@ -17,6 +17,9 @@ COLUMNS = {
     "op8_neardup": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
     "op9_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op10_url_filter": "page_id bigint, host string, path string, rule string, verdict string",
+    "op11_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
+    "op12_importance": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
+    "op13_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
 }
 
 
