@@ -46,12 +46,12 @@ def items_of(pages: DataFrame, aliases: tuple[str, ...], stream: str) -> DataFra
     return rows.filter(F.col("item").isNotNull()).select(stream, "page", "count", "pos", "item")
 
 
-def judged(pages: DataFrame, counted: DataFrame, stream: str) -> DataFrame:
+def judged(pages: DataFrame, counted: DataFrame, stream: str, strict: bool = False) -> DataFrame:
     """stream, page, complete, explicit and violation of each page, from its metadata and the items that count (with id)."""
     by = [stream, "page"]
     sizes = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     seen = paging.running_observed(counted, stream, "page", "id", pages)
-    decision = paging.pagination_decision(F.col("body"), F.col("page"), F.col("count"), F.coalesce("__n", F.lit(0)), F.col("observed"))
+    decision = paging.pagination_decision(F.col("body"), F.col("page"), F.col("count"), F.coalesce("__n", F.lit(0)), F.col("observed"), strict)
     rows = pages.select(*by, "count", "body").join(sizes, by, "left").join(seen, by)
     return rows.select(*by, decision.alias("d")).select(*by, "d.complete", "d.explicit", "d.violation")
 

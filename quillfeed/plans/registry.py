@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quillfeed.functions import ids, payload, times
 from quillfeed.functions.text import clean_html, utf8_trimmed_length
-from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, scans, select
+from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, resume_scan, scans, select
 from quillfeed.session import read_table
 from quillfeed.sources.sinks import markdown_block
 from quillfeed.streaming import merge_stream
@@ -933,3 +933,78 @@ def q_single_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     found = scans.single_records(rows, "7", DOMAIN, r"window\.STATUS")
     return found.select("page_id", "origin", "clean_text", (F.size("violations") == 0).alias("valid"))
+
+
+def recovery_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(posts, pages, nested pages): of an order's line items the first three are comments, the others replies to them.
+
+    Some orders never say that they end, some threads neither, some declare one comment more, some refuse a thread.
+    """
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")) - 1
+    key, rn = F.col("post_id"), F.col("rn")
+    lines = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("post_id"), "l_suppkey", place.alias("rn"))
+    sizes = lines.groupBy("post_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = lines.join(sizes, "post_id")
+    replies = F.floor((F.col("n") - 1 - rn) / 3)
+    item = F.struct(
+        (key * 100 + rn).alias("id"), key.alias("status_id"), F.struct((F.col("l_suppkey") % 5).alias("id")).alias("user"), F.lit("t").alias("text"),
+        F.lit(0).alias("created_at"), F.lit(1).alias("like_count"), replies.alias("reply_count"),
+    )
+    page, m = (F.floor(rn / 2) + 1).cast("int").alias("page"), F.least("n", F.lit(3))
+    top = rows.filter(rn < 3).groupBy("post_id", page, m.alias("m")).agg(F.array_sort(F.collect_list(F.struct("rn", item.alias("item")))).alias("all"))
+    body = lambda more: F.to_json(F.struct(more.alias("has_more"), F.transform("all", lambda x: x["item"]).alias("comments")))
+    more = (F.col("page") < F.ceil(F.col("m") / 2)) | (key % 11 == 0)
+    pages_of = top.select("post_id", "page", F.lit(2).alias("count"), F.lit("OK").alias("code"), body(more).alias("body"))
+    root = (key * 100 + rn % 3).cast("string").alias("comment_id")
+    more = (rn + 3 < F.col("n")) | (key % 13 == 0)
+    below = rows.filter(rn >= 3).withColumn("all", F.array(F.struct("rn", item.alias("item"))))
+    refused = F.when((rn == 4) & (key % 17 == 0), "HTTP_500").otherwise("OK")
+    nested = below.select("post_id", root, F.floor(rn / 3).cast("int").alias("page"), F.lit(1).alias("count"), refused.alias("code"), body(more).alias("body"))
+    declared = m + F.when(key % 7 == 0, 1).otherwise(0)
+    bad = (key % 11 == 0) | (key % 7 == 0) | ((key % 13 == 0) & (F.col("n") >= 4)) | ((key % 17 == 0) & (F.col("n") >= 5))
+    posts = sizes.select(
+        "post_id", (key + F.when(bad, 1 << 40).otherwise(0)).alias("position"), declared.alias("reply_count"), F.lit("0").alias("created_at_raw"), F.lit("").alias("title"),
+        F.lit("p").alias("clean_text"), F.concat(F.lit("https://example.com/3/"), key).alias("target"),
+    )
+    return posts, pages_of, nested
+
+
+_RECOVERY = """
+WITH l AS (SELECT l_orderkey AS k, l_suppkey % 5 AS author, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS rn FROM lineitem),
+n AS (SELECT k, count(*) AS n FROM l GROUP BY k),
+w AS (SELECT k, n, least(n, 3) AS m, k % 17 = 0 AND n >= 5 AS failed, k % 13 = 0 AND n >= 4 AS threads, k % 11 = 0 OR k % 7 = 0 AS short FROM n),
+bad AS (SELECT * FROM w WHERE failed OR threads OR short)"""
+
+
+@query(_RECOVERY + """
+SELECT k AS post_id, CASE WHEN k % 11 <> 0 THEN CAST(ceil(m / 2.0) AS INTEGER) END AS stop_page, m AS observed,
+  CASE WHEN failed THEN 'nested:' || (k * 100 + 1) || ':HTTP_500' END AS failed,
+  CASE WHEN failed THEN '' ELSE concat_ws(',', CASE WHEN threads THEN 'nested:' || (k * 100) END, CASE WHEN threads AND n >= 5 THEN 'nested:' || (k * 100 + 1) END,
+    CASE WHEN threads AND n >= 6 THEN 'nested:' || (k * 100 + 2) END, CASE WHEN short THEN 'post:' || k END) END AS truncated FROM w""")
+def q_recovery_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the strict walk of every order ends, with the walks of its threads."""
+    walks = resume_scan.walk_posts(*recovery_pages(spark, sf_dir), "3", DOMAIN, nested_limit=NO_LIMIT)
+    return walks.posts.select("post_id", "stop_page", "observed", "failed", F.array_join("truncated_streams", ",").alias("truncated"))
+
+
+@query(_RECOVERY + """,
+e AS (SELECT k, failed FROM bad ORDER BY k LIMIT 1)
+SELECT CAST(l.k * 100 + rn AS VARCHAR) AS id, CAST(l.k AS VARCHAR) AS post_id, CASE WHEN rn >= 3 THEN CAST(l.k * 100 + rn % 3 AS VARCHAR) END AS root,
+  (SELECT CAST(k AS VARCHAR) FROM e) AS last_failed_post_id
+FROM l WHERE author = 3 AND (l.k NOT IN (SELECT k FROM bad) OR l.k IN (SELECT k FROM e WHERE NOT failed))""")
+def q_recovery_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run over all orders, those that cannot be proven last: it ends at the first of them."""
+    stored = spark.createDataFrame([], "id string, post_id string")
+    run = resume_scan.recovery_scan(*recovery_pages(spark, sf_dir), stored, "3", DOMAIN, nested_limit=NO_LIMIT)
+    state = F.broadcast(run.state.select("last_failed_post_id"))  # one row
+    return run.replies.select("id", "post_id", F.col("in_reply_to_comment_id").alias("root")).crossJoin(state)
+
+
+@query(_RECOVERY + """
+SELECT k AS post_id, CAST(k * 100 + rn % 3 AS VARCHAR) AS comment_id, count(*) FILTER (WHERE NOT (k % 17 = 0 AND rn = 4)) AS observed,
+  k % 13 = 0 OR bool_or(k % 17 = 0 AND rn = 4) AS truncated FROM l WHERE rn >= 3 GROUP BY k, rn % 3""")
+def q_nested_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every thread of every order, walked by itself."""
+    _, _, nested = recovery_pages(spark, sf_dir)
+    roots = nested.groupBy("post_id", "comment_id").agg(F.count(F.lit(1)).alias("declared"))
+    return resume_scan.nested_reply_scan(roots, nested, NO_LIMIT).streams.select("post_id", "comment_id", "observed", "truncated")

@@ -85,14 +85,15 @@ def cut_lineage(df: DataFrame, scratch: list[str] | None = None) -> DataFrame:
 _written: list[tuple[SparkSession, str]] = []
 
 
-def materialise(df: DataFrame, scratch: list[str] | None = None) -> DataFrame:
+def materialise(df: DataFrame, scratch: list[str] | None = None, **options: str | int) -> DataFrame:
     """Writes `df` as Parquet under the shared checkpoint folder and reads it back: lineage is cut, columns stay prunable.
 
-    The files go when the process ends, or earlier by `discard` of the paths that `scratch` gathers.
+    The files go when the process ends, or earlier by `discard` of the paths that `scratch` gathers. `options` are those
+    of the Parquet writer.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quillfeed-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     remember(spark, path, scratch)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -119,5 +120,5 @@ def _remove_written() -> None:
         try:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session has ended before the process
-            return
+        except Exception:  # the session has ended before the process, or another has taken its place
+            continue
