@@ -33,6 +33,11 @@ MIN_WORDS = 20
 PERCENT = 25
 SEED = "7"
 
+#: Bytes of text that make one block of the matrix; one longer text is still a block.
+BLOCK_BYTES = 1 << 18
+#: Readers take a row group of blocks at once, so row groups are kept small, and checked for their size after few blocks.
+ROW_GROUPS = {"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 4, "parquet.block.size.row.check.min": 4}
+
 #: Bytes of words, A-Z lowered: digits, a-z and everything beyond ASCII; all others part words.
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -94,7 +99,7 @@ def count_matrix(df: DataFrame, buckets: int = BUCKETS, longest: int = LONGEST,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, BLOCK_BYTES):
                 rows = [count_text(t or b"", buckets, longest) for t in batch.column(1).cast(pa.binary()).to_pylist()]
                 flat = (
                     pa.array([n for n, _, _ in rows], pa.int64()),
@@ -217,7 +222,7 @@ def resample(
     target_text_col: str = "text",
 ) -> Drawn:
     """Draws documents towards the distribution of the target's texts: doc_id, n_words, n_features, weight, score, rank."""
-    matrix = materialise(count_matrix(df, buckets, longest, id_col, text_col))
+    matrix = materialise(count_matrix(df, buckets, longest, id_col, text_col), **ROW_GROUPS)
     wanted = count_matrix(target.select(F.lit(0).alias("doc_id"), F.col(target_text_col).alias("text")), buckets, longest)
     gain = gains(column_sums(matrix, buckets), column_sums(wanted, buckets))
     scored = weights(matrix, gain).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))

@@ -132,9 +132,11 @@ def scan_text(text: bytes) -> dict:
     places = [(int(np.searchsorted(begins, m.start())), _BASE_LABELS[m.lastindex - 1]) for m in _BASE.finditer(plain)]
     # Spans of the fuzzy search are in words too: positions of the squeezed text map back by counting its spaces.
     squeezed = _SPACES.sub(b" ", plain).strip().decode("utf-8", "replace")
+    found = search().find(squeezed)
+    spaces = np.flatnonzero(np.frombuffer(squeezed.encode("utf-32-le"), np.uint32) == 32) if found else ()
+    before = lambda at: int(np.searchsorted(spaces, at))
     notices = [
-        (search().notices[i][1], squeezed.count(" ", 0, a), squeezed.count(" ", 0, b), edits, 1 - edits / len(search().notices[i][0]))
-        for i, a, b, edits in search().find(squeezed)
+        (search().notices[i][1], before(a), before(b), edits, 1 - edits / len(search().notices[i][0])) for i, a, b, edits in found
     ]
     return {"n_words": len(begins), "places": places, "notices": notices}
 

@@ -103,3 +103,21 @@ def test_edges(spark):
     got = licenses.scan(df).collect()
     assert sorted((r["doc_id"] is None, r["n_base"], r["n_words"]) for r in got) == [(False, 1, 2), (False, 1, 2), (True, 0, 2_000_000)]
     assert licenses.scan(df.limit(0)).collect() == []
+
+
+def test_spans_in_words_of_long_texts_in_linear_time():
+    """10 MB of notices: each span maps to the words it stands on, in time that grows as the text."""
+    import time
+
+    began = time.perf_counter()
+    found = licenses.scan_text(b"all rights reserved\n" * 520_000)
+    assert time.perf_counter() - began < 150
+    assert len(found["notices"]) == 520_000 and found["n_words"] == 1_560_000
+    assert all(n[1:4] == (3 * i, 3 * i + 2, 0) for i, n in enumerate(found["notices"]))
+    rng, words = random.Random(9), ["é漢字", "foo", "ñ", *licenses.NOTICES]
+    for _ in range(100):
+        text = "".join(rng.choice(words) + rng.choice([" ", "  ", ", ", "\n"]) for _ in range(rng.randint(0, 30)))
+        text = "".join(c for c in text if rng.random() > 0.02)
+        squeezed = " ".join(WORD.findall(text.translate(LOWER)))
+        want = [(squeezed.count(" ", 0, a), squeezed.count(" ", 0, b), e) for _, a, b, e in licenses.search().find(squeezed)]
+        assert [n[1:4] for n in licenses.scan_text(text.encode())["notices"]] == want
