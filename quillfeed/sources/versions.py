@@ -3,17 +3,23 @@
 Folders that a commit names are never written again. A commit is one rename of a small file to the next number, so
 readers see all streams as before or all as after it, and a run that stops anywhere leaves the last commit whole;
 what it wrote without naming it goes with the next commit. Folders of the commit before stay for readers that still
-hold them. One writer at a time; any number of readers.
+hold them. One writer at a time; any number of readers. Only folders that the store itself has named are ever deleted;
+whatever else lies in its base folder stays.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOG = "_commits"
+#: Names of the folders that the store writes.
+_OWN = re.compile(r"v-[0-9a-f]{32}\Z")
+#: Names in a commit that begin with this are notes, not streams.
+_NOTE = "_"
 
 
 def _at(spark: SparkSession, path: str):
@@ -41,15 +47,24 @@ def _read_commit(spark: SparkSession, base: str, number: int) -> dict[str, str]:
 
 def current(spark: SparkSession, base: str) -> dict[str, str]:
     """The folder of each stream by the last commit; empty before the first."""
+    return {k: v for k, v in _last(spark, base).items() if not k.startswith(_NOTE)}
+
+
+def notes(spark: SparkSession, base: str) -> dict[str, str]:
+    """What the last commit notes about the store beside its streams."""
+    return {k.removeprefix(_NOTE): v for k, v in _last(spark, base).items() if k.startswith(_NOTE)}
+
+
+def _last(spark: SparkSession, base: str) -> dict[str, str]:
     numbers = _commits(spark, base)
     return _read_commit(spark, base, numbers[-1]) if numbers else {}
 
 
-def commit(spark: SparkSession, base: str, changed: dict[str, str], removed: tuple[str, ...] = ()) -> None:
-    """Names the changed streams' folders (relative to `base`) beside those of all other streams, in one step."""
+def commit(spark: SparkSession, base: str, changed: dict[str, str], removed: tuple[str, ...] = (), noted: dict[str, str] | None = None) -> None:
+    """Names the changed streams' folders (relative to `base`) beside those of all other streams, in one step, with notes."""
     numbers = _commits(spark, base)
     before = _read_commit(spark, base, numbers[-1]) if numbers else {}
-    after = {k: v for k, v in before.items() if k not in removed} | changed
+    after = {k: v for k, v in before.items() if k not in removed} | changed | {_NOTE + k: v for k, v in (noted or {}).items()}
     number = numbers[-1] + 1 if numbers else 0
     fs, draft = _at(spark, f"{base}/{_LOG}/.draft-{uuid.uuid4().hex}")
     fs.mkdirs(draft.getParent())
@@ -63,11 +78,11 @@ def commit(spark: SparkSession, base: str, changed: dict[str, str], removed: tup
 
 
 def _clean(spark: SparkSession, base: str, kept: set[str], number: int) -> None:
-    """Deletes folders that neither the last commit nor the one before names, and older commits."""
+    """Deletes the store's own folders that neither the last commit nor the one before names, and older commits."""
     fs, _ = _at(spark, base)
     roots = {k.split("/")[0] for k in kept}
     for name in _names(spark, base):
-        if name == _LOG:
+        if not _OWN.match(name):
             continue
         if name not in roots:
             fs.delete(_at(spark, f"{base}/{name}")[1], True)
@@ -90,6 +105,11 @@ def write_version(df: DataFrame, base: str, fmt: str = "parquet", partition: str
     return name
 
 
+def partitions(spark: SparkSession, base: str, folder: str, partition: str) -> dict[str, str]:
+    """The values of the partition column in a written folder, and the folder of each."""
+    return {n.removeprefix(f"{partition}="): f"{folder}/{n}" for n in _names(spark, f"{base}/{folder}") if n.startswith(f"{partition}=")}
+
+
 def publish(spark: SparkSession, base: str, streams: dict[str, DataFrame], fmt: str = "parquet") -> None:
     """Writes all streams, then names them in one commit; if any fails, none is changed."""
     commit(spark, base, {name: write_version(df, base, fmt) for name, df in streams.items()})

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from quillfeed.operators.merge import MergeRules, merge_versions, upsert
-from quillfeed.session import materialise
+from quillfeed.session import discard, materialise
 from quillfeed.sources import versions
 
-#: Buckets of keys that a corpus is kept in; a batch rewrites those that it meets.
-BUCKETS = 64
+#: Rows of a bucket of keys, on average: a batch rewrites the buckets that it meets, at most so many rows for each of its keys.
+ROWS_PER_BUCKET = 16_384
+#: Buckets of a corpus that notes no number of its own.
+UNNOTED_BUCKETS = 64
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame | None:
@@ -26,28 +28,50 @@ def _read(spark: SparkSession, path: str, folders: Iterable[str]) -> DataFrame:
     return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*(f"{path}/{f}" for f in folders)).drop("conflicts")
 
 
-def merge_batch(batch: DataFrame, path: str, key: str, seq: str, rules: MergeRules, buckets: int = BUCKETS) -> None:
+def buckets_for(rows: int) -> int:
+    """The least power of two that gives buckets of `ROWS_PER_BUCKET` rows."""
+    return 1 << max(0, (-(-rows // ROWS_PER_BUCKET) - 1).bit_length())
+
+
+def merge_batch(batch: DataFrame, path: str, key: str, seq: str, rules: MergeRules, buckets: int | None = None) -> None:
     """Merges one micro-batch into the corpus at `path`, a store of versions with a stream for each bucket of keys.
 
     Only the buckets that the batch meets are read and written again, and one commit names them all: the corpus is
-    whole at every moment. Merging a batch again gives the same corpus, so a retried micro-batch does no harm.
+    whole at every moment. The number of buckets follows the corpus, so that a batch costs as its keys, not as the
+    corpus: where it has outgrown its buckets by two, it is dealt anew into as many as its rows ask for, which happens
+    once each time that it doubles. `buckets` sets a fixed number. Merging a batch again gives the same corpus, so a
+    retried micro-batch does no harm. What the merge writes beside the corpus goes with its end.
     """
-    spark = batch.sparkSession
-    before = versions.current(spark, path)
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    batch = materialise(batch)
-    met = [str(r[0]) for r in batch.select(bucket).distinct().collect()]  # `buckets` numbers at most
-    if not met:
-        return
-    stored = [before[b] for b in met if b in before]
-    merged = upsert(_read(spark, path, stored), batch, key, seq, rules) if stored else merge_versions(batch, key, seq, rules)
-    merged = merged.withColumn(seq, F.lit(-1).cast("long")).withColumn("__bucket", bucket)
-    name = versions.write_version(merged.repartition("__bucket"), path, partition="__bucket")
-    folders = {b: f"{name}/__bucket={b}" for b in met}
-    fresh = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/{name}")
-    if fresh.filter(F.size("conflicts") > 0).limit(1).count():
-        raise ValueError("a record changed what may not change")  # no commit names the folder; the next one deletes it
-    versions.commit(spark, path, folders)
+    spark, scratch = batch.sparkSession, []
+    before, noted = versions.current(spark, path), versions.notes(spark, path)
+    have = int(noted.get("buckets", UNNOTED_BUCKETS if before else 1))
+    try:
+        batch = materialise(batch, scratch)
+        came = batch.count()
+        if not came:
+            return
+        rows = int(noted["rows"]) if "rows" in noted else _read(spark, path, before.values()).count() if before else 0
+        wanted = buckets or buckets_for(rows + came)
+        anew = wanted != have if buckets or not before else wanted > 2 * have
+        number = wanted if anew else have
+        bucket = F.pmod(F.xxhash64(key), F.lit(number)).cast("int")
+        if anew:
+            stored = list(before.values())
+        else:
+            met = [str(r[0]) for r in batch.select(bucket).distinct().collect()]  # `number` at most, and the batch's keys
+            stored = [before[b] for b in met if b in before]
+        old = _read(spark, path, stored) if stored else None
+        merged = merge_versions(batch, key, seq, rules) if old is None else upsert(old, batch, key, seq, rules)
+        merged = merged.withColumn(seq, F.lit(-1).cast("long")).withColumn("__bucket", bucket)
+        name = versions.write_version(merged.repartition("__bucket"), path, partition="__bucket")
+        fresh = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/{name}")
+        if fresh.filter(F.size("conflicts") > 0).limit(1).count():
+            raise ValueError("a record changed what may not change")  # no commit names the folder; a later one deletes it
+        total = rows + fresh.count() - (0 if old is None else old.count())  # counts come from the files' footers
+        gone = tuple(before) if anew else ()
+        versions.commit(spark, path, versions.partitions(spark, path, name, "__bucket"), gone, {"buckets": str(number), "rows": str(total)})
+    finally:
+        discard(spark, scratch)
 
 
 def merge_stream(stream: DataFrame, path: str, checkpoint: str, key: str, seq: str, rules: MergeRules, **trigger) -> StreamingQuery:

@@ -170,6 +170,51 @@ def test_a_batch_rewrites_its_buckets_alone(spark, tmp_path):
     assert merge_stream.read_corpus(spark, path).count() == 500 and merge_stream.read_corpus(spark, str(tmp_path / "none")) is None
 
 
+def test_only_the_stores_own_folders_are_deleted(spark, tmp_path):
+    base = tmp_path / "store"
+    for i in range(4):
+        versions.publish(spark, str(base), {"posts": spark.range(i + 1)})
+        if i == 0:
+            for name in ("reports", "checkpoint/offsets", "v-notes", "v-" + "g" * 32):
+                (base / name).mkdir(parents=True)
+                (base / name / "file").write_text("kept")
+    assert all((base / name / "file").read_text() == "kept" for name in ("reports", "checkpoint/offsets", "v-notes", "v-" + "g" * 32))
+    assert len([p for p in base.iterdir() if versions._OWN.match(p.name)]) == 2 and versions.read(spark, str(base), "posts").count() == 4
+
+
+def test_buckets_follow_the_corpus(spark, tmp_path, monkeypatch):
+    """A small batch of random keys rewrites a small part, however large the corpus has become."""
+    monkeypatch.setattr(merge_stream, "ROWS_PER_BUCKET", 50)
+    rules, path = merge.MergeRules(latest=("n",)), str(tmp_path / "c")
+    batch = lambda a, b: spark.range(a, b).select(F.col("id").alias("k"), F.col("id").alias("seq"), F.col("id").alias("n"))
+    merge_stream.merge_batch(batch(0, 40), path, "k", "seq", rules)
+    assert versions.notes(spark, path) == {"buckets": "1", "rows": "40"}
+    merge_stream.merge_batch(batch(30, 3000), path, "k", "seq", rules)
+    before = versions.current(spark, path)
+    assert versions.notes(spark, path) == {"buckets": "64", "rows": "3000"} and len(before) == 64
+    merge_stream.merge_batch(batch(2999, 3002), path, "k", "seq", rules)
+    after = versions.current(spark, path)
+    assert sum(before.get(b) != after[b] for b in after) <= 3 and versions.notes(spark, path)["rows"] == "3002"
+    assert sorted((r["k"], r["n"]) for r in merge_stream.read_corpus(spark, path).collect()) == [(i, i) for i in range(3002)]
+
+
+def test_a_batch_leaves_no_scratch(spark, tmp_path):
+    from pathlib import Path
+
+    from quillfeed.session import ensure_checkpoint_dir
+
+    files = lambda: sorted(p for p in Path(ensure_checkpoint_dir(spark).removeprefix("file:")).rglob("*") if p.is_file())
+    rules, path = merge.MergeRules(latest=("n",)), str(tmp_path / "c")
+    batch = spark.createDataFrame([(1, 1, 1)], "k long, seq long, n long")
+    before = files()
+    for _ in range(2):
+        merge_stream.merge_batch(batch, path, "k", "seq", rules)
+        merge_stream.merge_batch(batch.limit(0), path, "k", "seq", rules)
+    with pytest.raises(ValueError):
+        merge_stream.merge_batch(spark.createDataFrame([(1, 1, 1), (1, 2, 2)], "k long, seq long, n long"), path, "k", "seq", merge.MergeRules(same=("n",)))
+    assert files() == before
+
+
 def test_snapshot_digest(spark, tmp_path):
     tree = tmp_path / "tree"
     (tree / "b").mkdir(parents=True)
