@@ -66,29 +66,78 @@ def on_domain(host: Column, domain: str) -> Column:
     return (host == domain) | host.endswith("." + domain)
 
 
+#: Characters that are percent-encoded in a path, in a query and in a fragment of an https URL.
+ENCODED_IN_PATH = r"""[\x00-\x20"#<>?^`{}\x7F-\x{10FFFF}]"""
+ENCODED_IN_QUERY = r"""[\x00-\x20"#<>'\x7F-\x{10FFFF}]"""
+ENCODED_IN_FRAGMENT = r"""[\x00-\x20"<>`\x7F-\x{10FFFF}]"""
+#: A host of ASCII without a character that no host may hold; path segments for this folder and the one above.
+HOST = r"\A[^\x00-\x20#/:<>?@\[\\\]^|%\x7F-\x{10FFFF}]+\z"
+HERE, ABOVE = r"(?i)\A(\.|%2e)\z", r"(?i)\A(\.|%2e){2}\z"
+
+
+def percent_encoded(c: Column, characters: str) -> Column:
+    """The text with the characters of a class, each as the hexadecimal of its UTF-8 bytes."""
+    runs = F.regexp_extract_all(c, F.lit(f"(?s){characters}+|{characters.replace('[', '[^', 1)}+"), F.lit(0))
+    coded = lambda r: F.regexp_replace(F.hex(F.encode(r, "UTF-8")), "(..)", "%$1")
+    return F.when(c.rlike(characters), F.array_join(F.transform(runs, lambda r: F.when(r.rlike(r"\A" + characters), coded(r)).otherwise(r)), "")).otherwise(c)
+
+
+def without_dot_segments(path: Column) -> Column:
+    """A path that begins with `/`, its segments `.` and `..` (also percent-encoded) resolved by a stack of segments."""
+    segments = F.split(F.substring(path, 2, 2147483647), "/")
+
+    def step(kept: Column, s: Column) -> Column:
+        above = F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(s.rlike(ABOVE), above).when(s.rlike(HERE), kept).otherwise(F.concat(kept, F.array(s)))
+
+    # The last segment leaves an empty one behind where it is resolved: the path ends in `/`.
+    with_end = F.when(F.element_at(segments, -1).rlike(ABOVE) | F.element_at(segments, -1).rlike(HERE), F.concat(segments, F.array(F.lit("")))).otherwise(segments)
+    resolved = F.aggregate(with_end, F.array().cast("array<string>"), step)
+    return F.when(path.rlike(r"(?i)/(\.|%2e){1,2}(/|\z)"), F.concat(F.lit("/"), F.array_join(resolved, "/"))).otherwise(path)
+
+
 def canonical_url(url: Column, domain: str, user_id: Column | None = None, post_id: Column | None = None) -> Column:
     """The absolute https form of a link on `domain`, or null where the link is not allowed.
 
     Relative and protocol-relative links and http are completed; other schemes, other hosts, user info and ports
-    other than 443 are refused. With user and post ids, an empty link becomes `/user/post` and any other must be it.
+    other than 443 are refused, as are hosts beyond ASCII. Tabs and line ends go, backslashes before the query are
+    slashes, dot segments are resolved and what may not stand in path, query or fragment is percent-encoded. With user
+    and post ids, an empty link becomes `/user/post` and any other must be it.
     """
     trimmed = ascii_trim(F.coalesce(url, F.lit("")))
-    return let(trimmed, lambda t: let(_absolute(t, domain), lambda a: _canonical(t, url_parts(a), domain, user_id, post_id)))
+    return let(trimmed, lambda t: let(_absolute(t, domain), lambda a: let(_parts(a), lambda p: _canonical(t, p, domain, user_id, post_id))))
 
 
 def _absolute(t: Column, domain: str) -> Column:
-    return (
-        F.when(t.startswith("//"), F.concat(F.lit("https:"), t))
-        .when(t.rlike(r"(?i)\Ahttps?://"), t)
-        .otherwise(F.concat(F.lit(f"https://{domain}"), F.when(t.startswith("/"), t).otherwise(F.concat(F.lit("/"), t))))
+    """`//authority...` of a link without its scheme, which is looked for before tabs and line ends go."""
+    told = F.regexp_replace(F.regexp_replace(t, r"(?i)\Ahttps?://", "//"), r"[\t\n\r]", "")
+    head, rest = F.regexp_extract(told, r"(?s)\A([^?#]*)", 1), F.regexp_extract(told, r"(?s)\A[^?#]*(.*)\z", 1)
+    bare = F.translate(head, "\\", "/")
+    rooted = F.when(told.startswith("/"), bare).otherwise(F.concat(F.lit("/"), bare))
+    return F.concat(F.when(rooted.startswith("//"), F.regexp_replace(rooted, r"\A/+", "//")).otherwise(F.concat(F.lit(f"//{domain}"), rooted)), rest)
+
+
+def _parts(a: Column) -> Column:
+    part = lambda i: F.regexp_extract(a, r"(?s)\A//([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?\z", i)
+    authority = part(1)
+    path = without_dot_segments(percent_encoded(F.when(part(2) == "", F.lit("/")).otherwise(part(2)), ENCODED_IN_PATH))
+    query, fragment = F.substring(part(3), 2, 2147483647), F.substring(part(4), 2, 2147483647)
+    return F.struct(
+        F.regexp_extract(authority, r"(?s)\A(.*)@", 1).alias("login"),
+        F.lower(F.regexp_extract(authority, r"(?s)([^@]*?)(:[0-9]*)?\z", 1)).alias("host"),
+        F.regexp_extract(authority, r":([0-9]+)\z", 1).alias("port"),
+        path.alias("path"),
+        F.concat(
+            F.when(part(3) == "", "").otherwise(F.concat(F.lit("?"), percent_encoded(query, ENCODED_IN_QUERY))),
+            F.when(part(4) == "", "").otherwise(F.concat(F.lit("#"), percent_encoded(fragment, ENCODED_IN_FRAGMENT))),
+        ).alias("rest"),
     )
 
 
-def _canonical(t: Column, p: dict[str, Column], domain: str, user_id: Column | None, post_id: Column | None) -> Column:
+def _canonical(t: Column, p: Column, domain: str, user_id: Column | None, post_id: Column | None) -> Column:
     foreign = t.rlike(r"(?i)\A[a-z][a-z0-9+.-]*:") & ~t.rlike(r"(?i)\Ahttps?:")
-    fine = ~foreign & on_domain(p["host"], domain) & ~p["authority"].contains("@") & p["port"].isin("", "443")
-    path = F.when(p["path"] == "", F.lit("/")).otherwise(p["path"])
-    whole = F.when(fine, F.concat(F.lit("https://"), p["host"], path, p["rest"]))
+    fine = ~foreign & on_domain(p["host"], domain) & p["host"].rlike(HOST) & p["login"].isin("", ":") & p["port"].isin("", "443")
+    whole = F.when(fine, F.concat(F.lit("https://"), p["host"], p["path"], p["rest"]))
     if user_id is None or post_id is None:
         return F.when(t != "", whole)
     fallback = F.concat(F.lit(f"https://{domain}/"), user_id, F.lit("/"), post_id)

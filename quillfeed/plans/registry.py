@@ -79,6 +79,22 @@ def q_url_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "pages").select("page_id", ids.canonical_url(F.col("url"), DOMAIN).alias("canonical"))
 
 
+@query(r"""
+WITH p AS (SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host FROM pages)
+SELECT page_id, CASE WHEN host LIKE '%.example.com' THEN 'https://' || host || CASE page_id % 8
+  WHEN 0 THEN '/b/' WHEN 1 THEN '/a%20b/c?x%20%27#y%20''' WHEN 2 THEN '/%C3%A9/%zz' WHEN 3 THEN '/c' WHEN 4 THEN '/' || page_id || '/'
+  WHEN 5 THEN '/a/c?../d' WHEN 6 THEN '/%7Bx%7D' END END AS canonical FROM p""")
+def q_url_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links with dot segments, backslashes and characters that may not stand: each host with one of eight forms."""
+    rows = read_table(spark, sf_dir, "pages")
+    i, head = F.col("page_id"), F.regexp_extract("url", "^(https?://[^/?#]*)", 1)
+    forms = ["/a/../b/.", "/a b/c?x '#y '", "/é/%zz", "/a\\b/%2e%2E/.%2e\\c", None, "/a/b/../c?../d", "/{x}", ":8080/a"]
+    form = F.concat(F.lit("/x/../"), i.cast("string"), F.lit("/y/.."))
+    for k, text in enumerate(forms):
+        form = form if text is None else F.when(i % 8 == k, F.lit(text)).otherwise(form)
+    return rows.select("page_id", ids.canonical_url(F.concat(head, form), DOMAIN).alias("canonical"))
+
+
 @query(r"""
 SELECT item AS page_id, user_id, post_id FROM (
   SELECT page_id AS item, CASE WHEN url LIKE 'https://%' AND regexp_extract(url, '://([^/?#]*)', 1) LIKE '%.example.com'
