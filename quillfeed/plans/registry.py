@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from quillfeed.functions import ids, payload, times
 from quillfeed.functions.text import clean_html, utf8_trimmed_length
-from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, resume_scan, scans, select
+from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, resume_scan, scans, select, states
 from quillfeed.session import read_table
 from quillfeed.sources.sinks import markdown_block
-from quillfeed.streaming import merge_stream
+from quillfeed.streaming import checkpoints, merge_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1024,3 +1024,51 @@ def q_nested_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, nested = recovery_pages(spark, sf_dir)
     roots = nested.groupBy("post_id", "comment_id").agg(F.count(F.lit(1)).alias("declared"))
     return resume_scan.nested_reply_scan(roots, nested, NO_LIMIT).streams.select("post_id", "comment_id", "observed", "truncated")
+
+
+@query("""
+WITH l AS (SELECT l_orderkey AS k, bool_or(l_quantity < 3) AS low, count(DISTINCT l_suppkey) < count(*) AS twice, count(DISTINCT l_partkey) < count(*) AS again,
+  bool_or(l_quantity < l_linenumber OR l_partkey % 10 = 0 OR l_quantity = l_linenumber) AS broken FROM lineitem GROUP BY l_orderkey)
+SELECT k AS o_orderkey, concat_ws(',', CASE WHEN low THEN 'post_reply_counts' END, CASE WHEN twice THEN 'scanned_post_ids' END,
+  CASE WHEN broken OR again THEN 'comment_visibility_gaps' END, CASE WHEN k % 5 = 0 THEN 'user_id' END, CASE WHEN k % 7 = 0 THEN 'comment_method' END) AS violations,
+  NOT low AND NOT twice AND NOT broken AND NOT again AND k % 5 = 1 AND k % 7 <> 0 AS starts_anew FROM l""")
+def q_checkpoint_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A state for each order, its counts, ids and gaps from the order's line items, all validated in one pass."""
+    k, text = F.col("l_orderkey"), lambda c: F.col(c).cast("string")
+    declared, visible = F.col("l_quantity").cast("long"), F.col("l_linenumber").cast("long")
+    hidden = declared - visible + F.when(F.col("l_partkey") % 10 == 0, 1).otherwise(0)
+    gap = F.struct(text("l_partkey").alias("post_id"), declared.alias("declared_count"), visible.alias("visible_count"), hidden.alias("unavailable_count"), F.lit("timeline").alias("count_source"))
+    entry = F.concat(F.lit('"'), text("l_linenumber"), text("l_partkey"), text("l_suppkey"), F.lit('":'), (declared - 3).cast("string"))
+    rows = read_table(spark, sf_dir, "lineitem").groupBy(k).agg(
+        F.array_join(F.array_distinct(F.collect_list(entry)), ",").alias("counts"), F.to_json(F.collect_list(text("l_suppkey"))).alias("ids"), F.to_json(F.collect_list(gap)).alias("gaps")
+    )
+    user = F.when(k % 5 == 0, '"user_id":"8",').when(k % 5 == 1, "").otherwise('"user_id":"7",')
+    method = F.when(k % 7 == 0, '""').otherwise('"x"')
+    state = F.concat(
+        F.lit('{"schema_version":1,'), user, F.lit('"post_reply_counts":{'), "counts", F.lit('},"scanned_post_ids":'), "ids", F.lit(',"confirmed_post_ids":[],"latest_post_id":null,"comment_visibility_gaps":'),
+        "gaps", F.lit(',"comment_method":'), method, F.lit(',"comment_coverage":"x","nested_reply_coverage":"x"}'),
+    )
+    judged = states.judged_states(rows.select(k.alias("o_orderkey"), state.alias("state"), F.lit("7").alias("user_id")))
+    return judged.select("o_orderkey", F.array_join("violations", ",").alias("violations"), "starts_anew")
+
+
+@query("""
+WITH o AS (SELECT user_id, event_type AS post_id, epoch_us(ts) // 1000 AS time_ms, event_id AS seq, CAST(floor(value) AS BIGINT) % 2 AS reply_count FROM events),
+l AS (SELECT *, lag(time_ms) OVER w AS t, lag(reply_count) OVER w AS c FROM o WINDOW w AS (PARTITION BY user_id, post_id ORDER BY time_ms, seq))
+SELECT user_id, post_id, time_ms, seq, CASE WHEN time_ms - t <= 21600000 THEN c END AS previous_count, reply_count
+FROM l WHERE t IS NULL OR time_ms - t > 21600000 OR c <> reply_count""")
+def q_stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as observations of a post of each kind and user, through keyed state with a lookback of six hours."""
+    import uuid
+
+    from quillfeed.session import ensure_checkpoint_dir, remember
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/changes-{uuid.uuid4().hex}"
+    remember(spark, base)
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    seen = checkpoints.observations(stream, F.col("user_id"), F.col("event_type"), F.col("ts"), F.col("event_id"), F.floor("value") % 2)
+    with checkpoints.state_store(spark):
+        changed = checkpoints.changes_on_stream(seen, 6 * 3_600_000)
+        changed.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(changed.schema).parquet(f"{base}/out")
