@@ -48,33 +48,48 @@ STARTERS = (
     "Der|Die|Das|Ein|Eine|Es|Er|Sie|Wir|Und|Oder|Aber|Wenn|Was|Wer|Wie|Wo|Im|Am|Zu|"
     "Le|La|Les|Un|Une|Des|Il|Elle|Nous|Vous|Et|Ou|Mais|Si|Que|Qui|Dans|El|Los|Las|Una|Y|O|Pero|En|De|Se"
 )
-#: A name: a capitalised word after a lower-case word or a comma. Words in capitals throughout are none.
+#: Number words, which join by a space, a hyphen or "and".
+NUMBER_WORDS = (
+    "zero|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|"
+    "twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion"
+)
+#: A name: capitalised words after a lower-case word or a comma, parted by a space or a hyphen. Words in capitals throughout are none.
 _CAPITALISED = r"\p{Lu}[\p{Ll}\p{M}][\p{L}\p{M}]*"
-_NAMES = rf"(?<=[\p{{Ll}},] ){_CAPITALISED}"
+_RUN = rf"{_CAPITALISED}(?:[ -]{_CAPITALISED})*"
+_NAMES = rf"(?<=[\p{{Ll}},] ){_RUN}"
 #: The same, and a capitalised word at the start of a sentence that is no starter.
 _STARTING_NAMES = (
     r"(?=\p{Lu})(?:(?<=[\p{Ll},] )|(?:(?<=^|[\n.!?…])|(?<=[\n.!?…][\s\"'”»)(])|(?<=[\n.!?…]\s[\s\"'“«(]))"
-    rf"(?!(?:{STARTERS})(?![\p{{L}}\p{{M}}]))){_CAPITALISED}"
+    rf"(?!(?:{STARTERS})(?![\p{{L}}\p{{M}}]))){_RUN}"
 )
 #: What is taken for a name: nothing, words inside sentences, or first words too.
 NO_NAMES, INNER_NAMES, ALL_NAMES = None, _NAMES, _STARTING_NAMES
 #: Ends of sentences and lines.
 _ENDS = r"[.!?…]+(?=[\s\"'”»)]|$)|\n+"
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
+#: Stands between the words of one value.
+JOINED = "\u0004"
+_NUMBER_WORDS = rf"(?i)(?<![\p{{L}}\p{{M}}\p{{N}}\x01-\x04])(?:{NUMBER_WORDS})(?:(?:[ -]| and )(?:{NUMBER_WORDS}))*(?![\p{{L}}\p{{M}}\p{{N}}\x04])"
 
 
 def template_tokens(text: Column, values: bool = False, names: str | None = ALL_NAMES) -> Column:
     """Words of the canonical template in lower case; with `values`, a placeholder carries what it stands for.
 
-    `names` says what is taken for a name. All forms have the same number of tokens at the same positions.
+    `names` says what is taken for a name. A name or a number of several words is one token, so forms with and without
+    names may differ in their number of tokens; with and without values they have the same at the same positions.
     """
     kept = "$0" if values else ""
-    t = F.coalesce(text, F.lit(""))
+    t = F.replace(F.coalesce(text, F.lit("")), F.lit(JOINED), F.lit(" "))
     t = F.regexp_replace(t, names, f" {NAME}{kept} ") if names else t
+    if values and names:  # the words of a name, from its mark on
+        t = F.regexp_replace(t, rf"({NAME}{_CAPITALISED}|(?!\A)\G{_CAPITALISED})[ -](?={_CAPITALISED})", f"$1{JOINED}")
+    t = F.regexp_replace(t, _NUMBER_WORDS, f" {NUMBER}{kept} ")
+    if values:
+        t = F.regexp_replace(t, rf"(?i)({NUMBER}(?:{NUMBER_WORDS})|(?!\A)\G(?:{NUMBER_WORDS}))(?: and |[ -])(?=(?:{NUMBER_WORDS})(?![\p{{L}}\p{{M}}]))", f"$1{JOINED}")
     t = F.regexp_replace(t, r"\p{N}+(?:[.,:/]\p{N}+)*", f" {NUMBER}{kept} ")
-    unit = rf"(?i)({NUMBER}[\p{{N}}.,:/]*\s+)({UNITS})(?![\p{{L}}\p{{M}}\p{{N}}])"
+    unit = rf"(?i)({NUMBER}[\p{{N}}.,:/{JOINED}\p{{L}}]*\s+)({UNITS})(?![\p{{L}}\p{{M}}\p{{N}}])"
     t = F.regexp_replace(t, unit, f"$1 {UNIT}{'$2' if values else ''} ")
-    part = r"(?:[^\p{L}\p{M}\p{N}\x01-\x03.,:/]|(?<!\p{N})[.,:/]|[.,:/](?!\p{N}))+"
+    part = r"(?:[^\p{L}\p{M}\p{N}\x01-\x04.,:/]|(?<!\p{N})[.,:/]|[.,:/](?!\p{N}))+"
     if not values:  # no digits are left, so every mark parts words
         part = r"[^\p{L}\p{M}\x01-\x03]+"
     return F.filter(F.split(F.lower(t), part), lambda x: x != "") if values else F.array_remove(F.split(F.lower(t), part), "")
@@ -95,17 +110,18 @@ def benchmark_items(benchmark: DataFrame, item_col: str, text_col: str) -> DataF
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item, ipos, w, width, n_windows) of the items that are long enough to be found anywhere.
+    """(item, form, ipos, w, width, n_windows) of the items that are long enough to be found anywhere.
 
-    A capitalised first word may be a name or not, and the document may be in lower case or capitals: items have all forms.
+    A capitalised first word may be a name or not, and the document may be in lower case or capitals: items have all
+    forms. Places of two forms are the same where they have the same number of tokens, which is the form's number.
     """
     forms = F.array_distinct(F.array(*(template_tokens(F.col("item_text"), names=n) for n in (ALL_NAMES, INNER_NAMES, NO_NAMES))))
     tokens = items.select("item", F.explode(forms).alias("tokens"))
-    hashed = tokens.select("item", F.transform("tokens", lambda x: F.xxhash64(x)).alias("h")).filter(F.size("h") >= MIN_WORDS)
+    hashed = tokens.select("item", F.size("tokens").alias("form"), F.transform("tokens", lambda x: F.xxhash64(x)).alias("h")).filter(F.size("h") >= MIN_WORDS)
     parts = []
     for n in range(MIN_WORDS, WINDOW + 1):
         own = hashed.filter(F.size("h") >= n if n == WINDOW else F.size("h") == n)
-        parts.append(own.select("item", F.lit(n).alias("width"), F.posexplode(_windows("h", n)).alias("ipos", "w"), F.greatest(F.size("h") - F.lit(n - 1), F.lit(1)).alias("n_windows")))
+        parts.append(own.select("item", "form", F.lit(n).alias("width"), F.posexplode(_windows("h", n)).alias("ipos", "w"), F.greatest(F.size("h") - F.lit(n - 1), F.lit(1)).alias("n_windows")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -127,14 +143,14 @@ def matches(
     hashed = source.select("doc_id", F.transform(template_tokens(F.col("__text")), lambda x: F.xxhash64(x)).alias("h"))
     found = None
     for width in sorted(counts) or [WINDOW]:
-        own = windows.filter(F.col("width") == width).select("w", "item", "ipos", "n_windows", "width")
+        own = windows.filter(F.col("width") == width).select("w", "item", "form", "ipos", "n_windows", "width")
         exploded = hashed.select("doc_id", F.posexplode(_windows("h", width)).alias("pos", "w"))
         hit = exploded.join(_broadcast_if(own, counts.get(width, 0), BROADCAST_WINDOWS), "w")
         found = hit if found is None else found.unionByName(hit)
     # The same window of an item is at one place of an alignment, so a set of places is gathered, whatever repeats.
     aligned = (
         found.withColumn("shift", F.col("pos") - F.col("ipos"))
-        .groupBy("doc_id", "item", "shift")
+        .groupBy("doc_id", "item", "form", "shift")
         .agg(F.array_sort(F.collect_set("ipos")).alias("places"), F.first("n_windows").alias("n_windows"), F.first("width").alias("width"))
     )
     aligned = materialise(_pieces(aligned))
@@ -175,7 +191,7 @@ def _pieces(aligned: DataFrame) -> DataFrame:
     last = F.filter(p, lambda x, i: F.coalesce(F.get(p, i + F.lit(1)) != x + F.lit(1), F.lit(True)))
     parts = F.filter(F.arrays_zip(first.alias("low"), last.alias("high")), lambda x: x["high"] - x["low"] + F.col("width") >= MIN_RUN)
     pieces = F.array_distinct(F.concat(F.array(p), F.transform(parts, lambda x: F.sequence(x["low"], x["high"]))))
-    out = aligned.select("doc_id", "item", "shift", "n_windows", "width", F.explode(pieces).alias("places"))
+    out = aligned.select("doc_id", "item", "form", "shift", "n_windows", "width", F.explode(pieces).alias("places"))
     return out.select("*", F.array_min("places").alias("low"), F.array_max("places").alias("high"), F.size("places").alias("n"))
 
 
@@ -190,16 +206,14 @@ def _slots(tokens: DataFrame, key: str, pos: str, value: str) -> DataFrame:
 
 def _consistent(aligned: DataFrame, source: DataFrame, items: DataFrame) -> DataFrame:
     """Pieces without slots, and those whose slots are consistent."""
-    piece = ["doc_id", "item", "shift", "low", "high"]
+    piece = ["doc_id", "item", "form", "shift", "low", "high"]
     # A name is a slot only where the document has one there too, or else the windows have met in the very word.
-    item_tokens = items.select(
-        "item",
-        F.arrays_zip(template_tokens(F.col("item_text"), values=True).alias("value"), template_tokens(F.col("item_text"), names=NO_NAMES).alias("plain")).alias("tokens"),
-    )
-    item_slots = item_tokens.select("item", F.posexplode("tokens").alias("slot_at", "t")).filter(_is_slot(F.col("t.value")))
-    item_slots = materialise(item_slots.select("item", "slot_at", F.col("t.value").alias("item_value"), (~_is_slot(F.col("t.plain"))).alias("maybe")))
+    forms = F.array_distinct(F.array(*(template_tokens(F.col("item_text"), True, n) for n in (ALL_NAMES, INNER_NAMES, NO_NAMES))))
+    item_tokens = items.select("item", F.explode(forms).alias("tokens")).select("item", F.size("tokens").alias("form"), F.posexplode("tokens").alias("slot_at", "item_value"))
+    item_slots = item_tokens.filter(_is_slot(F.col("item_value"))).distinct()
+    item_slots = materialise(item_slots.withColumn("maybe", F.substring("item_value", 1, 1) == NAME))
     inside = (F.col("slot_at") >= F.col("low")) & (F.col("slot_at") < F.col("high") + F.col("width"))
-    slotted = aligned.join(_broadcast_if(item_slots, item_slots.count(), BROADCAST_WINDOWS), "item").filter(inside)
+    slotted = aligned.join(_broadcast_if(item_slots, item_slots.count(), BROADCAST_WINDOWS), ["item", "form"]).filter(inside)
     slotted = materialise(slotted.select(*piece, "item_value", "maybe", (F.col("slot_at") + F.col("shift")).alias("pos")))
     ids = slotted.select("doc_id").distinct()
     wanted = source.join(_broadcast_if(ids, ids.count(), BROADCAST_IDS), "doc_id", "left_semi")
@@ -221,7 +235,7 @@ def _covered(aligned: DataFrame) -> DataFrame:
     """Coverage of each item by its alignments, and the longest gapless piece of them in words."""
     run = F.when(F.col("n") == F.col("high") - F.col("low") + 1, F.col("n") + F.col("width") - 1).otherwise(0)
     # A place of the item counts once, in however many alignments it comes.
-    whole = aligned.select("doc_id", "item", "n_windows", run.alias("run"), F.explode("places").alias("ipos")).groupBy("doc_id", "item").agg(
+    whole = aligned.select("doc_id", "item", "form", "n_windows", run.alias("run"), F.explode("places").alias("ipos")).groupBy("doc_id", "item", "form").agg(
         F.count_distinct("ipos").alias("n"), F.max("run").alias("run_words"), F.first("n_windows").alias("n_windows")
     )
     coverage = F.least(F.lit(1.0), F.col("n") / F.col("n_windows"))

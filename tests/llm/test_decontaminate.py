@@ -48,6 +48,48 @@ def test_slots_must_agree(spark):
     assert [got[i]["contaminated"] for i in range(3)] == [True, False, True]
 
 
+def test_names_and_numbers_of_several_words_are_one_slot(spark):
+    item = "Yesterday Maria bought 12 apples at the market near the old bridge and Maria gave 5 of them to Jose before the evening came."
+    swap = lambda a, b, c, d: item.replace("Maria", a).replace("Jose", b).replace("12", c).replace("5", d)
+    again = [
+        swap("Anna", "Paul", "31", "8"), swap("Anna Meier", "Paul", "31", "8"), swap("Anna Maria Meier", "Jean-Paul", "31", "8"), swap("Anna-Lena Meier", "Paul Klee", "31", "8"),
+        swap("Anna", "Paul", "thirty-one", "eight"), swap("Anna Meier", "Paul", "two hundred and six", "9"),
+    ]
+    mixed = swap("Anna Meier", "Paul", "31", "8").replace("Anna Meier gave 8 of them to Paul", "Karl Otto gave 31 of them to Anna Meier")
+    got = report(spark, [*again, mixed, "Anna Meier went home and Paul Klee bought thirty-one apples in the end of the day with others."], [item])
+    assert [got[i]["contaminated"] for i in range(len(again))] == [True] * len(again) and not got[len(again) + 1]["contaminated"]
+    two = item.replace("Maria", "Maria Sol")
+    got = report(spark, [two, two.replace("Maria Sol", "Anna"), two.replace("12", "seventy"), two.lower(), two.upper()], [two])
+    assert all(r["contaminated"] for r in got.values())
+
+
+def test_values_of_several_words_stay_whole(spark):
+    texts = ["so Anna-Lena Meier and Bob met two hundred and six men, forty-two km on", "x\x04y Karl\x04Otto then Max Mai", "Anna Meier Max, Paul Klee. Eva Maria!", "one two, three and four and more", "thirty one 31 km", "twenty-first and tenfold"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for names in (d.ALL_NAMES, d.INNER_NAMES, d.NO_NAMES):
+        for r in df.select(d.template_tokens(F.col("t"), names=names).alias("a"), d.template_tokens(F.col("t"), True, names).alias("b")).collect():
+            assert len(r["a"]) == len(r["b"]), (r["a"], r["b"])
+            for a, b in zip(r["a"], r["b"], strict=True):
+                assert b.startswith(a) if a in (d.NUMBER, d.NAME, d.UNIT) else a == b
+    first = df.select(d.template_tokens(F.col("t"), True)).first()[0]
+    assert [x[1:] for x in first if x[0] in (d.NUMBER, d.NAME, d.UNIT)] == ["anna\x04lena\x04meier", "bob", "two\x04hundred\x04six", "forty\x04two", "km"]
+
+
+def test_exchanged_names_and_numbers_are_found_in_all_items(spark):
+    """Every long item of the table, its capitalised words inside sentences and its numbers exchanged, in the midst of a text."""
+    rng = random.Random(21)
+    rows = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect() if len(r["text"].split()) >= 20]
+    made = []
+    for i, text in rows:
+        names = {}
+        text = re.sub(r"(?<=[a-z,] )[A-Z][a-z]+", lambda m, names=names: names.setdefault(m[0], f"Anna Q{'abcdefghijklmnop'[len(names)]}e"), text)
+        made.append((i, f"{filler(rng, 30)}. {re.sub('[0-9]+', lambda m: str(int(m[0]) + 100), text)} {filler(rng, 30)}"))
+    made += [(1000 + k, filler(rng, 200)) for k in range(20)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    got = {r["doc_id"]: r["contaminated"] for r in d.report(docs, spark.createDataFrame(rows, "item_id long, text string")).collect()}
+    assert all(got[i] for i, _ in rows) and not any(got[1000 + k] for k in range(20))
+
+
 def test_short_items_match_as_a_whole(spark):
     got = report(spark, ["yes, name the red planet now please", "name the red planet", "name the red one planet now"], ["Name the red planet now"])
     assert [got[i]["contaminated"] for i in range(3)] == [True, False, False]
