@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from quillfeed.functions import ids, payload, times
 from quillfeed.functions.text import clean_html, utf8_trimmed_length
-from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, resume_scan, scans, select, states
-from quillfeed.session import read_table
+from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, resume_scan, scans, select, snapshots, states, timeline_joins
+from quillfeed.session import materialise, read_table
 from quillfeed.sources.sinks import markdown_block
 from quillfeed.streaming import checkpoints, merge_stream
 
@@ -1038,7 +1038,7 @@ def q_checkpoint_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     declared, visible = F.col("l_quantity").cast("long"), F.col("l_linenumber").cast("long")
     hidden = declared - visible + F.when(F.col("l_partkey") % 10 == 0, 1).otherwise(0)
     gap = F.struct(text("l_partkey").alias("post_id"), declared.alias("declared_count"), visible.alias("visible_count"), hidden.alias("unavailable_count"), F.lit("timeline").alias("count_source"))
-    entry = F.concat(F.lit('"'), text("l_linenumber"), text("l_partkey"), text("l_suppkey"), F.lit('":'), (declared - 3).cast("string"))
+    entry = F.concat(F.lit('"'), text("l_linenumber"), text("l_partkey"), text("l_suppkey"), declared.cast("string"), F.lit('":'), (declared - 3).cast("string"))
     rows = read_table(spark, sf_dir, "lineitem").groupBy(k).agg(
         F.array_join(F.array_distinct(F.collect_list(entry)), ",").alias("counts"), F.to_json(F.collect_list(text("l_suppkey"))).alias("ids"), F.to_json(F.collect_list(gap)).alias("gaps")
     )
@@ -1072,3 +1072,72 @@ def q_stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         changed = checkpoints.changes_on_stream(seen, 6 * 3_600_000)
         changed.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(changed.schema).parquet(f"{base}/out")
+
+
+@query("""
+WITH o AS (SELECT event_id, user_id, epoch_us(ts) // 1000 AS t FROM events WHERE event_type <> 'purchase'),
+c AS (SELECT user_id, epoch_us(ts) // 1000 AS t, max(event_id) AS checkpoint FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)
+SELECT o.event_id, c.checkpoint, c.t AS checkpoint_time FROM o ASOF LEFT JOIN c ON o.user_id = c.user_id AND o.t >= c.t""")
+def q_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the user's last purchase at or before it, in ranges of six hours."""
+    rows = read_table(spark, sf_dir, "events").select("event_id", "user_id", millis("ts").alias("t"), "event_type")
+    marks = rows.filter("event_type = 'purchase'").select("user_id", "t", F.col("event_id").alias("checkpoint"))
+    seen = rows.filter("event_type <> 'purchase'").select("event_id", "user_id", "t")
+    return timeline_joins.as_of(seen, marks, "user_id", "t", "checkpoint", 6 * 3_600_000).select("event_id", "checkpoint", "checkpoint_time")
+
+
+@query("""
+WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 3 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 3 HOUR AS session_end, count(*) AS n_events FROM n GROUP BY user_id, s""")
+def q_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's events in sessions with pauses under three hours."""
+    return timeline_joins.sessions(read_table(spark, sf_dir, "events"), "user_id", "ts", "3 hours")
+
+
+@query("""
+SELECT event_type, day, CAST(GROUPING(event_type, day) AS BIGINT) AS level, count(*) AS n_rows, count(DISTINCT user_id) AS n_distinct,
+  count(*) FILTER (WHERE value < 50) AS n_low FROM (SELECT *, CAST(ts AS DATE) AS day FROM events) GROUP BY GROUPING SETS ((event_type, day), (event_type), (day), ())""")
+def q_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by kind and day, each alone, and in all, in one pass."""
+    rows = read_table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return timeline_joins.levels(rows, [["event_type", "day"], ["event_type"], ["day"], []], "user_id", n_low=F.count_if(F.col("value") < 50))
+
+
+@query("""
+SELECT source AS segment, count(*) AS n_rows, true AS within FROM documents GROUP BY source""")
+def q_key_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketch of each source's ids, and whether its estimate keeps to four standard errors (and one) of the exact count."""
+    docs = read_table(spark, sf_dir, "documents")
+    rough = timeline_joins.key_sketches(docs, F.col("source"), "doc_id")
+    exact = docs.groupBy(F.col("source").alias("segment")).agg(F.count_distinct("doc_id").alias("exact"))
+    off = F.abs(F.hll_sketch_estimate("keys") - F.col("exact"))
+    return rough.join(exact, "segment").select("segment", "n_rows", (off <= 1 + 4 * timeline_joins.SKETCH_ERROR * F.col("exact")).alias("within"))
+
+
+def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page as a file: its host, first path segment and number, with the digest of its HTML."""
+    host, first = F.regexp_extract("url", "://([^/?#]*)", 1), F.regexp_extract("url", "://[^/?#]*/([^/?#]*)", 1)
+    return read_table(spark, sf_dir, "pages").select("page_id", F.concat_ws("/", host, first, F.col("page_id").cast("string")).alias("path"), F.sha2("html", 256).alias("content"))
+
+
+@query("""
+WITH f AS (SELECT regexp_extract(url, '://([^/?#]*)', 1) AS host, regexp_extract(url, '://[^/?#]*/([^/?#]*)', 1) AS first, page_id, sha256(html) AS content FROM pages),
+l AS (SELECT host, first, host || '/' || first || '/' || page_id AS path, sha256(host || '/' || first || '/' || page_id || chr(0) || content) AS h FROM f),
+n AS (SELECT 0 AS depth, '' AS node, h FROM l UNION ALL SELECT 1, host, h FROM l UNION ALL SELECT 2, host || '/' || first, h FROM l UNION ALL SELECT 3, path, h FROM l)
+SELECT depth, node, count(*) AS n_files, sha256(concat_ws(':', count(*), sum(CAST('0x' || substr(h, 1, 15) AS HUGEINT)), sum(CAST('0x' || substr(h, 16, 15) AS HUGEINT)),
+  sum(CAST('0x' || substr(h, 31, 15) AS HUGEINT)), sum(CAST('0x' || substr(h, 46, 15) AS HUGEINT)))) AS digest FROM n GROUP BY depth, node""")
+def q_snapshot_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash tree of all pages as files."""
+    return snapshots.tree(page_lines(spark, sf_dir)).select("depth", "node", "n_files", "digest")
+
+
+@query("""
+WITH f AS (SELECT page_id, regexp_extract(url, '://([^/?#]*)', 1) || '/' || regexp_extract(url, '://[^/?#]*/([^/?#]*)', 1) || '/' || page_id AS path FROM pages)
+SELECT path, CASE page_id % 40 WHEN 0 THEN 'removed' WHEN 1 THEN 'added' ELSE 'changed' END AS change FROM f WHERE page_id % 40 <= 2""")
+def q_snapshot_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed between two snapshots of the pages: some are in one only, some have other bytes."""
+    pages_of, i = page_lines(spark, sf_dir), F.col("page_id") % 40
+    old = pages_of.filter(i != 1)
+    new = pages_of.filter(i != 0).withColumn("content", F.when(i == 2, F.concat("content", F.lit("x"))).otherwise(F.col("content")))
+    return snapshots.difference(materialise(snapshots.tree(old)), materialise(snapshots.tree(new)))
