@@ -133,4 +133,4 @@ QUERIES = {
     "op12_importance": op12_importance,
     "op13_token_counts": op13_token_counts,
 }
-ORACLES: dict[str, str] = {"op8_neardup": oracles.NEARDUP}
+ORACLES: dict[str, str] = {"op8_neardup": oracles.NEARDUP, "op11_periodic_runs": oracles.REPEATS, "op12_importance": oracles.IMPORTANCE}
