@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -104,8 +106,20 @@ def canonical_url(url: Column, domain: str, user_id: Column | None = None, post_
     slashes, dot segments are resolved and what may not stand in path, query or fragment is percent-encoded. With user
     and post ids, an empty link becomes `/user/post` and any other must be it.
     """
+    # What is canonical already, as nearly all stored links are, is told by one pattern and taken as it is.
+    plain = rf"\Ahttps://(?:[a-z0-9.-]+\.)?{re.escape(domain)}(?:/[A-Za-z0-9_~-]*)+\z"
+    other = lambda t: let(_absolute(t, domain), lambda a: let(_parts(a), lambda p: _canonical(t, p, domain, user_id, post_id)))
     trimmed = ascii_trim(F.coalesce(url, F.lit("")))
-    return let(trimmed, lambda t: let(_absolute(t, domain), lambda a: let(_parts(a), lambda p: _canonical(t, p, domain, user_id, post_id))))
+    return let(trimmed, lambda t: F.when(t.rlike(plain), _exact(t, F.split(t, "/"), 2, user_id, post_id)).otherwise(other(t)))
+
+
+def _exact(whole: Column, parts: Column, at: int, user_id: Column | None, post_id: Column | None) -> Column:
+    """A link whose path, from the non-empty part `at` on, is `/user/post`; without ids every link."""
+    if user_id is None or post_id is None:
+        return whole
+    segments = F.filter(parts, lambda s: s != "")
+    exact = F.when((F.size(segments) == at + 2) & (F.get(segments, F.lit(at)) == user_id) & (F.get(segments, F.lit(at + 1)) == post_id), whole)
+    return F.when(user_id.isNull() | post_id.isNull() | (user_id == "") | (post_id == ""), whole).otherwise(exact)
 
 
 def _absolute(t: Column, domain: str) -> Column:
@@ -138,14 +152,11 @@ def _canonical(t: Column, p: Column, domain: str, user_id: Column | None, post_i
     foreign = t.rlike(r"(?i)\A[a-z][a-z0-9+.-]*:") & ~t.rlike(r"(?i)\Ahttps?:")
     fine = ~foreign & on_domain(p["host"], domain) & p["host"].rlike(HOST) & p["login"].isin("", ":") & p["port"].isin("", "443")
     whole = F.when(fine, F.concat(F.lit("https://"), p["host"], p["path"], p["rest"]))
+    found = F.when(t != "", _exact(whole, F.split(p["path"], "/"), 0, user_id, post_id))
     if user_id is None or post_id is None:
-        return F.when(t != "", whole)
-    fallback = F.concat(F.lit(f"https://{domain}/"), user_id, F.lit("/"), post_id)
-    segments = F.filter(F.split(p["path"], "/"), lambda s: s != "")
-    exact = F.when((F.size(segments) == 2) & (segments[0] == user_id) & (segments[1] == post_id), whole)
-    return F.when(user_id.isNull() | post_id.isNull() | (user_id == "") | (post_id == ""), F.when(t != "", whole)).otherwise(
-        F.when(t == "", fallback).otherwise(exact)
-    )
+        return found
+    named = user_id.isNotNull() & post_id.isNotNull() & (user_id != "") & (post_id != "")
+    return F.when((t == "") & named, F.concat(F.lit(f"https://{domain}/"), user_id, F.lit("/"), post_id)).otherwise(found)
 
 
 def post_reference(ref: Column, domain: str, default_user: str) -> tuple[Column, Column]:
