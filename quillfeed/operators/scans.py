@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillfeed.functions.ids import canonical_url, count_from_literal, loose_id
+from quillfeed.functions.ids import canonical_url, count_from_literal, loose_id, post_reference
 from quillfeed.functions.payload import Payload, author_id, embedded_json
 from quillfeed.functions.text import clean_html
 from quillfeed.functions.times import epoch_ms_from_literal, format_epoch_ms, is_unknown_literal
@@ -22,7 +22,7 @@ from quillfeed.operators.contracts import acquisition_markers_ok
 from quillfeed.operators.coverage import coverage
 from quillfeed.operators.merge import RECORD_RULES, last_wins, merge_versions
 from quillfeed.operators.normalize import COUNTS, bare, by_author, normalize_posts, normalize_replies, string
-from quillfeed.operators.select import changed_posts
+from quillfeed.operators.select import changed_posts, skip_existing
 from quillfeed.session import materialise
 
 #: Codes of responses after which another endpoint is asked, and after which a scan of posts ends.
@@ -219,3 +219,26 @@ def single_records(rows: DataFrame, user_id: str, domain: str, marker: str, code
     item = F.when(came, F.col(body)).otherwise(inside)
     origin = F.when(came, "api").when(inside.isNotNull(), "page")
     return normalize_posts(rows.withColumn("item", item).withColumn("origin", origin), user_id, domain)
+
+
+def ids_scan(refs: DataFrame, existing: DataFrame, answers: DataFrame, user_id: str, domain: str, marker: str, ref: str = "ref") -> Scan:
+    """Posts asked for by reference: ids and links, each post once, those that are stored already left out, the rest one by one.
+
+    `existing` has id; `answers` post_id, api_code, api_body and html. Streams has a row for each post that is asked
+    for: post_id, author, origin and failed (no valid post came). Problems are references that name no post, and broken
+    answers. Records are valid posts alone.
+    """
+    user, post = post_reference(F.col(ref), domain, user_id)
+    parsed = refs.select(F.col(ref).alias("ref"), user.alias("author"), post.alias("post_id"))
+    # A post may be named with different users: the least counts, so that the choice is the same on every run.
+    wanted = parsed.filter("post_id is not null").groupBy("post_id").agg(F.min("author").alias("author"))
+    fresh = skip_existing(wanted, existing.select(F.col("id").cast("string").alias("post_id")), "post_id")
+    asked = materialise(fresh.join(answers, "post_id", "left"))
+    found = single_records(asked, user_id, domain, marker)
+    other = found["id"].isNotNull() & (found["id"] != found["post_id"])
+    found = materialise(found.withColumn("violations", F.when(other, F.concat("violations", F.array(F.lit("other_post")))).otherwise(F.col("violations"))))
+    fine = F.size("violations") == 0
+    streams = found.select("post_id", "author", "origin", (~fine | F.col("origin").isNull()).alias("failed"))
+    wrong = parsed.filter("post_id is null").select(F.col("ref").alias("post_id"), F.lit("reference").alias("code"))
+    wrong = wrong.unionByName(found.filter("origin is not null").select("post_id", F.explode("violations").alias("code")))
+    return Scan(found.filter(fine & F.col("origin").isNotNull()).drop("item", "api_code", "api_body", "html"), streams, wrong.distinct())

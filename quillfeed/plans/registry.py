@@ -15,6 +15,7 @@ from quillfeed.functions import ids, payload, times
 from quillfeed.functions.text import clean_html, utf8_trimmed_length
 from quillfeed.operators import classify, contracts, coverage, manifest, merge, normalize, pages, recovery, resume_scan, scans, select, snapshots, states, timeline_joins
 from quillfeed.session import materialise, read_table
+from quillfeed.sources import landed, sinks, versions
 from quillfeed.sources.sinks import markdown_block
 from quillfeed.streaming import checkpoints, merge_stream
 
@@ -1141,3 +1142,69 @@ def q_snapshot_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = pages_of.filter(i != 1)
     new = pages_of.filter(i != 0).withColumn("content", F.when(i == 2, F.concat("content", F.lit("x"))).otherwise(F.col("content")))
     return snapshots.difference(materialise(snapshots.tree(old)), materialise(snapshots.tree(new)))
+
+
+@query("""
+SELECT CAST(page_id AS VARCHAR) AS post_id, CASE page_id % 4 WHEN 0 THEN 'api' WHEN 1 THEN 'page' WHEN 2 THEN 'api' END AS origin, page_id % 4 >= 2 AS failed
+FROM pages WHERE page_id % 5 <> 0""")
+def q_ids_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages asked for by number and by link, both at once; every fifth is stored already."""
+    i = F.col("page_id").cast("string")
+    post = lambda text: F.concat(F.lit('{"id":'), i, F.lit(f',"created_at":0,"text":"{text}","reply_count":1,"like_count":1,"retweet_count":1,"view_count":1}}'))
+    rows, k = read_table(spark, sf_dir, "pages"), F.col("page_id") % 4
+    answers = rows.select(
+        i.alias("post_id"), F.when(k % 2 == 0, "OK").otherwise("HTTP_500").alias("api_code"), F.when(k == 0, post("a")).when(k == 2, "[]").alias("api_body"),
+        F.concat("html", F.when(k != 3, F.concat(F.lit("<script>window.STATUS = "), post("e"), F.lit(";\n</script>"))).otherwise("")).alias("html"),
+    )
+    refs = rows.select(i.alias("ref")).unionByName(rows.select(F.concat(F.lit(f"https://{DOMAIN}/7/"), i).alias("ref")))
+    scan = scans.ids_scan(refs, rows.filter("page_id % 5 = 0").select(F.col("page_id").alias("id")), answers, "7", DOMAIN, r"window\.STATUS")
+    return scan.streams.select("post_id", "origin", "failed")
+
+
+@query("""
+SELECT event_id, sha256('[{"key":"kind","value":"' || event_type || '"},{"key":"number","value":"' || event_id || '"},{"key":"user","value":"' || user_id || '"}]') AS digest FROM events""")
+def q_semantic_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An object's digest does not depend on the order of its fields, nor on what is left out."""
+    rows = read_table(spark, sf_dir, "events")
+    field = {"number": F.col("event_id"), "user": F.col("user_id"), "kind": F.concat(F.lit('"'), "event_type", F.lit('"')), "run": F.col("event_id") * 7}
+    orders = [["number", "user", "kind", "run"], ["run", "kind", "number", "user"], ["user", "run", "number", "kind"]]
+    body = F.lit(None).cast("string")
+    for k, names in enumerate(orders):
+        text = F.concat(F.lit("{"), F.concat_ws(",", *(F.concat(F.lit(f'"{n}":'), field[n].cast("string")) for n in names)), F.lit("}"))
+        body = F.when(F.col("event_id") % 3 == k, text).otherwise(body)
+    return rows.select("event_id", manifest.semantic_digest(body, "run").alias("digest"))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared checkpoint folder, which goes with the process."""
+    import uuid
+
+    from quillfeed.session import ensure_checkpoint_dir, remember
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    remember(spark, base)
+    return base
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE text END AS text, lang FROM documents")
+def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a JSON corpus, written and read again strictly; nulls stay, ids are unique."""
+    path = _scratch(spark, "json")
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("text"), "lang")
+    sinks.write_json(rows, path)
+    return landed.read_json_strict(spark, path, "doc_id long, text string, lang string", unique="doc_id")
+
+
+@query("""
+SELECT 'orders' AS stream, o_orderkey AS id FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'customers', c_custkey FROM customer""")
+def q_promotion_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams promoted together, then one again while the other fails, which must leave both as they were; then one alone."""
+    base, none = _scratch(spark, "store"), spark.createDataFrame([], "code string")
+    orders, customers = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")), read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    sinks.promote(spark, base, {"orders": orders, "customers": customers}, none)
+    refused = sinks.promote(spark, base, {"orders": orders.limit(1), "customers": customers}, spark.createDataFrame([("WAF",)], "code string"))
+    if not all(refused.values()):
+        raise AssertionError("a promotion with failures went through")
+    sinks.promote(spark, base, {"orders": orders.filter("id % 2 = 0")}, none, all_or_nothing=False)
+    parts = [versions.read(spark, base, name).select(F.lit(name).alias("stream"), "id") for name in ("orders", "customers")]
+    return parts[0].unionByName(parts[1])

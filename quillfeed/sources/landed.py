@@ -29,7 +29,9 @@ def read_json_strict(spark: SparkSession, path: str, schema: str, unique: str |
     """A stored JSON array or JSON lines: a missing path is empty, a corrupt one fails, never passes as empty."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
+    # Lines are told by the first one: a whole object. Else the file is one array or object, over whatever lines.
+    first = spark.read.text(path).filter(F.trim("value") != "").select(F.trim("value").startswith("{") & F.try_parse_json("value").isNotNull()).limit(1).collect()
+    rows = spark.read.schema(schema).json(path, multiLine=not (first and first[0][0]), mode="FAILFAST")
     if unique:
         from quillfeed.operators.merge import require_unique
 

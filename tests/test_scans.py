@@ -114,3 +114,20 @@ def test_single_records(spark):
     df = spark.createDataFrame(rows, "k int, api_code string, api_body string, html string")
     got = {r["k"]: (r["origin"], r["id"], not r["violations"]) for r in scans.single_records(df, "7", "example.com", r"window\.STATUS").collect()}
     assert got == {1: ("api", "1", True), 2: ("page", "2", True), 3: ("api", None, False), 4: (None, None, False), 5: (None, None, False)}
+
+
+def test_posts_by_reference(spark):
+    """Each post once, stored ones left out, links of the domain alone, then the API's answer or what the page embeds."""
+    page = "<script>window.STATUS = " + json.dumps(post(2)) + ";\n</script>"
+    refs = [("1",), (" 1 ",), ("https://example.com/7/1",), ("2",), ("https://www.example.com/9/3/",), ("4",), ("5",), ("6",), ("https://evil.com/7/8",), ("x",), (None,), ("7",)]
+    answers = [("1", "OK", json.dumps(post(1)), None), ("2", "HTTP_500", None, page), ("3", "OK", json.dumps(post(3)), None), ("4", "WAF", None, None), ("5", "OK", "[]", page), ("6", "OK", json.dumps(post(66)), None), ("7", "OK", json.dumps(post(7)), None)]
+    scan = scans.ids_scan(
+        spark.createDataFrame(refs, "ref string"), spark.createDataFrame([(7,)], "id long"),
+        spark.createDataFrame(answers, "post_id string, api_code string, api_body string, html string"), "7", "example.com", r"window\.STATUS",
+    )
+    assert {r["post_id"]: (r["author"], r["origin"], r["failed"]) for r in scan.streams.collect()} == {
+        "1": ("7", "api", False), "2": ("7", "page", False), "3": ("9", "api", False), "4": ("7", None, True), "5": ("7", "api", True), "6": ("7", "api", True)
+    }
+    assert sorted(r["id"] for r in scan.records.collect()) == ["1", "2", "3"]
+    wrong = {(r["post_id"], r["code"]) for r in scan.problems.collect()}
+    assert {("https://evil.com/7/8", "reference"), ("x", "reference"), (None, "reference"), ("6", "other_post")} <= wrong and ("5", "id") in wrong

@@ -108,6 +108,20 @@ def test_json_corpus(spark, tmp_path):
     assert [json.loads(x) for x in lines] == [{"id": "1", "title": None}, {"id": "2", "title": "é"}]
 
 
+def test_json_lines_and_arrays_are_read_whole(spark, tmp_path):
+    schema = "id string, title string"
+    sinks.write_json(spark.createDataFrame([(str(i), None if i % 2 else "é\n") for i in range(50)], schema).repartition(3), str(tmp_path / "lines"))
+    assert sorted(int(r["id"]) for r in landed.read_json_strict(spark, str(tmp_path / "lines"), schema, unique="id").collect()) == list(range(50))
+    (tmp_path / "a.json").write_text('[{"id": "1"},\n {"id": "2", "title": "x"}]')
+    (tmp_path / "b.json").write_text('\n[\n{"id": "1"}]')
+    (tmp_path / "c.json").write_text('{"id": "1"}\n{"id": \n')
+    (tmp_path / "d.json").write_text("")
+    count = lambda name: len(landed.read_json_strict(spark, str(tmp_path / name), schema).collect())
+    assert (count("a.json"), count("b.json"), count("d.json")) == (2, 1, 0)
+    with pytest.raises(Exception):  # noqa: B017
+        count("c.json")
+
+
 def test_promotion(spark, tmp_path):
     none, some = spark.createDataFrame([], "x string"), spark.createDataFrame([("bad",)], "x string")
     base, bad = str(tmp_path / "store"), spark.range(2).select(F.raise_error(F.lit("no")).alias("x"))
