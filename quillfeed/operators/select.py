@@ -48,15 +48,15 @@ def ordered_digest(rows: DataFrame, stream: str, order: list[str], *fields: str,
     """(stream, digest): SHA-256 over the rows of a stream in order, in two levels.
 
     Rows are numbered within their stream; blocks of 65,536 rows have digests, and the stream's digest is over those.
-    A long stream is spread over ranges of its order, whose sizes are added up, so no task gathers it. Order columns
-    must not tie.
+    A long stream is spread over ranges of its order, whose sizes are added up, so no task gathers it. Rows that tie in
+    the order stand by their own digests.
     """
     literal = F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
-    ranged = rows.select(stream, *order, literal.alias("__d")).repartitionByRange(stream, *order)
+    ranged = rows.select(stream, *order, literal.alias("__d")).repartitionByRange(stream, *order, "__d")
     ranged = materialise(ranged.withColumn("__part", F.spark_partition_id()))
     sizes = ranged.groupBy(stream, "__part").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select(stream, "__part", (F.sum("__n").over(Window.partitionBy(stream).orderBy("__part")) - F.col("__n")).alias("__before"))  # a row for each range
-    place = F.row_number().over(Window.partitionBy(stream, "__part").orderBy(*order)) - 1
+    place = F.row_number().over(Window.partitionBy(stream, "__part").orderBy(*order, "__d")) - 1
     numbered = ranged.withColumn("__in", place).join(before, [stream, "__part"]).select(stream, (F.col("__before") + F.col("__in")).alias("__at"), "__d")
     ordered = lambda at, d: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, d))), lambda x: x[d]), "")
     blocks = numbered.groupBy(stream, F.floor(F.col("__at") / block).alias("__block")).agg(F.sha2(ordered("__at", "__d"), 256).alias("__b"))
