@@ -55,7 +55,8 @@ NUMBER_WORDS = (
 )
 #: A name: capitalised words after a lower-case word or a comma, parted by a space or a hyphen. Words in capitals throughout are none.
 _CAPITALISED = r"\p{Lu}[\p{Ll}\p{M}][\p{L}\p{M}]*"
-_RUN = rf"{_CAPITALISED}(?:[ -]{_CAPITALISED})*"
+# Repeated groups are possessive: Java walks back through others by recursion, which ends in an overflow on a long text.
+_RUN = rf"{_CAPITALISED}(?:[ -]{_CAPITALISED})*+"
 _NAMES = rf"(?<=[\p{{Ll}},] ){_RUN}"
 #: The same, and a capitalised word at the start of a sentence that is no starter.
 _STARTING_NAMES = (
@@ -69,7 +70,8 @@ _ENDS = r"[.!?…]+(?=[\s\"'”»)]|$)|\n+"
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
 #: Stands between the words of one value.
 JOINED = "\u0004"
-_NUMBER_WORDS = rf"(?i)(?<![\p{{L}}\p{{M}}\p{{N}}\x01-\x04])(?:{NUMBER_WORDS})(?:(?:[ -]| and )(?:{NUMBER_WORDS}))*(?![\p{{L}}\p{{M}}\p{{N}}\x04])"
+_NUMBER_WORD = rf"(?:{NUMBER_WORDS})(?![\p{{L}}\p{{M}}\p{{N}}\x04])"
+_NUMBER_WORDS = rf"(?i)(?<![\p{{L}}\p{{M}}\p{{N}}\x01-\x04]){_NUMBER_WORD}(?:(?:[ -]| and ){_NUMBER_WORD})*+"
 
 
 def template_tokens(text: Column, values: bool = False, names: str | None = ALL_NAMES) -> Column:
@@ -86,10 +88,10 @@ def template_tokens(text: Column, values: bool = False, names: str | None = ALL_
     t = F.regexp_replace(t, _NUMBER_WORDS, f" {NUMBER}{kept} ")
     if values:
         t = F.regexp_replace(t, rf"(?i)({NUMBER}(?:{NUMBER_WORDS})|(?!\A)\G(?:{NUMBER_WORDS}))(?: and |[ -])(?=(?:{NUMBER_WORDS})(?![\p{{L}}\p{{M}}]))", f"$1{JOINED}")
-    t = F.regexp_replace(t, r"\p{N}+(?:[.,:/]\p{N}+)*", f" {NUMBER}{kept} ")
+    t = F.regexp_replace(t, r"\p{N}+(?:[.,:/]\p{N}+)*+", f" {NUMBER}{kept} ")
     unit = rf"(?i)({NUMBER}[\p{{N}}.,:/{JOINED}\p{{L}}]*\s+)({UNITS})(?![\p{{L}}\p{{M}}\p{{N}}])"
     t = F.regexp_replace(t, unit, f"$1 {UNIT}{'$2' if values else ''} ")
-    part = r"(?:[^\p{L}\p{M}\p{N}\x01-\x04.,:/]|(?<!\p{N})[.,:/]|[.,:/](?!\p{N}))+"
+    part = r"(?:[^\p{L}\p{M}\p{N}\x01-\x04.,:/]|(?<!\p{N})[.,:/]|[.,:/](?!\p{N}))++"
     if not values:  # no digits are left, so every mark parts words
         part = r"[^\p{L}\p{M}\x01-\x03]+"
     return F.filter(F.split(F.lower(t), part), lambda x: x != "") if values else F.array_remove(F.split(F.lower(t), part), "")

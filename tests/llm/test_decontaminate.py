@@ -210,3 +210,12 @@ def test_the_main_path_is_native(spark):
     docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
     plan = d.report(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_long_chains_of_names_numbers_and_marks_are_whole(spark):
+    texts = ["so " + "Aa Bb-" * 20_000, "one two and three-" * 20_000, "sixteen sixty sevens " * 20_000, "1.2," * 40_000, "... -- ,/ " * 20_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for names in (d.ALL_NAMES, d.INNER_NAMES, d.NO_NAMES):
+        rows = df.select("i", d.template_tokens(F.col("t"), names=names).alias("a"), d.template_tokens(F.col("t"), True, names).alias("b")).orderBy("i").collect()
+        # The hyphen before "one" joins all number words of the second text; "sevens" is a word and ends a number.
+        assert [len(r["a"]) for r in rows] == [len(r["b"]) for r in rows] == [2 if names else 40_001, 1, 40_000, 1, 0]
