@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillfeed.functions.binding import let
 from quillfeed.functions.text import ascii_trim
 
 
+#: The column of a parsed text.
+PARSED = "__parsed"
+
+
 class Payload:
     """Accessors of one JSON text column. Paths are dotted names from the root.
 
-    A payload from `parsed` holds the literals and the strings of its root fields, each made once.
+    A payload from `parsed` holds the literals and the strings of its root fields, each made once. One of `parsed_rows`
+    reads a column that holds the parsed text; any other parses the text for each field that is asked for.
     """
 
-    def __init__(self, body: Column, bound: Column | None = None):
+    def __init__(self, body: Column, bound: Column | None = None, variant: Column | None = None):
         self.body = body if bound is None else bound["body"]
-        self.variant = F.try_parse_json(body) if bound is None else bound["variant"]
+        self.variant = bound["variant"] if bound is not None else F.try_parse_json(body) if variant is None else variant
         self.keys = F.coalesce(F.json_object_keys(body), F.array().cast("array<string>")) if bound is None else bound["keys"]
         self.literals = None if bound is None else bound["literals"]
         self.strings = None if bound is None else bound["strings"]
@@ -87,6 +92,11 @@ class Payload:
         return F.when(self.has(primary), self.literal(primary)).otherwise(self.literal(alias))
 
 
+def parsed_rows(df: DataFrame, body: str, name: str = PARSED) -> tuple[DataFrame, Payload]:
+    """The frame with the parsed text as a column `name`, and a payload that reads it: one parse for each row."""
+    return df.withColumn(name, F.try_parse_json(F.col(body))), Payload(F.col(body), variant=F.col(name))
+
+
 def root_fields(variant: Column) -> Column:
     """The fields of an object by name; SQL null for anything else."""
     return F.try_variant_get(variant, "$", "map<string,variant>")
@@ -112,9 +122,9 @@ def _kind(schema: Column) -> Column:
     )
 
 
-def array_field(body: Column, *aliases: str) -> tuple[Column, Column]:
+def array_field(body: Column | Payload, *aliases: str) -> tuple[Column, Column]:
     """(items as a JSON array text, violation): the first alias that is present must be an array."""
-    p = Payload(body)
+    p = body if isinstance(body, Payload) else Payload(body)
     items, violation = F.lit(None).cast("string"), F.lit("missing_array")
     for name in reversed(aliases):
         array = p.kind(name) == "array"

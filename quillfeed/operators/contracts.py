@@ -276,9 +276,9 @@ def closed_fields(body: Column, allowed: list[str]) -> Column:
     return F.array_sort(F.array_except(Payload(body).keys, F.array(*map(F.lit, allowed))))
 
 
-def acquisition_markers_ok(body: Column) -> Column:
+def acquisition_markers_ok(body: Column | Payload) -> Column:
     """Raw rows carry both contract markers with their current values, or neither."""
-    p = Payload(body)
+    p = body if isinstance(body, Payload) else Payload(body)
     neither = ~p.has("schema_version") & ~p.has("record_contract")
     both = p.literal("schema_version").eqNullSafe(str(SCHEMA_VERSION)) & p.text("record_contract").eqNullSafe(STRICT)
     return neither | both

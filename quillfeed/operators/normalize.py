@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillfeed.functions.ids import canonical_url, count_from_literal, loose_id
-from quillfeed.functions.payload import Payload, author_id, references_agree
+from quillfeed.functions.payload import PARSED, Payload, author_id, parsed_rows, references_agree
 from quillfeed.functions.text import ascii_trim, clean_html
 from quillfeed.functions.times import epoch_ms_from_literal, format_epoch_ms, is_unknown_literal
 from quillfeed.operators.contracts import SCHEMA_VERSION, STRICT, acquisition_markers_ok
@@ -32,28 +32,36 @@ def _codes(conditions: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(True)), F.lit(n)) for n, c in conditions.items())))
 
 
+def named(df: DataFrame, *values: Column) -> tuple[DataFrame, list[Column]]:
+    """The frame with each value as a column of a name of its own, and these columns."""
+    at = sum(c.startswith("__named") for c in df.columns)
+    names = [f"__named{at + i}" for i in range(len(values))]
+    return df.select("*", *(v.alias(n) for n, v in zip(names, values, strict=True))), [F.col(n) for n in names]
+
+
 def normalize_posts(raw: DataFrame, user_id: str, domain: str, item: str = "item") -> DataFrame:
     """All columns of `raw`, the fields of a strict post, and `violations`."""
-    p = Payload(F.col(item))
-    identity = loose_id(bare(p.literal("id")))
-    text = string(p.first_present("text", "description"))
-    made = p.literal("created_at")
-    epoch = epoch_ms_from_literal(made)
-    given = F.when(p.kind("target") == "string", p.text("target"))
-    target = canonical_url(given, domain, F.lit(user_id), identity)
+    # What comes in several fields is a column of its own, so that Spark makes it once for each row.
+    rows, p = parsed_rows(raw, item)
+    rows, (literal, text, made, given, *shown) = named(
+        rows, p.literal("id"), string(p.first_present("text", "description")), p.literal("created_at"), F.when(p.kind("target") == "string", p.text("target")),
+        *(p.first_present(name, other) for name, other in COUNTS),
+    )
+    rows, (identity, epoch, *numbers) = named(rows, loose_id(bare(literal)), epoch_ms_from_literal(made), *(count_from_literal(c) for c in shown))
+    rows, (target,) = named(rows, canonical_url(given, domain, F.lit(user_id), identity))
     title = F.coalesce(F.nullif(string(p.literal("title")), F.lit("")), string(p.literal("rawTitle")), F.lit(""))
-    counts = {name: count_from_literal(p.first_present(name, other)) for name, other in COUNTS}
+    counts = {name: c for (name, _), c in zip(COUNTS, numbers, strict=True)}
     broken = {
         "not_an_object": ~p.is_object(),
-        "markers": ~acquisition_markers_ok(F.col(item)),
+        "markers": ~acquisition_markers_ok(p),
         "id": identity.isNull(),
         "text": text.isNull(),
         "created_at": made.isNull() | (epoch.isNull() & ~is_unknown_literal(made)),
         "target": target.isNull(),
         **{name: c.isNull() for name, c in counts.items()},
     }
-    return raw.select(
-        "*",
+    return rows.select(
+        *raw.columns,
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         F.lit(STRICT).alias("record_contract"),
         F.lit("post").alias("kind"),
@@ -76,32 +84,36 @@ def normalize_replies(comments: DataFrame, posts: DataFrame, user_id: str, domai
     `posts` needs post_id, created_at_raw, title, clean_text and target. A post that is not among them is taken from
     the comment's embedded copy, if it has one. `violations` holds codes of broken rules.
     """
-    p = Payload(F.col(item))
+    rows, p = parsed_rows(comments, item)
     pick = lambda *names: loose_id(bare(p.first_present(*names)))
-    post_id = pick("status_id", "status.id", "target_status.id", "original_status.id", "target_id")
-    rows = comments.withColumn("__post_id", post_id)
+    rows, (post,) = named(rows, p.first_present("status_id", "status.id", "target_status.id", "original_status.id", "target_id"))
+    rows = rows.select(*comments.columns, loose_id(bare(post)).alias("__post_id"))
     parent = posts.select(
         F.col("post_id").alias("__post_id"), F.col("created_at_raw").alias("__raw"), F.col("title").alias("__title"),
         F.col("clean_text").alias("__text"), F.col("target").alias("__target"),
     )
     inside = lambda *names: p.first_present(*(f"{e}.{n}" for e in EMBEDDED_POSTS for n in names))
     here = F.col("__target").isNull()
-    joined = rows.join(parent, "__post_id", "left").select(
+    joined, p = parsed_rows(rows.join(parent, "__post_id", "left"), item)
+    joined = joined.select(
         *rows.columns,
+        PARSED,
         F.when(here, F.coalesce("__raw", inside("created_at"))).otherwise(F.col("__raw")).alias("__raw"),
         F.when(here, clean_html(F.coalesce(string(inside("title", "rawTitle")), F.lit("")))).otherwise(F.col("__title")).alias("__title"),
         F.when(here, clean_html(string(inside("text", "description")))).otherwise(F.col("__text")).alias("__text"),
         F.coalesce(F.col("__target"), string(inside("target")), F.lit("")).alias("__target"),
     )
-    text = string(p.first_present("text", "description"))
-    made, post_raw = p.literal("created_at"), F.coalesce(F.col("__raw"), F.lit("null"))
-    epoch = epoch_ms_from_literal(made)
-    target = canonical_url(F.col("__target"), domain, F.lit(user_id), F.col("__post_id"))
-    likes, replies = (count_from_literal(p.first_present(*names)) for names in (COUNTS[1], COUNTS[0]))
-    identity = pick("id")
+    joined, (literal, text, made, post_raw, likes, replies) = named(
+        joined, p.first_present("id"), string(p.first_present("text", "description")), p.literal("created_at"), F.coalesce(F.col("__raw"), F.lit("null")),
+        *(p.first_present(*names) for names in (COUNTS[1], COUNTS[0])),
+    )
+    joined, (identity, epoch, target, likes, replies) = named(
+        joined, loose_id(bare(literal)), epoch_ms_from_literal(made), canonical_url(F.col("__target"), domain, F.lit(user_id), F.col("__post_id")),
+        count_from_literal(likes), count_from_literal(replies),
+    )
     broken = {
         "not_an_object": ~p.is_object(),
-        "markers": ~acquisition_markers_ok(F.col(item)),
+        "markers": ~acquisition_markers_ok(p),
         "id": identity.isNull(),
         "post_id": F.col("__post_id").isNull(),
         "post_reference": ~references_agree(p, F.col("__post_id"), *POST_REFERENCES),
@@ -142,7 +154,8 @@ def normalize_replies(comments: DataFrame, posts: DataFrame, user_id: str, domai
 
 def by_author(rows: DataFrame, user_id: str, item: str = "item") -> DataFrame:
     """Rows that the user wrote."""
-    return rows.filter(author_id(Payload(F.col(item))) == user_id)
+    parsed, p = parsed_rows(rows, item)
+    return parsed.filter(author_id(p) == user_id).drop(PARSED)
 
 
 def is_sparse(p: Payload) -> Column:

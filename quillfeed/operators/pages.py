@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillfeed.functions.binding import let
 from quillfeed.functions.ids import count_from_literal
-from quillfeed.functions.payload import array_field, root_fields
+from quillfeed.functions.payload import PARSED, array_field, parsed_rows, root_fields
 from quillfeed.functions.text import ascii_trim
 
 #: Where page metadata may stand, and the names of its fields.
@@ -28,8 +28,9 @@ INVALID = "\u0000invalid"
 
 def explode_items(pages: DataFrame, aliases: tuple[str, ...], body: str = "body") -> DataFrame:
     """One row for each item: the page's columns, `pos` and `item` (JSON). Pages without items stay, with nulls."""
-    items, violation = array_field(F.col(body), *aliases)
-    listed = pages.withColumn("violation", violation).withColumn("__items", F.from_json(items, "array<string>"))
+    rows, p = parsed_rows(pages, body)
+    items, violation = array_field(p, *aliases)
+    listed = rows.withColumn("violation", violation).withColumn("__items", F.from_json(items, "array<string>")).drop(PARSED)
     return listed.select(*[c for c in listed.columns if c != "__items"], F.posexplode_outer("__items").alias("pos", "item"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from quillfeed.functions.ids import count_from_literal
-from quillfeed.functions.payload import Payload, author_id, references_agree
+from quillfeed.functions.payload import PARSED, Payload, references_agree
 from quillfeed.operators import pages as paging
 from quillfeed.operators.merge import first_wins
 from quillfeed.operators.normalize import COUNTS, POST_REFERENCES, normalize_replies
@@ -39,15 +39,17 @@ class Walk:
     streams: DataFrame
 
 
-def strict_walk(pages: DataFrame, stream: str, item_code: Column) -> Walk:
+def strict_walk(pages: DataFrame, stream: str, item_code: Column, **more: Column) -> Walk:
     """Walks the pages of each stream by the strict rules; `item_code` names what is wrong with an item, or is null.
 
-    `pages` has the stream, page, count, code and body, only pages within the stream's budget.
+    `pages` has the stream, page, count, code and body, only pages within the stream's budget. Items have the columns
+    `more`. These and the code may read the item and, as PARSED, what it holds.
     """
     place = F.row_number().over(Window.partitionBy(stream).orderBy("page"))
-    asked = pages.withColumn("__at", place)
+    asked = materialise(pages.select(stream, "page", "count", "code", "body", place.alias("__at")))  # read by each step
     good = asked.filter(F.col("code") == OK).drop("__at")
-    items = materialise(_comments(good, stream).withColumn("item_code", F.when(F.col("id").isNull(), "id").otherwise(item_code)))
+    found = _comments(good, stream, item_code=item_code, **more)
+    items = materialise(found.withColumn("item_code", F.when(F.col("id").isNull(), "id").otherwise(F.col("item_code"))))
     decided = materialise(judged(good, items, stream, strict=True))
     stops = paging.stop_pages(asked.select(stream, "page").join(decided, [stream, "page"], "left"), stream, "page", F.coalesce("complete", F.lit(False)))
     at = lambda pos, code: F.struct("page", F.lit(pos).alias("pos") if isinstance(pos, int) else pos, code.alias("code"))
@@ -64,7 +66,7 @@ def strict_walk(pages: DataFrame, stream: str, item_code: Column) -> Walk:
 
 def _foreign(post: str) -> Column:
     """The code of a comment that names another post, or names one by null."""
-    p = Payload(F.col("item"))
+    p = Payload(F.col("item"), variant=F.col(PARSED))
     nulls = F.lit(False)
     for name in DIRECT_REFERENCES:
         nulls = nulls | (p.has(name) & (p.literal(name) == "null"))
@@ -73,7 +75,7 @@ def _foreign(post: str) -> Column:
 
 
 def _declared_replies() -> Column:
-    return count_from_literal(Payload(F.col("item")).first_present(*COUNTS[0]))
+    return count_from_literal(Payload(F.col("item"), variant=F.col(PARSED)).first_present(*COUNTS[0]))
 
 
 def nested_reply_scan(roots: DataFrame, pages: DataFrame, page_limit: int) -> Walk:
@@ -114,7 +116,7 @@ def walk_posts(posts: DataFrame, pages: DataFrame, nested: DataFrame | None, use
     asked = pages.join(wanted.select(key, "reply_count"), key).filter(F.col("page") <= budget).select(key, "page", "count", "code", "body")
     counted = _declared_replies()
     item_code = F.coalesce(_foreign(key), F.when(counted.isNull(), "reply_count")) if nested is not None else _foreign(key)
-    main = strict_walk(asked, key, item_code)
+    main = strict_walk(asked, key, item_code, **({} if nested is None else {"declared": counted}))
     rows = wanted.join(main.streams, key, "left").withColumn("observed", F.coalesce("observed", F.lit(0).cast("long")))
     short = F.col("stop_page").isNull() | (F.col("observed") < F.col("reply_count"))
     rows = rows.withColumn("__own", F.when(short, F.array(F.concat(F.lit("post:"), F.col(key).cast("string")))).otherwise(F.array().cast("array<string>")))
@@ -126,7 +128,7 @@ def walk_posts(posts: DataFrame, pages: DataFrame, nested: DataFrame | None, use
         # Threads are walked where the walk of the post comes by: before its failure, if it has one.
         roots = main.items.join(main.streams.select(key, F.col("failure").alias("__end")), key)
         met = F.col("__end").isNull() | (F.struct("page", "pos") < F.struct("__end.page", "__end.pos"))
-        roots = roots.filter(met).select(key, F.col("id").alias("comment_id"), "page", "pos", counted.alias("declared")).filter("declared > 0")
+        roots = roots.filter(met).select(key, F.col("id").alias("comment_id"), "page", "pos", "declared").filter("declared > 0")
         roots = materialise(roots.groupBy(key, "comment_id").agg(F.min(F.struct("page", "pos")).alias("at"), F.max("declared").alias("declared")))
         threads = nested_reply_scan(roots.select(key, "comment_id", "declared"), nested, nested_limit)
         outcome = threads.streams.join(roots.select(key, "comment_id", "at"), [key, "comment_id"])
@@ -167,6 +169,7 @@ def recovery_scan(
     """
     key = "post_id"
     end = F.lit(True) if max_posts is None else F.col("position") < start + max_posts
+    posts = materialise(posts)
     turn = posts.filter((F.col("position") >= start) & end)
     walks = walk_posts(turn, pages, nested, user_id, domain, nested_limit)
     outcome = materialise(walks.posts)

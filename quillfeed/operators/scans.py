@@ -14,14 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillfeed.functions.ids import canonical_url, count_from_literal, loose_id, post_reference
-from quillfeed.functions.payload import Payload, author_id, embedded_json
+from quillfeed.functions.payload import PARSED, Payload, author_id, embedded_json, parsed_rows
 from quillfeed.functions.text import clean_html
 from quillfeed.functions.times import epoch_ms_from_literal, format_epoch_ms, is_unknown_literal
 from quillfeed.operators import pages as paging
 from quillfeed.operators.contracts import acquisition_markers_ok
 from quillfeed.operators.coverage import coverage
 from quillfeed.operators.merge import RECORD_RULES, last_wins, merge_versions
-from quillfeed.operators.normalize import COUNTS, bare, by_author, normalize_posts, normalize_replies, string
+from quillfeed.operators.normalize import COUNTS, bare, by_author, named, normalize_posts, normalize_replies, string
 from quillfeed.operators.select import changed_posts, skip_existing
 from quillfeed.session import materialise
 
@@ -67,6 +67,7 @@ def timeline_scan(pages: DataFrame, user_id: str, domain: str, since_ms: int | N
     meets no end is truncated.
     """
     by = [stream, "page"]
+    pages = materialise(pages.select(*by, "count", "body"))
     posts = normalize_posts(items_of(pages, paging.TIMELINE_ITEMS, stream), user_id, domain)
     mark = count_from_literal(Payload(F.col("item")).literal("mark"))
     posts = materialise(paging.pinned_rows(posts.withColumn("mark", mark), [stream], "page", "count"))  # parsed once, read by each step
@@ -90,10 +91,12 @@ def timeline_scan(pages: DataFrame, user_id: str, domain: str, since_ms: int | N
     return Scan(records, stops, wrong.filter("code is not null").distinct())
 
 
-def _comments(pages: DataFrame, stream: str) -> DataFrame:
-    """Items of comment pages with their id and author."""
-    p = Payload(F.col("item"))
-    return items_of(pages, paging.COMMENT_ITEMS, stream).withColumn("id", loose_id(bare(p.literal("id")))).withColumn("author", author_id(p))
+def _comments(pages: DataFrame, stream: str, **more: Column) -> DataFrame:
+    """Items of comment pages with their id and author, and what more is asked of the parsed item (PARSED)."""
+    items = items_of(pages, paging.COMMENT_ITEMS, stream)
+    rows, p = parsed_rows(items, "item")
+    rows, (literal,) = named(rows, p.literal("id"))
+    return rows.select(*items.columns, loose_id(bare(literal)).alias("id"), author_id(p).alias("author"), *(c.alias(n) for n, c in more.items()))
 
 
 def changed_comment_scan(
@@ -106,8 +109,8 @@ def changed_comment_scan(
     position, reply_count, created_at_raw, title, clean_text and target.
     """
     key = "post_id"
-    changed = changed_posts(posts, baselines, "position", "reply_count", limit)
-    asked = pages.join(changed.select(key, "position"), key)
+    changed = materialise(changed_posts(posts, baselines, "position", "reply_count", limit).select(key, "position"))
+    asked = materialise(pages.join(changed, key))  # read by each step
     good = asked.filter(F.col("code") == OK)
     comments = materialise(_comments(good, key))
     decided = materialise(judged(good, comments, key))
@@ -116,8 +119,9 @@ def changed_comment_scan(
     end = met.agg(F.min("position").alias("__end"))  # one row
     scanned = changed.crossJoin(F.broadcast(end)).filter(F.col("__end").isNull() | (F.col("position") < F.col("__end"))).select(key, "position")
     walked = paging.walked(decided.join(scanned, key), stops, key, "page")
-    count = F.when(Payload(F.col("body")).has("count"), count_from_literal(Payload(F.col("body")).literal("count")))
-    seen = walked.join(good.select(key, "page", count.alias("endpoint_count")), [key, "page"])
+    told, p = parsed_rows(good, "body")
+    count = F.when(p.has("count"), count_from_literal(p.literal("count")))
+    seen = walked.join(told.select(key, "page", count.alias("endpoint_count")), [key, "page"])
     seen = seen.join(comments.select(key, "page", F.col("id").alias("comment_id")), [key, "page"], "left")
     covered = coverage(seen, posts).withColumn("confirmed", ~F.col("truncated") & ~F.col("unverified"))
     own = comments.filter(F.col("author") == user_id).join(walked.select(key, "page"), [key, "page"], "left_semi")
@@ -133,22 +137,25 @@ def self_replies(items: DataFrame, user_id: str, domain: str, post: str = "post_
 
     All columns of `items` but those of the same names, the reply's fields, and `violations`.
     """
-    p = Payload(F.col(item))
-    rows = by_author(items, user_id, item)
+    rows, p = parsed_rows(by_author(items, user_id, item), item)
     post_id = F.coalesce(loose_id(bare(p.first_present("status_id"))), F.when(p.first_present("status_id").isNull(), F.col(post).cast("string")))
-    text, made = string(p.first_present("text", "description")), p.literal("created_at")
-    epoch = epoch_ms_from_literal(made)
-    likes, replies = (count_from_literal(p.first_present(*names)) for names in (COUNTS[1], COUNTS[0]))
+    rows, (literal, post_id, text, made, likes, replies) = named(
+        rows, p.literal("id"), post_id, string(p.first_present("text", "description")), p.literal("created_at"), *(p.first_present(*names) for names in (COUNTS[1], COUNTS[0]))
+    )
+    link = canonical_url(F.coalesce(F.col(target), F.lit("")), domain, F.lit(user_id), post_id)
+    rows, (identity, link, epoch, likes, replies) = named(
+        rows, loose_id(bare(literal)), link, epoch_ms_from_literal(made), count_from_literal(likes), count_from_literal(replies)
+    )
     fields = {
-        "id": loose_id(bare(p.literal("id"))), "post_id": post_id, "text": text, "clean_text": clean_html(text),
-        "post_target": canonical_url(F.coalesce(F.col(target), F.lit("")), domain, F.lit(user_id), post_id),
+        "id": identity, "post_id": post_id, "text": text, "clean_text": clean_html(text),
+        "post_target": link,
         "created_at_raw": made, "created_at": format_epoch_ms(epoch), "reply_to": loose_id(bare(p.first_present("reply_to_id"))),
         "like_count": likes, "reply_count": replies, "source": F.coalesce(p.text("source"), F.lit("")),
     }
     broken = {name: fields[name].isNull() for name in ("id", "post_id", "text", "post_target", "like_count", "reply_count")}
     broken["created_at"] = made.isNull() | (epoch.isNull() & ~is_unknown_literal(made))
     broken["source"] = p.has("source") & (p.kind("source") != "string")
-    broken["markers"] = ~acquisition_markers_ok(F.col(item))
+    broken["markers"] = ~acquisition_markers_ok(p)
     codes = F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(True)), F.lit(n)) for n, c in broken.items())))
     others = [c for c in items.columns if c not in fields]
     return rows.select(*others, *(c.alias(n) for n, c in fields.items()), codes.alias("violations"))
@@ -163,7 +170,7 @@ def post_reply_scan(posts: DataFrame, pages: DataFrame, user_id: str, domain: st
     """
     key = "post_id"
     place = F.row_number().over(Window.partitionBy(key).orderBy("page"))  # reply_pages rows of a post at most
-    asked = pages.filter(F.col("page") <= reply_pages).join(posts.select(key, "position"), key)
+    asked = materialise(pages.filter(F.col("page") <= reply_pages).join(posts.select(key, "position"), key))  # read by each step
     broken = asked.withColumn("__at", place).groupBy(key).agg(F.min(F.when((F.col("code") != OK) | (F.col("page") != F.col("__at")), F.col("page"))).alias("__broken"))
     good = asked.join(broken, key).filter(F.col("__broken").isNull() | (F.col("page") < F.col("__broken"))).drop("__broken")
     comments = materialise(_comments(good, key))
@@ -175,7 +182,7 @@ def post_reply_scan(posts: DataFrame, pages: DataFrame, user_id: str, domain: st
     ends = posts.join(stops, key, "left").join(observed, key, "left").withColumn("observed", F.coalesce("observed", F.lit(0).cast("long")))
     failed = (declared > reply_pages * count) | F.col("stop_page").isNull() | (F.col("observed") < declared)
     streams = ends.select(key, "stop_page", "observed", failed.alias("request_failed"))
-    found = walked.drop("id", "author").join(posts.select(key, "position", F.col("target").alias("post_target")), key)
+    found = walked.filter(F.col("author") == user_id).drop("id", "author").join(posts.select(key, "position", F.col("target").alias("post_target")), key)
     replies = self_replies(found, user_id, domain)
     order = F.struct("position", "page", "pos")
     records = last_wins(replies.drop("item", "count").withColumn("__order", order), "id", "__order").drop("__order", "position", "page", "pos")

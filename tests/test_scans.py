@@ -1,8 +1,11 @@
 """Composed scans on landed pages by hand: where walks end, what fails, what is taken."""
 
 import json
+import re
 
-from quillfeed.operators import scans
+from pyspark.sql import functions as F
+
+from quillfeed.operators import normalize, resume_scan, scans
 
 PAGES = "page int, count int, code string, body string"
 
@@ -131,3 +134,32 @@ def test_posts_by_reference(spark):
     assert sorted(r["id"] for r in scan.records.collect()) == ["1", "2", "3"]
     wrong = {(r["post_id"], r["code"]) for r in scan.problems.collect()}
     assert {("https://evil.com/7/8", "reference"), ("x", "reference"), (None, "reference"), ("6", "other_post")} <= wrong and ("5", "id") in wrong
+
+
+def parses(df):
+    """How often the plan parses a JSON text."""
+    return len(re.findall(r"(?i)parse_?json\(", df._jdf.queryExecution().optimizedPlan().toString()))
+
+
+def test_each_text_is_parsed_once(spark):
+    items = spark.createDataFrame([(1, "{}")], "post_id long, item string")
+    posts = spark.createDataFrame([("1", "0", "", "", "")], "post_id string, created_at_raw string, title string, clean_text string, target string")
+    pages = spark.createDataFrame([(1, 1, 1, "{}")], "post_id long, page int, count int, body string")
+    assert parses(normalize.normalize_posts(items, "7", "example.com")) == 1
+    assert parses(normalize.normalize_replies(items, posts, "7", "example.com", "x")) == 2  # for the post's id, and after the join
+    assert parses(scans._comments(pages, "post_id")) == 2  # the page and the item
+
+
+def test_pages_are_made_once_for_a_walk(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = [(s, p, 1, "OK", '{"has_more":%s,"comments":[{"id":%d}]}' % (str(p < 3).lower(), s * 10 + p)) for s in range(4) for p in (1, 2, 3)]
+    frame = spark.createDataFrame(rows, "stream long, page int, count int, code string, body string")
+    walk = resume_scan.strict_walk(frame.mapInArrow(count, frame.schema), "stream", F.lit(None).cast("string"))
+    assert {(r["stream"], r["stop_page"], r["observed"]) for r in walk.streams.collect()} == {(s, 3, 3) for s in range(4)}
+    assert made.value == len(rows)
