@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillfeed.functions.binding import let
 from quillfeed.functions.ids import MAX_SAFE
-from quillfeed.functions.payload import root_fields
+from quillfeed.functions.payload import PARSED, parsed_rows, root_fields
 
 #: The fields of a visibility gap, and where its count may come from.
 GAP_FIELDS = ("count_source", "declared_count", "post_id", "unavailable_count", "visible_count")
@@ -23,8 +23,8 @@ _ID = r'\A"[0-9]+"\z'
 
 def _whole(literal: Column) -> Column:
     """The value of a JSON number that is a whole one, 0 to 2^53 - 1; 4.0 is 4."""
-    number = literal.try_cast("decimal(38,10)")
-    return F.when(literal.rlike(r"\A[0-9]") & (number == F.floor(number)) & (number <= MAX_SAFE), number.try_cast("long"))
+    whole = lambda n: F.when((n == F.floor(n)) & (n <= MAX_SAFE), n.try_cast("long"))
+    return let(literal, lambda x: F.when(x.rlike(r"\A[0-9]"), let(x.try_cast("decimal(38,10)"), whole)))
 
 
 def _items(v: Column) -> Column:
@@ -45,10 +45,11 @@ def gap_fine(literal: Column) -> Column:
 
     def judge(fields: Column) -> Column:
         text = lambda name: F.to_json(fields[name])
-        declared, visible, hidden = (_whole(text(name)) for name in ("declared_count", "visible_count", "unavailable_count"))
+        counts = F.struct(*(_whole(text(name)).alias(name) for name in ("declared_count", "visible_count", "unavailable_count")))
+        adds_up = lambda n: (n["declared_count"] >= 1) & (n["unavailable_count"] >= 1) & (n["visible_count"] + n["unavailable_count"] == n["declared_count"])
         closed = F.array_sort(F.map_keys(fields)) == F.array(*(F.lit(name) for name in GAP_FIELDS))
         source = text("count_source").isin(*(f'"{s}"' for s in GAP_SOURCES))
-        return closed & text("post_id").rlike(_ID) & source & (declared >= 1) & (hidden >= 1) & (visible + hidden == declared)
+        return closed & text("post_id").rlike(_ID) & source & let(counts, adds_up)
 
     return F.coalesce(let(root_fields(F.try_parse_json(literal)), judge), F.lit(False))
 
@@ -66,7 +67,10 @@ def gap_problems(v: Column) -> Column:
 
 def state_violations(state: Column, user_id: Column) -> Column:
     """Names of the fields of a checkpoint state that are wrong for this user, in a fixed order; `not_an_object` alone for other texts."""
+    return _root_violations(root_fields(F.try_parse_json(state)), user_id)
 
+
+def _root_violations(fields: Column, user_id: Column) -> Column:
     def judge(root: Column) -> Column:
         text = lambda name: F.to_json(root[name])
         absent = lambda name: ~F.map_contains_key(root, name)
@@ -84,11 +88,11 @@ def state_violations(state: Column, user_id: Column) -> Column:
         codes = F.array_compact(F.array(*(F.when(~F.coalesce(c, F.lit(False)), F.lit(name)) for name, c in fine.items())))
         return F.when(root.isNull(), F.array(F.lit("not_an_object"))).otherwise(codes)
 
-    return let(root_fields(F.try_parse_json(state)), judge)
+    return let(fields, judge)
 
 
 def judged_states(states: DataFrame, state: str = "state", user: str = "user_id") -> DataFrame:
     """Adds `violations`, and `starts_anew`: a valid state that names no user is given up for the initial one."""
-    codes = state_violations(F.col(state), F.col(user).cast("string"))
-    named = F.map_contains_key(root_fields(F.try_parse_json(F.col(state))), "user_id")
-    return states.withColumn("violations", codes).withColumn("starts_anew", (F.size("violations") == 0) & ~F.coalesce(named, F.lit(False)))
+    rows, p = parsed_rows(states, state)
+    rows = rows.withColumn("violations", _root_violations(root_fields(p.variant), F.col(user).cast("string")))
+    return rows.withColumn("starts_anew", (F.size("violations") == 0) & ~p.has("user_id")).drop(PARSED)

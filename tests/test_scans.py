@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from quillfeed.operators import normalize, resume_scan, scans
+from quillfeed.operators import normalize, resume_scan, scans, states
 
 PAGES = "page int, count int, code string, body string"
 
@@ -148,6 +148,8 @@ def test_each_text_is_parsed_once(spark):
     assert parses(normalize.normalize_posts(items, "7", "example.com")) == 1
     assert parses(normalize.normalize_replies(items, posts, "7", "example.com", "x")) == 2  # for the post's id, and after the join
     assert parses(scans._comments(pages, "post_id")) == 2  # the page and the item
+    states_of = spark.createDataFrame([("{}", "7")], "state string, user_id string")
+    assert parses(states.judged_states(states_of)) == 2  # the state and, for each, a gap
 
 
 def test_pages_are_made_once_for_a_walk(spark):
