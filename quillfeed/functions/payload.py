@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillfeed.functions.binding import let
+from quillfeed.functions.binding import let, named
 from quillfeed.functions.text import ascii_trim
 
 
@@ -19,15 +19,17 @@ class Payload:
     """Accessors of one JSON text column. Paths are dotted names from the root.
 
     A payload from `parsed` holds the literals and the strings of its root fields, each made once. One of `parsed_rows`
-    reads a column that holds the parsed text; any other parses the text for each field that is asked for.
+    reads a column that holds the parsed text, and a column for the literal of each field that was named there; any
+    other parses the text for each field that is asked for.
     """
 
-    def __init__(self, body: Column, bound: Column | None = None, variant: Column | None = None):
+    def __init__(self, body: Column, bound: Column | None = None, variant: Column | None = None, columns: dict[str, Column] | None = None):
         self.body = body if bound is None else bound["body"]
         self.variant = bound["variant"] if bound is not None else F.try_parse_json(body) if variant is None else variant
         self.keys = F.coalesce(F.json_object_keys(body), F.array().cast("array<string>")) if bound is None else bound["keys"]
         self.literals = None if bound is None else bound["literals"]
         self.strings = None if bound is None else bound["strings"]
+        self.columns = columns or {}
 
     @staticmethod
     def parsed(body: Column, use: Callable[[Payload], Column]) -> Column:
@@ -57,16 +59,22 @@ class Payload:
 
     def has(self, name: str) -> Column:
         """Whether the field is present, with null or not."""
+        if name in self.columns:
+            return self.columns[name].isNotNull()
         if self._held(name):
             return self.literals[name].isNotNull()
         return F.try_variant_get(self.variant, self._path(name), "variant").isNotNull()
 
     def literal(self, name: str) -> Column:
         """The field's JSON literal; SQL null if absent, the text `null` if null."""
+        if name in self.columns:
+            return self.columns[name]
         return self.literals[name] if self._held(name) else F.to_json(F.try_variant_get(self.variant, self._path(name), "variant"))
 
     def kind(self, name: str) -> Column:
         """string, number, boolean, null, array, object, or SQL null if absent."""
+        if name in self.columns:
+            return literal_kind(self.columns[name])
         if self._held(name):
             return literal_kind(self.literals[name])
         return _kind(F.schema_of_variant(F.try_variant_get(self.variant, self._path(name), "variant")))
@@ -92,9 +100,15 @@ class Payload:
         return F.when(self.has(primary), self.literal(primary)).otherwise(self.literal(alias))
 
 
-def parsed_rows(df: DataFrame, body: str, name: str = PARSED) -> tuple[DataFrame, Payload]:
-    """The frame with the parsed text as a column `name`, and a payload that reads it: one parse for each row."""
-    return df.withColumn(name, F.try_parse_json(F.col(body))), Payload(F.col(body), variant=F.col(name))
+def parsed_rows(df: DataFrame, body: str, name: str = PARSED, fields: Iterable[str] = ()) -> tuple[DataFrame, Payload]:
+    """The frame with the parsed text as a column `name`, and a payload that reads it: one parse for each row.
+
+    The literal of each of `fields` is a column too, made once for each row however often it is asked for.
+    """
+    rows, p = df.withColumn(name, F.try_parse_json(F.col(body))), Payload(F.col(body), variant=F.col(name))
+    fields = list(dict.fromkeys(fields))
+    rows, columns = named(rows, *(p.literal(f) for f in fields))
+    return rows, Payload(F.col(body), variant=F.col(name), columns=dict(zip(fields, columns, strict=True)))
 
 
 def root_fields(variant: Column) -> Column:
@@ -139,13 +153,19 @@ def embedded_json(html: Column, marker: str) -> Column:
     return F.when(F.try_parse_json(F.when(found != "", found)).isNotNull(), found)
 
 
+#: Fields that may name the author of a row.
+AUTHOR = ("user.id", "user_id", "userId")
+
+
 def author_id(p: Payload) -> Column:
     """The author of a row as text: the first of user.id, user_id and userId that is not null, trimmed."""
-    literal = p.first_present("user.id", "user_id", "userId")
+    literal = p.first_present(*AUTHOR)
     return ascii_trim(F.regexp_replace(literal, r'\A"|"\z', ""))
 
 
 def references_agree(p: Payload, post_id: Column, *names: str) -> Column:
     """Whether every reference that is present and not null names the post."""
-    refs = F.array(*(F.regexp_replace(F.when(p.literal(n) != "null", p.literal(n)), r'\A"|"\z', "") for n in names))
-    return F.forall(F.filter(refs, lambda x: x.isNotNull()), lambda x: x == post_id)
+    agrees, quoted = F.lit(True), F.concat(F.lit('"'), post_id, F.lit('"'))
+    for literal in map(p.literal, names):
+        agrees = agrees & (literal.isNull() | literal.isin(F.lit("null"), post_id, quoted))
+    return agrees

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillfeed.functions.binding import named
 from quillfeed.functions.ids import canonical_url, count_from_literal, loose_id
 from quillfeed.functions.payload import PARSED, Payload, author_id, parsed_rows, references_agree
 from quillfeed.functions.text import ascii_trim, clean_html
@@ -32,13 +33,6 @@ def _codes(conditions: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(True)), F.lit(n)) for n, c in conditions.items())))
 
 
-def named(df: DataFrame, *values: Column) -> tuple[DataFrame, list[Column]]:
-    """The frame with each value as a column of a name of its own, and these columns."""
-    at = sum(c.startswith("__named") for c in df.columns)
-    names = [f"__named{at + i}" for i in range(len(values))]
-    return df.select("*", *(v.alias(n) for n, v in zip(names, values, strict=True))), [F.col(n) for n in names]
-
-
 def normalize_posts(raw: DataFrame, user_id: str, domain: str, item: str = "item") -> DataFrame:
     """All columns of `raw`, the fields of a strict post, and `violations`."""
     # What comes in several fields is a column of its own, so that Spark makes it once for each row.

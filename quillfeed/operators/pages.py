@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillfeed.functions.binding import let
+from quillfeed.functions.binding import let, named
 from quillfeed.functions.ids import count_from_literal
-from quillfeed.functions.payload import PARSED, array_field, parsed_rows, root_fields
+from quillfeed.functions.payload import parsed_rows, root_fields
 from quillfeed.functions.text import ascii_trim
 
 #: Where page metadata may stand, and the names of its fields.
@@ -27,11 +27,20 @@ INVALID = "\u0000invalid"
 
 
 def explode_items(pages: DataFrame, aliases: tuple[str, ...], body: str = "body") -> DataFrame:
-    """One row for each item: the page's columns, `pos` and `item` (JSON). Pages without items stay, with nulls."""
+    """One row for each item: the page's columns, `violation`, `pos` and `item` (JSON). Pages without items stay, with nulls."""
+    rows, item = item_values(pages, aliases, body)
+    return rows.select(*pages.columns, "violation", "pos", F.when(~F.is_variant_null(item), F.to_json(item)).alias("item"))
+
+
+def item_values(pages: DataFrame, aliases: tuple[str, ...], body: str = "body") -> tuple[DataFrame, Column]:
+    """`explode_items` with each item as a value that is not written as text yet, and the column that holds it."""
     rows, p = parsed_rows(pages, body)
-    items, violation = array_field(p, *aliases)
-    listed = rows.withColumn("violation", violation).withColumn("__items", F.from_json(items, "array<string>")).drop(PARSED)
-    return listed.select(*[c for c in listed.columns if c != "__items"], F.posexplode_outer("__items").alias("pos", "item"))
+    # Each value is a column of its own: the array is looked up once and its items are written as text once.
+    rows, (found,) = named(rows, F.coalesce(*(F.try_variant_get(p.variant, f"$.{name}", "variant") for name in aliases)))
+    rows, (items,) = named(rows, F.try_variant_get(found, "$", "array<variant>"))
+    missing = F.when(root_fields(p.variant).isNull(), "not_an_object").otherwise("missing_array")
+    violation = F.when(found.isNull(), missing).when(items.isNull(), "not_an_array")
+    return rows.select(*pages.columns, violation.alias("violation"), F.posexplode_outer(items).alias("pos", "__item")), F.col("__item")
 
 
 def _inner(literal: Column) -> Column:
@@ -89,22 +98,49 @@ def pagination_decision(body: Column, page: Column, count: Column, item_count: C
     evidence is incomplete (with `strict`: a violation), no evidence leaves a short page complete but not explicit.
     `strict` also ignores cursors, takes only booleans and numbers, and wants the page count to follow from the total.
     """
-    numbers = (lambda x: F.when(x.startswith('"'), F.lit(INVALID)).otherwise(integer_value(x))) if strict else integer_value
-    more_rule = (lambda x: F.when(x.isin("true", "false"), x).otherwise(INVALID)) if strict else has_more_value
 
     def of(m: Column) -> Column:
-        values = lambda aliases, rule: _values(m["fields"], aliases, rule)
-        sets = {"has_more": values(HAS_MORE, more_rule), "page_count": values(PAGE_COUNT, numbers), "total": values(TOTAL, numbers)}
-        if not strict:
-            sets |= {"cursor": values(CURSOR, cursor_value), "current_page": values(CURRENT_PAGE, integer_value)}
-        found = F.struct(*(v.alias(k) for k, v in sets.items()), m["broken"].alias("broken"), m["is_object"].alias("is_object"))
-        return let(found, lambda s: _decide(s, [*sets], page, count, item_count, observed, strict))
+        sets = _sets(m, strict)
+        return let(F.struct(*(v.alias(k) for k, v in sets.items())), lambda s: let(F.struct(*_decide(s, page, count, item_count, observed, strict)), lambda d: F.struct(*_fine(d))))
 
     return let(metadata(F.try_parse_json(body)), of)
 
 
-def _decide(s: Column, names: list[str], page: Column, count: Column, item_count: Column, observed: Column, strict: bool) -> Column:
-    """The decision from the distinct values of each field."""
+def page_facts(rows: DataFrame, body: str, strict: bool = False) -> tuple[DataFrame, dict[str, Column]]:
+    """The frame without `body`, and as columns what `decided` needs of it: rows that are joined further stay small."""
+    others = [c for c in rows.columns if c != body]
+    rows, (meta,) = named(rows, metadata(F.try_parse_json(F.col(body))))
+    sets = _sets(meta, strict)
+    rows = rows.select(*others, *(v.alias(f"__fact_{k}") for k, v in sets.items()))
+    return rows, {k: F.col(f"__fact_{k}") for k in sets}
+
+
+def decided(rows: DataFrame, facts: dict[str, Column], page: Column, count: Column, item_count: Column, observed: Column, strict: bool = False) -> DataFrame:
+    """Adds complete, explicit and violation of `pagination_decision`, each part a column so that it is made once."""
+    others = [c for c in rows.columns if not c.startswith("__fact_")]
+    rows = rows.select("*", *(c.alias(f"__decided_{k}") for k, c in zip(("complete", "explicit", "violation"), _decide(facts, page, count, item_count, observed, strict), strict=True)))
+    return rows.select(*others, *_fine({k: F.col(f"__decided_{k}") for k in ("complete", "explicit", "violation")}))
+
+
+def _sets(m: Column, strict: bool) -> dict[str, Column]:
+    """The distinct values of each field of the metadata, and whether these are broken and of an object."""
+    numbers = (lambda x: F.when(x.startswith('"'), F.lit(INVALID)).otherwise(integer_value(x))) if strict else integer_value
+    more_rule = (lambda x: F.when(x.isin("true", "false"), x).otherwise(INVALID)) if strict else has_more_value
+    values = lambda aliases, rule: _values(m["fields"], aliases, rule)
+    sets = {"has_more": values(HAS_MORE, more_rule), "page_count": values(PAGE_COUNT, numbers), "total": values(TOTAL, numbers)}
+    if not strict:
+        sets |= {"cursor": values(CURSOR, cursor_value), "current_page": values(CURRENT_PAGE, integer_value)}
+    return sets | {"broken": m["broken"], "is_object": m["is_object"]}
+
+
+def _fine(d: Column | dict[str, Column]) -> list[Column]:
+    """A decision; where there is a violation, that alone."""
+    return [*(F.when(d["violation"].isNull(), d[name]).alias(name) for name in ("complete", "explicit")), d["violation"].alias("violation")]
+
+
+def _decide(s: Column | dict[str, Column], page: Column, count: Column, item_count: Column, observed: Column, strict: bool) -> list[Column]:
+    """complete, explicit and violation from the distinct values of each field."""
+    names = ["has_more", "page_count", "total", *([] if strict else ["cursor", "current_page"])]
     value = {k: F.get(s[k], F.lit(0)) for k in names}
     pages, total = value["page_count"].try_cast("long"), value["total"].try_cast("long")
     more_if = [value["has_more"] == "true", page < pages, observed < total]
@@ -135,9 +171,7 @@ def _decide(s: Column, names: list[str], page: Column, count: Column, item_count
             ((pages == 0) & ((item_count > 0) | (observed > 0))) | ((page > pages) & (item_count > 0)), "page_count_contradiction"
         )
     complete = F.when(more, False).when(done, True).otherwise(item_count < count)
-    all_of = F.struct(complete.alias("complete"), (~more & done).alias("explicit"), violation.alias("violation"))
-    fine = lambda d, name: F.when(d["violation"].isNull(), d[name]).alias(name)
-    return let(all_of, lambda d: F.struct(fine(d, "complete"), fine(d, "explicit"), d["violation"].alias("violation")))
+    return [complete.alias("complete"), (~more & done).alias("explicit"), violation.alias("violation")]
 
 
 def pinned_rows(items: DataFrame, keys: list[str], page: str, count: str, mark: str = "mark") -> DataFrame:

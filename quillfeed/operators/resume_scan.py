@@ -9,6 +9,7 @@ seen and is partial. The run ends at the first post that failed or is partial, a
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,17 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from quillfeed.functions.ids import count_from_literal
-from quillfeed.functions.payload import PARSED, Payload, references_agree
+from quillfeed.functions.payload import Payload, references_agree
 from quillfeed.operators import pages as paging
 from quillfeed.operators.merge import first_wins
 from quillfeed.operators.normalize import COUNTS, POST_REFERENCES, normalize_replies
-from quillfeed.operators.scans import OK, _comments, judged
+from quillfeed.operators.scans import OK, _comments, judged, walk_ends
 from quillfeed.operators.select import ordered_digest, resume_start
 from quillfeed.session import materialise
 
 #: Second names of a comment's references to its post, and the fields that may not be null where they stand.
 CAMEL_REFERENCES = ("statusId", "targetId")
 DIRECT_REFERENCES = ("status_id", "target_id", *CAMEL_REFERENCES)
+REFERENCES = (*POST_REFERENCES, *DIRECT_REFERENCES)
 #: Places in a page: before all of its items, and after them.
 BEFORE, AFTER = -1, (1 << 31) - 1
 
@@ -39,34 +41,35 @@ class Walk:
     streams: DataFrame
 
 
-def strict_walk(pages: DataFrame, stream: str, item_code: Column, **more: Column) -> Walk:
+def strict_walk(
+    pages: DataFrame, stream: str, item_code: Column | Callable[[Payload], Column], fields: Iterable[str] = (), **more: Callable[[Payload], Column]
+) -> Walk:
     """Walks the pages of each stream by the strict rules; `item_code` names what is wrong with an item, or is null.
 
     `pages` has the stream, page, count, code and body, only pages within the stream's budget. Items have the columns
-    `more`. These and the code may read the item and, as PARSED, what it holds.
+    `more`. These and the code are made of the parsed item, most of them of its `fields`.
     """
     place = F.row_number().over(Window.partitionBy(stream).orderBy("page"))
     asked = materialise(pages.select(stream, "page", "count", "code", "body", place.alias("__at")))  # read by each step
     good = asked.filter(F.col("code") == OK).drop("__at")
-    found = _comments(good, stream, item_code=item_code, **more)
+    found = _comments(good, stream, fields, item_code=item_code, **more)
     items = materialise(found.withColumn("item_code", F.when(F.col("id").isNull(), "id").otherwise(F.col("item_code"))))
     decided = materialise(judged(good, items, stream, strict=True))
-    stops = paging.stop_pages(asked.select(stream, "page").join(decided, [stream, "page"], "left"), stream, "page", F.coalesce("complete", F.lit(False)))
+    ends = walk_ends(asked, decided, stream)
     at = lambda pos, code: F.struct("page", F.lit(pos).alias("pos") if isinstance(pos, int) else pos, code.alias("code"))
     refused = F.when(F.col("page") != F.col("__at"), F.lit("page_sequence")).when(F.col("code") != OK, F.col("code"))
     broken = asked.select(stream, "page", refused.alias("code")).filter("code is not null").select(stream, "page", at(BEFORE, F.col("code")).alias("failure"))
     broken = broken.unionByName(items.filter("item_code is not null").select(stream, "page", at(F.col("pos"), F.col("item_code")).alias("failure")))
     broken = broken.unionByName(decided.filter("violation is not null").select(stream, "page", at(AFTER, F.col("violation")).alias("failure")))
-    first = paging.walked(broken, stops, stream, "page").groupBy(stream).agg(F.min("failure").alias("failure"))
-    walked = paging.walked(items, stops, stream, "page").drop("stop_page", "truncated")
-    seen = walked.groupBy(stream).agg(F.count_distinct("id").alias("observed"))
-    streams = stops.drop("truncated").join(first, stream, "left").join(seen, stream, "left")
-    return Walk(walked, streams.withColumn("observed", F.coalesce("observed", F.lit(0).cast("long"))))
+    # The first failure counts if the walk comes by its page.
+    first = broken.groupBy(stream).agg(F.min("failure").alias("failure"))
+    met = F.col("stop_page").isNull() | (F.col("failure.page") <= F.col("stop_page"))
+    streams = ends.join(first, stream, "left").select(stream, "stop_page", F.when(met, F.col("failure")).alias("failure"), "observed")
+    return Walk(paging.walked(items, ends.drop("observed"), stream, "page").drop("stop_page", "truncated"), streams)
 
 
-def _foreign(post: str) -> Column:
+def _foreign(p: Payload, post: str) -> Column:
     """The code of a comment that names another post, or names one by null."""
-    p = Payload(F.col("item"), variant=F.col(PARSED))
     nulls = F.lit(False)
     for name in DIRECT_REFERENCES:
         nulls = nulls | (p.has(name) & (p.literal(name) == "null"))
@@ -74,8 +77,8 @@ def _foreign(post: str) -> Column:
     return F.when(nulls | ~F.coalesce(agree, F.lit(False)), "post_reference")
 
 
-def _declared_replies() -> Column:
-    return count_from_literal(Payload(F.col("item"), variant=F.col(PARSED)).first_present(*COUNTS[0]))
+def _declared_replies(p: Payload) -> Column:
+    return count_from_literal(p.first_present(*COUNTS[0]))
 
 
 def nested_reply_scan(roots: DataFrame, pages: DataFrame, page_limit: int) -> Walk:
@@ -86,10 +89,11 @@ def nested_reply_scan(roots: DataFrame, pages: DataFrame, page_limit: int) -> Wa
     not end or saw fewer replies than declared. Items have post_id and comment_id.
     """
     by = ["post_id", "comment_id"]
-    thread = F.struct(*by).alias("__thread")
-    asked = pages.filter(F.col("page") <= page_limit).join(roots.select(*by), by, "left_semi").select(thread, "page", "count", "code", "body")
-    walk = strict_walk(asked, "__thread", _foreign("__thread.post_id"))
-    streams = roots.join(walk.streams.select("__thread.*", "stop_page", "observed", "failure"), by, "left")
+    thread = F.struct(*by).alias("__thread")  # one key, so that what is dealt by threads once stays so
+    wanted = roots.dropna(subset=by).select(thread)
+    asked = pages.filter(F.col("page") <= page_limit).select(thread, "page", "count", "code", "body").join(wanted, "__thread", "left_semi")
+    walk = strict_walk(asked, "__thread", lambda p: _foreign(p, "__thread.post_id"), REFERENCES)
+    streams = roots.select("*", thread).join(walk.streams, "__thread", "left").drop("__thread")
     observed = F.coalesce("observed", F.lit(0).cast("long"))
     complete = F.col("stop_page").isNotNull() & F.col("failure").isNull()
     streams = streams.withColumn("observed", observed).withColumn("complete", complete).withColumn("truncated", ~complete | (observed < F.col("declared")))
@@ -114,9 +118,12 @@ def walk_posts(posts: DataFrame, pages: DataFrame, nested: DataFrame | None, use
     wanted = posts.filter(F.coalesce("reply_count", F.lit(0)) > 0).select(key, "position", "reply_count")
     budget = F.greatest(F.lit(1), F.ceil(F.col("reply_count") / F.col("count")) + F.lit(2))
     asked = pages.join(wanted.select(key, "reply_count"), key).filter(F.col("page") <= budget).select(key, "page", "count", "code", "body")
-    counted = _declared_replies()
-    item_code = F.coalesce(_foreign(key), F.when(counted.isNull(), "reply_count")) if nested is not None else _foreign(key)
-    main = strict_walk(asked, key, item_code, **({} if nested is None else {"declared": counted}))
+    foreign = lambda p: _foreign(p, key)
+    if nested is None:
+        main = strict_walk(asked, key, foreign, REFERENCES)
+    else:
+        item_code = lambda p: F.coalesce(foreign(p), F.when(_declared_replies(p).isNull(), "reply_count"))
+        main = strict_walk(asked, key, item_code, (*REFERENCES, *COUNTS[0]), declared=_declared_replies)
     rows = wanted.join(main.streams, key, "left").withColumn("observed", F.coalesce("observed", F.lit(0).cast("long")))
     short = F.col("stop_page").isNull() | (F.col("observed") < F.col("reply_count"))
     rows = rows.withColumn("__own", F.when(short, F.array(F.concat(F.lit("post:"), F.col(key).cast("string")))).otherwise(F.array().cast("array<string>")))

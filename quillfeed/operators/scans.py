@@ -8,20 +8,22 @@ read them.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillfeed.functions.binding import named
 from quillfeed.functions.ids import canonical_url, count_from_literal, loose_id, post_reference
-from quillfeed.functions.payload import PARSED, Payload, author_id, embedded_json, parsed_rows
+from quillfeed.functions.payload import AUTHOR, Payload, author_id, embedded_json, parsed_rows
 from quillfeed.functions.text import clean_html
 from quillfeed.functions.times import epoch_ms_from_literal, format_epoch_ms, is_unknown_literal
 from quillfeed.operators import pages as paging
 from quillfeed.operators.contracts import acquisition_markers_ok
 from quillfeed.operators.coverage import coverage
 from quillfeed.operators.merge import RECORD_RULES, last_wins, merge_versions
-from quillfeed.operators.normalize import COUNTS, bare, by_author, named, normalize_posts, normalize_replies, string
+from quillfeed.operators.normalize import COUNTS, bare, by_author, normalize_posts, normalize_replies, string
 from quillfeed.operators.select import changed_posts, skip_existing
 from quillfeed.session import materialise
 
@@ -42,18 +44,38 @@ class Scan:
 
 def items_of(pages: DataFrame, aliases: tuple[str, ...], stream: str) -> DataFrame:
     """One row for each item: stream, page, count, pos and item; pages without items give none."""
-    rows = paging.explode_items(pages.select(stream, "page", "count", "body"), aliases)
-    return rows.filter(F.col("item").isNotNull()).select(stream, "page", "count", "pos", "item")
+    rows, item = paging.item_values(pages.select(stream, "page", "count", "body"), aliases)
+    return rows.filter(item.isNotNull() & ~F.is_variant_null(item)).select(stream, "page", "count", "pos", F.to_json(item).alias("item"))
 
 
 def judged(pages: DataFrame, counted: DataFrame, stream: str, strict: bool = False) -> DataFrame:
-    """stream, page, complete, explicit and violation of each page, from its metadata and the items that count (with id)."""
+    """stream, page, complete, explicit, violation and observed (distinct ids so far) of each page, from its metadata and the items that count (with id)."""
     by = [stream, "page"]
-    sizes = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    seen = paging.running_observed(counted, stream, "page", "id", pages)
-    decision = paging.pagination_decision(F.col("body"), F.col("page"), F.col("count"), F.coalesce("__n", F.lit(0)), F.col("observed"), strict)
-    rows = pages.select(*by, "count", "body").join(sizes, by, "left").join(seen, by)
-    return rows.select(*by, decision.alias("d")).select(*by, "d.complete", "d.explicit", "d.violation")
+    # An id counts on its first page. One grouped sum gives each page its items and its new ids; bodies are not shuffled.
+    first = counted.filter("id is not null").groupBy(stream, "id").agg(F.min("page").alias("page"))
+    marks = counted.select(*by, F.lit(1).alias("__n"), F.lit(0).alias("__new")).unionByName(first.select(*by, F.lit(0).alias("__n"), F.lit(1).alias("__new")))
+    sizes = marks.groupBy(*by).agg(F.sum("__n").alias("__n"), F.sum("__new").alias("__new"))
+    rows, facts = paging.page_facts(pages.select(*by, "count", "body"), "body", strict)
+    rows = rows.join(sizes, by, "left")
+    order = Window.partitionBy(stream).orderBy("page")  # pages alone; those landed twice are peers, and the first of them brings its new ids
+    again = F.coalesce(F.lag("page").over(order) == F.col("page"), F.lit(False))
+    rows = rows.withColumn("__new", F.when(again, 0).otherwise(F.coalesce("__new", F.lit(0))))
+    rows = rows.withColumn("observed", F.sum("__new").over(order))
+    rows = paging.decided(rows, facts, F.col("page"), F.col("count"), F.coalesce("__n", F.lit(0)), F.col("observed"), strict)
+    return rows.select(*by, "complete", "explicit", "violation", "observed")
+
+
+def walk_ends(asked: DataFrame, decided: DataFrame, stream: str) -> DataFrame:
+    """(stream, stop_page, truncated, observed): where each walk ends, and the distinct ids that it saw.
+
+    `asked` has a row for each stream at least, `decided` is of `judged`. What a walk saw is what its last page counts.
+    """
+    rows = asked.select(stream).withColumns({"page": F.lit(None).cast("int"), "complete": F.lit(None).cast("boolean"), "observed": F.lit(0).cast("long")})
+    rows = rows.unionByName(decided.select(stream, "page", "complete", "observed"))
+    at = F.when(F.col("complete"), F.col("page"))
+    ends = rows.groupBy(stream).agg(F.min(at).alias("stop_page"), F.min_by("observed", at).alias("__stop"), F.max("observed").alias("__all"))
+    truncated = F.col("stop_page").isNull()
+    return ends.select(stream, "stop_page", truncated.alias("truncated"), F.when(truncated, F.col("__all")).otherwise(F.col("__stop")).alias("observed"))
 
 
 def _sequence() -> Column:
@@ -91,12 +113,12 @@ def timeline_scan(pages: DataFrame, user_id: str, domain: str, since_ms: int | N
     return Scan(records, stops, wrong.filter("code is not null").distinct())
 
 
-def _comments(pages: DataFrame, stream: str, **more: Column) -> DataFrame:
-    """Items of comment pages with their id and author, and what more is asked of the parsed item (PARSED)."""
+def _comments(pages: DataFrame, stream: str, fields: Iterable[str] = (), **more: Column | Callable[[Payload], Column]) -> DataFrame:
+    """Items of comment pages with their id and author, and what more is asked of the parsed item, most of it of `fields`."""
     items = items_of(pages, paging.COMMENT_ITEMS, stream)
-    rows, p = parsed_rows(items, "item")
-    rows, (literal,) = named(rows, p.literal("id"))
-    return rows.select(*items.columns, loose_id(bare(literal)).alias("id"), author_id(p).alias("author"), *(c.alias(n) for n, c in more.items()))
+    rows, p = parsed_rows(items, "item", fields=("id", *AUTHOR, *fields))
+    asked = {n: c if isinstance(c, Column) else c(p) for n, c in more.items()}
+    return rows.select(*items.columns, loose_id(bare(p.literal("id"))).alias("id"), author_id(p).alias("author"), *(c.alias(n) for n, c in asked.items()))
 
 
 def changed_comment_scan(
@@ -175,18 +197,17 @@ def post_reply_scan(posts: DataFrame, pages: DataFrame, user_id: str, domain: st
     good = asked.join(broken, key).filter(F.col("__broken").isNull() | (F.col("page") < F.col("__broken"))).drop("__broken")
     comments = materialise(_comments(good, key))
     decided = materialise(judged(good, comments, key))
-    stops = paging.stop_pages(decided, key, "page", F.coalesce("complete", F.lit(False)))
-    walked = paging.walked(comments, stops, key, "page")
-    observed = walked.groupBy(key).agg(F.count_distinct("id").alias("observed"))
+    stops = walk_ends(decided, decided, key)
+    walked = paging.walked(comments, stops.drop("observed"), key, "page")
     declared = F.coalesce(F.col("reply_count"), F.lit(0))
-    ends = posts.join(stops, key, "left").join(observed, key, "left").withColumn("observed", F.coalesce("observed", F.lit(0).cast("long")))
+    ends = posts.join(stops, key, "left").withColumn("observed", F.coalesce("observed", F.lit(0).cast("long")))
     failed = (declared > reply_pages * count) | F.col("stop_page").isNull() | (F.col("observed") < declared)
     streams = ends.select(key, "stop_page", "observed", failed.alias("request_failed"))
     found = walked.filter(F.col("author") == user_id).drop("id", "author").join(posts.select(key, "position", F.col("target").alias("post_target")), key)
     replies = self_replies(found, user_id, domain)
     order = F.struct("position", "page", "pos")
     records = last_wins(replies.drop("item", "count").withColumn("__order", order), "id", "__order").drop("__order", "position", "page", "pos")
-    wrong = paging.walked(decided, stops, key, "page").select(key, "page", F.col("violation").alias("code")).filter("code is not null")
+    wrong = paging.walked(decided.filter("violation is not null"), stops.drop("observed"), key, "page").select(key, "page", F.col("violation").alias("code"))
     return Scan(records, streams, wrong.unionByName(replies.select(key, "page", F.explode("violations").alias("code"))).distinct())
 
 

@@ -959,9 +959,9 @@ def recovery_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     """
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")) - 1
     key, rn = F.col("post_id"), F.col("rn")
-    lines = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("post_id"), "l_suppkey", place.alias("rn"))
-    sizes = lines.groupBy("post_id").agg(F.count(F.lit(1)).alias("n"))
-    rows = lines.join(sizes, "post_id")
+    n = F.count(F.lit(1)).over(Window.partitionBy("l_orderkey"))
+    rows = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("post_id"), "l_suppkey", place.alias("rn"), n.alias("n"))
+    sizes = rows.filter(rn == 0).select("post_id", "n")
     replies = F.floor((F.col("n") - 1 - rn) / 3)
     item = F.struct(
         (key * 100 + rn).alias("id"), key.alias("status_id"), F.struct((F.col("l_suppkey") % 5).alias("id")).alias("user"), F.lit("t").alias("text"),
@@ -1022,7 +1022,7 @@ SELECT k AS post_id, CAST(k * 100 + rn % 3 AS VARCHAR) AS comment_id, count(*) F
   k % 13 = 0 OR bool_or(k % 17 = 0 AND rn = 4) AS truncated FROM l WHERE rn >= 3 GROUP BY k, rn % 3""")
 def q_nested_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every thread of every order, walked by itself."""
-    _, _, nested = recovery_pages(spark, sf_dir)
+    nested = materialise(recovery_pages(spark, sf_dir)[2])  # landed once
     roots = nested.groupBy("post_id", "comment_id").agg(F.count(F.lit(1)).alias("declared"))
     return resume_scan.nested_reply_scan(roots, nested, NO_LIMIT).streams.select("post_id", "comment_id", "observed", "truncated")
 

@@ -165,3 +165,24 @@ def test_pages_are_made_once_for_a_walk(spark):
     walk = resume_scan.strict_walk(frame.mapInArrow(count, frame.schema), "stream", F.lit(None).cast("string"))
     assert {(r["stream"], r["stop_page"], r["observed"]) for r in walk.streams.collect()} == {(s, 3, 3) for s in range(4)}
     assert made.value == len(rows)
+
+
+def test_the_items_of_a_page_are_written_as_text_once(spark):
+    pages = spark.createDataFrame([(1, 1, 1, '{"items":[1],"comments":[{"id":1},null,"x",2.50]}')], "post_id long, page int, count int, body string")
+    items = scans.items_of(pages, ("comments", "items"), "post_id")
+    plan = items._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert (len(re.findall("to_?json", plan)), len(re.findall("from_?json|jsontostructs|schema_?of_?variant", plan))) == (1, 0)
+    assert [(r["pos"], r["item"]) for r in items.orderBy("pos").collect()] == [(0, '{"id":1}'), (2, '"x"'), (3, "2.5")]
+
+
+def test_bodies_are_not_shuffled_to_judge_pages(spark):
+    body = '{"has_more":%s,"comments":[]}'
+    pages = spark.createDataFrame([(1, p, 2, body % more) for p, more in ((1, "true"), (1, "true"), (2, "false"), (3, "true"))], "post_id long, page int, count int, body string")
+    counted = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, 2, "b"), (1, 2, "c"), (1, 3, None)], "post_id long, page int, id string")
+    judged = scans.judged(pages, counted, "post_id")
+    joins = [line for line in judged._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert len(joins) == 1  # was three, with the bodies in two of them
+    got = sorted((r["page"], r["complete"], r["violation"], r["observed"]) for r in judged.collect())
+    assert got == [(1, False, None, 2), (1, False, None, 2), (2, True, None, 3), (3, False, None, 3)]
+    ends = [tuple(r) for r in scans.walk_ends(judged, judged, "post_id").collect()]
+    assert ends == [(1, 2, False, 3)]
