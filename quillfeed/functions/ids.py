@@ -12,6 +12,8 @@ from quillfeed.functions.text import ascii_trim
 
 MAX_SAFE = 9_007_199_254_740_991
 _DIGITS = r"\A[0-9]+\z"
+#: A whole number that is safe in any type.
+SHORT_NUMBER = r"\A[0-9]{1,15}\z"
 
 
 def strict_id(c: Column) -> Column:
@@ -34,7 +36,8 @@ def count_from_literal(literal: Column) -> Column:
     """Of a JSON literal: a whole number (4.0 too) or a quoted digit text; else null."""
     inner = lambda x: F.get_json_object(F.concat(F.lit('{"x":'), x, F.lit("}")), "$.x")
     whole = lambda d: F.when((d == F.floor(d)) & (d >= 0) & (d <= MAX_SAFE), d.try_cast("long"))
-    return let(literal, lambda x: F.when(x.startswith('"'), count_from_text(inner(x))).otherwise(let(x.try_cast("decimal(38,10)"), whole)))
+    other = let(literal, lambda x: F.when(x.startswith('"'), count_from_text(inner(x))).otherwise(let(x.try_cast("decimal(38,10)"), whole)))
+    return F.when(literal.rlike(SHORT_NUMBER), literal.try_cast("long")).otherwise(other)  # nearly all counts are short
 
 
 def id_order(c: Column) -> list[Column]:
@@ -110,7 +113,15 @@ def canonical_url(url: Column, domain: str, user_id: Column | None = None, post_
     plain = rf"\Ahttps://(?:[a-z0-9.-]+\.)?{re.escape(domain)}(?:/[A-Za-z0-9_~-]*)+\z"
     other = lambda t: let(_absolute(t, domain), lambda a: let(_parts(a), lambda p: _canonical(t, p, domain, user_id, post_id)))
     trimmed = ascii_trim(F.coalesce(url, F.lit("")))
-    return let(trimmed, lambda t: F.when(t.rlike(plain), _exact(t, F.split(t, "/"), 2, user_id, post_id)).otherwise(other(t)))
+    exact = lambda t: F.when(t.rlike(plain), _exact(t, F.split(t, "/"), 2, user_id, post_id)).otherwise(other(t))
+    return F.when(trimmed == "", _empty(domain, user_id, post_id)).otherwise(let(trimmed, exact))
+
+
+def _empty(domain: str, user_id: Column | None, post_id: Column | None) -> Column:
+    """What an empty link becomes: `/user/post`, or null without these."""
+    if user_id is None or post_id is None:
+        return F.lit(None).cast("string")
+    return F.when((user_id != "") & (post_id != ""), F.concat(F.lit(f"https://{domain}/"), user_id, F.lit("/"), post_id))
 
 
 def _exact(whole: Column, parts: Column, at: int, user_id: Column | None, post_id: Column | None) -> Column:
@@ -152,11 +163,7 @@ def _canonical(t: Column, p: Column, domain: str, user_id: Column | None, post_i
     foreign = t.rlike(r"(?i)\A[a-z][a-z0-9+.-]*:") & ~t.rlike(r"(?i)\Ahttps?:")
     fine = ~foreign & on_domain(p["host"], domain) & p["host"].rlike(HOST) & p["login"].isin("", ":") & p["port"].isin("", "443")
     whole = F.when(fine, F.concat(F.lit("https://"), p["host"], p["path"], p["rest"]))
-    found = F.when(t != "", _exact(whole, F.split(p["path"], "/"), 0, user_id, post_id))
-    if user_id is None or post_id is None:
-        return found
-    named = user_id.isNotNull() & post_id.isNotNull() & (user_id != "") & (post_id != "")
-    return F.when((t == "") & named, F.concat(F.lit(f"https://{domain}/"), user_id, F.lit("/"), post_id)).otherwise(found)
+    return _exact(whole, F.split(p["path"], "/"), 0, user_id, post_id)
 
 
 def post_reference(ref: Column, domain: str, default_user: str) -> tuple[Column, Column]:

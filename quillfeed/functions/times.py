@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillfeed.functions.binding import let
+from quillfeed.functions.ids import SHORT_NUMBER
 from quillfeed.functions.text import ascii_trim
 
 OFFSET_MS = 8 * 3600 * 1000
@@ -66,18 +67,18 @@ def _inner(literal: Column) -> Column:
 
 def epoch_ms_from_literal(literal: Column) -> Column:
     """Of a JSON literal: a number, a quoted text, or null."""
-    return let(literal, lambda x: F.when(x.startswith('"'), epoch_ms_from_text(_inner(x))).otherwise(let(x.try_cast("double"), epoch_ms_from_number)))
+    other = let(literal, lambda x: F.when(x.startswith('"'), epoch_ms_from_text(_inner(x))).otherwise(let(x.try_cast("double"), epoch_ms_from_number)))
+    n = literal.try_cast("long")
+    short = F.when(n > 0, _in_range(F.when(n >= int(MILLISECONDS_FROM), n).otherwise(n * 1000)))
+    return F.when(literal.rlike(SHORT_NUMBER), short).otherwise(other)  # nearly all times are short numbers
 
 
 def format_epoch_ms(ms: Column) -> Column:
     """`YYYY-MM-DDThh:mm:ss+08:00`, or `unknown` for null."""
 
-    def of(x: Column) -> Column:
-        seconds = F.floor((x + F.lit(OFFSET_MS)) / 1000).cast("decimal(18,6)")
-        local = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
-        return F.when(x.isNull(), F.lit(UNKNOWN)).otherwise(F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+08:00")))
-
-    return let(ms, of)
+    seconds = F.floor((ms + F.lit(OFFSET_MS)) / 1000).cast("decimal(18,6)")
+    local = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.coalesce(F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+08:00")), F.lit(UNKNOWN))
 
 
 def is_unknown_literal(literal: Column) -> Column:

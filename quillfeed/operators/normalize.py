@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +35,10 @@ def _codes(conditions: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(True)), F.lit(n)) for n, c in conditions.items())))
 
 
-def normalize_posts(raw: DataFrame, user_id: str, domain: str, item: str = "item") -> DataFrame:
-    """All columns of `raw`, the fields of a strict post, and `violations`."""
+def normalize_posts(raw: DataFrame, user_id: str, domain: str, item: str = "item", **more: Callable[[Payload], Column]) -> DataFrame:
+    """All columns of `raw`, the fields of a strict post, `violations`, and what more is asked of the parsed item."""
     # What comes in several fields is a column of its own, so that Spark makes it once for each row.
-    rows, p = parsed_rows(raw, item)
+    rows, p = parsed_rows(raw, item, fields=("id", "text", "description", "created_at", "target", *(n for pair in COUNTS for n in pair), "title", "rawTitle", "schema_version", "record_contract"))
     rows, (literal, text, made, given, *shown) = named(
         rows, p.literal("id"), string(p.first_present("text", "description")), p.literal("created_at"), F.when(p.kind("target") == "string", p.text("target")),
         *(p.first_present(name, other) for name, other in COUNTS),
@@ -69,6 +71,7 @@ def normalize_posts(raw: DataFrame, user_id: str, domain: str, item: str = "item
         target.alias("target"),
         *(c.alias(name) for name, c in counts.items()),
         _codes(broken).alias("violations"),
+        *(use(p).alias(name) for name, use in more.items()),
     )
 
 

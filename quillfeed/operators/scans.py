@@ -90,9 +90,8 @@ def timeline_scan(pages: DataFrame, user_id: str, domain: str, since_ms: int | N
     """
     by = [stream, "page"]
     pages = materialise(pages.select(*by, "count", "body"))
-    posts = normalize_posts(items_of(pages, paging.TIMELINE_ITEMS, stream), user_id, domain)
-    mark = count_from_literal(Payload(F.col("item")).literal("mark"))
-    posts = materialise(paging.pinned_rows(posts.withColumn("mark", mark), [stream], "page", "count"))  # parsed once, read by each step
+    posts = normalize_posts(items_of(pages, paging.TIMELINE_ITEMS, stream), user_id, domain, mark=lambda p: count_from_literal(p.literal("mark")))
+    posts = materialise(paging.pinned_rows(posts, [stream], "page", "count"))  # parsed once, read by each step
     pageable = posts.filter("pageable")
     decided = judged(pages, pageable, stream)
     ends = F.coalesce("complete", F.lit(False))

@@ -186,3 +186,17 @@ def test_bodies_are_not_shuffled_to_judge_pages(spark):
     assert got == [(1, False, None, 2), (1, False, None, 2), (2, True, None, 3), (3, False, None, 3)]
     ends = [tuple(r) for r in scans.walk_ends(judged, judged, "post_id").collect()]
     assert ends == [(1, 2, False, 3)]
+
+
+def test_a_mark_is_read_from_the_parsed_item_and_short_numbers_need_no_lambda(spark):
+    from quillfeed.functions import ids, times
+
+    items = spark.createDataFrame([(1, "{}")], "post_id long, item string")
+    assert parses(normalize.normalize_posts(items, "7", "example.com", mark=lambda p: p.literal("mark"))) == 1
+    rows = ["0", "1", "99999999999", "100000000000", "999999999999999", "9007199254740991", "9007199254740992", "1700000000", "1700000000000", "-1", "4.0", '"12"', "null", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, x string")
+    got = df.select("i", ids.count_from_literal(F.col("x")).alias("n"), times.epoch_ms_from_literal(F.col("x")).alias("e")).orderBy("i").collect()
+    assert [r["n"] for r in got] == [0, 1, 99999999999, 100000000000, 999999999999999, 9007199254740991, None, 1700000000, 1700000000000, None, 4, 12, None, None]
+    assert [r["e"] for r in got] == [None, None, 99999999999000, None, None if 999999999999999 >= times.END_MS else 999999999999999, None, None, 1700000000000, 1700000000000, None, None, None, None, None]
+    link = lambda u, p: ids.canonical_url(F.lit(" "), "example.com", F.lit(u).cast("string"), F.lit(p).cast("string"))
+    assert tuple(df.limit(1).select(link("7", "1"), link("7", None), link("", "1"), ids.canonical_url(F.lit(""), "example.com")).collect()[0]) == ("https://example.com/7/1", None, None, None)
