@@ -200,3 +200,10 @@ def test_a_mark_is_read_from_the_parsed_item_and_short_numbers_need_no_lambda(sp
     assert [r["e"] for r in got] == [None, None, 99999999999000, None, None if 999999999999999 >= times.END_MS else 999999999999999, None, None, 1700000000000, 1700000000000, None, None, None, None, None]
     link = lambda u, p: ids.canonical_url(F.lit(" "), "example.com", F.lit(u).cast("string"), F.lit(p).cast("string"))
     assert tuple(df.limit(1).select(link("7", "1"), link("7", None), link("", "1"), ids.canonical_url(F.lit(""), "example.com")).collect()[0]) == ("https://example.com/7/1", None, None, None)
+
+
+def test_the_pages_of_orders_are_made_without_a_join(spark):
+    from quillfeed.plans import registry
+
+    found = registry.comment_pages(spark, "/root/testdata/sf0.001")[1]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
