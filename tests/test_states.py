@@ -115,6 +115,28 @@ def test_stream_state_equals_the_batch_and_survives_a_restart(spark, tmp_path, r
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
 
 
+def test_posts_share_buckets_of_state_and_leave_them(spark, tmp_path):
+    """Three buckets hold all posts over four micro-batches; those past their lookback are gone at the end. Nulls are values."""
+    huge, at0 = 1 << 60, seen_rows(4)[0][2]
+    odd = [(None, "p1", at0, huge + 1, 0), (None, "p1", at0, huge + 2, 0), (None, "p1", at0 + 60, huge + 3, None), (1, None, at0, None, 5), (1, None, at0, huge + 5, 5)]
+    odd += [(2, "p9", None, huge + 7, 1), (2, "p9", None, None, 1)]
+    schema, rows = "u int, p string, t long, i long, c int", odd + seen_rows(4)
+    folder, out, at = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for k in range(4):
+        spark.createDataFrame(rows[k * 110 : (k + 1) * 110], schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = observed(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder))
+    with checkpoints.state_store(spark):
+        changed = checkpoints.changes_on_stream(stream, HOUR, buckets=3)
+        run = changed.writeStream.format("parquet").option("path", out).option("checkpointLocation", at).trigger(availableNow=True).start()
+        run.awaitTermination()
+        held = spark.read.format("statestore").option("stateVarName", "last").load(at).select(F.explode("value.posts.time_ms").alias("t")).collect()
+    key = lambda df: sorted(((r["user_id"], r["post_id"], r["time_ms"], r["seq"], r["previous_count"], r["reply_count"]) for r in df.collect()), key=repr)
+    assert key(spark.read.parquet(out)) == key(checkpoints.changes(observed(spark.createDataFrame(rows, schema)), HOUR))
+    assert max(s["numRowsTotal"] for p in run.recentProgress for s in p["stateOperators"]) <= 3
+    watermark = (max(r[2] for r in rows if r[2] is not None) - 600) * 1000
+    assert held and all(r["t"] + HOUR >= watermark for r in held)
+
+
 def test_changes_by_hand(spark):
     rows = [(1, "a", 0, 1, 5), (1, "a", 10, 2, 5), (1, "a", 20, 3, 6), (1, "a", 20 + 3601, 4, 6), (1, "b", 5, 5, 5), (2, "a", 5, 6, 5)]
     got = {r["seq"]: r["previous_count"] for r in checkpoints.changes(observed(spark.createDataFrame(rows, "u int, p string, t long, i long, c int")), HOUR).collect()}
