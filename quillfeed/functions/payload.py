@@ -111,6 +111,19 @@ def parsed_rows(df: DataFrame, body: str, name: str = PARSED, fields: Iterable[s
     return rows, Payload(F.col(body), variant=F.col(name), columns=dict(zip(fields, columns, strict=True)))
 
 
+def value_rows(df: DataFrame, value: str, fields: Iterable[str] = ()) -> tuple[DataFrame, Payload]:
+    """`parsed_rows` of a column that holds parsed texts already, as the items of a parsed page: no text is written for them.
+
+    Numbers are written as they would be after another parse, so that 1e2 is 100 here as it is there.
+    """
+    fields = list(dict.fromkeys(fields))
+    p = Payload(F.lit(None).cast("string"), variant=F.col(value))
+    rows, raw = named(df, *(p.literal(f) for f in fields))
+    again = [F.when(~c.startswith('"') & (c.contains(".") | c.contains("E")), F.to_json(F.try_parse_json(c))).otherwise(c) for c in raw]
+    rows, columns = named(rows, *again)
+    return rows, Payload(p.body, variant=F.col(value), columns=dict(zip(fields, columns, strict=True)))
+
+
 def root_fields(variant: Column) -> Column:
     """The fields of an object by name; SQL null for anything else."""
     return F.try_variant_get(variant, "$", "map<string,variant>")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillfeed.functions.binding import let, named
 from quillfeed.functions.ids import count_from_literal
-from quillfeed.functions.payload import parsed_rows, root_fields
+from quillfeed.functions.payload import Payload, parsed_rows, root_fields
 from quillfeed.functions.text import ascii_trim
 
 #: Where page metadata may stand, and the names of its fields.
@@ -35,14 +35,34 @@ def explode_items(pages: DataFrame, aliases: tuple[str, ...], body: str = "body"
 def item_values(pages: DataFrame, aliases: tuple[str, ...], body: str = "body") -> tuple[DataFrame, Column]:
     """`explode_items` with each item as a value that is not written as text yet, and the column that holds it."""
     rows, p = parsed_rows(pages, body)
-    # Each value is a column of its own: the array is looked up once and its items are written as text once.
-    rows, (found,) = named(rows, F.coalesce(*(F.try_variant_get(p.variant, f"$.{name}", "variant") for name in aliases)))
-    rows, (items,) = named(rows, F.try_variant_get(found, "$", "array<variant>"))
+    rows, found, items = _item_array(rows, p, aliases)
     missing = F.when(root_fields(p.variant).isNull(), "not_an_object").otherwise("missing_array")
     violation = F.when(found.isNull(), missing).when(items.isNull(), "not_an_array")
     return rows.select(*pages.columns, violation.alias("violation"), F.posexplode_outer(items).alias("pos", "__item")), F.col("__item")
 
 
+def pages_and_items(pages: DataFrame, aliases: tuple[str, ...], body: str, strict: bool = False) -> tuple[DataFrame, Column, dict[str, Column]]:
+    """`item_values` of one parse with what `decided` needs of each page; without the body, and with `n_items`.
+
+    A page without items has one row, of null `pos`. The facts of a page and its number of items stand in each of its rows.
+    """
+    others = [c for c in pages.columns if c != body]
+    rows, p = parsed_rows(pages, body)
+    rows, _, items = _item_array(rows, p, aliases)
+    rows, (meta,) = named(rows, metadata(p.variant))
+    sets = _sets(meta, strict)
+    n_items = F.coalesce(F.size(F.filter(items, lambda x: ~F.is_variant_null(x))), F.lit(0))
+    rows = rows.select(*others, n_items.alias("n_items"), *(v.alias(f"__fact_{k}") for k, v in sets.items()), F.posexplode_outer(items).alias("pos", "__item"))
+    return rows, F.col("__item"), {k: F.col(f"__fact_{k}") for k in sets}
+
+
+def _item_array(rows: DataFrame, p: Payload, aliases: tuple[str, ...]) -> tuple[DataFrame, Column, Column]:
+    """The frame with what stands where items are due, and the array of items that it is, each made once."""
+    rows, (found,) = named(rows, F.coalesce(*(F.try_variant_get(p.variant, f"$.{name}", "variant") for name in aliases)))
+    rows, (items,) = named(rows, F.try_variant_get(found, "$", "array<variant>"))
+    return rows, found, items
+
+
 def _inner(literal: Column) -> Column:
     return ascii_trim(F.get_json_object(F.concat(F.lit('{"x":'), literal, F.lit("}")), "$.x"))
 

@@ -14,14 +14,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from quillfeed.functions.ids import count_from_literal
 from quillfeed.functions.payload import Payload, references_agree
 from quillfeed.operators import pages as paging
 from quillfeed.operators.merge import first_wins
 from quillfeed.operators.normalize import COUNTS, POST_REFERENCES, normalize_replies
-from quillfeed.operators.scans import OK, _comments, judged, walk_ends
+from quillfeed.operators.scans import OK, comment_rows, judged_rows
 from quillfeed.operators.select import ordered_digest, resume_start
 from quillfeed.session import materialise
 
@@ -35,37 +34,39 @@ BEFORE, AFTER = -1, (1 << 31) - 1
 
 @dataclass(frozen=True)
 class Walk:
-    """Items of the walked pages, and a row for each stream: stop_page, observed, failure (page, pos, code) or null."""
+    """Items of the walked pages with the failure of their stream, and a row for each stream: stop_page, observed, failure (page, pos, code) or null."""
 
     items: DataFrame
     streams: DataFrame
 
 
 def strict_walk(
-    pages: DataFrame, stream: str, item_code: Column | Callable[[Payload], Column], fields: Iterable[str] = (), **more: Callable[[Payload], Column]
+    pages: DataFrame, stream: str, item_code: Column | Callable[[Payload], Column], fields: Iterable[str] = (), user_id: str | None = None, **more: Callable[[Payload], Column]
 ) -> Walk:
     """Walks the pages of each stream by the strict rules; `item_code` names what is wrong with an item, or is null.
 
     `pages` has the stream, page, count, code and body, only pages within the stream's budget. Items have the columns
-    `more`. These and the code are made of the parsed item, most of them of its `fields`.
+    `more`. These and the code are made of the parsed item, most of them of its `fields`. With `user_id`, only items of
+    this author have their text.
     """
-    place = F.row_number().over(Window.partitionBy(stream).orderBy("page"))
-    asked = materialise(pages.select(stream, "page", "count", "code", "body", place.alias("__at")))  # read by each step
-    good = asked.filter(F.col("code") == OK).drop("__at")
-    found = _comments(good, stream, fields, item_code=item_code, **more)
-    items = materialise(found.withColumn("item_code", F.when(F.col("id").isNull(), "id").otherwise(F.col("item_code"))))
-    decided = materialise(judged(good, items, stream, strict=True))
-    ends = walk_ends(asked, decided, stream)
+    rows = materialise(comment_rows(pages, stream, fields, user_id, item_code=item_code, **more))  # each page is parsed once
+    code = F.when(F.col("id").isNull(), "id").otherwise(F.col("item_code"))
+    items = rows.filter("counts").select(stream, "page", "count", "pos", "id", "author", "item", code.alias("item_code"), *more)
     at = lambda pos, code: F.struct("page", F.lit(pos).alias("pos") if isinstance(pos, int) else pos, code.alias("code"))
-    refused = F.when(F.col("page") != F.col("__at"), F.lit("page_sequence")).when(F.col("code") != OK, F.col("code"))
-    broken = asked.select(stream, "page", refused.alias("code")).filter("code is not null").select(stream, "page", at(BEFORE, F.col("code")).alias("failure"))
-    broken = broken.unionByName(items.filter("item_code is not null").select(stream, "page", at(F.col("pos"), F.col("item_code")).alias("failure")))
-    broken = broken.unionByName(decided.filter("violation is not null").select(stream, "page", at(AFTER, F.col("violation")).alias("failure")))
+    # The window has dealt and sorted pages by streams, so that what ends a walk and what breaks it is one pass over them.
+    refused = F.when(F.col("page") != F.col("place"), F.lit("page_sequence")).when(F.col("code") != OK, F.col("code"))
+    broken = F.when(refused.isNotNull(), at(BEFORE, refused)).when(F.col("violation").isNotNull(), at(AFTER, F.col("violation")))
+    end = F.when(F.col("complete"), F.col("page"))
+    ends = judged_rows(rows, stream).groupBy(stream).agg(
+        F.min(end).alias("stop_page"), F.min_by("observed", end).alias("__stop"), F.max("observed").alias("__all"), F.min(broken).alias("__broken")
+    )
+    wrong = items.filter("item_code is not null").groupBy(stream).agg(F.min(at(F.col("pos"), F.col("item_code"))).alias("__wrong"))
     # The first failure counts if the walk comes by its page.
-    first = broken.groupBy(stream).agg(F.min("failure").alias("failure"))
-    met = F.col("stop_page").isNull() | (F.col("failure.page") <= F.col("stop_page"))
-    streams = ends.join(first, stream, "left").select(stream, "stop_page", F.when(met, F.col("failure")).alias("failure"), "observed")
-    return Walk(paging.walked(items, ends.drop("observed"), stream, "page").drop("stop_page", "truncated"), streams)
+    first = F.least("__broken", "__wrong")
+    met = F.col("stop_page").isNull() | (first["page"] <= F.col("stop_page"))
+    observed = F.when(F.col("stop_page").isNull(), F.col("__all")).otherwise(F.col("__stop"))
+    streams = materialise(ends.join(wrong, stream, "left").select(stream, "stop_page", F.when(met, first).alias("failure"), observed.alias("observed")))
+    return Walk(paging.walked(items, streams.drop("observed"), stream, "page").drop("stop_page"), streams)
 
 
 def _foreign(p: Payload, post: str) -> Column:
@@ -81,31 +82,38 @@ def _declared_replies(p: Payload) -> Column:
     return count_from_literal(p.first_present(*COUNTS[0]))
 
 
-def nested_reply_scan(roots: DataFrame, pages: DataFrame, page_limit: int) -> Walk:
+def nested_reply_scan(roots: DataFrame, pages: DataFrame, page_limit: int, user_id: str | None = None) -> Walk:
     """Walks the replies under each root comment, `page_limit` pages at most.
 
     `roots` has post_id, comment_id and declared (replies, above 0); `pages` post_id, comment_id, page, count, code and
     body. Streams has a row for each root, also where no page was landed: complete, and truncated where the walk did
-    not end or saw fewer replies than declared. Items have post_id and comment_id.
+    not end or saw fewer replies than declared. Items have post_id, comment_id and what more `roots` has, which is one row
+    for a thread then; with `user_id`, only this author's have their text.
     """
     by = ["post_id", "comment_id"]
     thread = F.struct(*by).alias("__thread")  # one key, so that what is dealt by threads once stays so
     wanted = roots.dropna(subset=by).select(thread)
     asked = pages.filter(F.col("page") <= page_limit).select(thread, "page", "count", "code", "body").join(wanted, "__thread", "left_semi")
-    walk = strict_walk(asked, "__thread", lambda p: _foreign(p, "__thread.post_id"), REFERENCES)
+    walk = strict_walk(asked, "__thread", lambda p: _foreign(p, "__thread.post_id"), REFERENCES, user_id)
     streams = roots.select("*", thread).join(walk.streams, "__thread", "left").drop("__thread")
     observed = F.coalesce("observed", F.lit(0).cast("long"))
     complete = F.col("stop_page").isNotNull() & F.col("failure").isNull()
     streams = streams.withColumn("observed", observed).withColumn("complete", complete).withColumn("truncated", ~complete | (observed < F.col("declared")))
-    return Walk(walk.items.select("__thread.*", "*").drop("__thread"), streams)
+    more = [c for c in roots.columns if c not in (*by, "declared")]
+    items = walk.items.join(roots.select(thread, *more), "__thread") if more else walk.items
+    return Walk(items.select("__thread.*", "*").drop("__thread"), streams)
 
 
 @dataclass(frozen=True)
 class PostWalks:
-    """Own replies with their place, and a row for each post: failure, truncated_streams, observed, stop_page."""
+    """Own replies with their place, and a row for each post: failure, truncated_streams, observed, stop_page.
 
-    replies: DataFrame
+    `own` has what replies are made of: post_id, root, place, id and item.
+    """
+
+    own: DataFrame
     posts: DataFrame
+    replies: DataFrame
 
 
 def walk_posts(posts: DataFrame, pages: DataFrame, nested: DataFrame | None, user_id: str, domain: str, nested_limit: int = 3) -> PostWalks:
@@ -120,41 +128,46 @@ def walk_posts(posts: DataFrame, pages: DataFrame, nested: DataFrame | None, use
     asked = pages.join(wanted.select(key, "reply_count"), key).filter(F.col("page") <= budget).select(key, "page", "count", "code", "body")
     foreign = lambda p: _foreign(p, key)
     if nested is None:
-        main = strict_walk(asked, key, foreign, REFERENCES)
+        main = strict_walk(asked, key, foreign, REFERENCES, user_id)
     else:
         item_code = lambda p: F.coalesce(foreign(p), F.when(_declared_replies(p).isNull(), "reply_count"))
-        main = strict_walk(asked, key, item_code, (*REFERENCES, *COUNTS[0]), declared=_declared_replies)
+        main = strict_walk(asked, key, item_code, (*REFERENCES, *COUNTS[0]), user_id, declared=_declared_replies)
     rows = wanted.join(main.streams, key, "left").withColumn("observed", F.coalesce("observed", F.lit(0).cast("long")))
     short = F.col("stop_page").isNull() | (F.col("observed") < F.col("reply_count"))
     rows = rows.withColumn("__own", F.when(short, F.array(F.concat(F.lit("post:"), F.col(key).cast("string")))).otherwise(F.array().cast("array<string>")))
     places = [F.struct("page", "pos", F.lit(0).alias("nested_page"), F.lit(0).alias("nested_pos")).alias("place")]
-    own = main.items.filter(F.col("author") == user_id).select(key, F.lit(None).cast("string").alias("root"), *places, "item")
+    own = main.items.filter(F.col("author") == user_id).select(key, F.lit(None).cast("string").alias("root"), *places, "id", "item")
     if nested is None:
         rows = rows.withColumn("truncated_streams", F.col("__own"))
     else:
         # Threads are walked where the walk of the post comes by: before its failure, if it has one.
-        roots = main.items.join(main.streams.select(key, F.col("failure").alias("__end")), key)
-        met = F.col("__end").isNull() | (F.struct("page", "pos") < F.struct("__end.page", "__end.pos"))
-        roots = roots.filter(met).select(key, F.col("id").alias("comment_id"), "page", "pos", "declared").filter("declared > 0")
-        roots = materialise(roots.groupBy(key, "comment_id").agg(F.min(F.struct("page", "pos")).alias("at"), F.max("declared").alias("declared")))
-        threads = nested_reply_scan(roots.select(key, "comment_id", "declared"), nested, nested_limit)
-        outcome = threads.streams.join(roots.select(key, "comment_id", "at"), [key, "comment_id"])
+        met = F.col("failure").isNull() | (F.struct("page", "pos") < F.struct("failure.page", "failure.pos"))
+        roots = main.items.filter("declared > 0").filter(met).select(key, F.col("id").alias("comment_id"), "declared", (F.shiftleft(F.col("page").cast("long"), 32) + F.col("pos")).alias("at"))
+        roots = materialise(roots.groupBy(key, "comment_id").agg(F.min("at").alias("at"), F.max("declared").alias("declared")))
+        at = {"page": F.shiftright("at", 32).cast("int"), "pos": F.col("at").bitwiseAND((1 << 32) - 1).cast("int")}
+        threads = nested_reply_scan(roots, nested, nested_limit, user_id)
+        outcome = threads.streams.filter(F.col("failure").isNotNull() | F.col("truncated"))
         code = F.concat(F.lit("nested:"), F.col("comment_id"), F.lit(":"), F.col("failure.code"))
         inner = outcome.groupBy(key).agg(
-            F.min(F.when(F.col("failure").isNotNull(), F.struct(F.col("at.page").alias("page"), F.col("at.pos").alias("pos"), code.alias("code")))).alias("__inner"),
+            F.min(F.when(F.col("failure").isNotNull(), F.struct(*(c.alias(n) for n, c in at.items()), code.alias("code")))).alias("__inner"),
             F.array_sort(F.collect_list(F.when(F.col("truncated"), F.concat(F.lit("nested:"), "comment_id")))).alias("__threads"),  # one entry for each truncated thread of a post
         )
         rows = rows.join(inner, key, "left")
         rows = rows.withColumn("truncated_streams", F.concat(F.coalesce("__threads", F.array().cast("array<string>")), "__own"))
         rows = rows.withColumn("failure", F.least("failure", "__inner"))
-        below = threads.items.filter(F.col("author") == user_id).join(roots.select(key, "comment_id", "at"), [key, "comment_id"])
-        place = F.struct(F.col("at.page").alias("page"), F.col("at.pos").alias("pos"), F.col("page").alias("nested_page"), (F.col("pos") + 1).alias("nested_pos"))
-        own = own.unionByName(below.select(key, F.col("comment_id").alias("root"), place.alias("place"), "item"))
+        below = threads.items.filter(F.col("author") == user_id)
+        place = F.struct(*(c.alias(n) for n, c in at.items()), F.col("page").alias("nested_page"), (F.col("pos") + 1).alias("nested_pos"))
+        own = own.unionByName(below.select(key, F.col("comment_id").alias("root"), place.alias("place"), "id", "item"))
     failed = F.col("failure.code")
     judged_posts = rows.select(key, "position", "stop_page", "observed", failed.alias("failed"), F.when(failed.isNull(), F.col("truncated_streams")).otherwise(F.array().cast("array<string>")).alias("truncated_streams"))
-    replies = normalize_replies(own.withColumnRenamed(key, "__post"), posts, user_id, domain, "post_comments")
+    return PostWalks(own, judged_posts, _replies(own, posts, user_id, domain))
+
+
+def _replies(own: DataFrame, posts: DataFrame, user_id: str, domain: str) -> DataFrame:
+    """Own comments as replies to the post, and below the comment, where they were met."""
+    replies = normalize_replies(own.drop("id").withColumnRenamed("post_id", "__post"), posts, user_id, domain, "post_comments")
     replies = replies.withColumn("post_id", F.col("__post").cast("string")).withColumn("in_reply_to_comment_id", F.coalesce("root", "in_reply_to_comment_id"))
-    return PostWalks(replies.drop("__post", "root", "item"), judged_posts)
+    return replies.drop("__post", "root", "item")
 
 
 @dataclass(frozen=True)
@@ -195,9 +208,10 @@ def recovery_scan(
     bound = F.broadcast(state.select(F.col("scanned").alias("__end"), F.col("failed").isNull().alias("__partial")))
     taken = outcome.crossJoin(bound).filter((F.col("position") < F.col("__end")) | ((F.col("position") == F.col("__end")) & F.col("__partial"))).drop("__end", "__partial")
     order = F.struct(F.col("position"), F.col("place"))
-    fresh = walks.replies.join(taken.select(F.col(key).cast("string").alias(key), "position"), key).withColumn("order", order).drop("position", "place")
-    others = [c for c in fresh.columns if c != "id"]
-    first = fresh.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min_by(F.struct(*others), F.col("order")).alias("__row")).select("id", "__row.*")
+    # Only what is taken, each id as it was met first, becomes a reply; a post that was walked is there once.
+    met = walks.own.filter(F.col("id").isNotNull()).join(taken.select(key, "position"), key).withColumn("order", F.struct("position", "place"))
+    met = met.groupBy("id").agg(F.min_by(F.struct(key, "root", "order", "item"), F.col("order")).alias("__row")).select("id", "__row.*")
+    first = _replies(met, turn.filter("reply_count > 0"), user_id, domain)
     return Recovery(first_wins(stored, first, "id"), outcome.crossJoin(bound).filter(F.col("position") <= F.col("__end")).drop("__end", "__partial"), state)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quillfeed.functions.binding import named
 from quillfeed.functions.ids import canonical_url, count_from_literal, loose_id, post_reference
-from quillfeed.functions.payload import AUTHOR, Payload, author_id, embedded_json, parsed_rows
+from quillfeed.functions.payload import AUTHOR, Payload, author_id, embedded_json, parsed_rows, value_rows
 from quillfeed.functions.text import clean_html
 from quillfeed.functions.times import epoch_ms_from_literal, format_epoch_ms, is_unknown_literal
 from quillfeed.operators import pages as paging
@@ -120,6 +120,48 @@ def _comments(pages: DataFrame, stream: str, fields: Iterable[str] = (), **more:
     return rows.select(*items.columns, loose_id(bare(p.literal("id"))).alias("id"), author_id(p).alias("author"), *(c.alias(n) for n, c in asked.items()))
 
 
+def comment_rows(pages: DataFrame, stream: str, fields: Iterable[str] = (), user_id: str | None = None, **more: Column | Callable[[Payload], Column]) -> DataFrame:
+    """A row for each item of comment pages, and one for a page without items: both of one strict parse of each page.
+
+    `first` marks one row of each page, which has its facts and `n_items`; `counts` rows with an item. Items have pos,
+    id, author, `more` of the parsed item (most of it of its `fields`) and the text `item` - with `user_id`, the texts
+    of this author's items alone. Bodies of refused pages are not read.
+    """
+    by = [stream, "page"]
+    asked = pages.select(*by, "count", "code", F.when(F.col("code") == OK, F.col("body")).alias("body"))
+    rows, item, facts = paging.pages_and_items(asked, paging.COMMENT_ITEMS, "body", strict=True)
+    first, counts = F.coalesce(F.col("pos") == 0, F.lit(True)), F.coalesce(item.isNotNull() & ~F.is_variant_null(item), F.lit(False))
+    rows = rows.select(*by, "count", "code", "pos", item, first.alias("first"), counts.alias("counts"), *(F.when(first, F.col(c)).alias(c) for c in ("n_items", *(f"__fact_{k}" for k in facts))))
+    kept = [c for c in rows.columns if c != "__item"]
+    rows, p = value_rows(rows.filter("first or counts"), "__item", ("id", *AUTHOR, *fields))
+    rows, (author,) = named(rows, author_id(p))
+    text = F.to_json(item) if user_id is None else F.when(author == user_id, F.to_json(item))
+    return rows.select(*kept, loose_id(bare(p.literal("id"))).alias("id"), author.alias("author"), text.alias("item"), *((c if isinstance(c, Column) else c(p)).alias(n) for n, c in more.items()))
+
+
+def judged_rows(rows: DataFrame, stream: str) -> DataFrame:
+    """stream, page, code, place, complete, violation and observed (distinct ids so far) of each page of `comment_rows`.
+
+    Pages are numbered by `place`. What is told of a refused page is null.
+    """
+    by = [stream, "page"]
+    # An id counts on its first page. New ids are summed by pages before they meet the window, which sees pages alone.
+    first = rows.filter("counts and id is not null").groupBy(stream, "id").agg(F.min("page").alias("page"))
+    fresh = first.groupBy(*by).agg(F.count(F.lit(1)).alias("__new"))
+    facts = [c for c in rows.columns if c.startswith("__fact_")]
+    pages = rows.filter("first").select(*by, "count", "code", "n_items", *facts, F.lit(1).alias("__page")).unionByName(fresh, allowMissingColumns=True)
+    order = Window.partitionBy(stream).orderBy("page")
+    pages = pages.select(
+        "*",
+        F.sum("__page").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("place"),
+        F.sum(F.coalesce("__new", F.lit(0))).over(order).alias("observed"),
+        F.sum("n_items").over(order.rangeBetween(Window.currentRow, Window.currentRow)).alias("__n"),  # of a page that was landed twice, both
+    ).filter("__page = 1")
+    pages = paging.decided(pages, {c.removeprefix("__fact_"): F.col(c) for c in facts}, F.col("page"), F.col("count"), F.col("__n"), F.col("observed"), strict=True)
+    good = F.col("code") == OK
+    return pages.select(*by, "code", "place", *(F.when(good, F.col(c)).alias(c) for c in ("complete", "violation")), "observed")
+
+
 def changed_comment_scan(
     posts: DataFrame, baselines: DataFrame, pages: DataFrame, user_id: str, domain: str, limit: int, ends: tuple[str, ...] = SCAN_ENDS
 ) -> Scan:

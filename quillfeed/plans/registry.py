@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillfeed.functions import ids, payload, times
@@ -957,26 +957,32 @@ def recovery_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
     Some orders never say that they end, some threads neither, some declare one comment more, some refuse a thread.
     """
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")) - 1
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     key, rn = F.col("post_id"), F.col("rn")
     n = F.count(F.lit(1)).over(Window.partitionBy("l_orderkey"))
-    rows = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("post_id"), "l_suppkey", place.alias("rn"), n.alias("n"))
-    sizes = rows.filter(rn == 0).select("post_id", "n")
-    replies = F.floor((F.col("n") - 1 - rn) / 3)
-    item = F.struct(
-        (key * 100 + rn).alias("id"), key.alias("status_id"), F.struct((F.col("l_suppkey") % 5).alias("id")).alias("user"), F.lit("t").alias("text"),
-        F.lit(0).alias("created_at"), F.lit(1).alias("like_count"), replies.alias("reply_count"),
+    rows = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("post_id"), "l_suppkey", F.lead("l_suppkey").over(order).alias("next"), (F.row_number().over(order) - 1).alias("rn"), n.alias("n")
     )
-    page, m = (F.floor(rn / 2) + 1).cast("int").alias("page"), F.least("n", F.lit(3))
-    top = rows.filter(rn < 3).groupBy("post_id", page, m.alias("m")).agg(F.array_sort(F.collect_list(F.struct("rn", item.alias("item")))).alias("all"))
-    body = lambda more: F.to_json(F.struct(more.alias("has_more"), F.transform("all", lambda x: x["item"]).alias("comments")))
-    more = (F.col("page") < F.ceil(F.col("m") / 2)) | (key % 11 == 0)
-    pages_of = top.select("post_id", "page", F.lit(2).alias("count"), F.lit("OK").alias("code"), body(more).alias("body"))
+    rows = materialise(rows)  # each order's line items are put in order once
+    sizes = rows.filter(rn == 0).select("post_id", "n")
+
+    def item(at: Column, supplier: str) -> Column:
+        return F.struct(
+            (key * 100 + at).alias("id"), key.alias("status_id"), F.struct((F.col(supplier) % 5).alias("id")).alias("user"), F.lit("t").alias("text"),
+            F.lit(0).alias("created_at"), F.lit(1).alias("like_count"), F.floor((F.col("n") - 1 - at) / 3).alias("reply_count"),
+        )
+
+    m = F.least("n", F.lit(3))
+    body = lambda more, items: F.to_json(F.struct(more.alias("has_more"), items.alias("comments")))
+    # Two comments to a page: a page's first line item knows the next one, so that no page is gathered.
+    two = F.when((rn == 0) & (F.col("n") > 1), F.array(item(rn, "l_suppkey"), item(rn + 1, "next"))).otherwise(F.array(item(rn, "l_suppkey")))
+    top = rows.filter((rn == 0) | (rn == 2)).withColumn("page", (F.floor(rn / 2) + 1).cast("int"))
+    more = (F.col("page") < F.ceil(m / 2)) | (key % 11 == 0)
+    pages_of = top.select("post_id", "page", F.lit(2).alias("count"), F.lit("OK").alias("code"), body(more, two).alias("body"))
     root = (key * 100 + rn % 3).cast("string").alias("comment_id")
     more = (rn + 3 < F.col("n")) | (key % 13 == 0)
-    below = rows.filter(rn >= 3).withColumn("all", F.array(F.struct("rn", item.alias("item"))))
     refused = F.when((rn == 4) & (key % 17 == 0), "HTTP_500").otherwise("OK")
-    nested = below.select("post_id", root, F.floor(rn / 3).cast("int").alias("page"), F.lit(1).alias("count"), refused.alias("code"), body(more).alias("body"))
+    nested = rows.filter(rn >= 3).select("post_id", root, F.floor(rn / 3).cast("int").alias("page"), F.lit(1).alias("count"), refused.alias("code"), body(more, F.array(item(rn, "l_suppkey"))).alias("body"))
     declared = m + F.when(key % 7 == 0, 1).otherwise(0)
     bad = (key % 11 == 0) | (key % 7 == 0) | ((key % 13 == 0) & (F.col("n") >= 4)) | ((key % 17 == 0) & (F.col("n") >= 5))
     posts = sizes.select(

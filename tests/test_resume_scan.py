@@ -182,6 +182,30 @@ def test_a_resumed_run_equals_an_unbroken_one(spark):
     assert key(stored) == key(whole.replies) and start == 9
 
 
+def test_a_reply_is_made_once_of_what_is_taken(spark):
+    """Only taken comments become replies, after equal ids are one; numbers of another form are the ids that they are."""
+    second = json.dumps(ok(comment(20)))
+    found = main_pages(spark, [("1", 1, "OK", ok(comment(10, like_count=5), comment(11, 8), more=True)), ("1", 2, "OK", ok(comment(10, like_count=6))), ("3", 1, "WAF", ok(comment(30)))])
+    found = found.unionByName(spark.createDataFrame([("2", 1, 2, "OK", second.replace('"id": 20', '"id": 2e1'))], PAGES))
+    run = resume_scan.recovery_scan(posts(spark, {1: 2, 2: 1, 3: 1}), found, None, spark.createDataFrame([], STORED), "7", "example.com")
+    assert [(r["id"], r["post_id"], r["like_count"]) for r in run.replies.orderBy("order").collect()] == [("10", "1", 5), ("20", "2", 0)]
+    assert run.state.collect()[0]["failed"] == "WAF"
+    walks = resume_scan.walk_posts(posts(spark, {1: 2}), found, None, "7", "example.com")
+    assert {r["id"] for r in walks.own.collect()} == {"10"} and set(walks.own.columns) == {"post_id", "root", "place", "id", "item"}
+
+
+def test_pages_are_parsed_once(spark, monkeypatch):
+    """A walk reads each page's text in one place alone, and keeps the texts of the user's own comments only."""
+    written, materialise = [], resume_scan.materialise
+    monkeypatch.setattr(resume_scan, "materialise", lambda df: written.append(materialise(df)) or written[-1])
+    pages = main_pages(spark, [("1", 1, "OK", ok(comment(10), comment(11, 8), more=True)), ("1", 2, "HTTP_500", ok(comment(12))), ("2", 1, "OK", ok())])
+    walk = resume_scan.strict_walk(pages, "post_id", lambda p: resume_scan._foreign(p, "post_id"), resume_scan.REFERENCES, "7")
+    assert not any("body" in df.columns for df in written)
+    assert {(r["id"], r["item"] is not None) for r in walk.items.collect()} == {("10", True), ("11", False)}
+    rows = {r["post_id"]: (r["stop_page"], r["failure"] and r["failure"]["code"], r["observed"]) for r in walk.streams.collect()}
+    assert rows == {"1": (None, "HTTP_500", 2), "2": (1, None, 0)}
+
+
 def test_where_a_run_starts(spark):
     timeline, corpus = posts(spark, {1: 2, 2: 0, 3: 5}), spark.createDataFrame([("5", "1", "x"), ("6", "1", "y")], STORED)
     then, replies = resume_scan.fingerprints(timeline, corpus)
